@@ -56,8 +56,8 @@ def sink_roundtrip(s: Standins) -> DataFrame:
     rows = cube.groupBy(D.year, D.element).agg(F.count(F.lit(1)).alias("n"), F.sum(D.value).alias("total"))
     others = {"rules": read_table(s.spark, f"{base}/rules"), "report": read_wide(s.spark, f"{base}/report")}
     for name, table in others.items():
-        count = table.agg(F.count(F.lit(1)).alias("n"))
-        rows = rows.unionByName(count.withColumn(D.element, F.lit(name)), allowMissingColumns=True)
+        count = table.agg(F.count(F.lit(1)).alias("n")).withColumns({D.element: F.lit(name), D.year: F.lit(0)})
+        rows = rows.unionByName(count, allowMissingColumns=True)
     return rows
 
 
@@ -256,7 +256,8 @@ def country_year_coverage(s: Standins) -> DataFrame:
 
 @query
 def missing_countries(s: Standins) -> DataFrame:
-    return coverage.missing_countries(s.leaf, s.area_codes, s.validity, COMMON_YEAR)
+    rows = coverage.missing_countries(s.leaf, s.area_codes, s.validity, COMMON_YEAR)
+    return rows.withColumns({c: F.col(c).cast("string") for c in ("start_year", "end_year")})
 
 
 # --- residual areas, aliases, metadata ---

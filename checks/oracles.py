@@ -156,8 +156,8 @@ oracle(
     "sink_roundtrip",
     """SELECT yr "timePointYears", e "measuredElement", count(*) n,
               CAST(sum(CASE WHEN yr = 1998 THEN 2 * v ELSE v END) AS DOUBLE) total FROM leaf GROUP BY yr, e
-       UNION ALL SELECT NULL, 'rules', 2 * count(*), NULL FROM conversion
-       UNION ALL SELECT NULL, 'report', count(*), NULL FROM area_codes""",
+       UNION ALL SELECT 0, 'rules', 2 * count(*), NULL FROM conversion
+       UNION ALL SELECT 0, 'report', count(*), NULL FROM area_codes""",
 )
 oracle(
     "cube_slice",
@@ -319,7 +319,7 @@ oracle(
 )
 oracle(
     "missing_countries",
-    """SELECT code, description, s start_year, t end_year FROM area_codes LEFT JOIN validity ON code = m49
+    """SELECT code, description, CAST(s AS VARCHAR) start_year, CAST(t AS VARCHAR) end_year FROM area_codes LEFT JOIN validity ON code = m49
        WHERE "type" = 'country' AND "endDate" IS NULL AND code NOT IN (SELECT a FROM leaf WHERE yr = 1998 AND e = '511')""",
 )
 
@@ -487,7 +487,8 @@ ITEM_CUBE = (
 oracle(
     "apply_factor",
     f"""SELECT {ITEM_CUBE}, ig item_group_code FROM (
-            SELECT a, e, items.item item, yr, CASE WHEN e = '5622' THEN v ELSE v * coalesce(factor, 1.0) END v, s, m, ig
+            SELECT a, e, items.item item, yr, CASE WHEN e = '5622' THEN CAST(v AS DECIMAL(28,6))
+                        ELSE CAST(v AS DECIMAL(28,6)) * coalesce(factor, 1.0) END v, s, m, ig
             FROM items LEFT JOIN factors ON items.item = factors.item)""",
 )
 oracle(
@@ -512,10 +513,12 @@ oracle(
 # --- reconciliation ---
 
 CTES["second"] = """
-    SELECT a, e, yr, CASE WHEN k % 6 = 0 THEN v * 1.5 ELSE v END v FROM leaf WHERE yr <> 1997 AND k % 10 <> 9
-    UNION ALL
-    SELECT 'Z' || a, e, yr, CASE WHEN k % 6 = 0 THEN v * 1.5 ELSE v END FROM leaf
-    WHERE yr <> 1997 AND k % 10 <> 9 AND k % 77 = 0"""
+    SELECT a, e, yr, v FROM (
+        SELECT k, a, e, yr, CAST(CASE WHEN k % 6 = 0 THEN CAST(v * 1.5 AS DECIMAL(18,6)) ELSE v END AS DECIMAL(18,6)) v
+        FROM (SELECT k, a, e, yr, CAST(v AS DECIMAL(18,6)) v FROM leaf WHERE yr <> 1997 AND k % 10 <> 9)
+        UNION ALL
+        SELECT k, 'Z' || a, e, yr, CAST(CASE WHEN k % 6 = 0 THEN CAST(v * 1.5 AS DECIMAL(18,6)) ELSE v END AS DECIMAL(18,6))
+        FROM (SELECT k, a, e, yr, CAST(v AS DECIMAL(18,6)) v FROM leaf WHERE yr <> 1997 AND k % 10 <> 9 AND k % 77 = 0))"""
 RECON = """SELECT coalesce(f.a, l.a) a, coalesce(f.e, l.e) e, coalesce(f.yr, l.yr) yr, f.v vf, l.v vs,
        CASE WHEN f.v = l.v THEN 'ok' WHEN f.v <> l.v THEN 'no' WHEN l.v IS NOT NULL THEN 'sws' WHEN f.v IS NOT NULL THEN 'fs'
             ELSE '?' END c
