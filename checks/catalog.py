@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.standins import COMMON_YEAR, ITEM_DIMS, YEARS, D, Standins
+from checks.standins import COMMON_YEAR, ITEM_DIMS, REQUESTED, YEARS, D, Standins
 from tallycube.functions import strict_sum
 from tallycube.operators import aggregate as agg
 from tallycube.operators import coverage, crosswalk, groups, metadata, reconcile, reshape, residual, select, splice
 from tallycube.operators.joins import group_total
 from tallycube.plans.ingest import ingest, long_sections
 from tallycube.plans.sync import all_residuals, sync
+from tallycube.schema import ELEMENTS
 from tallycube.session import scratch_path
 from tallycube.sources import append_rules, literal_table, read_cube, read_table, read_wide, write_cube, write_report
 
@@ -312,7 +313,7 @@ def _rules(s: Standins) -> agg.Rules:
 
 def _aggregate(mode: str) -> Query:
     def build(s: Standins) -> DataFrame:
-        return agg.aggregate(s.items, mode, _rules(s), s.requested, ITEM_DIMS)
+        return agg.aggregate(s.items, mode, _rules(s), REQUESTED, ITEM_DIMS)
 
     return build
 
@@ -325,15 +326,13 @@ for _mode in agg.MODES:
 def agg_population_area(s: Standins) -> DataFrame:
     """Area groups of the cube without items."""
     rules = agg.Rules(area_members=s.area_groups, validity=s.validity, flag_weights=s.flag_weights)
-    elements = s.leaf.select(F.col(D.element).alias("code")).distinct()
-    return agg.aggregate(s.leaf, "area", rules, elements)
+    return agg.aggregate(s.leaf, "area", rules, ELEMENTS)
 
 
 @query
 def agg_population_world(s: Standins) -> DataFrame:
     rules = agg.Rules(area_members=s.area_groups, flag_weights=s.flag_weights)
-    elements = s.leaf.select(F.col(D.element).alias("code")).distinct()
-    return agg.aggregate(s.leaf, "adhoc_area", rules, elements)
+    return agg.aggregate(s.leaf, "adhoc_area", rules, ELEMENTS)
 
 
 @query
@@ -433,7 +432,7 @@ def recon_percent_variation(s: Standins) -> DataFrame:
 def recon_threshold(s: Standins) -> DataFrame:
     """Published regions against regions computed from groups, matched by label."""
     region = s.table("region").select(F.col("r_regionkey").alias("rk"), F.col("r_name").alias("label"))
-    placed = s.full_cube.filter("element = '511'").join(s.customers.select("k", "rk"), "k")
+    placed = s.full_cube.filter("element = '511'").join(s.placed.select("k", "rk"), "k")
     shift = F.expr("case when rk = 1 then 0.05 when rk = 2 then 1 when rk = 3 then -1 else 0 end").cast("decimal(18,6)")
     published = (
         placed.groupBy("rk", "yr")

@@ -20,6 +20,7 @@ from tallycube.sources import literal_table, read_table
 YEARS = [str(y) for y in range(1995, 2002)]
 COMMON_YEAR = 1998
 ITEM_DIMS = Dims(item="measuredItemCPC")
+REQUESTED = ["5419", "5622", "5999"]
 D = POPULATION
 
 
@@ -27,6 +28,15 @@ def area_code(key: str) -> Column:
     return F.concat(F.lit("C"), F.col(key).cast("string"))
 
 
+def cents(amount: str) -> Column:
+    """Amount with two decimals as a whole number, whose sums are exact and cheap."""
+    return F.round(F.col(amount) * 100).cast("bigint")
+
+
+def money(total: Column) -> Column:
+    return (total.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,6)")
+
+
 def tagged(letter: str, key: str) -> Column:
     return F.concat(F.lit(letter), F.col(key).cast("string"))
 
@@ -43,12 +53,16 @@ class Standins:
 
     @cached_property
     def customers(self) -> DataFrame:
-        """k, nk, rk, name and area of each customer."""
-        nation = self.table("nation").select(F.col("n_nationkey").alias("nk"), F.col("n_regionkey").alias("rk"))
-        rows = self.table("customer").select(
+        """k, nk, name and area of each customer."""
+        return self.table("customer").select(
             F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nk"), F.col("c_name").alias("name")
-        )
-        return rows.join(nation, "nk").withColumn("area", area_code("k"))
+        ).withColumn("area", area_code("k"))
+
+    @cached_property
+    def placed(self) -> DataFrame:
+        """Customers with their region rk."""
+        nation = self.table("nation").select(F.col("n_nationkey").alias("nk"), F.col("n_regionkey").alias("rk"))
+        return self.customers.join(nation, "nk")
 
     @cached_property
     def full_cube(self) -> DataFrame:
@@ -56,18 +70,18 @@ class Standins:
         orders = self.table("orders").select(
             F.col("o_custkey").alias("k"),
             F.year("o_orderdate").alias("yr"),
-            F.col("o_totalprice").cast("decimal(18,2)").alias("p"),
+            cents("o_totalprice").alias("p"),
             (F.col("o_orderstatus") == "F").alias("male"),
             F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").alias("urban"),
         )
         nations = self.table("customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nk"))
         # One row per customer and year leaves the aggregation; it is spread over elements afterwards.
         cells = orders.groupBy("k", "yr").agg(
-            F.sum("p").alias("e511"),
-            F.sum(F.when(F.col("male"), F.col("p"))).alias("e512"),
-            F.sum(F.when(~F.col("male"), F.col("p"))).alias("e513"),
-            F.sum(F.when(F.col("urban"), F.col("p"))).alias("e561"),
-            F.sum(F.when(~F.col("urban"), F.col("p"))).alias("e551"),
+            money(F.sum("p")).alias("e511"),
+            money(F.sum(F.when(F.col("male"), F.col("p")))).alias("e512"),
+            money(F.sum(F.when(~F.col("male"), F.col("p")))).alias("e513"),
+            money(F.sum(F.when(F.col("urban"), F.col("p")))).alias("e561"),
+            money(F.sum(F.when(~F.col("urban"), F.col("p")))).alias("e551"),
         )
         elements = ("511", "512", "513", "561", "551")
         parts = F.array(*[F.struct(F.lit(e).alias("element"), F.col(f"e{e}").alias("v")) for e in elements])
@@ -101,7 +115,7 @@ class Standins:
     @cached_property
     def published(self) -> DataFrame:
         """What the publisher states for the parents, under its own codes."""
-        parent = self.customers.select("k", F.expr("if(rk < 3, concat('N', nk), concat('R', rk))").alias("parent"))
+        parent = self.placed.select("k", F.expr("if(rk < 3, concat('N', nk), concat('R', rk))").alias("parent"))
         sums = self.full_cube.join(parent, "k").groupBy("parent", "element", "yr").agg(F.sum("v").alias("v"))
         return to_cube_value(
             sums.select(
@@ -120,7 +134,7 @@ class Standins:
 
     @cached_property
     def hierarchy(self) -> DataFrame:
-        return self.customers.select(
+        return self.placed.select(
             F.lit("W").alias("code_l1"),
             tagged("R", "rk").alias("code_l3"),
             F.expr("case when rk < 3 then concat('N', nk) when nk % 2 = 0 then '' end").alias("code_l4"),
@@ -194,7 +208,7 @@ class Standins:
             "array(struct(concat('G', nk) as g, area as m), struct(concat('GR', rk) as g, area as m), "
             "struct('953' as g, area as m), struct('953' as g, if(k % 7 = 0, area, null) as m))"
         )
-        areas = self.customers.select(F.explode(codes).alias("x")).select(
+        areas = self.placed.select(F.explode(codes).alias("x")).select(
             F.col("x.g").alias("group_code"), F.col("x.m").alias("member_code")
         )
         nested = self.table("nation").select(
@@ -222,8 +236,8 @@ class Standins:
             "l_orderkey",
             "l_partkey",
             F.year("l_shipdate").alias("yr"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("x"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("q"),
+            cents("l_extendedprice").alias("x"),
+            cents("l_quantity").alias("q"),
         )
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("k"))
         parts = self.table("part").select(
@@ -236,7 +250,7 @@ class Standins:
             lines.join(parts, "l_partkey")
             .join(orders, "l_orderkey")
             .groupBy("k", "item", "yr")
-            .agg(F.sum("x").alias("x"), F.sum("q").alias("q"))
+            .agg(money(F.sum("x")).alias("x"), money(F.sum("q")).alias("q"))
         )
         rows = F.expr(
             "array(struct('5510' as e, x as v, true as has), "
@@ -300,7 +314,7 @@ class Standins:
     @cached_property
     def requested(self) -> DataFrame:
         """Elements asked for, out of those the item cube holds."""
-        wanted = self.items.filter(F.col(ITEM_DIMS.element).isin("5419", "5622", "5999"))
+        wanted = self.items.filter(F.col(ITEM_DIMS.element).isin(REQUESTED))
         return wanted.select(F.col(ITEM_DIMS.element).alias("code")).distinct()
 
     # --- wide tables ---

@@ -5,22 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycube.operators.groups import (
-    apply_factor,
+    attach_factor,
     clean_members,
     disseminated,
     drop_existing_aggregates,
     exclude_elements,
     expand_elements,
     item_factors,
+    product,
     usable_ratios,
 )
-from tallycube.operators.joins import keep_listed_if_any
+from tallycube.operators.joins import keep_listed, keep_listed_if_any
 from tallycube.operators.select import valid_area_years
 from tallycube.schema import ADHOC_CODE, METHOD_AGGREGATE, POPULATION, WORLD_GROUP, Dims
+from tallycube.sources.tables import literal_table
 
 
 @dataclass(frozen=True)
@@ -65,22 +67,24 @@ def aggregate(
     cube: DataFrame,
     mode: str,
     rules: Rules,
-    elements: DataFrame,
+    elements: Sequence[str],
     dims: Dims = POPULATION,
     weakest: str = "min",
 ) -> DataFrame:
     """Group aggregates of a cube.
 
-    `elements` (column code) are the requested ones; parts of requested ratios are added. Area modes
-    drop rows with any missing column before summing, item modes sum what exists (all missing: 0).
+    `elements` are the requested ones; parts of requested ratios are added. Area modes drop rows with
+    any missing column before summing, item modes sum what exists (all missing: 0).
     """
     plan = MODES[mode]
     if plan.needs_item and not dims.item:
         raise ValueError(f"mode {mode!r} needs an item dimension")
-    wanted = expand_elements(elements, rules.calculated) if rules.calculated is not None else elements
-    rows = cube.select(*dims.columns).join(
-        wanted.select(F.col("code").alias(dims.element)), dims.element, "left_semi"
-    )
+    rows = cube.select(*dims.columns)
+    if rules.calculated is None:
+        rows = rows.filter(F.col(dims.element).isin(list(elements)))
+    else:
+        requested = literal_table(cube.sparkSession, [(e,) for e in elements], "code string")
+        rows = keep_listed(rows, expand_elements(requested, rules.calculated), dims.element)
     rows = clean_rows(rows, rules, dims)
     rows = _restrict(rows, plan, rules, dims)
     ratios = usable_ratios(rules.calculated) if rules.calculated is not None else None
@@ -126,41 +130,30 @@ def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims) -> DataFrame:
     apply to them like to any other row.
     """
     cell = [c for c in (dims.area, dims.item, dims.year) if c]
+    codes = {"num": "num_var_code", "den": "den_var_code"}
     roles = ratios.select(
         F.col("result_var_code").alias("_result"),
-        F.explode(
-            F.array(
-                F.struct(F.col("num_var_code").alias("code"), F.lit("num").alias("role")),
-                F.struct(F.col("den_var_code").alias("code"), F.lit("den").alias("role")),
-            )
-        ).alias("_part"),
-    ).select("_result", F.col("_part.code").alias(dims.element), F.col("_part.role").alias("_role"))
-    values = rows.select(*cell, dims.element, dims.value).join(roles, dims.element)
-    # Cells are small keys; partial sums run before the only shuffle.
-    cells = values.groupBy(*cell, "_result").agg(
+        *codes.values(),
+        F.explode(F.array(*[F.struct(F.col(c).alias("code"), F.lit(r).alias("role")) for r, c in codes.items()])).alias(
+            "_part"
+        ),
+    ).select("*", F.col("_part.code").alias(dims.element), F.col("_part.role").alias("_role"))
+    cells = (
+        rows.select(*cell, dims.element, dims.value)
+        .join(roles, dims.element)
+        .groupBy(*cell, "_result", *codes.values())
+        .agg(*[F.sum(F.when(F.col("_role") == r, F.col(dims.value))).alias(f"_{r}") for r in codes])
+    )
+    parts = F.array(
         *[
-            fn(F.when(F.col("_role") == role, F.col(column))).alias(f"_{role}_{name}")
-            for role in ("num", "den")
-            for fn, column, name in ((F.max, dims.element, "code"), (F.sum, dims.value, "value"))
+            F.struct(
+                F.col(c).alias(dims.element), F.col(f"_{r}").cast("decimal(28,6)").alias(dims.value), F.lit(r).alias("_role")
+            )
+            for r, c in codes.items()
         ]
     )
-    both = cells.filter(F.col("_num_value").isNotNull() & F.col("_den_value").isNotNull())
-    return both.select(
-        *cell,
-        "_result",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.col(f"_{role}_code").alias(dims.element),
-                        F.col(f"_{role}_value").cast("decimal(28,6)").alias(dims.value),
-                        F.lit(role).alias("_role"),
-                    )
-                    for role in ("num", "den")
-                ]
-            )
-        ).alias("_part"),
-    ).select(*cell, "_result", "_part.*")
+    both = cells.filter(F.col("_num").isNotNull() & F.col("_den").isNotNull())
+    return both.select(*cell, "_result", F.explode(parts).alias("_part")).select(*cell, "_result", "_part.*")
 
 
 def group_rows(
@@ -173,88 +166,80 @@ def group_rows(
 ) -> DataFrame:
     """Lenient sums, ratios and picked flags per `by` and element.
 
-    Rows with `_result` are ratio parts, the others observations. First comes one hash aggregation
-    over keys and status, whose partial sums shrink the data before its shuffle; weights and the
-    choice of the flag work on that small result.
+    Rows with `_result` are ratio parts, the others observations; `_factor` multiplies either. One
+    hash aggregation with a single decimal sum shrinks the data before its shuffle. Role and factor
+    are keys of it, so products and ratios are formed from the few sums and not from the rows.
     """
-    status = dims.status
-    none = F.lit(None).cast("string")
-    tagged = rows if "_result" in rows.columns else rows.withColumns({"_result": none, "_role": none})
-    part = F.col("_result").isNotNull()
+    has_parts, has_factor = "_result" in rows.columns, "_factor" in rows.columns
+    part = F.col("_result").isNotNull() if has_parts else F.lit(False)
     # An observation belongs to its own element, a ratio part to the element of the ratio.
-    target = F.coalesce("_result", dims.element)
-    small = (
-        tagged.withColumn("_target", target)
-        .groupBy(*by, "_target", *([status] if status else []))
-        .agg(
-            F.sum(F.when(~part, F.col(dims.value))).alias("_sum"),
-            F.count(F.when(~part, 1)).alias("_rows"),
-            F.sum(F.when(F.col("_role") == "num", F.col(dims.value))).alias("_num"),
-            F.sum(F.when(F.col("_role") == "den", F.col(dims.value))).alias("_den"),
-        )
-        .withColumnRenamed("_target", dims.element)
-    )
-    flag = []
-    if status:
-        small = weigh_flags(small, flag_weights, status)
-        flag = [pick_flag(status, weakest, where=F.col("_rows") > 0).alias(status)]
-    totals = small.groupBy(*by, dims.element).agg(
-        F.sum("_sum").alias("_sum"),
-        F.sum("_rows").alias("_rows"),
-        F.sum("_num").alias("_num"),
-        F.sum("_den").alias("_den"),
-        *flag,
+    target = F.coalesce("_result", dims.element) if has_parts else F.col(dims.element)
+    tagged = rows.withColumn("_target", target)
+    picked = []
+    if dims.status:
+        tagged = rank_flags(tagged, flag_weights, dims.status, weakest)
+        picked = [F.min(F.when(~part, F.col("_rank"))).alias("_rank")]
+    extra = [c for c, used in (("_role", has_parts), ("_factor", has_factor)) if used]
+    totals = tagged.groupBy(*by, "_target", *extra).agg(
+        F.sum(dims.value).alias("_sum"), F.count(F.when(~part, 1)).alias("_rows"), *picked
     )
+    if extra:
+        amount = product("_sum") if has_factor else F.col("_sum")
+        own = F.col("_role").isNull() if has_parts else F.lit(True)
+        totals = totals.groupBy(*by, "_target").agg(
+            F.sum(F.when(own, amount)).alias("_sum"),
+            F.sum("_rows").alias("_rows"),
+            *[F.sum(F.when(F.col("_role") == r, amount)).alias(f"_{r}") for r in ("num", "den") if has_parts],
+            *[F.min("_rank").alias("_rank") for _ in picked],
+        )
     # Ratio parts alone do not make a ratio: the element itself must have been observed.
-    totals = totals.filter(F.col("_rows") > 0)
-    value = F.coalesce(F.col("_sum"), F.lit(0)).cast("decimal(38,10)")
+    totals = totals.filter(F.col("_rows") > 0).withColumnRenamed("_target", dims.element)
+    value = F.coalesce(F.col("_sum"), F.lit(0)).cast("double")
     if ratios is not None:
         mult = ratios.select(
             F.col("result_var_code").alias(dims.element), F.col("mult").cast("double"), F.lit(True).alias("_ratio")
         )
         ratio = F.try_divide(F.col("_num").cast("double"), F.col("_den").cast("double")) * F.col("mult")
         totals = totals.join(mult, dims.element, "left")
-        value = F.when(F.col("_ratio"), ratio).otherwise(value.cast("double"))
+        value = F.when(F.col("_ratio"), ratio).otherwise(value)
+    if dims.status:
+        totals = ranked_flag(totals, flag_weights, dims.status, weakest)
     flags = {c: F.lit(METHOD_AGGREGATE) for c in (dims.method, dims.flag) if c}
-    return totals.withColumn(dims.value, value).withColumns(flags).select(
-        *by, dims.element, dims.value, *dims.flags
-    )
+    return totals.withColumn(dims.value, value).withColumns(flags).select(*by, dims.element, dims.value, *dims.flags)
 
 
-def weigh_flags(df: DataFrame, weights: DataFrame | None, status: str) -> DataFrame:
-    """Add `_weight`; a null flag counts as the empty one, unknown flags never win."""
-    df = df.withColumn(status, F.coalesce(F.col(status), F.lit("")))
-    if weights is None:
-        return df.withColumn("_weight", F.lit(0.0))
-    table = weights.select(
-        F.coalesce(F.col("flag"), F.lit("")).alias(status), F.col("weight").cast("double").alias("_weight")
-    ).distinct()
-    return df.join(table, status, "left")
-
-
-def pick_flag(status: str, weakest: str = "min", where: Column | None = None) -> Column:
-    """The flag with the lowest (or highest) weight; ties go to the first flag in text order."""
-    if weakest not in ("min", "max"):
-        raise ValueError(weakest)
-    sign = 1 if weakest == "min" else -1
-    # Nulls sort first, so an unknown weight is made to sort last.
-    ranked = F.struct(
-        F.col("_weight").isNull().alias("unknown"), (F.col("_weight") * sign).alias("weight"), F.col(status).alias("flag")
-    )
-    return F.min(ranked if where is None else F.when(where, ranked)).getField("flag")
+def flag_ranks(weights: DataFrame | None, status: str, weakest: str = "min") -> DataFrame:
+    """(status, _rank): flags by weight, ties in text order; a null flag is the empty one.
+
+    The choice of a flag thus becomes a minimum of integers, which stays in hash aggregation.
+    """
+    if weights is None or weakest not in ("min", "max"):
+        raise ValueError("picking a flag needs a weight table and a rule, 'min' or 'max'")
+    weight = F.col("weight") if weakest == "min" else -F.col("weight")
+    flags = weights.select(F.coalesce("flag", F.lit("")).alias(status), weight.alias("_w")).distinct()
+    # One task sorts the table of flags, which has as many rows as there are flags.
+    return flags.select(status, F.row_number().over(Window.orderBy("_w", status)).alias("_rank"))
+
+
+def rank_flags(df: DataFrame, weights: DataFrame | None, status: str, weakest: str = "min") -> DataFrame:
+    """Add `_rank`; a flag without a weight has none and is never picked."""
+    ranks = flag_ranks(weights, status, weakest)
+    return df.withColumn(status, F.coalesce(status, F.lit(""))).join(ranks, status, "left")
+
+
+def ranked_flag(df: DataFrame, weights: DataFrame | None, status: str, weakest: str = "min") -> DataFrame:
+    """Turn `_rank` back into the flag."""
+    return df.join(flag_ranks(weights, status, weakest), "_rank", "left").drop("_rank")
 
 
 def aggregate_flags(
     df: DataFrame, by: Sequence[str], weights: DataFrame, dims: Dims = POPULATION, weakest: str = "min"
 ) -> DataFrame:
     """Picked status and method `x` per key."""
-    few = df.select(*by, dims.status).distinct()
-    return (
-        weigh_flags(few, weights, dims.status)
-        .groupBy(*by)
-        .agg(pick_flag(dims.status, weakest).alias(dims.status))
-        .withColumn(dims.method, F.lit(METHOD_AGGREGATE))
-    )
+    ranked = rank_flags(df.select(*by, dims.status), weights, dims.status, weakest)
+    picked = ranked.groupBy(*by).agg(F.min("_rank").alias("_rank"))
+    flagged = ranked_flag(picked, weights, dims.status, weakest)
+    return flagged.select(*by, dims.status, F.lit(METHOD_AGGREGATE).alias(dims.method))
 
 
 def aggregate_ratio(rows: DataFrame, by: Sequence[str], ratios: DataFrame, dims: Dims) -> DataFrame:
@@ -284,10 +269,10 @@ def _with_groups(rows: DataFrame, plan: Mode, rules: Rules, dims: Dims) -> DataF
             members = members.filter(F.col("group_code") == WORLD_GROUP)
         rows = rows.join(members.withColumnRenamed("member_code", dims.area), dims.area)
     if plan.item_groups:
-        rows = apply_factor(rows, item_factors(rules.item_members), dims)
-        if plan.item_key == "group":
-            rows = rows.filter(F.col("item_group_code").isNotNull())
+        how = "inner" if plan.item_key == "group" else "left"
+        rows = attach_factor(rows, item_factors(rules.item_members), dims, how)
     if plan.distinct_rows:
+        # Equal products count once, so they are formed before the copies go.
         tags = [c for c in ("_result", "_role") if c in rows.columns]
-        rows = rows.select(*dims.columns, *tags).distinct()
+        rows = rows.withColumn(dims.value, product(dims.value)).select(*dims.columns, *tags).distinct()
     return rows

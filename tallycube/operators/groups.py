@@ -48,27 +48,27 @@ def item_factors(groups: DataFrame) -> DataFrame:
     return groups.groupBy("group_code", "member_code").agg(F.max(F.col("factor").cast(FACTOR_TYPE)).alias("factor"))
 
 
-def factored(value: str, factor: str | Column, element: str) -> Column:
-    """Value times factor; a missing factor is 1, and some elements are never multiplied."""
-    weight = F.coalesce(F.col(factor) if isinstance(factor, str) else factor, F.lit(1).cast(FACTOR_TYPE))
-    plain = F.col(value).cast("decimal(28,6)")
-    unfactored = F.col(element).isin(*UNFACTORED_ELEMENTS)
-    return F.when(unfactored, plain.cast("decimal(38,10)")).otherwise(plain * weight)
+def attach_factor(df: DataFrame, factors: DataFrame, dims: Dims, how: str = "left") -> DataFrame:
+    """Attach item groups (item_group_code) and the multiplier `_factor` of each row.
 
-
-def apply_factor(df: DataFrame, factors: DataFrame, dims: Dims) -> DataFrame:
-    """Attach item groups (column item_group_code) and multiply; items in no group stay, with factor 1.
-
-    An item in several groups gives one row per group.
+    A missing factor is 1, and some elements are never multiplied. An item in several groups gives
+    one row per group; with a left join, items in no group stay.
     """
     members = factors.select(
         F.col("member_code").alias(dims.item), F.col("group_code").alias("item_group_code"), "factor"
     )
-    return (
-        df.join(members, dims.item, "left")
-        .withColumn(dims.value, factored(dims.value, "factor", dims.element))
-        .drop("factor")
-    )
+    one = F.lit(1).cast(FACTOR_TYPE)
+    factor = F.when(F.col(dims.element).isin(*UNFACTORED_ELEMENTS), one).otherwise(F.coalesce("factor", one))
+    return df.join(members, dims.item, how).withColumn("_factor", factor).drop("factor")
+
+
+def product(value: str) -> Column:
+    return (F.col(value).cast("decimal(28,6)") * F.col("_factor")).cast("decimal(38,10)")
+
+
+def apply_factor(df: DataFrame, factors: DataFrame, dims: Dims) -> DataFrame:
+    """Values multiplied by the factor of each item group."""
+    return attach_factor(df, factors, dims).withColumn(dims.value, product(dims.value)).drop("_factor")
 
 
 def drop_existing_aggregates(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycube.functions import base_code, blank_to_null, residual_code, strict_sum
-from tallycube.operators.aggregate import pick_flag, weigh_flags
+from tallycube.operators.aggregate import rank_flags, ranked_flag
 from tallycube.operators.coverage import TEXT_NEW_RESIDUAL, missing_areas
 from tallycube.operators.joins import drop_listed, keep_listed
 from tallycube.schema import MALE, POPULATION, Dims
@@ -78,7 +78,7 @@ def residual_areas(
     conversion: DataFrame,
     elements: Sequence[str],
     gap_element: str,
-    flag_weights: DataFrame | None = None,
+    flag_weights: DataFrame,
     round_to: int | None = None,
     drop_zero: bool = False,
     include_descendants: bool = False,
@@ -92,26 +92,25 @@ def residual_areas(
     wanted = gap_parents(reporting, hierarchy, gap_element, dims)
     members = members_of(hierarchy, wanted, include_descendants).withColumnRenamed("member", dims.area)
     by = ["parent", dims.element, dims.year]
-    available = (
-        reporting.filter(F.col(dims.element).isin(list(elements)))
-        .join(members, dims.area)
-        .groupBy(*by, dims.status, dims.method)
+    available = reporting.filter(F.col(dims.element).isin(list(elements))).join(members, dims.area)
+    # The method flag is a key of the first aggregation: text minima would force a sort of all rows.
+    picked = (
+        rank_flags(available, flag_weights, dims.status)
+        .groupBy(*by, dims.method)
         .agg(
             F.count(F.lit(1)).alias("_rows"),
             F.count(dims.value).alias("_known"),
-            F.sum(dims.value).alias("_part"),
+            F.sum(dims.value).alias("_sum"),
+            F.min("_rank").alias("_rank"),
         )
-    )
-    # Few rows are left here, so the flag rule costs next to nothing.
-    summed = (
-        weigh_flags(available, flag_weights, dims.status)
         .groupBy(*by)
         .agg(
-            F.when(F.sum("_rows") == F.sum("_known"), F.sum("_part")).alias("available"),
-            pick_flag(dims.status).alias(dims.status),
+            F.when(F.sum("_rows") == F.sum("_known"), F.sum("_sum")).alias("available"),
+            F.min("_rank").alias("_rank"),
             F.min(dims.method).alias(dims.method),
         )
     )
+    summed = ranked_flag(picked, flag_weights, dims.status)
     gap = F.col("published") - F.col("available")
     if round_to is not None:
         gap = F.round(gap, round_to)

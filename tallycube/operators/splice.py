@@ -23,14 +23,14 @@ def overlap_check(
     """
     keys = [*[c for c in dims.keys if c in estimates.columns], dims.value]
     sides = [
-        df.filter(F.col(dims.year) == common_year).select(*keys, F.lit(name).alias("side"))
-        for df, name in ((estimates, "estimates"), (projections, "projections"))
+        df.filter(F.col(dims.year) == common_year).select(*keys, F.lit(estimate).alias("_estimate"))
+        for df, estimate in ((estimates, True), (projections, False))
     ]
     return (
         sides[0]
         .unionByName(sides[1])
         .groupBy(*keys)
-        .agg(F.min("side").alias("side"), F.max("side").alias("_other"))
-        .filter(F.col("side") == F.col("_other"))
-        .drop("_other")
+        .agg(F.max("_estimate").alias("_any"), F.min("_estimate").alias("_all"))
+        .filter(F.col("_any") == F.col("_all"))
+        .select(*keys, F.when(F.col("_any"), "estimates").otherwise("projections").alias("side"))
     )

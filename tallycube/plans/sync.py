@@ -36,7 +36,7 @@ def all_residuals(
     reporting: DataFrame,
     hierarchy: DataFrame,
     conversion: DataFrame,
-    flag_weights: DataFrame | None = None,
+    flag_weights: DataFrame,
     dims: Dims = POPULATION,
 ) -> DataFrame:
     """Residuals of both sexes as they come, those of urban and rural rounded and without zeros."""
@@ -55,7 +55,7 @@ def sync(
     conversion: DataFrame,
     prospects_year: int,
     urbanization_year: int,
-    flag_weights: DataFrame | None = None,
+    flag_weights: DataFrame,
     known_parents: DataFrame | Sequence[str] = RESIDUAL_PARENTS,
     aliases: dict[str, list[str]] = ALIASES,
     dims: Dims = POPULATION,
