@@ -166,32 +166,25 @@ def group_rows(
 ) -> DataFrame:
     """Lenient sums, ratios and picked flags per `by` and element.
 
-    Rows with `_result` are ratio parts, the others observations; `_factor` multiplies either. One
-    hash aggregation with a single decimal sum shrinks the data before its shuffle. Role and factor
-    are keys of it, so products and ratios are formed from the few sums and not from the rows.
+    Rows with `_result` are ratio parts, the others observations; `_factor` multiplies either. All of
+    it is one hash aggregation, whose partial sums shrink the data before its shuffle.
     """
-    has_parts, has_factor = "_result" in rows.columns, "_factor" in rows.columns
-    part = F.col("_result").isNotNull() if has_parts else F.lit(False)
+    has_parts = "_result" in rows.columns
+    amount = product(dims.value) if "_factor" in rows.columns else F.col(dims.value)
     # An observation belongs to its own element, a ratio part to the element of the ratio.
     target = F.coalesce("_result", dims.element) if has_parts else F.col(dims.element)
+    own = F.col("_result").isNull() if has_parts else F.lit(True)
     tagged = rows.withColumn("_target", target)
     picked = []
     if dims.status:
         tagged = rank_flags(tagged, flag_weights, dims.status, weakest)
-        picked = [F.min(F.when(~part, F.col("_rank"))).alias("_rank")]
-    extra = [c for c, used in (("_role", has_parts), ("_factor", has_factor)) if used]
-    totals = tagged.groupBy(*by, "_target", *extra).agg(
-        F.sum(dims.value).alias("_sum"), F.count(F.when(~part, 1)).alias("_rows"), *picked
+        picked = [F.min(F.when(own, F.col("_rank"))).alias("_rank")]
+    totals = tagged.groupBy(*by, "_target").agg(
+        F.sum(F.when(own, amount)).alias("_sum"),
+        F.count(F.when(own, 1)).alias("_rows"),
+        *[F.sum(F.when(F.col("_role") == r, amount)).alias(f"_{r}") for r in ("num", "den") if has_parts],
+        *picked,
     )
-    if extra:
-        amount = product("_sum") if has_factor else F.col("_sum")
-        own = F.col("_role").isNull() if has_parts else F.lit(True)
-        totals = totals.groupBy(*by, "_target").agg(
-            F.sum(F.when(own, amount)).alias("_sum"),
-            F.sum("_rows").alias("_rows"),
-            *[F.sum(F.when(F.col("_role") == r, amount)).alias(f"_{r}") for r in ("num", "den") if has_parts],
-            *[F.min("_rank").alias("_rank") for _ in picked],
-        )
     # Ratio parts alone do not make a ratio: the element itself must have been observed.
     totals = totals.filter(F.col("_rows") > 0).withColumnRenamed("_target", dims.element)
     value = F.coalesce(F.col("_sum"), F.lit(0)).cast("double")
