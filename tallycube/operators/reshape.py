@@ -115,7 +115,7 @@ def to_edge(df: DataFrame) -> DataFrame:
     """Exact decimals as doubles, for consumers outside the library."""
     return df.select(
         [
-            F.col(f.name).cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f.name)
+            F.col(f"`{f.name}`").cast("double").alias(f.name) if f.dataType.typeName() == "decimal" else F.col(f"`{f.name}`")
             for f in df.schema.fields
         ]
     )
