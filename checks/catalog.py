@@ -13,7 +13,8 @@ from tallycube.operators import aggregate as agg
 from tallycube.operators import coverage, crosswalk, groups, metadata, reconcile, reshape, residual, select, splice
 from tallycube.operators.joins import group_total
 from tallycube.plans.ingest import ingest, long_sections
-from tallycube.plans.sync import all_residuals, sync
+from tallycube.plans.grouping import aggregate_session
+from tallycube.plans.sync import sync
 from tallycube.schema import ELEMENTS
 from tallycube.session import scratch_path
 from tallycube.sources import append_rules, literal_table, read_cube, read_table, read_wide, write_cube, write_report
@@ -234,20 +235,21 @@ def coverage_report(s: Standins) -> DataFrame:
 @query
 def hier_mixed_level(s: Standins) -> DataFrame:
     wanted = residual.gap_parents(s.leaf, s.hierarchy)
-    return residual.members_of(s.hierarchy, wanted)
+    return residual.members_of(s.hierarchy, wanted).drop("gap")
 
 
 @query
 def hier_descendants(s: Standins) -> DataFrame:
     """Members of all level-3 codes, those below a level-4 area included."""
-    level3 = s.hierarchy.select(F.col("code_l3").alias("parent")).distinct()
-    return residual.members_of(s.hierarchy, level3, include_descendants=True)
+    level3 = s.hierarchy.select(F.col("code_l3").alias("parent"), F.lit("512").alias("gap")).distinct()
+    return residual.members_of(s.hierarchy, level3, include_descendants=True).drop("gap")
 
 
 @query
 def missing_residual_code(s: Standins) -> DataFrame:
     known = s.conversion.select(F.regexp_replace("residual_code", r"\.01$", "").alias("parent"))
-    return residual.missing_residual_codes(residual.gap_parents(s.leaf, s.hierarchy), known)
+    wanted = residual.gap_parents(s.leaf, s.hierarchy).select("parent")
+    return residual.missing_residual_codes(wanted, known)
 
 
 @query
@@ -267,7 +269,7 @@ def missing_countries(s: Standins) -> DataFrame:
 @query
 def residual_areas(s: Standins) -> DataFrame:
     """Residuals of both sexes and of urban and rural population, over compliant areas."""
-    return all_residuals(s.source, _reporting(s), s.hierarchy, s.conversion, s.flag_weights)
+    return residual.residual_areas(s.source, _reporting(s), s.hierarchy, s.conversion, s.flag_weights)
 
 
 def _sync(s: Standins):
@@ -289,9 +291,9 @@ def metadata_build(s: Standins) -> DataFrame:
 @query
 def identity_check(s: Standins) -> DataFrame:
     """Over all reporting areas: the sexes of the members and the residual add up to the total."""
-    args = (s.leaf, s.hierarchy)
-    residuals = residual.residual_areas(s.source, *args, s.conversion, ("512", "513"), "512", s.flag_weights)
-    members = residual.members_of(s.hierarchy, residual.gap_parents(*args))
+    sexes = residual.RULES[:1]
+    residuals = residual.residual_areas(s.source, s.leaf, s.hierarchy, s.conversion, s.flag_weights, sexes)
+    members = residual.members_of(s.hierarchy, residual.gap_parents(s.leaf, s.hierarchy)).drop("gap")
     return reconcile.identity_check(s.leaf, members, residuals)
 
 
@@ -335,6 +337,24 @@ def agg_population_world(s: Standins) -> DataFrame:
     return agg.aggregate(s.leaf, "adhoc_area", rules, ELEMENTS)
 
 
+@query
+def agg_session_item(s: Standins) -> DataFrame:
+    """Item groups of the session's areas and years, with all items."""
+    areas = s.customers.filter("k % 3 <> 0").select(F.col("area").alias("code"))
+    return aggregate_session(
+        s.items, "item", _rules(s), s.area_codes, areas, REQUESTED, range(1996, 2000), items=["SMALL"], dims=ITEM_DIMS
+    )
+
+
+@query
+def agg_session_area(s: Standins) -> DataFrame:
+    """Area groups over all countries, for the session's items and years."""
+    areas = s.customers.filter("k % 3 <> 0").select(F.col("area").alias("code"))
+    return aggregate_session(
+        s.items, "area", _rules(s), s.area_codes, areas, ["5622"], range(1996, 2000), items=["SMALL", "PROMO"], dims=ITEM_DIMS
+    )
+
+
 @query
 def agg_ratio_element(s: Standins) -> DataFrame:
     ratios = groups.usable_ratios(s.calculated)

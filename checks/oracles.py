@@ -12,10 +12,10 @@ CTES = {
                CAST(o_totalprice AS DECIMAL(18,2)) p, o_orderstatus st, o_orderpriority pr
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "full_cube": """
-        SELECT k, nk, e, yr, sum(p) v FROM (
-            SELECT k, nk, yr, p, '511' e FROM base
-            UNION ALL SELECT k, nk, yr, p, CASE WHEN st = 'F' THEN '512' ELSE '513' END FROM base
-            UNION ALL SELECT k, nk, yr, p, CASE WHEN pr IN ('1-URGENT', '2-HIGH') THEN '561' ELSE '551' END FROM base)
+        SELECT k, nk, e, yr,
+               sum(CASE WHEN e = '511' OR (e = '512') = (st = 'F') AND e IN ('512', '513')
+                          OR (e = '561') = (pr IN ('1-URGENT', '2-HIGH')) AND e IN ('551', '561') THEN p ELSE 0 END) v
+        FROM base CROSS JOIN (SELECT unnest(['511', '512', '513', '551', '561']) e)
         GROUP BY k, nk, e, yr""",
     "leaf": """
         SELECT k, nk, 'C' || k a, e, yr, CASE WHEN k % 211 = 0 AND yr = 1996 THEN NULL ELSE v END v,
@@ -440,6 +440,25 @@ _aggregate_oracle(
         groups=True,
     ),
 )
+_aggregate_oracle(
+    "agg_session_item",
+    aggregate_sql(
+        f"""SELECT {OWN}, ig, factor FROM clean_items c {ITEM_JOIN}
+            WHERE ig IS NOT NULL AND {LISTED_AREA} AND c.{LISTED_ITEM} AND c.k % 3 <> 0 AND c.yr BETWEEN 1996 AND 1999""",
+        "a",
+        "ig",
+        groups=True,
+    ),
+)
+_aggregate_oracle(
+    "agg_session_area",
+    aggregate_sql(
+        f"""SELECT {OWN}, g {AREA_JOIN} WHERE {PRESENT} AND {LISTED_AREA} AND c.item IN ('SMALL', 'PROMO')
+            AND c.yr BETWEEN 1996 AND 1999 AND c.e = '5622' AND c.a IN (SELECT code FROM area_codes WHERE "type" = 'country')""",
+        "g",
+        "item",
+    ),
+)
 POPULATION_GROUP = """SELECT {area} "geographicAreaM49", e "measuredElement", yr "timePointYears",
        CAST(sum(v) AS DOUBLE) "Value",
        arg_min(s, CASE s WHEN 'E' THEN 0 WHEN '' THEN 1 ELSE 2 END) "flagObservationStatus", 'x' "flagMethod"

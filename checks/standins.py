@@ -78,10 +78,10 @@ class Standins:
         # One row per customer and year leaves the aggregation; it is spread over elements afterwards.
         cells = orders.groupBy("k", "yr").agg(
             money(F.sum("p")).alias("e511"),
-            money(F.sum(F.when(F.col("male"), F.col("p")))).alias("e512"),
-            money(F.sum(F.when(~F.col("male"), F.col("p")))).alias("e513"),
-            money(F.sum(F.when(F.col("urban"), F.col("p")))).alias("e561"),
-            money(F.sum(F.when(~F.col("urban"), F.col("p")))).alias("e551"),
+            money(F.sum(F.when(F.col("male"), F.col("p")).otherwise(0))).alias("e512"),
+            money(F.sum(F.when(~F.col("male"), F.col("p")).otherwise(0))).alias("e513"),
+            money(F.sum(F.when(F.col("urban"), F.col("p")).otherwise(0))).alias("e561"),
+            money(F.sum(F.when(~F.col("urban"), F.col("p")).otherwise(0))).alias("e551"),
         )
         elements = ("511", "512", "513", "561", "551")
         parts = F.array(*[F.struct(F.lit(e).alias("element"), F.col(f"e{e}").alias("v")) for e in elements])
@@ -89,7 +89,6 @@ class Standins:
             cells.join(nations, "k")
             .select("k", "nk", "yr", F.explode(parts).alias("x"))
             .select("k", "nk", "x.element", "yr", "x.v")
-            .filter("v is not null")
         )
 
     @cached_property

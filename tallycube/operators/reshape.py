@@ -105,7 +105,8 @@ def with_row_id(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     return (
         numbered.withColumn("_part", part)
-        .join(before, "_part")
+        # A range has one row of 12 bytes here, and there are spark.sql.shuffle.partitions of them at most.
+        .join(F.broadcast(before), "_part")
         .withColumn(name, F.col("_before") + local + 1)
         .drop("_part", "_at", "_before")
     )

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycube.functions import base_code, blank_to_null, residual_code, strict_sum
+from tallycube.functions import base_code, blank_to_null, residual_code
 from tallycube.operators.aggregate import rank_flags, ranked_flag
 from tallycube.operators.coverage import TEXT_NEW_RESIDUAL, missing_areas
-from tallycube.operators.joins import drop_listed, keep_listed
-from tallycube.schema import MALE, POPULATION, Dims
+from tallycube.operators.joins import drop_listed
+from tallycube.schema import FEMALE, MALE, POPULATION, RURAL, URBAN, Dims
 
 # Parents that have a residual code, three digits with leading zeros.
 RESIDUAL_PARENTS = ("011", "029", "005", "061", "154", "039", "021", "155", "057")
@@ -29,14 +30,18 @@ def parents(hierarchy: DataFrame) -> DataFrame:
     )
 
 
-def gap_parents(cube: DataFrame, hierarchy: DataFrame, gap_element: str = MALE, dims: Dims = POPULATION) -> DataFrame:
-    """Parents with a member that reports a total but never `gap_element`."""
-    gaps = missing_areas(cube, (gap_element,), dims)
-    return keep_listed(parents(hierarchy), gaps, "member", dims.area).select("parent").distinct()
+def gap_parents(
+    cube: DataFrame, hierarchy: DataFrame, gap_elements: Sequence[str] = (MALE,), dims: Dims = POPULATION
+) -> DataFrame:
+    """(parent, gap) for parents with a member that reports a total but never the element `gap`."""
+    gaps = missing_areas(cube, gap_elements, dims).select(
+        F.col(dims.area).alias("member"), F.col(dims.element).alias("gap")
+    )
+    return parents(hierarchy).join(gaps, "member").select("parent", "gap").distinct()
 
 
 def members_of(hierarchy: DataFrame, wanted: DataFrame, include_descendants: bool = False) -> DataFrame:
-    """(parent, member) pairs of the wanted parents.
+    """(parent, gap, member) of the wanted parents.
 
     A level-3 parent normally covers the members without a level 4; `include_descendants` adds the
     members below its level-4 areas, which the published value of the parent covers as well.
@@ -47,7 +52,7 @@ def members_of(hierarchy: DataFrame, wanted: DataFrame, include_descendants: boo
             F.col("code_l3").alias("parent"), F.col("code_l5").alias("member")
         )
         own = own.unionByName(below)
-    return keep_listed(own.distinct(), wanted, "parent", "parent")
+    return own.distinct().join(wanted.select("parent", "gap").distinct(), "parent")
 
 
 def missing_residual_codes(wanted: DataFrame, known: DataFrame | Sequence[str] = RESIDUAL_PARENTS) -> DataFrame:
@@ -71,29 +76,46 @@ def published_parents(
     )
 
 
+@dataclass(frozen=True)
+class ResidualRule:
+    """Elements whose residual is due where `gap` is missing, and how the residual is finished."""
+
+    elements: tuple[str, ...]
+    gap: str
+    round_to: int | None = None
+    drop_zero: bool = False
+
+
+# Sexes are taken as they come, urban and rural figures rounded and without zeros.
+RULES = (ResidualRule((MALE, FEMALE), MALE), ResidualRule((RURAL, URBAN), URBAN, round_to=6, drop_zero=True))
+
+
 def residual_areas(
     source: DataFrame,
     reporting: DataFrame,
     hierarchy: DataFrame,
     conversion: DataFrame,
-    elements: Sequence[str],
-    gap_element: str,
     flag_weights: DataFrame,
-    round_to: int | None = None,
-    drop_zero: bool = False,
+    rules: Sequence[ResidualRule] = RULES,
     include_descendants: bool = False,
     dims: Dims = POPULATION,
 ) -> DataFrame:
     """Published parent value minus the strict sum of its reporting members, as area `parent.01`.
 
     `source` is the cube with the published parents, `reporting` its compliant areas. Only parents
-    with a gap in `gap_element` get a residual; a missing residual is left out.
+    with a gap get a residual; a missing residual is left out. All rules share one pass over the
+    reporting areas for the gaps and one for the sums.
     """
-    wanted = gap_parents(reporting, hierarchy, gap_element, dims)
+    wanted = gap_parents(reporting, hierarchy, [r.gap for r in rules], dims)
     members = members_of(hierarchy, wanted, include_descendants).withColumnRenamed("member", dims.area)
+    elements = [e for r in rules for e in r.elements]
+    rule_of = F.lit(None).cast("string")
+    for rule in rules:
+        rule_of = F.when(F.col(dims.element).isin(*rule.elements), rule.gap).otherwise(rule_of)
     by = ["parent", dims.element, dims.year]
-    available = reporting.filter(F.col(dims.element).isin(list(elements))).join(members, dims.area)
-    # The method flag is a key of the first aggregation: text minima would force a sort of all rows.
+    available = (
+        reporting.filter(F.col(dims.element).isin(elements)).withColumn("gap", rule_of).join(members, [dims.area, "gap"])
+    )
     picked = (
         rank_flags(available, flag_weights, dims.status)
         .groupBy(*by, dims.method)
@@ -111,27 +133,18 @@ def residual_areas(
         )
     )
     summed = ranked_flag(picked, flag_weights, dims.status)
-    gap = F.col("published") - F.col("available")
-    if round_to is not None:
-        gap = F.round(gap, round_to)
-    out = (
+    difference = F.col("published") - F.col("available")
+    value, keep = difference, F.lit(True)
+    for rule in rules:
+        ours = F.col(dims.element).isin(*rule.elements)
+        if rule.round_to is not None:
+            value = F.when(ours, F.round(difference, rule.round_to)).otherwise(value)
+        if rule.drop_zero:
+            keep = keep & (~ours | (F.col(dims.value) != 0))
+    return (
         summed.join(published_parents(source, conversion, elements, dims), by)
-        .withColumn(dims.value, gap)
-        .filter(F.col(dims.value).isNotNull())
+        .withColumn(dims.value, value)
+        .filter(F.col(dims.value).isNotNull() & keep)
         .withColumn(dims.area, residual_code("parent"))
-    )
-    if drop_zero:
-        out = out.filter(F.col(dims.value) != 0)
-    return out.select(*dims.columns)
-
-
-def member_totals(
-    cube: DataFrame, members: DataFrame, elements: Sequence[str], dims: Dims = POPULATION
-) -> DataFrame:
-    """Strict sum of the members per parent, element and year."""
-    return (
-        cube.filter(F.col(dims.element).isin(list(elements)))
-        .join(members.withColumnRenamed("member", dims.area), dims.area)
-        .groupBy("parent", dims.element, dims.year)
-        .agg(strict_sum(dims.value).alias(dims.value))
+        .select(*dims.columns)
     )

@@ -13,7 +13,7 @@ from tallycube.operators.metadata import build_metadata, source_texts
 from tallycube.operators.reshape import alias_area
 from tallycube.operators.residual import RESIDUAL_PARENTS, gap_parents, missing_residual_codes, residual_areas
 from tallycube.operators.select import compliant_only
-from tallycube.schema import FEMALE, MALE, POPULATION, RURAL, URBAN, Dims
+from tallycube.schema import MALE, POPULATION, URBAN, Dims
 
 # Areas stored under further codes.
 ALIASES = {"156": ["1248"]}
@@ -31,23 +31,6 @@ class Sync:
         return build_metadata(self.metadata_texts)
 
 
-def all_residuals(
-    source: DataFrame,
-    reporting: DataFrame,
-    hierarchy: DataFrame,
-    conversion: DataFrame,
-    flag_weights: DataFrame,
-    dims: Dims = POPULATION,
-) -> DataFrame:
-    """Residuals of both sexes as they come, those of urban and rural rounded and without zeros."""
-    sexes = residual_areas(source, reporting, hierarchy, conversion, (MALE, FEMALE), MALE, flag_weights, dims=dims)
-    places = residual_areas(
-        source, reporting, hierarchy, conversion, (RURAL, URBAN), URBAN, flag_weights, round_to=6, drop_zero=True,
-        dims=dims,
-    )
-    return sexes.unionByName(places)
-
-
 def sync(
     source: DataFrame,
     crosswalk: DataFrame,
@@ -61,10 +44,10 @@ def sync(
     dims: Dims = POPULATION,
 ) -> Sync:
     reporting = compliant_only(source, crosswalk, dims)
-    residuals = all_residuals(source, reporting, hierarchy, conversion, flag_weights, dims)
+    residuals = residual_areas(source, reporting, hierarchy, conversion, flag_weights, dims=dims)
     cube = alias_area(reporting.select(*dims.columns).unionByName(residuals), aliases, dims.area)
     texts = source_texts(
         cube, prospects_year, urbanization_year, conversion.select(F.col("residual_code").alias("code")), dims
     )
-    wanted = gap_parents(reporting, hierarchy, MALE, dims).union(gap_parents(reporting, hierarchy, URBAN, dims))
-    return Sync(cube, texts, coverage_report(reporting, dims=dims), missing_residual_codes(wanted.distinct(), known_parents))
+    wanted = gap_parents(reporting, hierarchy, (MALE, URBAN), dims).select("parent").distinct()
+    return Sync(cube, texts, coverage_report(reporting, dims=dims), missing_residual_codes(wanted, known_parents))

@@ -46,7 +46,8 @@ def shared_folder(spark: SparkSession) -> str:
     A folder of our own is made only in local mode, where one machine is the cluster.
     """
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = named or context.getCheckpointDir()
     if folder:
         if not context.getCheckpointDir():
             context.setCheckpointDir(folder)

@@ -3,6 +3,7 @@ from helpers import cube, item_cube, rows, table
 
 from tallycube.operators import aggregate as agg
 from tallycube.operators import groups
+from tallycube.plans.grouping import aggregate_session, group_domain, rules_of
 from tallycube.schema import Dims
 
 DIMS = Dims(item="measuredItemCPC")
@@ -191,3 +192,34 @@ def test_single_flag_column(spark):
     only_area = agg.Rules(area_members=table(spark, MEMBERS, ("G", "a"), ("G", "b")))
     got = agg.aggregate(df, "area", only_area, ["511"], Dims.discover(df.columns))
     assert rows(got) == [("G", "511", 1950, 3.0, "x")]
+
+
+def test_rule_tables_of_a_domain(spark):
+    groups_schema = (
+        "var_type string, master_domain string, var_group_code string, var_group_code_new string, var_code_new string, factor double"
+    )
+    lists_schema = (
+        "var_type string, master_domain string, domain_name string, var_code_new string, domain_var_diss_flag_agg_int int"
+    )
+    tables = {
+        "aggregate_groups": table(
+            spark,
+            groups_schema,
+            ("area", "suafbs", "old", "G", "a", None),
+            ("area", "Food Balance", "old", "H", "a", None),
+            ("item", "suafbs", "old", "I", "i", 0.5),
+        ),
+        "aggregate_type": table(spark, lists_schema, ("area", "Food Balance", "P", "a", 1), ("item", "Trade", "P", "i", 1)),
+        "area_years": table(spark, "m49 string, start_year int, end_year int, note string", ("a", None, None, "")),
+        "calculated_elements": ratios(spark),
+        "flag_weight_table": table(
+            spark, "flag_observation_status string, flag_observation_weights double", ("X", 1.0), (None, 1.0)
+        ),
+        "elements_to_not_aggregate": table(spark, "element_code string", ("Z",)),
+    }
+    found = rules_of(tables.__getitem__, "suafbs", "sua_balanced", has_item=True)
+    df = item_cube(spark, ("a", "N", "i", 1950, 4), ("b", "N", "i", 1950, 4), ("a", "Z", "i", 1950, 4), ("a", "N", "i", 1960, 4))
+    codes = table(spark, "code string, type string", ("a", "country"), ("b", "country"))
+    got = aggregate_session(df, "area", found, codes, ["b"], ["N", "Z"], [1950], ["i"], dims=DIMS)
+    assert rows(got, AREA, ELEMENT, VALUE) == [("G", "N", 4.0)]
+    assert group_domain("suafbs", "other") == "Food Balance" and group_domain("unknown", "x") is None

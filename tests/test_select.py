@@ -2,6 +2,8 @@ from helpers import cube, rows, table
 
 from tallycube.operators import coverage, crosswalk, select
 from tallycube.operators.residual import (
+    RULES,
+    ResidualRule,
     gap_parents,
     members_of,
     missing_residual_codes,
@@ -100,7 +102,7 @@ def hierarchy(spark):
 
 def test_mixed_levels(spark):
     assert rows(parents(hierarchy(spark))) == [("R", "a", 3), ("R", "b", 3), ("S", "c", 4), ("S", "d", 4)]
-    wanted = table(spark, "parent string", ("R",))
+    wanted = table(spark, "parent string, gap string", ("R", "512"))
     assert rows(members_of(hierarchy(spark), wanted), "parent", "member") == [("R", "a"), ("R", "b")]
     assert len(rows(members_of(hierarchy(spark), wanted, include_descendants=True))) == 4
 
@@ -131,37 +133,33 @@ def weights(spark):
 def test_residual_is_published_minus_members(spark):
     df = source(spark)
     conversion = table(spark, CONVERSION, ("UR", "R.01"))
-    got = residual_areas(df, df, hierarchy(spark), conversion, ("512", "513"), "512", weights(spark))
+    got = residual_areas(df, df, hierarchy(spark), conversion, weights(spark), RULES[:1])
     assert rows(got) == [("R.01", "512", 1950, 5.0, "X", "h"), ("R.01", "513", 1950, 0.0, "X", "h")]
-    dropped = residual_areas(
-        df, df, hierarchy(spark), conversion, ("512", "513"), "512", weights(spark), round_to=6, drop_zero=True
-    )
+    finished = ResidualRule(("512", "513"), "512", round_to=0, drop_zero=True)
+    dropped = residual_areas(df, df, hierarchy(spark), conversion, weights(spark), [finished])
     assert rows(dropped, AREA, "measuredElement", "Value") == [("R.01", "512", 5.0)]
 
 
 def test_one_missing_member_voids_the_residual(spark):
     df = source(spark, ("b", "513", 1950, None))
-    got = residual_areas(
-        df, df, hierarchy(spark), table(spark, CONVERSION, ("UR", "R.01")), ("512", "513"), "512", weights(spark)
-    )
+    got = residual_areas(df, df, hierarchy(spark), table(spark, CONVERSION, ("UR", "R.01")), weights(spark))
     assert rows(got, "measuredElement", "Value") == [("512", 5.0)]
 
 
 def test_mixed_flags_give_one_row(spark):
     df = source(spark, ("b", "513", 1950, 1, "E"), ("b", "513", 1949, 1))
-    got = residual_areas(
-        df, df, hierarchy(spark), table(spark, CONVERSION, ("UR", "R.01")), ("513",), "512", weights(spark)
-    )
-    assert rows(got, "Value", "flagObservationStatus") == [(-1.0, "E")]
+    got = residual_areas(df, df, hierarchy(spark), table(spark, CONVERSION, ("UR", "R.01")), weights(spark))
+    females = got.filter("measuredElement = '513'")
+    assert rows(females, "Value", "flagObservationStatus") == [(-1.0, "E")]
 
 
 def test_parents_without_a_code(spark):
     df = source(spark)
     wanted = gap_parents(df, hierarchy(spark))
-    assert rows(wanted) == [("R",)]
+    assert rows(wanted) == [("R", "512")]
     assert rows(missing_residual_codes(wanted), "parent") == [("R",)]
     assert rows(missing_residual_codes(wanted, ["R"])) == []
-    got = residual_areas(df, df, hierarchy(spark), table(spark, CONVERSION, ("UX", "X.01")), ("512",), "512", weights(spark))
+    got = residual_areas(df, df, hierarchy(spark), table(spark, CONVERSION, ("UX", "X.01")), weights(spark))
     assert rows(got) == []
 
 
