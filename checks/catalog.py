@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,14 @@ def query(build: Query) -> Query:
     return build
 
 
+@lru_cache(maxsize=4)
+def standins(spark: SparkSession, folder: str) -> Standins:
+    """Plans are shared between queries of a session; no data is kept."""
+    return Standins(spark, folder)
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    return reshape.to_edge(CATALOG[name](Standins(spark, folder)))
+    return reshape.to_edge(CATALOG[name](standins(spark, folder)))
 
 
 # --- sources and sinks ---

@@ -7,7 +7,7 @@ spelling changes and odd codes that the operators are about. Only rules of fixed
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +46,7 @@ class Standins:
         self.spark = configure(spark)
         self.folder = folder
 
+    @cache
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")
 

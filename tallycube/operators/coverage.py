@@ -72,18 +72,15 @@ def coverage_report(df: DataFrame, per_message: int = 50, dims: Dims = POPULATIO
     report is whole and yet no task builds a list that grows with the data.
     """
     kinds = {MALE: "sex", RURAL: "rural", URBAN: "urban"}
-    counts = df.agg(*[F.count(F.when(F.col(dims.element) == e, 1)).alias(f"n_{e}") for e in (TOTAL, *kinds)])
-    gaps = missing_areas(df, tuple(kinds), dims)
-    fires = F.lit(False)
-    for element in kinds:
-        differs = counts.select(F.col(f"n_{element}") != F.col(f"n_{TOTAL}")).scalar()
-        fires = F.when(F.col(dims.element) == element, differs).otherwise(fires)
-    kind = F.lit(None).cast("string")
-    for element, name in kinds.items():
-        kind = F.when(F.col(dims.element) == element, name).otherwise(kind)
-    lists = gaps.filter(fires).select(kind.alias("kind"), F.col(dims.area).alias("code"))
-    lists = lists.unionByName(
-        one_sided(df, dims=dims).select(F.lit("one_sided").alias("kind"), F.col(dims.area).alias("code"))
+    n = {e: F.count(F.when(F.col(dims.element) == e, 1)) for e in (TOTAL, *kinds)}
+    # One row for the whole cube: which elements have another number of rows than the total.
+    fires = df.agg(F.struct(*[(n[e] != n[TOTAL]).alias(name) for e, name in kinds.items()]).alias("f")).scalar()
+    found = [F.when(~F.col(f"has_{e}") & fires[name], F.lit(name)) for e, name in kinds.items()]
+    found.append(F.when(F.col(f"has_{MALE}") != F.col(f"has_{FEMALE}"), F.lit("one_sided")))
+    lists = (
+        reported(df, (*kinds, FEMALE), dims)
+        .filter(f"has_{TOTAL}")
+        .select(F.explode(F.array_compact(F.array(*found))).alias("kind"), F.col(dims.area).alias("code"))
     )
     sizes = lists.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / per_message).alias("parts"))
     spread = F.conv(F.substring(F.md5("code"), 1, 8), 16, 10).cast("bigint")
@@ -118,7 +115,8 @@ def missing_countries(
     df: DataFrame, codes: DataFrame, validity: DataFrame, year: int, dims: Dims = POPULATION
 ) -> DataFrame:
     """Current countries without a total in that year, with their validity where known."""
-    present = df.filter((F.col(dims.year) == year) & (F.col(dims.element) == TOTAL)).select(dims.area)
+    # Distinct first: a list taken from observations may repeat one code very often.
+    present = df.filter((F.col(dims.year) == year) & (F.col(dims.element) == TOTAL)).select(dims.area).distinct()
     current = codes_of(codes, types=["country"], current=True).select("code", "description")
     absent = drop_listed(current, present, "code", dims.area)
     return absent.join(validity.withColumnRenamed("m49", "code"), "code", "left")

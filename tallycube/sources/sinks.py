@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 def write_cube(cube: DataFrame, path: str, year: str = "timePointYears", max_rows: int = 20_000_000) -> None:
     """Store a cube by year, replacing only the years that occur in it.
 
-    No shuffle is made: a repartition by year would put a hot year into one task. Long tasks roll
-    over to a new file after `max_rows` rows.
+    Rows are rebalanced by year first: adaptive execution splits a large year over several tasks and
+    merges small ones, so neither a hot year nor a file per task and year comes out.
     """
     (
-        cube.write.mode("overwrite")
+        cube.hint("rebalance", year)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", max_rows)
         .partitionBy(year)

@@ -5,6 +5,7 @@ from helpers import rows
 
 from pyspark.sql import functions as F
 from tallycube.operators.joins import drop_listed, full_join, group_total, keep_listed
+from tallycube.sources import read_cube, write_cube
 
 
 @pytest.fixture
@@ -65,3 +66,14 @@ def test_full_join_splits_a_hot_key(spark, small_limits):
     assert "skew=true" in final_plan(df)
     want = left.join(right, ["k"], "full").agg(F.count("*"), F.sum("v"), F.sum("w"))
     assert rows(df.agg(F.count("*"), F.sum("v"), F.sum("w"))) == rows(want)
+
+
+def test_a_hot_year_is_written_by_several_tasks(spark, small_limits, tmp_path):
+    rows_of = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").cast("string").alias("geographicAreaM49"),
+        F.when(F.col("id") % 3 == 0, 1950).otherwise(1951).alias("timePointYears"),
+    )
+    write_cube(rows_of, str(tmp_path / "cube"))
+    files = {y: len(list((tmp_path / "cube" / f"timePointYears={y}").glob("*.parquet"))) for y in (1950, 1951)}
+    assert all(2 <= n <= 100 for n in files.values())
+    assert read_cube(spark, str(tmp_path / "cube")).count() == 200_000
