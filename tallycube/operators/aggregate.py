@@ -16,6 +16,7 @@ from tallycube.operators.groups import (
     exclude_elements,
     expand_elements,
     item_factors,
+    or_one,
     product,
     usable_ratios,
 )
@@ -262,8 +263,12 @@ def _with_groups(rows: DataFrame, plan: Mode, rules: Rules, dims: Dims) -> DataF
             members = members.filter(F.col("group_code") == WORLD_GROUP)
         rows = rows.join(members.withColumnRenamed("member_code", dims.area), dims.area)
     if plan.item_groups:
+        factors = item_factors(rules.item_members)
+        if plan.distinct_rows:
+            # The group itself does not matter here, so an item needs one row per factor only.
+            factors = factors.select(F.lit(None).cast("string").alias("group_code"), "member_code", or_one("factor").alias("factor")).distinct()
         how = "inner" if plan.item_key == "group" else "left"
-        rows = attach_factor(rows, item_factors(rules.item_members), dims, how)
+        rows = attach_factor(rows, factors, dims, how)
     if plan.distinct_rows:
         # Equal products count once, so they are formed before the copies go.
         tags = [c for c in ("_result", "_role") if c in rows.columns]

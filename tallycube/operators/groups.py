@@ -48,17 +48,22 @@ def item_factors(groups: DataFrame) -> DataFrame:
     return groups.groupBy("group_code", "member_code").agg(F.max(F.col("factor").cast(FACTOR_TYPE)).alias("factor"))
 
 
+def or_one(factor: str) -> Column:
+    """A missing factor is 1."""
+    return F.coalesce(factor, F.lit(1).cast(FACTOR_TYPE))
+
+
 def attach_factor(df: DataFrame, factors: DataFrame, dims: Dims, how: str = "left") -> DataFrame:
     """Attach item groups (item_group_code) and the multiplier `_factor` of each row.
 
-    A missing factor is 1, and some elements are never multiplied. An item in several groups gives
-    one row per group; with a left join, items in no group stay.
+    Some elements are never multiplied. An item in several groups gives one row per group; with a left
+    join, items in no group stay.
     """
     members = factors.select(
         F.col("member_code").alias(dims.item), F.col("group_code").alias("item_group_code"), "factor"
     )
-    one = F.lit(1).cast(FACTOR_TYPE)
-    factor = F.when(F.col(dims.element).isin(*UNFACTORED_ELEMENTS), one).otherwise(F.coalesce("factor", one))
+    unfactored = F.col(dims.element).isin(*UNFACTORED_ELEMENTS)
+    factor = F.when(unfactored, F.lit(1).cast(FACTOR_TYPE)).otherwise(or_one("factor"))
     return df.join(members, dims.item, how).withColumn("_factor", factor).drop("factor")
 
 
