@@ -466,10 +466,12 @@ def recon_threshold(s: Standins) -> DataFrame:
         .agg(F.sum("v").alias("v"))
         .join(region, "rk")
         .select(
-            F.upper("label").alias("label"), F.col("yr").alias(D.year), (F.col("v") + shift).cast("decimal(18,6)").alias(D.value)
+            F.initcap("label").alias("label"),
+            F.col("yr").alias(D.year),
+            (F.col("v") + shift).cast("decimal(18,6)").alias(D.value),
         )
     )
-    spelling = region.select(F.upper("label").alias("old"), F.col("label").alias("new"))
+    spelling = region.select(F.initcap("label").alias("old"), F.col("label").alias("new"))
     published = reshape.recode(published, "label", spelling)
     totals = s.full_cube.filter("element = '511'").select(F.concat(F.lit("C"), "k").alias(D.area), "yr", "v")
     members = groups.clean_members(s.area_groups).withColumnRenamed("member_code", D.area)
@@ -477,8 +479,6 @@ def recon_threshold(s: Standins) -> DataFrame:
     # One region is missing from the code list and added by hand.
     codes = region.filter("rk <> 4").select(F.concat(F.lit("GR"), "rk").alias("code"), "label")
     codes = codes.unionByName(literal_table(s.spark, [("GR4", "MIDDLE EAST")], "code string, label string"))
-    names = region.filter("rk = 4").select(F.lit("MIDDLE EAST").alias("old"), F.col("label").alias("new"))
-    codes = reshape.recode(codes, "label", names)
     computed = computed.join(codes, computed["group_code"] == codes["code"]).select(
         "label", F.col("yr").alias(D.year), F.col("v").cast("decimal(18,6)").alias(D.value)
     )

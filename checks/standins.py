@@ -321,17 +321,16 @@ class Standins:
 
     def wide(self, element: str, variant: str | None = None) -> DataFrame:
         """Text table, one column per year, with blank thousands separators and a bad cell here and there."""
-        text = F.regexp_replace(F.format_number(D.value, 2), ",", " ")
-        cells = self.leaf.filter(F.col(D.element) == element).withColumn("t", text)
-        wide = cells.groupBy(D.area).agg(*[F.max(F.when(F.col(D.year) == int(y), F.col("t"))).alias(y) for y in YEARS])
+        cells = self.leaf.filter(F.col(D.element) == element)
+        # Numbers are picked per year first and written as text afterwards.
+        wide = cells.groupBy(D.area).agg(*[F.max(F.when(F.col(D.year) == int(y), F.col(D.value))).alias(y) for y in YEARS])
         key = F.substring(D.area, 2, 20).cast("bigint")
+        text = {y: F.regexp_replace(F.format_number(y, 2), ",", " ") for y in YEARS}
+        text["1996"] = F.when(key % 67 == 0, F.lit("..")).otherwise(text["1996"])
         ids = [F.col(D.area).alias("Country code")]
         if variant:
             ids.insert(0, F.lit(variant).alias("Variant"))
-        return wide.select(
-            *ids,
-            *[(F.when(key % 67 == 0, F.lit("..")).otherwise(F.col(y)) if y == "1996" else F.col(y)).alias(y) for y in YEARS],
-        )
+        return wide.select(*ids, *[text[y].alias(y) for y in YEARS])
 
     def estimates(self, element: str) -> DataFrame:
         years = [y for y in YEARS if int(y) <= COMMON_YEAR]
