@@ -347,18 +347,16 @@ def agg_population_world(s: Standins) -> DataFrame:
 @query
 def agg_session_item(s: Standins) -> DataFrame:
     """Item groups of the session's areas and years, with all items."""
-    areas = s.customers.filter("k % 3 <> 0").select(F.col("area").alias("code"))
     return aggregate_session(
-        s.items, "item", _rules(s), s.area_codes, areas, REQUESTED, range(1996, 2000), items=["SMALL"], dims=ITEM_DIMS
+        s.items, "item", _rules(s), s.area_codes, s.session_areas, REQUESTED, range(1996, 2000), items=["SMALL"], dims=ITEM_DIMS
     )
 
 
 @query
 def agg_session_area(s: Standins) -> DataFrame:
     """Area groups over all countries, for the session's items and years."""
-    areas = s.customers.filter("k % 3 <> 0").select(F.col("area").alias("code"))
     return aggregate_session(
-        s.items, "area", _rules(s), s.area_codes, areas, ["5622"], range(1996, 2000), items=["SMALL", "PROMO"], dims=ITEM_DIMS
+        s.items, "area", _rules(s), s.area_codes, s.session_areas, ["5622"], range(1996, 2000), items=["SMALL", "PROMO"], dims=ITEM_DIMS
     )
 
 

@@ -72,7 +72,7 @@ CTES = {
         UNION ALL SELECT 'C1248x', e, yr, v, s, m FROM reporting WHERE a = 'C7'""",
     "wide_cells": """
         SELECT a, e, y.yr, CASE WHEN k % 67 = 0 AND y.yr = 1996 THEN NULL ELSE v END v, k
-        FROM (SELECT DISTINCT k, a, e FROM leaf) x CROSS JOIN (SELECT unnest(range(1995, 2002)) yr) y
+        FROM (SELECT DISTINCT k, a, e FROM leaf) x CROSS JOIN (SELECT CAST(unnest(range(1995, 2002)) AS INT) yr) y
         LEFT JOIN (SELECT k, e, yr, v FROM leaf) l USING (k, e, yr)""",
     "estimates": """
         SELECT a, e, yr, v, CASE WHEN e IN ('511', '512', '513') THEN 'Estimates' END variant
@@ -444,7 +444,8 @@ _aggregate_oracle(
     "agg_session_item",
     aggregate_sql(
         f"""SELECT {OWN}, ig, factor FROM clean_items c {ITEM_JOIN}
-            WHERE ig IS NOT NULL AND {LISTED_AREA} AND c.{LISTED_ITEM} AND c.k % 3 <> 0 AND c.yr BETWEEN 1996 AND 1999""",
+            WHERE ig IS NOT NULL AND {LISTED_AREA} AND c.{LISTED_ITEM} AND c.yr BETWEEN 1996 AND 1999
+            AND c.k IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'FURNITURE')""",
         "a",
         "ig",
         groups=True,

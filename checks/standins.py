@@ -1,8 +1,9 @@
 """Cubes, hierarchies and rule tables derived from the test tables.
 
 Areas are customers (code C<key>), so every cube and every code list grows with the data. Regions 0-2
-have nations as a level-4 parent, the others none. Remainders of the customer key make the gaps,
-spelling changes and odd codes that the operators are about. Only rules of fixed size are literal.
+have nations as a level-4 parent, the others none. Every row of the tables takes part; remainders of
+the customer key only decide which areas have the gaps, spelling changes and odd codes that the operators
+are about. Only rules of fixed size are literal.
 """
 
 from __future__ import annotations
@@ -24,10 +25,6 @@ REQUESTED = ["5419", "5622", "5999"]
 D = POPULATION
 
 
-def area_code(key: str) -> Column:
-    return F.concat(F.lit("C"), F.col(key).cast("string"))
-
-
 def cents(amount: str) -> Column:
     """Amount with two decimals as a whole number, whose sums are exact and cheap."""
     return F.round(F.col(amount) * 100).cast("bigint")
@@ -57,7 +54,13 @@ class Standins:
         """k, nk, name and area of each customer."""
         return self.table("customer").select(
             F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("nk"), F.col("c_name").alias("name")
-        ).withColumn("area", area_code("k"))
+        ).withColumn("area", tagged("C", "k"))
+
+    @cached_property
+    def session_areas(self) -> DataFrame:
+        """Areas a user has picked: all market segments but one."""
+        picked = self.table("customer").filter("c_mktsegment <> 'FURNITURE'")
+        return picked.select(tagged("C", "c_custkey").alias("code"))
 
     @cached_property
     def placed(self) -> DataFrame:
@@ -103,7 +106,7 @@ class Standins:
         )
         return to_cube_value(
             rows.select(
-                area_code("k").alias(D.area),
+                tagged("C", "k").alias(D.area),
                 F.col("element").alias(D.element),
                 F.col("yr").alias(D.year),
                 F.expr("if(k % 211 = 0 and yr = 1996, null, v)").alias(D.value),

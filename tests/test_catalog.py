@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from checks.compare import TABLES, frame_rows
+from checks.compare import TABLES, frame_rows, sql_types
 
 FOLDER = contract.SMOKE_DIR
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
@@ -26,10 +26,9 @@ def test_each_query_has_sql():
 
 @pytest.mark.parametrize("name", list(contract.queries()))
 def test_query(spark, db, name):
-    got = contract.queries()[name](spark, FOLDER).toPandas()
-    want = db.execute(contract.oracle_sql()[name]).df()
-    assert sorted(got.columns) == sorted(want.columns)
-    assert frame_rows(got) == frame_rows(want)
+    result, sql = contract.queries()[name](spark, FOLDER), contract.oracle_sql()[name]
+    assert dict(result.dtypes) == sql_types(db, sql)
+    assert frame_rows(result.toPandas()) == frame_rows(db.execute(sql).df())
 
 
 def test_flagship(spark):
