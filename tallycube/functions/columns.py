@@ -9,9 +9,12 @@ from tallycube.schema import RESIDUAL_SUFFIX, VALUE_TYPE
 
 
 def clean_number(text: str | Column) -> Column:
-    """Number written with blank thousands separators; anything else becomes null."""
+    """Number written with blank thousands separators; anything else becomes null.
+
+    A number too large for the value type is an error and not a missing value.
+    """
     packed = F.regexp_replace(F.col(text) if isinstance(text, str) else text, " ", "")
-    return packed.try_cast(VALUE_TYPE)
+    return packed.try_cast("decimal(38,6)").cast(VALUE_TYPE)
 
 
 def clean_year(text: str | Column) -> Column:

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from tallycube.operators.joins import drop_listed, keep_listed
 from tallycube.schema import POPULATION, Dims
+from tallycube.sources.tables import literal_table
 
 Keys = DataFrame | Sequence | None
+# Longer key lists become a table and a semi join: a filter carries its list into every task.
+LONGEST_FILTER = 1000
 
 
 def slice_cube(
@@ -33,6 +36,9 @@ def slice_cube(
             df = keep_listed(df, keys, column)
         elif isinstance(keys, range) and keys.step == 1 and len(keys):
             df = df.filter(F.col(column).between(keys.start, keys.stop - 1))
+        elif len(keys) > LONGEST_FILTER:
+            kind = df.schema[column].dataType.simpleString()
+            df = keep_listed(df, literal_table(df.sparkSession, [(k,) for k in keys], f"code {kind}"), column)
         else:
             df = df.filter(F.col(column).isin(list(keys)))
     return df

@@ -33,9 +33,10 @@ AREA_PATTERNS = ("ountr", "ode")
 def read_wide(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
     """CSV table with a header, UTF-8, all text unless a schema is given.
 
-    Nothing is inferred: inference would scan the file and turn the code 011.01 into a number.
+    Nothing is inferred: inference would scan the file and turn the code 011.01 into a number. Files
+    read together must have the same header; another one is an error.
     """
-    reader = spark.read.option("header", True).option("encoding", "UTF-8")
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -1,5 +1,7 @@
+import pytest
 from helpers import rows, table
 
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 from tallycube import functions as X
 from tallycube.schema import Dims, dim_name
@@ -11,6 +13,12 @@ def test_numbers_with_blank_separators(spark):
     assert got == {"1 234.5": 1234.5, "x": None, "": None, "NA": None, "nan": None, "-3": -3.0, None: None}
 
 
+def test_a_number_too_large_is_an_error(spark):
+    df = table(spark, "t string", ("1e20",))
+    with pytest.raises(ArithmeticException):
+        df.select(X.clean_number("t")).collect()
+
+
 def test_years(spark):
     df = table(spark, "t string", ("1998",), ("year",))
     assert rows(df.select(X.clean_year("t").alias("y"))) == [(1998,), (None,)]

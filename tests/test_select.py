@@ -30,6 +30,8 @@ def test_slices(spark):
     df = cube(spark, *[(a, e, y, 1) for a in "456" for e in ("511", "512") for y in (1950, 1951)])
     got = select.slice_cube(df, areas=["4", "5"], elements=["511"], years=range(1951, 1960))
     assert rows(got, AREA, "timePointYears") == [("4", 1951), ("5", 1951)]
+    many = select.slice_cube(df, areas=[str(i) for i in range(4, 2000)], years=range(1950, 1951))
+    assert rows(many.select(AREA).distinct()) == [("4",), ("5",), ("6",)]
     by_list = select.slice_cube(df, areas=select.codes_of(codes(spark), current=True), years=[1950])
     assert {r[0] for r in rows(by_list, AREA)} == {"4", "5"}
 

@@ -28,6 +28,13 @@ def test_byte_order_mark_and_leading_zeros(spark, tmp_path):
     assert rows(got) == [("Côte", "011.01")]
 
 
+def test_files_read_together_need_one_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Country_code,1950,1951\n004,1,2\n")
+    (tmp_path / "b.csv").write_text("Country_code,1951,1950\n008,4,3\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_wide(spark, str(tmp_path)).collect()
+
+
 def test_typed_columns_match_by_name(spark, tmp_path):
     path = tmp_path / "typed.csv"
     path.write_text("Year,Code,Value\n1998,007,1.5\nx,008,y\n")
