@@ -56,7 +56,7 @@ def sink_roundtrip(s: Standins) -> DataFrame:
     """Cube, report and rule table written and read again; one year is replaced, one table appended to."""
     base = scratch_path(s.spark, "sink")
     write_cube(s.leaf, f"{base}/cube")
-    doubled = s.leaf.filter(F.col(D.year) == COMMON_YEAR).withColumn(D.value, (F.col(D.value) * 2).cast("decimal(18,6)"))
+    doubled = s.leaf.filter(F.col(D.year) == COMMON_YEAR).withColumn(D.value, (F.col(D.value) * 2).cast("decimal(28,6)"))
     write_cube(doubled, f"{base}/cube")
     append_rules(s.conversion, f"{base}/rules")
     append_rules(s.conversion, f"{base}/rules")
@@ -458,7 +458,7 @@ def recon_threshold(s: Standins) -> DataFrame:
     """Published regions against regions computed from groups, matched by label."""
     region = s.table("region").select(F.col("r_regionkey").alias("rk"), F.col("r_name").alias("label"))
     placed = s.full_cube.filter("element = '511'").join(s.placed.select("k", "rk"), "k")
-    shift = F.expr("case when rk = 1 then 0.05 when rk = 2 then 1 when rk = 3 then -1 else 0 end").cast("decimal(18,6)")
+    shift = F.expr("case when rk = 1 then 0.05 when rk = 2 then 1 when rk = 3 then -1 else 0 end").cast("decimal(28,6)")
     published = (
         placed.groupBy("rk", "yr")
         .agg(F.sum("v").alias("v"))
@@ -466,7 +466,7 @@ def recon_threshold(s: Standins) -> DataFrame:
         .select(
             F.initcap("label").alias("label"),
             F.col("yr").alias(D.year),
-            (F.col("v") + shift).cast("decimal(18,6)").alias(D.value),
+            (F.col("v") + shift).cast("decimal(28,6)").alias(D.value),
         )
     )
     spelling = region.select(F.initcap("label").alias("old"), F.col("label").alias("new"))
@@ -478,7 +478,7 @@ def recon_threshold(s: Standins) -> DataFrame:
     codes = region.filter("rk <> 4").select(F.concat(F.lit("GR"), "rk").alias("code"), "label")
     codes = codes.unionByName(literal_table(s.spark, [("GR4", "MIDDLE EAST")], "code string, label string"))
     computed = computed.join(codes, computed["group_code"] == codes["code"]).select(
-        "label", F.col("yr").alias(D.year), F.col("v").cast("decimal(18,6)").alias(D.value)
+        "label", F.col("yr").alias(D.year), F.col("v").cast("decimal(28,6)").alias(D.value)
     )
     return reconcile.area_totals(published, computed, ["label", D.year])
 
@@ -487,8 +487,8 @@ def recon_threshold(s: Standins) -> DataFrame:
 def recon_original(s: Standins) -> DataFrame:
     key = F.substring(D.area, 2, 20).cast("bigint")
     totals = s.leaf.filter(F.col(D.element) == "511")
-    shift = F.when(key % 8 == 0, F.lit("0.001")).when(key % 5 == 0, F.lit("0.0004")).otherwise("0").cast("decimal(18,6)")
-    original = totals.filter(key % 15 != 1).withColumn(D.value, (F.col(D.value) + shift).cast("decimal(18,6)"))
+    shift = F.when(key % 8 == 0, F.lit("0.001")).when(key % 5 == 0, F.lit("0.0004")).otherwise("0").cast("decimal(28,6)")
+    original = totals.filter(key % 15 != 1).withColumn(D.value, (F.col(D.value) + shift).cast("decimal(28,6)"))
     return reconcile.original_check(totals.filter(key % 14 != 1), original, [D.area, D.year])
 
 

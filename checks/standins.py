@@ -31,7 +31,7 @@ def cents(amount: str) -> Column:
 
 
 def money(total: Column) -> Column:
-    return (total.cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,6)")
+    return (total.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(28,6)")
 
 
 def tagged(letter: str, key: str) -> Column:
@@ -361,7 +361,7 @@ class Standins:
     def second(self) -> DataFrame:
         """The leaf cube as another office prints it: some values scaled, a year and areas missing, areas added."""
         key = F.substring(D.area, 2, 20).cast("bigint")
-        value = F.when(key % 6 == 0, (F.col(D.value) * F.lit("1.5").cast("decimal(3,1)")).cast("decimal(18,6)")).otherwise(
+        value = F.when(key % 6 == 0, (F.col(D.value) * F.lit("1.5").cast("decimal(3,1)")).cast("decimal(28,6)")).otherwise(
             F.col(D.value)
         )
         kept = self.leaf.filter((F.col(D.year) != 1997) & (key % 10 != 9)).withColumn(D.value, value)

@@ -22,7 +22,7 @@ from tallycube.operators.groups import (
 )
 from tallycube.operators.joins import keep_listed, keep_listed_if_any
 from tallycube.operators.select import valid_area_years
-from tallycube.schema import ADHOC_CODE, METHOD_AGGREGATE, POPULATION, WORLD_GROUP, Dims
+from tallycube.schema import ADHOC_CODE, METHOD_AGGREGATE, POPULATION, VALUE_TYPE, WORLD_GROUP, Dims
 from tallycube.sources.tables import literal_table
 
 
@@ -148,7 +148,7 @@ def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims) -> DataFrame:
     parts = F.array(
         *[
             F.struct(
-                F.col(c).alias(dims.element), F.col(f"_{r}").cast("decimal(28,6)").alias(dims.value), F.lit(r).alias("_role")
+                F.col(c).alias(dims.element), F.col(f"_{r}").cast(VALUE_TYPE).alias(dims.value), F.lit(r).alias("_role")
             )
             for r, c in codes.items()
         ]

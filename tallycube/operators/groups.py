@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycube.operators.joins import drop_listed, keep_listed
-from tallycube.schema import ADHOC_CODE, FACTOR_TYPE, POPULATION, Dims
+from tallycube.schema import ADHOC_CODE, FACTOR_TYPE, POPULATION, VALUE_TYPE, Dims
 
 # Elements whose amounts are never multiplied by a group factor, ratio definitions
 # that are not used, and rule domains left out of the dissemination lists.
@@ -68,7 +68,7 @@ def attach_factor(df: DataFrame, factors: DataFrame, dims: Dims, how: str = "lef
 
 
 def product(value: str) -> Column:
-    return (F.col(value).cast("decimal(28,6)") * F.col("_factor")).cast("decimal(38,10)")
+    return (F.col(value).cast(VALUE_TYPE) * F.col("_factor")).cast("decimal(38,10)")
 
 
 def apply_factor(df: DataFrame, factors: DataFrame, dims: Dims) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallycube.functions import percent_change, relative_change
 from tallycube.operators.joins import full_join
-from tallycube.schema import FEMALE, MALE, POPULATION, TOTAL, Dims
+from tallycube.schema import FEMALE, MALE, POPULATION, TOTAL, VALUE_TYPE, Dims
 
 # Status codes of the reconciliation.
 STATUS_EQUAL = "ok"
@@ -72,7 +72,7 @@ def area_totals(
     published: DataFrame, computed: DataFrame, on: Sequence[str], tolerance: str = "0.1", value: str = "Value"
 ) -> DataFrame:
     """Published against computed totals by label and year, in a band: above, below or within."""
-    bound = F.lit(tolerance).cast("decimal(18,6)")
+    bound = F.lit(tolerance).cast(VALUE_TYPE)
     compared = compare(
         published.withColumn(value, F.round(value, 3)), computed, on, value
     ).select(*on, "value_first", "value_second", "difference")

@@ -34,8 +34,9 @@ ADHOC_CODE = "AH01"
 RESIDUAL_SUFFIX = ".01"
 FIRST_YEAR = 1950
 
-# Exact type for observations, so sums do not depend on the order of the rows.
-VALUE_TYPE = T.DecimalType(18, 6)
+# Exact type for observations, so sums do not depend on the order of the rows; wide enough for the
+# total of a very large table in one cell.
+VALUE_TYPE = T.DecimalType(28, 6)
 FACTOR_TYPE = T.DecimalType(9, 4)
 
 

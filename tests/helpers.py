@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallycube.operators.reshape import to_edge
 from tallycube.sources import literal_table
 
-CUBE = "geographicAreaM49 string, measuredElement string, timePointYears int, Value decimal(18,6), flagObservationStatus string, flagMethod string"
+CUBE = "geographicAreaM49 string, measuredElement string, timePointYears int, Value decimal(28,6), flagObservationStatus string, flagMethod string"
 ITEM_CUBE = (
     "geographicAreaM49 string, measuredElement string, measuredItemCPC string, timePointYears int, "
-    "Value decimal(18,6), flagObservationStatus string, flagMethod string"
+    "Value decimal(28,6), flagObservationStatus string, flagMethod string"
 )
 
 

@@ -185,7 +185,7 @@ def test_without_items_only_area_modes(spark):
 def test_single_flag_column(spark):
     df = table(
         spark,
-        "geographicAreaM49 string, measuredElement string, timePointYears int, Value decimal(18,6), flagOffice string",
+        "geographicAreaM49 string, measuredElement string, timePointYears int, Value decimal(28,6), flagOffice string",
         ("a", "511", 1950, 1, "F"),
         ("b", "511", 1950, 2, "F"),
     )

@@ -29,7 +29,7 @@ def test_changes(spark):
 
 
 def test_bands_are_symmetric(spark):
-    schema = "label string, timePointYears int, Value decimal(18,6)"
+    schema = "label string, timePointYears int, Value decimal(28,6)"
     published = table(spark, schema, ("x", 1950, 5), ("y", 1950, 5), ("z", 1950, 5), ("only", 1950, 5))
     computed = table(spark, schema, ("x", 1950, 4), ("y", 1950, 6), ("z", 1950, 5))
     got = reconcile.area_totals(published, computed, ["label", YEAR])

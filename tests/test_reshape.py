@@ -95,5 +95,5 @@ def test_splice_and_overlap(spark):
 
 
 def test_edge_turns_decimals_into_doubles(spark):
-    df = table(spark, "v decimal(18,6), k int", (Decimal("1.5"), 1))
+    df = table(spark, "v decimal(28,6), k int", (Decimal("1.5"), 1))
     assert reshape.to_edge(df).dtypes == [("v", "double"), ("k", "int")]
