@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+from collections.abc import Iterable, Iterator
+from pathlib import Path
 
-import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,11 +13,17 @@ from pyspark.sql import functions as F
 from tallycube.session import scratch_path
 
 # Rows and bytes handed to Python at once, so that a batch of long texts stays small.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "33554432"}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the batch limits of the operators that work on whole texts in Python."""
+    """Apply the batch limits of the operators that work on whole texts in Python, and let workers find this package.
+
+    On a cluster the package is installed or shipped; the path serves where driver and workers share a disk.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     for key, value in BATCH.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -49,9 +56,14 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def joined_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All texts of a batch as one byte array, and the bounds of each (one more than texts); null is empty."""
+def slices(column: pa.Array, limit: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts in runs of about `limit` bytes with the place of the first, so that arrays over bytes stay small."""
     texts = texts_of(column)
-    bounds = np.zeros(len(texts) + 1, np.int64)
-    np.cumsum([len(t) for t in texts], out=bounds[1:])
-    return np.frombuffer(b"".join(texts), np.uint8), bounds
+    first = size = 0
+    for i, t in enumerate(texts):
+        if i > first and size + len(t) > limit:
+            yield first, texts[first:i]
+            first, size = i, 0
+        size += len(t)
+    if first < len(texts):
+        yield first, texts[first:]

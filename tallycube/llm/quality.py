@@ -105,12 +105,16 @@ def measure_text(text: str | None) -> tuple:
     return len(words), word_chars, symbols, dup_lines, repeated_words(ids, len(place)), classes.tolist(), common.tolist()
 
 
-@F.pandas_udf(MEASURES)
-def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         yield pd.DataFrame([measure_text(t) for t in texts], columns=MEASURES.names)
 
 
+def measure(text: Column) -> Column:
+    """The counts and histograms of a text."""
+    return F.pandas_udf(_measure, MEASURES)(text)
+
+
 def base_failed(m: Column) -> Column:
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED * m["n_words"])
 
@@ -131,18 +135,22 @@ def references(documents: DataFrame, text: str = "text", lang: str = "lang") ->
     )
 
 
-def distance(counts: Column, reference: Column, bins: int) -> Column:
-    """Jensen-Shannon distance of two histograms, with logarithms to base 2; null if either is empty."""
-    total = F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)
-    ref_total = F.aggregate(reference, F.lit(0).cast("long"), lambda s, x: s + x)
+def _distance(counts: pd.Series, reference: pd.Series) -> pd.Series:
+    out = np.full(len(counts), np.nan)
+    there = [i for i, (c, r) in enumerate(zip(counts, reference, strict=True)) if c is not None and r is not None and sum(c) and sum(r)]
+    if there:
+        p = np.stack([counts.iloc[i] for i in there]).astype(float)
+        q = np.stack([reference.iloc[i] for i in there]).astype(float)
+        p, q = p / p.sum(1, keepdims=True), q / q.sum(1, keepdims=True)
+        both = np.maximum(p + q, 1e-300)
+        spread = sum((x * np.log2(np.where(x > 0, 2 * x / both, 1.0))).sum(1) for x in (p, q))
+        out[there] = np.sqrt(np.maximum(spread / 2, 0))
+    return pd.Series(out).where(~np.isnan(out), None).astype("Float64")
 
-    def share(a: Column, b: Column) -> Column:
-        p, q = a / total, b / ref_total
-        part = lambda x: F.when(x > 0, x * F.log2(2 * x / (p + q))).otherwise(0.0)
-        return part(p) + part(q)
 
-    spread = F.aggregate(F.zip_with(counts, reference, share), F.lit(0.0), lambda s, x: s + x)
-    return F.when((total > 0) & (ref_total > 0), F.sqrt(F.greatest(spread / 2, F.lit(0.0))))
+def distance(counts: Column, reference: Column) -> Column:
+    """Jensen-Shannon distance of two histograms, with logarithms to base 2; null if either is missing or empty."""
+    return F.pandas_udf(_distance, T.DoubleType())(counts, reference)
 
 
 def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -164,8 +172,8 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     )
     chars = F.aggregate(m["classes"], F.lit(0).cast("long"), lambda s, x: s + x)
     known = F.col("_lang").isin(*COMMON_WORDS)
-    class_distance = F.when(chars >= MIN_CHARS, distance(m["classes"], F.col("_ref_classes"), N_CLASSES))
-    word_distance = F.when((m["n_words"] >= MIN_WORDS_COMPARED) & known, distance(m["words"], F.col("_ref_words"), len(WORDS) + 1))
+    class_distance = F.when(chars >= MIN_CHARS, distance(m["classes"], F.col("_ref_classes")))
+    word_distance = F.when((m["n_words"] >= MIN_WORDS_COMPARED) & known, distance(m["words"], F.col("_ref_words")))
     with_distances = judged.select(
         *[quoted(c) for c in kept.columns],
         *[m[c].alias(c) for c in COUNTS],

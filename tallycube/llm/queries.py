@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import packing, quality
+from tallycube.llm import decontaminate, packing, pii, quality
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,27 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"), word_vocabulary(), with_ids=False)
 
 
+# A key for these queries; in use it comes from the caller's secret store.
+PSEUDONYM_KEY = "demonstration key"
+
+
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    done = pii.pseudonymise(read_table(spark, folder, "documents"), PSEUDONYM_KEY)
+    return done.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), F.array_join("pii_kinds", ",").alias("kinds"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(read_table(spark, folder, "documents"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"))
@@ -29,6 +50,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_pii": op3_pii,
+    "op6_decontamination": op6_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
 SQL: dict[str, str] = {}
