@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycube.llm import packing, quality
+from tallycube.llm import decontaminate, packing, pii, quality
 from tallycube.llm.common import quoted, read_table, written
-from tallycube.llm.queries import word_vocabulary
+from tallycube.llm.queries import PSEUDONYM_KEY, word_vocabulary
 
 
 def _columns_of(docs: DataFrame, df: DataFrame) -> DataFrame:
@@ -20,6 +20,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _columns_of(docs, quality.judge(docs).filter("kept"))
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean_documents(docs, found)
+
+
+def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with validated numbers, dates and addresses under pseudonyms."""
+    return _columns_of(docs, pii.pseudonymise(docs, PSEUDONYM_KEY))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
     return packing.pack(docs, word_vocabulary(), with_ids=False)
@@ -27,6 +38,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("pii", pii_pseudonyms),
     ("packing", pack),
 ]
 
