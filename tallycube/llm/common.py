@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,3 +68,27 @@ def slices(column: pa.Array, limit: int = 4_000_000) -> Iterator[tuple[int, list
         size += len(t)
     if first < len(texts):
         yield first, texts[first:]
+
+
+def bit_filter(hashes: DataFrame, bits: int) -> np.ndarray:
+    """A filter of fixed size for the 64-bit numbers of a one-column table: one bit for each value of their leading
+    `bits` bits, set where a number has it. At most 2^bits bits come to the driver, whatever the size of the table."""
+    name = hashes.columns[0]
+    bucket = F.shiftrightunsigned(quoted(name), 64 - bits)
+    one = F.lit(1).cast("long")
+    words = (
+        hashes.select(bucket.alias("bucket"))
+        .groupBy(F.shiftright("bucket", 6).alias("word"))
+        .agg(F.bit_or(F.call_function("shiftleft", one, F.pmod("bucket", F.lit(64)).cast("int"))).alias("set"))
+    )
+    packed = np.zeros(1 << (bits - 6), np.int64)
+    for word, found in words.collect():
+        packed[word] = found
+    return packed.view(np.uint64)
+
+
+def passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of some unsigned 64-bit numbers may be in the table of a bit filter."""
+    bits = int(len(filter_)).bit_length() - 1 + 6
+    bucket = hashes >> np.uint64(64 - bits)
+    return (filter_[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63))) & np.uint64(1) == 1

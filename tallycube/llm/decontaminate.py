@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import quoted, slices, written
+from tallycube.llm.common import bit_filter, passes, quoted, slices, written
 from tallycube.llm.shingles import LETTERS, Words
 
 WINDOW = 10
@@ -54,26 +54,6 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "window", "words", "shingles"])
 
 
-def _filter_of(shingles: DataFrame) -> np.ndarray:
-    """A bit for each leading part of the hashes in column `shingle`; at most 2^FILTER_BITS bits come to the driver."""
-    bucket = F.shiftrightunsigned("shingle", 64 - FILTER_BITS)
-    one = F.lit(1).cast("long")
-    words = (
-        shingles.select(bucket.alias("bucket"))
-        .groupBy(F.shiftright("bucket", 6).alias("word"))
-        .agg(F.bit_or(F.call_function("shiftleft", one, F.pmod("bucket", F.lit(64)).cast("int"))).alias("bits"))
-    )
-    packed = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for word, bits in words.collect():
-        packed[word] = bits
-    return packed
-
-
-def _passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bucket = hashes >> np.uint64(64 - FILTER_BITS)
-    return (filter_.view(np.uint64)[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
-
-
 def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, int] = {}
 
@@ -85,7 +65,7 @@ def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Itera
             w = Words(texts, LETTERS)
             for n in sizes:
                 hashes, _ = w.runs(n)
-                found, times = np.unique(hashes[_passes(shared.value, hashes)], return_counts=True)
+                found, times = np.unique(hashes[passes(shared.value, hashes)], return_counts=True)
                 for h, t in zip(found.view(np.int64).tolist(), times.tolist(), strict=True):
                     counts[h] = counts.get(h, 0) + t
             if len(counts) > COUNTED:
@@ -104,7 +84,7 @@ def _probe(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Itera
             found: list[list] = [[] for _ in texts]
             for n in sizes:
                 hashes, places = w.runs(n)
-                hit = _passes(shared.value, hashes)
+                hit = passes(shared.value, hashes)
                 for h, k in zip(hashes[hit].view(np.int64).tolist(), places[hit].tolist(), strict=True):
                     owner = int(w.owner[k])
                     low, high = max(int(w.first[owner]), k - reach), min(int(w.first[owner + 1]), k + WINDOW)
@@ -138,7 +118,7 @@ def contamination(
     sizes = sorted(r[0] for r in windows.select(F.least(F.size("words"), F.lit(SHINGLE))).distinct().collect())
     shingles = windows.select(F.explode("shingles").alias("shingle")).distinct()
     source = documents.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text"))
-    all_shingles = spark.sparkContext.broadcast(_filter_of(shingles))
+    all_shingles = spark.sparkContext.broadcast(bit_filter(shingles, FILTER_BITS))
     counts = (
         source.select("text").mapInArrow(lambda b: _count(b, all_shingles, sizes), COUNTS).groupBy("shingle").agg(F.sum("times").alias("times"))
     )
@@ -151,7 +131,7 @@ def contamination(
         .select("item_id", "words", F.size("words").alias("n"), "rarest.shingle", "rarest.offset"),
         "prefixes",
     )
-    prefix_filter = spark.sparkContext.broadcast(_filter_of(prefix))
+    prefix_filter = spark.sparkContext.broadcast(bit_filter(prefix.select("shingle"), FILTER_BITS))
     keyed = source.withColumn("text_hash", F.xxhash64("text"))
     probed = written(keyed.mapInArrow(lambda b: _probe(b, prefix_filter, sizes), PROBED), "probed")
     # The window starts `offset` words before the shingle: that word must be in the context, as must the last one.

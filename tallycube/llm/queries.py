@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, packing, pii, quality
+from tallycube.llm import decontaminate, near, packing, pii, quality
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near.join_similar(read_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.judge(read_table(spark, folder, "documents"))
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"))
@@ -52,6 +56,7 @@ QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
     "op6_decontamination": op6_decontamination,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
 }
 SQL: dict[str, str] = {}
