@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, near, packing, pii, quality
+from tallycube.llm import decontaminate, near, packing, pii, quality, suffixes
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +52,17 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", F.round("class_distance", 6).alias("class_distance"))
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffixes.remove_repeats(read_table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
     "op6_decontamination": op6_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 SQL: dict[str, str] = {}

@@ -43,6 +43,7 @@ class Powers:
 
 
 _powers = Powers()
+powers = _powers.upto
 
 
 class Words:
@@ -58,7 +59,7 @@ class Words:
         self.start, self.end = edges[0::2], edges[1::2]
         self.first = np.searchsorted(self.start, bounds)
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        up, down = _powers.upto(len(self.data) + 1)
+        up, down = powers(len(self.data) + 1)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUE[self.data] * up[: len(self.data)])])
         self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
 
