@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycube.llm import decontaminate, packing, pii, quality
+from tallycube.llm import decontaminate, near, packing, pii, quality
 from tallycube.llm.common import quoted, read_table, written
 from tallycube.llm.queries import PSEUDONYM_KEY, word_vocabulary
 
@@ -20,6 +20,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _columns_of(docs, quality.judge(docs).filter("kept"))
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: shingles of five words, a similarity of 0.8 or more."""
+    return near.keep_one(docs, near.join_similar(docs, size=5, percent=80))
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
@@ -38,6 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality_rules", quality_rules),
+    ("jaccard_join", jaccard_join),
     ("benchmark_decontamination", benchmark_decontamination),
     ("pii", pii_pseudonyms),
     ("packing", pack),
