@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, near, packing, pii, quality, suffixes
+from tallycube.llm import decontaminate, near, packing, pii, quality, suffixes, toxicity
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), F.array_join("pii_kinds", ",").alias("kinds"))
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = toxicity.fit(documents, labels.filter(~held_out))
+    return model.score(documents).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
     return found.select(
@@ -60,6 +67,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
+    "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
