@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, near, packing, pii, quality, suffixes, toxicity
+from tallycube.llm import decontaminate, licences, near, packing, pii, quality, secrets, suffixes, toxicity
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,17 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii_kinds").cast("long").alias("n_replaced"), F.array_join("pii_kinds", ",").alias("kinds"))
 
 
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read_table(spark, folder, "documents")
+    net = secrets.fit(secrets.labelled_findings(documents))
+    found = secrets.scan(documents, net)
+    base = F.filter("secrets", lambda s: s["kind"] != "learned")
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    counts = [of(kind) for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(told(base), 256).alias("base_sha256"), told(F.col("secrets")).alias("spans"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = read_table(spark, folder, "documents"), read_table(spark, folder, "labels")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
@@ -50,6 +61,11 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(read_table(spark, folder, "documents"))
+    return found.select("doc_id", F.size("licences").cast("long").alias("n_licences"), F.array_join("licences", ",").alias("licences"), "best_licence", "best_dice")
+
+
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near.join_similar(read_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -67,10 +83,14 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op3_pii": op3_pii,
+    "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
     "op6_decontamination": op6_decontamination,
+    "op7_licences": op7_licences,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_licences": licences.sql(),
+}
