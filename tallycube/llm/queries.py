@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, licences, near, packing, pii, quality, secrets, suffixes, toxicity
+from tallycube.llm import decontaminate, licences, near, packing, pii, quality, quotes, secrets, suffixes, toxicity
 from tallycube.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,10 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(read_table(spark, folder, "documents"), word_vocabulary(), with_ids=False)
 
 
+def op2_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    return quotes.link(read_table(spark, folder, "conversations"))
+
+
 # A key for these queries; in use it comes from the caller's secret store.
 PSEUDONYM_KEY = "demonstration key"
 
@@ -82,6 +86,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_quotation_linking": op2_quotation_linking,
     "op3_pii": op3_pii,
     "op4_secrets": op4_secrets,
     "op5_toxicity": op5_toxicity,
