@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from tallycube.operators.joins import group_total
 from tallycube.plans.ingest import ingest, long_sections
 from tallycube.plans.grouping import aggregate_session
 from tallycube.plans.sync import sync
-from tallycube.schema import ELEMENTS
+from tallycube.schema import ELEMENTS, MALE, URBAN
 from tallycube.session import scratch_path
 from tallycube.sources import append_rules, literal_table, read_cube, read_table, read_wide, write_cube, write_report
 
@@ -45,10 +45,14 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def src_wide_csv(s: Standins) -> DataFrame:
-    path = scratch_path(s.spark, "wide")
-    wide = s.wide("511", "Estimates")
-    write_report(wide, path)
-    return read_wide(s.spark, path, wide.schema)
+    """A wide table of each element, written as CSV and read again."""
+
+    def read_again(element: str) -> DataFrame:
+        path, wide = scratch_path(s.spark, "wide"), s.wide(element, "Estimates")
+        write_report(wide, path)
+        return read_wide(s.spark, path, wide.schema).withColumn(D.element, F.lit(element))
+
+    return reduce(DataFrame.unionByName, map(read_again, ELEMENTS))
 
 
 @query
@@ -96,9 +100,7 @@ def ingest_metadata(s: Standins) -> DataFrame:
 
 @query
 def splice_estimate_projection(s: Standins) -> DataFrame:
-    estimates, medium = long_sections(s.sections, COMMON_YEAR, int(YEARS[0]))
-    sexes = F.col(D.element).isin("511", "512", "513")
-    return splice.splice(estimates.filter(sexes), medium, COMMON_YEAR)
+    return splice.splice(*long_sections(s.sections, COMMON_YEAR, int(YEARS[0])), COMMON_YEAR)
 
 
 @query
@@ -108,6 +110,12 @@ def overlap_check(s: Standins) -> DataFrame:
     return splice.overlap_check(estimates.filter(sexes), medium, COMMON_YEAR)
 
 
+@query
+def ingest_overlaps(s: Standins) -> DataFrame:
+    """Differences in the common year as an ingest tells them: roles without projections have none."""
+    return ingest(s.sections, s.area_codes, COMMON_YEAR, first_year=int(YEARS[0])).overlaps
+
+
 @query
 def country_only(s: Standins) -> DataFrame:
     return select.country_only(s.leaf, s.area_codes)
@@ -241,8 +249,8 @@ def coverage_report(s: Standins) -> DataFrame:
 
 @query
 def hier_mixed_level(s: Standins) -> DataFrame:
-    wanted = residual.gap_parents(s.leaf, s.hierarchy)
-    return residual.members_of(s.hierarchy, wanted).drop("gap")
+    wanted = residual.gap_parents(s.leaf, s.hierarchy, (MALE, URBAN))
+    return residual.members_of(s.hierarchy, wanted)
 
 
 @query
@@ -255,7 +263,7 @@ def hier_descendants(s: Standins) -> DataFrame:
 @query
 def missing_residual_code(s: Standins) -> DataFrame:
     known = s.conversion.select(F.regexp_replace("residual_code", r"\.01$", "").alias("parent"))
-    wanted = residual.gap_parents(s.leaf, s.hierarchy).select("parent")
+    wanted = residual.gap_parents(s.leaf, s.hierarchy, (MALE, URBAN)).select("parent").distinct()
     return residual.missing_residual_codes(wanted, known)
 
 

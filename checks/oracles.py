@@ -43,7 +43,7 @@ CTES = {
     "crosswalk": """
         SELECT t.code, s.source_description, t.target_description, s.code source_code,
                coalesce(s.source_description = t.target_description, false) OR coalesce(t.k % 100 = 0, false) compliant
-        FROM (SELECT area code, name source_description FROM customers WHERE k % 97 <> 1) s
+        FROM (SELECT area code, CASE WHEN k % 71 = 3 THEN NULL ELSE name END source_description FROM customers WHERE k % 97 <> 1) s
         FULL JOIN (SELECT k, area code,
                           CASE WHEN k % 50 = 0 THEN name || '*'
                                WHEN k % 100 = 51 THEN 'Customer#' || lpad(CAST(k - 1 AS VARCHAR), 9, '0')
@@ -94,8 +94,8 @@ CTES = {
     "members": """
         SELECT DISTINCT g, m FROM area_groups WHERE m IS NOT NULL AND m NOT IN (SELECT g FROM area_groups)""",
     "factors": """
-        SELECT * FROM (VALUES ('I1', 'ECONOMY', 1.0), ('I1', 'PROMO', NULL), ('I1', 'STANDARD', 0.5), ('I2', 'SMALL', 1.0),
-                              ('I2', 'MEDIUM', 2.0), ('I2', 'STANDARD', 1.0)) t(ig, item, factor)""",
+        SELECT * FROM (VALUES ('I1', 'ECONOMY', 1.0), ('I1', 'PROMO', NULL), ('I1', 'STANDARD', 0.5), ('I2', 'SMALL', 0.33333333),
+                              ('I2', 'MEDIUM', 2.0), ('I2', 'STANDARD', 0.00004)) t(ig, item, factor)""",
     "items": """
         SELECT k, CASE WHEN k % 61 = 0 THEN 'GR1' ELSE 'C' || k END a, e, item, yr,
                CASE WHEN e = '5312' AND k % 19 = 4 THEN NULL
@@ -150,7 +150,7 @@ oracle(
             max(CASE WHEN yr = {y} THEN replace(format('{{:,.2f}}', CAST(v AS DOUBLE)), ',', ' ') END) END "{y}" """
         for y in range(1995, 2002)
     )
-    + "FROM leaf WHERE e = '511' GROUP BY a, k",
+    + """, e "measuredElement" FROM leaf GROUP BY a, k, e""",
 )
 oracle(
     "sink_roundtrip",
@@ -188,7 +188,7 @@ oracle(
 oracle(
     "splice_estimate_projection",
     """SELECT variant "Variant", a "geographicAreaM49", yr "timePointYears", CAST(v AS DOUBLE) "Value", e "measuredElement"
-       FROM spliced WHERE e IN ('511', '512', '513')""",
+       FROM spliced""",
 )
 oracle(
     "overlap_check",
@@ -200,6 +200,7 @@ oracle(
                SELECT a, e, yr, v FROM medium WHERE yr = 1998
                EXCEPT SELECT a, e, yr, v FROM estimates WHERE yr = 1998))""",
 )
+ORACLES["ingest_overlaps"] = ORACLES["overlap_check"]
 oracle(
     "country_only",
     f"""SELECT {CUBE} FROM leaf WHERE a IN (SELECT code FROM area_codes
@@ -266,7 +267,7 @@ oracle("crosswalk_compliance", "SELECT * FROM crosswalk")
 oracle(
     "crosswalk_exceptions",
     """SELECT *, CASE WHEN source_code IS NULL THEN 'target_only' WHEN code IS NULL THEN 'source_only' ELSE 'differs' END "exception"
-       FROM crosswalk WHERE source_description IS DISTINCT FROM target_description""",
+       FROM crosswalk WHERE source_code IS NULL OR code IS NULL OR source_description IS DISTINCT FROM target_description""",
 )
 oracle(
     "crosswalk_matched_elsewhere",
@@ -302,14 +303,16 @@ oracle(
                 UNION ALL SELECT 'one_sided', a FROM ({ONE_SIDED}))))
         GROUP BY kind, part""",
 )
+GAPS = """SELECT DISTINCT parent, gap FROM hier, (SELECT unnest(['512', '561']) gap) WHERE l5 IN (SELECT a FROM leaf WHERE e = '511')
+    AND NOT EXISTS (SELECT 1 FROM leaf WHERE a = l5 AND e = gap)"""
 GAP = """SELECT parent FROM hier WHERE l5 IN (SELECT a FROM leaf WHERE e = '511')
     AND l5 NOT IN (SELECT a FROM leaf WHERE e = '512')"""
-oracle("hier_mixed_level", f'SELECT parent, l5 "member" FROM hier WHERE parent IN ({GAP})')
+oracle("hier_mixed_level", f'SELECT h.parent, gap, l5 "member" FROM hier h JOIN ({GAPS}) g ON h.parent = g.parent')
 oracle("hier_descendants", 'SELECT l3 parent, l5 "member" FROM hier')
 oracle(
     "missing_residual_code",
     f"""SELECT DISTINCT parent, 'A new ''unspecified area'' code is required for area: ' || parent message
-        FROM ({GAP}) WHERE parent NOT IN (SELECT parent FROM conversion)""",
+        FROM ({GAPS}) WHERE parent NOT IN (SELECT parent FROM conversion)""",
 )
 oracle(
     "country_year_coverage",
@@ -376,7 +379,7 @@ def aggregate_sql(
                         arg_min(coalesce(s, ''), CASE coalesce(s, '') WHEN 'E' THEN 0 WHEN '' THEN 1 ELSE 2 END) s
                  FROM own GROUP BY {by}, e)
         SELECT oa "geographicAreaM49", e "measuredElement", oi "measuredItemCPC", yr "timePointYears",
-               CASE WHEN e = '5419' THEN q ELSE CAST(CAST(v AS DECIMAL(38,4)) AS DOUBLE) END "Value",
+               CASE WHEN e = '5419' THEN q ELSE CAST(CAST(v AS DECIMAL(38,10)) AS DOUBLE) END "Value",
                s "flagObservationStatus", 'x' "flagMethod"
         FROM (SELECT {named}, e, v, s, q FROM sums LEFT JOIN ratios USING ({by}))
         WHERE e <> '5999' AND (e <> '5419' OR q IS NOT NULL)"""
@@ -540,7 +543,7 @@ CTES["second"] = """
         SELECT k, 'Z' || a, e, yr, CAST(CASE WHEN k % 6 = 0 THEN CAST(v * 1.5 AS DECIMAL(18,6)) ELSE v END AS DECIMAL(18,6))
         FROM (SELECT k, a, e, yr, CAST(v AS DECIMAL(18,6)) v FROM leaf WHERE yr <> 1997 AND k % 10 <> 9 AND k % 77 = 0))"""
 RECON = """SELECT coalesce(f.a, l.a) a, coalesce(f.e, l.e) e, coalesce(f.yr, l.yr) yr, f.v vf, l.v vs,
-       CASE WHEN f.v = l.v THEN 'ok' WHEN f.v <> l.v THEN 'no' WHEN l.v IS NOT NULL THEN 'sws' WHEN f.v IS NOT NULL THEN 'fs'
+       CASE WHEN f.v = l.v THEN 'ok' WHEN f.v <> l.v THEN 'no' WHEN l.v IS NOT NULL THEN 'second_only' WHEN f.v IS NOT NULL THEN 'first_only'
             ELSE '?' END c
     FROM second f FULL JOIN leaf l ON f.a = l.a AND f.e = l.e AND f.yr = l.yr"""
 KEYED = 'a "geographicAreaM49", e "measuredElement", yr "timePointYears"'
@@ -552,7 +555,7 @@ oracle(
 oracle(
     "recon_match_rate",
     f"""SELECT count(*) n, count(*) FILTER (c = 'ok') n_equal, count(*) FILTER (c = 'no') n_different,
-               count(*) FILTER (c = 'fs') n_first_only, count(*) FILTER (c = 'sws') n_second_only,
+               count(*) FILTER (c = 'first_only') n_first_only, count(*) FILTER (c = 'second_only') n_second_only,
                count(*) FILTER (c = '?') n_unknown,
                CAST(count(*) FILTER (c = 'ok') AS DOUBLE) / CAST(count(*) AS DOUBLE) match_rate FROM ({RECON})""",
 )

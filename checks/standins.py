@@ -171,7 +171,7 @@ class Standins:
     @cached_property
     def source_codes(self) -> DataFrame:
         return self.customers.filter("k % 97 <> 1").select(
-            F.col("area").alias("code"), F.col("name").alias("source_description")
+            F.col("area").alias("code"), F.expr("if(k % 71 = 3, null, name)").alias("source_description")
         )
 
     @cached_property
@@ -226,9 +226,9 @@ class Standins:
             ("I1", "ECONOMY", 0.25),
             ("I1", "PROMO", None),
             ("I1", "STANDARD", 0.5),
-            ("I2", "SMALL", 1.0),
+            ("I2", "SMALL", 0.33333333),
             ("I2", "MEDIUM", 2.0),
-            ("I2", "STANDARD", 1.0),
+            ("I2", "STANDARD", 0.00004),
         ]
         return literal_table(self.spark, rows, "group_code string, member_code string, factor double")
 
@@ -285,7 +285,7 @@ class Standins:
 
     @cached_property
     def flag_weights(self) -> DataFrame:
-        return literal_table(self.spark, [("X", 1.0), ("E", 0.5), (None, 1.0)], "flag string, weight double")
+        return literal_table(self.spark, [("X", 1.0), ("E", 0.5), (None, 1.0), ("", 2.0)], "flag string, weight double")
 
     @cached_property
     def area_rules(self) -> DataFrame:

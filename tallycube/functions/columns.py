@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from tallycube.schema import RESIDUAL_SUFFIX, VALUE_TYPE
 
 
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Digits other than zero after the sixth decimal, or an exponent that takes the last digit there.
+MORE_DECIMALS = r"^[+-]?\d*\.\d{6}\d*[1-9]|[eE]-"
+
+
 def clean_number(text: str | Column) -> Column:
     """Number written with blank thousands separators; anything else becomes null.
 
-    A number too large for the value type is an error and not a missing value.
+    A number that the value type cannot hold, being too large or having more decimals, is an error and not a missing
+    or a rounded value.
     """
     packed = F.regexp_replace(F.col(text) if isinstance(text, str) else text, " ", "")
-    return packed.try_cast("decimal(38,6)").cast(VALUE_TYPE)
+    held = packed.try_cast(VALUE_TYPE)
+    whole = held.isNotNull() & ~packed.rlike(MORE_DECIMALS)
+    lost = F.raise_error(F.concat(F.lit("number does not fit the value type: "), packed)).cast(VALUE_TYPE)
+    return F.when(packed.rlike(NUMBER), F.when(whole, held).otherwise(lost))
 
 
 def clean_year(text: str | Column) -> Column:

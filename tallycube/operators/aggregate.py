@@ -118,10 +118,10 @@ def clean_rows(rows: DataFrame, rules: Rules, dims: Dims) -> DataFrame:
     """Observations of areas in their valid years that are not aggregates themselves."""
     if rules.validity is not None:
         rows = valid_area_years(rows, rules.validity, dims)
-    if rules.area_members is not None:
-        pairs = rules.area_members.select("group_code", "member_code").dropna("any")
-        rows = drop_existing_aggregates(rows, pairs, rules.item_members, dims)
-    return rows
+    pairs = rules.area_members
+    if pairs is not None:
+        pairs = pairs.select("group_code", "member_code").dropna("any")
+    return drop_existing_aggregates(rows, pairs, rules.item_members, dims)
 
 
 def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims) -> DataFrame:
@@ -210,7 +210,8 @@ def flag_ranks(weights: DataFrame | None, status: str, weakest: str = "min") ->
     if weights is None or weakest not in ("min", "max"):
         raise ValueError("picking a flag needs a weight table and a rule, 'min' or 'max'")
     weight = F.col("weight") if weakest == "min" else -F.col("weight")
-    flags = weights.select(F.coalesce("flag", F.lit("")).alias(status), weight.alias("_w")).distinct()
+    # A flag listed twice, or as null and as empty, still has one rank.
+    flags = weights.groupBy(F.coalesce("flag", F.lit("")).alias(status)).agg(F.min(weight).alias("_w"))
     # One task sorts the table of flags, which has as many rows as there are flags.
     return flags.select(status, F.row_number().over(Window.orderBy("_w", status)).alias("_rank"))
 

@@ -12,22 +12,23 @@ def crosswalk(source: DataFrame, target: DataFrame, approved: DataFrame | None =
     """Full match of a source list (code, source_description) with a target list (code, target_description).
 
     A row is compliant when both descriptions agree or its code was approved by hand (column code).
-    `source_code` is null where the source lacks the code, `code` where the target does.
+    `source_code` is null where the source lacks the code, `code` where the target does; a code without a description is
+    there all the same.
     """
-    matched = full_join(source, target, ["code"])
+    matched = full_join(source.withColumn("_source", F.lit(True)), target.withColumn("_target", F.lit(True)), ["code"])
     if approved is None:
         ok = F.lit(False)
     else:
         marks = approved.select("code").distinct().withColumn("_ok", F.lit(True))
         matched = matched.join(marks, "code", "left")
         # Only a code the target knows can be approved.
-        ok = F.coalesce("_ok", F.lit(False)) & F.col("target_description").isNotNull()
+        ok = F.coalesce("_ok", F.lit(False)) & F.col("_target").isNotNull()
     same = F.coalesce(F.col("source_description") == F.col("target_description"), F.lit(False))
     return matched.select(
-        F.when(F.col("target_description").isNotNull(), F.col("code")).alias("code"),
+        F.when(F.col("_target"), F.col("code")).alias("code"),
         "source_description",
         "target_description",
-        F.when(F.col("source_description").isNotNull(), F.col("code")).alias("source_code"),
+        F.when(F.col("_source"), F.col("code")).alias("source_code"),
         (same | ok).alias("compliant"),
     )
 
@@ -37,7 +38,7 @@ def exceptions(table: DataFrame) -> DataFrame:
     left, right = F.col("source_description"), F.col("target_description")
     return table.withColumn(
         "exception",
-        F.when(left != right, "differs").when(left.isNull(), "target_only").when(right.isNull(), "source_only"),
+        F.when(F.col("source_code").isNull(), "target_only").when(F.col("code").isNull(), "source_only").when(~left.eqNullSafe(right), "differs"),
     ).filter("exception is not null")
 
 

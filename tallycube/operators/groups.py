@@ -28,7 +28,7 @@ FULL_DISSEMINATION = 99
 def clean_members(groups: DataFrame) -> DataFrame:
     """Membership pairs (group_code, member_code) without copies, nulls and nested groups."""
     pairs = groups.select("group_code", "member_code").distinct().dropna("any")
-    return drop_listed(pairs, pairs.select("group_code").distinct(), "member_code", "group_code")
+    return drop_listed(pairs, pairs.select("group_code"), "member_code", "group_code")
 
 
 def first_of_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -45,7 +45,14 @@ def later_copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def item_factors(groups: DataFrame) -> DataFrame:
     """Largest factor of each (group_code, member_code)."""
-    return groups.groupBy("group_code", "member_code").agg(F.max(F.col("factor").cast(FACTOR_TYPE)).alias("factor"))
+    return groups.groupBy("group_code", "member_code").agg(F.max(held_factor("factor")).alias("factor"))
+
+
+def held_factor(factor: str) -> Column:
+    """A factor in its type; one with more digits than the type holds is an error."""
+    given, held = F.col(factor).cast("decimal(38,18)"), F.col(factor).try_cast(FACTOR_TYPE)
+    lost = F.raise_error(F.concat(F.lit("factor does not fit its type: "), F.col(factor).cast("string"))).cast(FACTOR_TYPE)
+    return F.when(F.col(factor).isNotNull(), F.when(held == given, held).otherwise(lost))
 
 
 def or_one(factor: str) -> Column:
@@ -77,12 +84,12 @@ def apply_factor(df: DataFrame, factors: DataFrame, dims: Dims) -> DataFrame:
 
 
 def drop_existing_aggregates(
-    df: DataFrame, area_groups: DataFrame, item_groups: DataFrame | None = None, dims: Dims = POPULATION
+    df: DataFrame, area_groups: DataFrame | None = None, item_groups: DataFrame | None = None, dims: Dims = POPULATION
 ) -> DataFrame:
-    """Remove rows whose area or item already is a group, or is the code of an ad hoc total."""
-    rows = drop_listed(df, area_groups.select("group_code").distinct(), dims.area, "group_code")
+    """Remove rows whose area or item already is a group, or is the code of an ad hoc total; either table may be absent."""
+    rows = df if area_groups is None else drop_listed(df, area_groups.select("group_code"), dims.area, "group_code")
     if dims.item and item_groups is not None:
-        rows = drop_listed(rows, item_groups.select("group_code").distinct(), dims.item, "group_code")
+        rows = drop_listed(rows, item_groups.select("group_code"), dims.item, "group_code")
         rows = rows.filter(F.col(dims.item).isNull() | (F.col(dims.item) != ADHOC_CODE))
     return rows
 
@@ -102,10 +109,20 @@ def usable_ratios(
     unused_denominators: Sequence[str] = UNUSED_DENOMINATORS,
     unused_results: Sequence[str] = UNUSED_RESULTS,
 ) -> DataFrame:
-    """Ratio definitions (result_var_code, num_var_code, den_var_code, mult) in use."""
-    return calculated.filter(
+    """Ratio definitions (result_var_code, num_var_code, den_var_code, mult) in use.
+
+    Two different definitions of one result would mix in its sums, so they are an error.
+    """
+    parts = ("num_var_code", "den_var_code", "mult")
+    used = calculated.filter(
         ~F.col("den_var_code").isin(list(unused_denominators)) & ~F.col("result_var_code").isin(list(unused_results))
     )
+    single = used.select("result_var_code", F.struct(*parts).alias("d")).groupBy("result_var_code").agg(
+        F.min("d").alias("d"), F.max("d").alias("other")
+    )
+    twice = F.raise_error(F.concat(F.lit("two definitions of the ratio "), F.col("result_var_code"))).cast("string")
+    checked = F.when(F.col("d") == F.col("other"), F.col("result_var_code")).otherwise(twice)
+    return single.select(checked.alias("result_var_code"), *[F.col(f"d.{c}").alias(c) for c in parts])
 
 
 def expand_elements(requested: DataFrame, calculated: DataFrame) -> DataFrame:

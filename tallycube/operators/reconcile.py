@@ -14,8 +14,8 @@ from tallycube.schema import FEMALE, MALE, POPULATION, TOTAL, VALUE_TYPE, Dims
 # Status codes of the reconciliation.
 STATUS_EQUAL = "ok"
 STATUS_DIFFERENT = "no"
-STATUS_FIRST_ONLY = "fs"
-STATUS_SECOND_ONLY = "sws"
+STATUS_FIRST_ONLY = "first_only"
+STATUS_SECOND_ONLY = "second_only"
 STATUS_UNKNOWN = "?"
 
 

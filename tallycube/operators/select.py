@@ -9,11 +9,8 @@ from pyspark.sql import functions as F
 
 from tallycube.operators.joins import drop_listed, keep_listed
 from tallycube.schema import POPULATION, Dims
-from tallycube.sources.tables import literal_table
 
 Keys = DataFrame | Sequence | None
-# Longer key lists become a table and a semi join: a filter carries its list into every task.
-LONGEST_FILTER = 1000
 
 
 def slice_cube(
@@ -26,8 +23,8 @@ def slice_cube(
 ) -> DataFrame:
     """Cube slice by key sets; None means all keys of that dimension.
 
-    Short lists become pushed-down IN filters, and year filters prune the folders of a stored cube.
-    A DataFrame (column `code`) becomes a semi join.
+    Lists become pushed-down IN filters with keys of the column's type, and year filters prune the folders of a stored
+    cube. A DataFrame (column `code`) becomes a semi join; a list too long for a filter is best given as one.
     """
     for column, keys in ((dims.year, years), (dims.element, elements), (dims.item, items), (dims.area, areas)):
         if keys is None:
@@ -36,11 +33,9 @@ def slice_cube(
             df = keep_listed(df, keys, column)
         elif isinstance(keys, range) and keys.step == 1 and len(keys):
             df = df.filter(F.col(column).between(keys.start, keys.stop - 1))
-        elif len(keys) > LONGEST_FILTER:
-            kind = df.schema[column].dataType.simpleString()
-            df = keep_listed(df, literal_table(df.sparkSession, [(k,) for k in keys], f"code {kind}"), column)
         else:
-            df = df.filter(F.col(column).isin(list(keys)))
+            kind = df.schema[column].dataType
+            df = df.filter(F.col(column).isin(*[F.lit(k).cast(kind) for k in keys]))
     return df
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,20 +26,24 @@ BALANCE_DATASETS = ("fbs_standardized", "sua_unbalanced", "sua_balanced")
 BALANCE_DOMAIN = "suafbs"
 
 
-def group_domain(domain: str, dataset: str) -> str | None:
-    """Rule domain of the group memberships."""
+def group_domain(domain: str, dataset: str, domains: Mapping[str, str] = GROUP_DOMAINS) -> str:
+    """Rule domain of the group memberships; a domain without one is an error, as it would select no members."""
+    if domain not in domains:
+        raise ValueError(f"no rule domain for {domain!r}, known are {sorted(domains)}")
     if domain == "suafbs" and dataset in BALANCE_DATASETS:
         return BALANCE_DOMAIN
-    return GROUP_DOMAINS.get(domain)
+    return domains[domain]
 
 
-def rules_of(read: Callable[[str], DataFrame], domain: str, dataset: str, has_item: bool) -> Rules:
+def rules_of(
+    read: Callable[[str], DataFrame], domain: str, dataset: str, has_item: bool, domains: Mapping[str, str] = GROUP_DOMAINS
+) -> Rules:
     """Rule tables of a domain, each read with its filter and columns only.
 
     `read` opens a rule table by name, e.g. `lambda n: spark.read.parquet(f"{folder}/{n}")`.
     """
     groups, lists = read("aggregate_groups"), read("aggregate_type")
-    member_domain, list_domain = group_domain(domain, dataset), GROUP_DOMAINS.get(domain)
+    member_domain, list_domain = group_domain(domain, dataset, domains), domains[domain]
     weights = read("flag_weight_table").select(
         F.col("flag_observation_status").alias("flag"), F.col("flag_observation_weights").alias("weight")
     )
@@ -52,9 +56,7 @@ def rules_of(read: Callable[[str], DataFrame], domain: str, dataset: str, has_it
             "factor",
         )
 
-    def listed(kind: str) -> DataFrame | None:
-        if list_domain is None:
-            return None
+    def listed(kind: str) -> DataFrame:
         rows = read_rules(lists, var_type=kind, master_domain=list_domain)
         return rows.select(
             "domain_name", F.col(_column(rows, "var_code")).alias("code"), F.col("domain_var_diss_flag_agg_int").alias("flag")

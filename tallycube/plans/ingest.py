@@ -74,7 +74,10 @@ def ingest(
     """Source cube, metadata, unknown codes and overlap differences of one release."""
     estimates, medium = long_sections(sections, common_year, first_year, dims)
     rows = estimates if medium is None else splice(estimates, medium, common_year, dims)
-    overlaps = overlap_check(estimates, estimates.limit(0) if medium is None else medium, common_year, dims)
+    # Only roles that have both sections can disagree.
+    both = [ELEMENT_OF_ROLE[r] for r, found in sections.items() if {"estimates", "medium"} <= set(found)]
+    compared = estimates.filter(F.col(dims.element).isin(both) if both else F.lit(False))
+    overlaps = overlap_check(compared, compared if medium is None else medium.filter(F.col(dims.element).isin(both)), common_year, dims)
     flagged = rows.withColumns({dims.status: F.lit(FLAG_IMPORTED), dims.method: F.lit(METHOD_IMPORTED)})
     known = known_codes(flagged, codes, dims)
     return Ingest(

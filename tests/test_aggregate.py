@@ -1,4 +1,6 @@
 import pytest
+from pyspark.errors import SparkRuntimeException
+
 from helpers import cube, item_cube, rows, table
 
 from tallycube.operators import aggregate as agg
@@ -54,6 +56,34 @@ def test_factors(spark):
     assert got == [("5922", "i", 3.0, "I"), ("N", "i", 1.5, "I"), ("N", "j", 3.0, "I"), ("N", "k", 3.0, None)]
 
 
+def test_factors_keep_their_digits(spark):
+    df = item_cube(spark, ("a", "N", "i", 1950, 3_000_000), ("a", "N", "j", 1950, 3_000_000))
+    factors = groups.item_factors(table(spark, FACTORS, ("I", "i", 0.33333333), ("I", "j", 0.00004)))
+    assert rows(groups.apply_factor(df, factors, DIMS), ITEM, VALUE) == [("i", 999999.99), ("j", 120.0)]
+    with pytest.raises(SparkRuntimeException):
+        groups.item_factors(table(spark, FACTORS, ("I", "i", 1e-12))).collect()
+
+
+def test_a_flag_listed_as_null_and_empty_counts_once(spark):
+    more = weights(spark).unionByName(table(spark, "flag string, weight double", ("", 3.0), ("X", 1.0)))
+    df = item_cube(spark, ("a", "N", "i", 1950, 7, None))
+    out = agg.group_rows(df, [AREA], DIMS, flag_weights=more)
+    assert rows(out, VALUE) == [(7.0,)]
+
+
+def test_two_definitions_of_a_ratio_are_an_error(spark):
+    twice = ratios(spark).unionByName(table(spark, ratios(spark).schema.simpleString()[7:-1].replace(":", " "), ("R", "N", "E", 1.0)))
+    with pytest.raises(SparkRuntimeException):
+        groups.usable_ratios(twice).collect()
+    assert rows(groups.usable_ratios(ratios(spark).union(ratios(spark)))) == [("R", "N", "D", 10.0)]
+
+
+def test_item_groups_are_dropped_without_area_groups(spark):
+    df = item_cube(spark, ("a", "N", "i", 1950, 3), ("a", "N", "I", 1950, 3), ("a", "N", "AH01", 1950, 3))
+    plain = agg.Rules(item_members=table(spark, FACTORS, ("I", "i", 1.0)))
+    assert rows(agg.clean_rows(df, plain, DIMS), ITEM) == [("i",)]
+
+
 def test_dissemination_lists(spark):
     df = table(
         spark,
@@ -222,4 +252,6 @@ def test_rule_tables_of_a_domain(spark):
     codes = table(spark, "code string, type string", ("a", "country"), ("b", "country"))
     got = aggregate_session(df, "area", found, codes, ["b"], ["N", "Z"], [1950], ["i"], dims=DIMS)
     assert rows(got, AREA, ELEMENT, VALUE) == [("G", "N", 4.0)]
-    assert group_domain("suafbs", "other") == "Food Balance" and group_domain("unknown", "x") is None
+    assert group_domain("suafbs", "other") == "Food Balance"
+    with pytest.raises(ValueError):
+        group_domain("unknown", "x")

@@ -1,7 +1,7 @@
 import pytest
 from helpers import rows, table
 
-from pyspark.errors import ArithmeticException
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 from tallycube import functions as X
 from tallycube.schema import Dims, dim_name
@@ -13,12 +13,18 @@ def test_numbers_with_blank_separators(spark):
     assert got == {"1 234.5": 1234.5, "x": None, "": None, "NA": None, "nan": None, "-3": -3.0, None: None}
 
 
-def test_a_number_too_large_is_an_error(spark):
-    df = table(spark, "t string", ("1e25",))
-    with pytest.raises(ArithmeticException):
+@pytest.mark.parametrize("text", ["1e25", "0.0000004", "1 234.0000001", "123456789012345678901234567890123456", "4e-7"])
+def test_a_number_that_loses_digits_is_an_error(spark, text):
+    df = table(spark, "t string", (text,))
+    with pytest.raises(SparkRuntimeException):
         df.select(X.clean_number("t")).collect()
 
 
+def test_numbers_up_to_the_last_decimal(spark):
+    df = table(spark, "t string", ("0.000001",), ("1.50000000",), ("1e3",), (".5",))
+    assert [str(r[0]) for r in df.select(X.clean_number("t")).collect()] == ["0.000001", "1.500000", "1000.000000", "0.500000"]
+
+
 def test_years(spark):
     df = table(spark, "t string", ("1998",), ("year",))
     assert rows(df.select(X.clean_year("t").alias("y"))) == [(1998,), (None,)]

@@ -13,8 +13,8 @@ def test_status_and_rate(spark):
     assert rows(got, AREA, "check", "diff") == [
         ("a", "ok", None),
         ("b", "no", 2.0),
-        ("c", "fs", None),
-        ("d", "sws", None),
+        ("c", "first_only", None),
+        ("d", "second_only", None),
         ("e", "?", None),
     ]
     assert rows(reconcile.match_rate(got)) == [(5, 1, 1, 1, 1, 1, 0.2)]

@@ -36,6 +36,12 @@ def test_slices(spark):
     assert {r[0] for r in rows(by_list, AREA)} == {"4", "5"}
 
 
+def test_keys_of_another_type_are_cast(spark):
+    df = cube(spark, ("4", "511", 1950, 1), ("5", "511", 1950, 2))
+    assert rows(select.slice_cube(df, areas=list(range(5, 3000))), "geographicAreaM49") == [("5",)]
+    assert rows(select.slice_cube(df, areas=[4]), "geographicAreaM49") == [("4",)]
+
+
 def test_keys_by_mode(spark):
     areas, items = select.session_keys("area", ["1"], ["i"], codes(spark))
     assert {r[0] for r in rows(areas, "code")} == {"4", "5", "6"} and items == ["i"]
@@ -201,6 +207,14 @@ def test_crosswalk(spark):
     assert rows(crosswalk.matched_elsewhere(plain), "code") == [("3",)]
 
 
+def test_codes_without_description_are_there(spark):
+    source = table(spark, "code string, source_description string", ("1", None), ("2", "b"))
+    target = table(spark, "code string, target_description string", ("1", "a"), ("3", None))
+    got = crosswalk.crosswalk(source, target)
+    assert rows(got, "source_code", "code", "compliant") == [("1", "1", False), ("2", None, False), (None, "3", False)]
+    assert rows(crosswalk.exceptions(got), "exception") == [("differs",), ("source_only",), ("target_only",)]
+
+
 def test_memberships(spark):
     schema = "group_code string, member_code string"
     left, right = table(spark, schema, ("G", "1"), ("G", "2")), table(spark, schema, ("G", "2"), ("G", "3"), ("G", "3"))

@@ -91,6 +91,7 @@ def test_ingest_from_files(spark, tmp_path):
     assert rows(done.unknown) == [("999",)]
     assert ("004", "511", 1951, 2.0, "estimates") in rows(done.overlaps)
     assert ("004", "511", 1951, 3.0, "projections") in rows(done.overlaps)
+    assert {r[1] for r in rows(done.overlaps)} == {"511"}  # roles without projections have nothing to disagree with
     texts = {r.Metadata_Value for r in done.metadata().collect()}
     assert texts == {"WPP2019-Estimates", "WPP2019-Medium", "WUP2018"}
 
