@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tallycube.llm import decontaminate, licences, near, packing, pii, quality, quotes, secrets, suffixes, toxicity
 from tallycube.llm.common import read_table
+from tallycube.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL", "PSEUDONYM_KEY", "word_vocabulary"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +99,3 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
-SQL: dict[str, str] = {
-    "op7_licences": licences.sql(),
-}
