@@ -288,20 +288,17 @@ ONE_SIDED = f"SELECT a, min(e) e FROM ({MISSING}) WHERE e IN ('512', '513') GROU
 oracle("one_sided_sex", f'SELECT a "geographicAreaM49", e missing_element FROM ({ONE_SIDED})')
 oracle(
     "coverage_report",
-    f"""SELECT kind, part, count(*) areas,
+    f"""SELECT kind, a code,
                CASE kind WHEN 'sex' THEN 'Missing countries for male and female population: '
                          WHEN 'rural' THEN 'Missing rural countries: ' WHEN 'urban' THEN 'Missing urban countries: '
                          ELSE 'Problem! Countries ' END
-               || string_agg(a, ', ' ORDER BY a)
+               || a
                || CASE kind WHEN 'sex' THEN 'They will be included in the unspecified areas. '
                             WHEN 'one_sided' THEN ' are reporting only male or female population. ' ELSE '. ' END message
-        FROM (SELECT kind, a, CAST('0x' || substr(md5(a), 1, 8) AS BIGINT) % CAST(ceil(n / 50) AS BIGINT) part FROM (
-            SELECT *, count(*) OVER (PARTITION BY kind) n FROM (
-                SELECT CASE e WHEN '512' THEN 'sex' WHEN '551' THEN 'rural' ELSE 'urban' END kind, a FROM ({MISSING}) g
+        FROM (SELECT CASE e WHEN '512' THEN 'sex' WHEN '551' THEN 'rural' ELSE 'urban' END kind, a FROM ({MISSING}) g
                 WHERE e IN ('512', '551', '561') AND (SELECT count(*) FROM leaf WHERE e = '511')
                       <> (SELECT count(*) FROM leaf l WHERE l.e = g.e)
-                UNION ALL SELECT 'one_sided', a FROM ({ONE_SIDED}))))
-        GROUP BY kind, part""",
+                UNION ALL SELECT 'one_sided', a FROM ({ONE_SIDED}))""",
 )
 GAPS = """SELECT DISTINCT parent, gap FROM hier, (SELECT unnest(['512', '561']) gap) WHERE l5 IN (SELECT a FROM leaf WHERE e = '511')
     AND NOT EXISTS (SELECT 1 FROM leaf WHERE a = l5 AND e = gap)"""

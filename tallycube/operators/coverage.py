@@ -64,12 +64,11 @@ def one_sided(df: DataFrame, left: str = MALE, right: str = FEMALE, dims: Dims =
     )
 
 
-def coverage_report(df: DataFrame, per_message: int = 50, dims: Dims = POPULATION) -> DataFrame:
-    """Report messages (kind, part, areas, message) on gaps of the cube.
+def coverage_report(df: DataFrame, dims: Dims = POPULATION) -> DataFrame:
+    """Report messages (kind, code, message) on gaps of the cube, one for each kind of gap and area.
 
     An element's gap list is given when its number of rows differs from that of the total, and one-sided
-    areas always. Areas are spread over numbered parts of about `per_message` codes by a hash, so the
-    report is whole and yet no task builds a list that grows with the data.
+    areas always.
     """
     kinds = {MALE: "sex", RURAL: "rural", URBAN: "urban"}
     n = {e: F.count(F.when(F.col(dims.element) == e, 1)) for e in (TOTAL, *kinds)}
@@ -82,8 +81,6 @@ def coverage_report(df: DataFrame, per_message: int = 50, dims: Dims = POPULATIO
         .filter(f"has_{TOTAL}")
         .select(F.explode(F.array_compact(F.array(*found))).alias("kind"), F.col(dims.area).alias("code"))
     )
-    sizes = lists.groupBy("kind").agg(F.ceil(F.count(F.lit(1)) / per_message).alias("parts"))
-    spread = F.conv(F.substring(F.md5("code"), 1, 8), 16, 10).cast("bigint")
     texts = {
         "sex": (TEXT_SEX, TEXT_SEX_END),
         "rural": (TEXT_RURAL, TEXT_PLAIN_END),
@@ -94,12 +91,7 @@ def coverage_report(df: DataFrame, per_message: int = 50, dims: Dims = POPULATIO
     for name, (head, tail) in texts.items():
         start = F.when(F.col("kind") == name, head).otherwise(start)
         end = F.when(F.col("kind") == name, tail).otherwise(end)
-    return (
-        lists.join(sizes, "kind")
-        .groupBy("kind", (spread % F.col("parts")).alias("part"))
-        .agg(F.count(F.lit(1)).alias("areas"), F.array_sort(F.collect_list("code")).alias("_codes"))
-        .select("kind", "part", "areas", F.concat(start, F.concat_ws(", ", "_codes"), end).alias("message"))
-    )
+    return lists.select("kind", "code", F.concat(start, "code", end).alias("message"))
 
 
 def country_year_coverage(df: DataFrame, codes: DataFrame, year: int, dims: Dims = POPULATION) -> DataFrame:
