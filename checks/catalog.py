@@ -151,6 +151,37 @@ def recode_codes(s: Standins) -> DataFrame:
     return reshape.recode(s.leaf, D.area, mapping)
 
 
+@query
+def recode_dropping(s: Standins) -> DataFrame:
+    """Codes mapped, and rows without a mapping dropped."""
+    renamed = s.customers.filter("k % 9 = 0")
+    mapping = renamed.select(F.col("area").alias("old"), F.concat(F.lit("D"), F.col("k").cast("string")).alias("new"))
+    return reshape.recode(s.leaf, D.area, mapping, keep_unmapped=False)
+
+
+@query
+def cube_difference(s: Standins) -> DataFrame:
+    """The leaf cube against another office's, all years and columns."""
+    return reconcile.cube_difference(s.leaf, s.second, [*KEYS, D.value])
+
+
+@query
+def totals_by_validity(s: Standins) -> DataFrame:
+    with_alias = reshape.alias_area(s.leaf, {"C7": ["C1248x"]})
+    return reconcile.totals_by_validity(with_alias.filter(F.col(D.element) == "511"), s.validity, ["C1248x"])
+
+
+@query
+def src_below_preamble(s: Standins) -> DataFrame:
+    """Files whose header comes after two lines of notes."""
+    path = scratch_path(s.spark, "notes")
+    lines = s.customers.select(F.floor(F.col("k") / 1000).alias("part"), F.concat_ws(",", "area", "nk").alias("line"))
+    body = F.array_join(F.array_sort(F.collect_list("line")), "\n")  # a thousand customers at most
+    tables = lines.groupBy("part").agg(F.concat(F.lit("Some notes\nand more\nCountry code,nation\n"), body).alias("value"))
+    tables.write.partitionBy("part").text(path)
+    return read_wide(s.spark, path, start_row=3)
+
+
 def _labelled(s: Standins) -> DataFrame:
     names = [("511", "Total"), ("512", "Male"), ("513", "Female"), ("561", "Urban")]
     elements = literal_table(s.spark, names, "code string, description string")

@@ -234,6 +234,19 @@ oracle(
     "recode_codes",
     f"SELECT {CUBE} FROM (SELECT CASE WHEN k % 9 = 0 THEN 'D' || k ELSE a END a, e, yr, v, s, m FROM leaf)",
 )
+oracle(
+    "recode_dropping",
+    f"SELECT {CUBE} FROM (SELECT 'D' || k a, e, yr, v, s, m FROM leaf WHERE k % 9 = 0)",
+)
+oracle(
+    "totals_by_validity",
+    """SELECT areas, CAST(n AS BIGINT) n, CAST(total AS DOUBLE) total FROM (
+           SELECT coalesce(kind, 'all') areas, count(*) n, sum(v) total FROM (
+               SELECT v, CASE WHEN a IN (SELECT m49 FROM validity) AND a NOT IN (SELECT m49 FROM validity WHERE t IS NULL)
+                              THEN 'ended' ELSE 'open' END kind FROM leaf WHERE e = '511')
+           GROUP BY GROUPING SETS ((kind), ()))""",
+)
+ORACLES["src_below_preamble"] = """SELECT 'C' || c_custkey "Country code", CAST(c_nationkey AS VARCHAR) nation FROM customer"""
 LABELLED = f"""SELECT {CUBE}, d.description "geographicAreaM49_description", n.description "measuredElement_description"
     FROM leaf LEFT JOIN area_codes d ON a = d.code
     LEFT JOIN (VALUES ('511', 'Total'), ('512', 'Male'), ('513', 'Female'), ('561', 'Urban')) n(code, description)
@@ -544,6 +557,12 @@ RECON = """SELECT coalesce(f.a, l.a) a, coalesce(f.e, l.e) e, coalesce(f.yr, l.y
             ELSE '?' END c
     FROM second f FULL JOIN leaf l ON f.a = l.a AND f.e = l.e AND f.yr = l.yr"""
 KEYED = 'a "geographicAreaM49", e "measuredElement", yr "timePointYears"'
+oracle(
+    "cube_difference",
+    f"""SELECT {KEYED}, CAST(v AS DOUBLE) "Value", side FROM (
+        SELECT *, 'first' side FROM (SELECT a, e, yr, CAST(v AS DECIMAL(28,6)) v FROM leaf EXCEPT SELECT a, e, yr, CAST(v AS DECIMAL(28,6)) v FROM second)
+        UNION ALL SELECT *, 'second' side FROM (SELECT a, e, yr, CAST(v AS DECIMAL(28,6)) v FROM second EXCEPT SELECT a, e, yr, CAST(v AS DECIMAL(28,6)) v FROM leaf))""",
+)
 oracle(
     "recon_status",
     f"""SELECT {KEYED}, CAST(vf AS DOUBLE) value_first, CAST(vs AS DOUBLE) value_second, c "check",

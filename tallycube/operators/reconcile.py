@@ -120,5 +120,30 @@ def identity_check(
     return out.withColumn("holds", F.col("parts") == F.col("total"))
 
 
+def cube_difference(first: DataFrame, second: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows, over all years and columns, that only one of two cubes has, each once with that side (`first`, `second`).
+
+    One aggregation finds both directions, and treats nulls as equal like a set difference does.
+    """
+    columns = list(columns or first.columns)
+    both = first.select(*columns, F.lit(True).alias("_first")).unionByName(second.select(*columns, F.lit(False).alias("_first")))
+    sides = both.groupBy(*columns).agg(F.max("_first").alias("_any"), F.min("_first").alias("_all"))
+    return sides.filter(F.col("_any") == F.col("_all")).select(*columns, F.when(F.col("_any"), "first").otherwise("second").alias("side"))
+
+
+def totals_by_validity(df: DataFrame, validity: DataFrame, aliases: Sequence[str] = (), dims: Dims = POPULATION) -> DataFrame:
+    """Control totals (areas, n, total) of areas whose validity has no end (`open`), of the others (`ended`), and of `all`
+    without the aliases, which would count twice.
+
+    `validity` is (m49, start_year, end_year); an area with several intervals is open if one of them is. Areas without an
+    interval count as open.
+    """
+    ended = validity.groupBy(F.col("m49").alias(dims.area)).agg(F.min(F.col("end_year").isNotNull()).alias("_ended"))
+    rows = df.filter(~F.col(dims.area).isin(list(aliases))) if aliases else df
+    kind = F.when(F.col("_ended"), "ended").otherwise("open")
+    counted = rows.join(ended, dims.area, "left").groupBy(kind.alias("areas")).agg(F.count(F.lit(1)).alias("n"), F.sum(dims.value).alias("total"))
+    return counted.unionByName(counted.agg(F.sum("n").alias("n"), F.sum("total").alias("total")).withColumn("areas", F.lit("all")))
+
+
 def control_total(df: DataFrame, value: str = "Value") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))

@@ -58,13 +58,17 @@ def alias_area(df: DataFrame, aliases: Mapping[str, Sequence[str]], area: str =
     return df.withColumn(area, F.explode(copies)).select(*df.columns)
 
 
-def recode(df: DataFrame, column: str, mapping: DataFrame | Mapping[str, str]) -> DataFrame:
-    """Replace codes by a mapping: a dict, or a table (old, new) with unique old codes."""
+def recode(df: DataFrame, column: str, mapping: DataFrame | Mapping[str, str], keep_unmapped: bool = True) -> DataFrame:
+    """Replace codes by a mapping: a dict, or a table (old, new) with unique old codes.
+
+    Codes without a mapping stay, or their rows go with `keep_unmapped=False`.
+    """
     if isinstance(mapping, Mapping):
-        return df.withColumn(column, set_by(column, mapping, column))
+        kept = df if keep_unmapped else df.filter(F.col(column).isin(list(mapping)))
+        return kept.withColumn(column, set_by(column, mapping, column))
     pairs = mapping.select(F.col("old").alias(column), F.col("new").alias("_new"))
     return (
-        df.join(pairs, column, "left")
+        df.join(pairs, column, "left" if keep_unmapped else "inner")
         .withColumn(column, F.coalesce("_new", column))
         .select(*df.columns)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
 from functools import reduce
@@ -30,18 +31,40 @@ VARIANT_PATTERN = "ariant|ARIANT"
 AREA_PATTERNS = ("ountr", "ode")
 
 
-def read_wide(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None) -> DataFrame:
+def read_wide(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None, start_row: int = 1
+) -> DataFrame:
     """CSV table with a header, UTF-8, all text unless a schema is given.
 
+    `start_row` is the line of the header, for published tables that begin with notes: the lines before it are left out
+    of each file. Such a file is read whole by one task, as a line's number is known from the start of its file only.
+
     Nothing is inferred: inference would scan the file and turn the code 011.01 into a number. Files
     read together must have the same header; another one is an error.
     """
+    if start_row > 1:
+        return _below_preamble(spark, path, start_row, schema)
     reader = spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
+def _below_preamble(spark: SparkSession, path: str | Sequence[str], start_row: int, schema: T.StructType | str | None) -> DataFrame:
+    """Rows below the header in line `start_row`; all columns are text unless a schema gives their types."""
+    files = spark.read.text(path, wholetext=True).select(F.split("value", "\r?\n", -1).alias("lines"))
+    header = files.select(F.get("lines", F.lit(start_row - 1)).alias("h")).distinct().limit(2).collect()
+    if len(header) != 1 or not header[0].h:
+        raise ValueError(f"expected one header in line {start_row} of all files, found {[r.h for r in header]}")
+    names = next(csv.reader([header[0].h.lstrip("\ufeff")]))
+    rows = files.select(F.explode(F.slice("lines", start_row + 1, F.size("lines"))).alias("line")).filter("line <> ''")
+    table = rows.select(F.from_csv("line", ", ".join(f"`{n}` string" for n in names)).alias("r")).select("r.*")
+    if schema is None:
+        return table
+    kinds = schema if isinstance(schema, T.StructType) else spark.createDataFrame([], schema).schema
+    return table.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in kinds])
+
+
 def read_typed(spark: SparkSession, path: str | Sequence[str], columns: dict[str, str]) -> DataFrame:
     """CSV table whose columns are matched by name and typed, e.g. `{"Year": "int"}`.
 

@@ -64,3 +64,17 @@ def test_metadata_priority(spark):
         ("a", "511", 2010, "WPP-2005. Medium fertility variant "),
         ("a", "561", 2000, "WUP-2001"),
     ]
+
+
+def test_difference_of_two_cubes(spark):
+    first = cube(spark, ("a", "511", 1950, 1), ("a", "511", 1951, None), ("a", "511", 1951, None))
+    second = cube(spark, ("a", "511", 1950, 2), ("a", "511", 1951, None))
+    got = rows(reconcile.cube_difference(first, second, ["geographicAreaM49", "timePointYears", "Value"]))
+    assert got == [("a", 1950, 1.0, "first"), ("a", 1950, 2.0, "second")]
+
+
+def test_totals_by_validity(spark):
+    df = cube(spark, ("a", "511", 1950, 1), ("b", "511", 1950, 2), ("c", "511", 1950, 4), ("c2", "511", 1950, 4))
+    spans = table(spark, "m49 string, start_year int, end_year int", ("a", None, 1990), ("b", None, 1990), ("b", 1991, None))
+    got = rows(reconcile.totals_by_validity(df, spans, ["c2"]))
+    assert got == [("all", 3, 7.0), ("ended", 1, 1.0), ("open", 2, 6.0)]

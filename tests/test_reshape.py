@@ -97,3 +97,10 @@ def test_splice_and_overlap(spark):
 def test_edge_turns_decimals_into_doubles(spark):
     df = table(spark, "v decimal(28,6), k int", (Decimal("1.5"), 1))
     assert reshape.to_edge(df).dtypes == [("v", "double"), ("k", "int")]
+
+
+def test_recode_that_drops_unmapped_codes(spark):
+    df = table(spark, "c string, v int", ("a", 1), ("b", 2), (None, 3))
+    pairs = table(spark, "old string, new string", ("a", "x"))
+    assert rows(reshape.recode(df, "c", pairs, keep_unmapped=False)) == [("x", 1)]
+    assert rows(reshape.recode(df, "c", {"a": "x"}, keep_unmapped=False)) == [("x", 1)]

@@ -115,3 +115,11 @@ def test_reports_and_rule_tables(spark):
     assert rows(read_rules(stored, ["code"], var_type="area", master_domain="P")) == [("011",), ("011",)]
     write_report(rules, f"{path}/report")
     assert rows(read_wide(spark, f"{path}/report"), "code") == [("011",), ("2",)]
+
+
+def test_header_below_a_preamble(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\ufeffnotes\nmore, notes\nCode,Name\n004,\"x, y\"\n\n008,z\n", encoding="utf-8")
+    assert rows(read_wide(spark, str(tmp_path), start_row=3)) == [("004", "x, y"), ("008", "z")]
+    (tmp_path / "b.csv").write_text("notes\nmore\nOther,Name\n1,2\n", encoding="utf-8")
+    with pytest.raises(ValueError):
+        read_wide(spark, str(tmp_path), start_row=3)
