@@ -9,8 +9,8 @@ its band takes part in the next band as well.
 Two sets could agree on nothing but empty pieces. Where that is not out of the question (few parts, or many empty
 pieces), a set adds its prefix tokens, of which similar sets share one in any case.
 
-Equal sets are one node. Nodes that share signatures are compared exactly, with the first of the bucket first, and what is
-linked already is not compared again; rounds take more first members until no bucket has members of two components.
+Equal sets are one node. Each node is compared with the first ones of its buckets; then, in buckets that still have members
+of two components, those with each other. Sizes and sketches rule out most pairs; the rest are compared exactly.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tallycube.llm.common import bit_filter, passes, quoted, slices, texts_of, written
 from tallycube.llm.components import components
@@ -37,7 +37,10 @@ PER_TASK = 1_500_000  # signatures dealt to a task
 DOCS = "doc_id long, text_hash long, n_shingles long, node long"
 BUNDLES = "part long, nodes binary, signatures binary"
 SHARED = "signature long, first long, node long"
-SETS = "node long, shingles array<long>"
+SETS = "node long, size long, sketch binary, shingles array<long>"
+SKETCHED = "a long, b long"
+TOLD = 8  # signatures by which a pair that shares many is told once
+BLOCK = 2000  # members of a bucket that a task compares with each other, or with as many others
 
 
 class Bands:
@@ -106,6 +109,27 @@ def signatures(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parities of how many members fall on each bit, of at least two bits for each member. Two sets differ in at least
+    as many members as their sketches differ in bits; a sketch is halved by folding one half onto the other."""
+    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length())
+    at = mix(shingles + np.uint64(17)) & np.uint64(bits - 1)
+    odd = np.bincount(at.astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.uint64)
+
+
+def folded(a: np.ndarray, words: int) -> np.ndarray:
+    while a.shape[-1] > words:
+        half = a.shape[-1] // 2
+        a = a[..., :half] ^ a[..., half:]
+    return a
+
+
+def may_be_similar(differing: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of `sizes` members together can be similar enough if they differ in `differing` members at least."""
+    return differing * (100 + percent) <= sizes * (100 - percent)
+
+
 def _batch(schema: str, *columns) -> pa.RecordBatch:
     kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64())}
     fields = [f.split() for f in schema.split(", ")]
@@ -125,7 +149,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 def _bundles(batches: Iterator[pa.RecordBatch], size: int, percent: int, parts: int) -> Iterator[pa.RecordBatch]:
     bands = Bands(percent)
     for batch in batches:
-        for _, texts in slices(batch.column(0), 16_000_000):
+        for _, texts in slices(batch.column(0)):
             nodes, found = [], []
             for s in sets_of(texts, size):
                 if len(s):
@@ -173,7 +197,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, signatures_ in zip(texts_of(batch.column(1)), texts_of(batch.column(2)), strict=True):
             some.append((np.frombuffer(signatures_, np.int64), np.frombuffer(nodes, np.int64)))
             size += len(some[-1][0])
-        if size > 4 * PER_TASK:
+        if size > PER_TASK:
             yield compact()
             some, size = [], 0
     yield compact()
@@ -185,21 +209,106 @@ def _sets(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.R
         chosen = np.flatnonzero(passes(shared.value, hashes))
         for _, texts in slices(batch.column(0).take(pa.array(chosen))):
             sets = [s for s in sets_of(texts, size) if len(s)]
-            yield _batch(SETS, [node_of(s) for s in sets], [s.view(np.int64) for s in sets])
+            yield _batch(SETS, [node_of(s) for s in sets], list(map(len, sets)), [sketch(s).tobytes() for s in sets], [s.view(np.int64) for s in sets])
+
+
+def _by_sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) that their sketches do not rule out."""
+    for batch in batches:
+        a, b, na, nb = (batch.column(k).to_numpy() for k in range(4))
+        sa, sb = ([np.frombuffer(x, np.uint64) for x in texts_of(batch.column(k))] for k in (4, 5))
+        words = [min(len(x), len(y)) for x, y in zip(sa, sb, strict=True)]
+        apart = np.array([int(np.bitwise_count(folded(x, w) ^ folded(y, w)).sum()) for x, y, w in zip(sa, sb, words, strict=True)], np.int64)
+        kept = may_be_similar(apart, na + nb, percent) if len(a) else np.zeros(0, bool)
+        yield _batch(SKETCHED, a[kept], b[kept])
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    na, nb = F.size("of_a"), F.size("of_b")
+    """The pairs (a, b) whose sets are similar enough: sizes first, then sketches, then the sets themselves."""
+    brief = lambda c: sets.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("sketch").alias(f"s{c}"))
+    sized = pairs.join(brief("a"), "a").join(brief("b"), "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    left = sized.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(lambda x: _by_sketch(x, percent), SKETCHED)
+    return _verified(left, sets, percent)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    whole = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"of_{c}"))
+    n = F.size("of_a") + F.size("of_b")
     both = F.size(F.array_intersect("of_a", "of_b"))
-    return (
-        pairs.join(b, "b")
-        .join(a, "a")
-        .filter((100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (100 * both >= percent * (na + nb - both)))
-        .select("a", "b")
+    return pairs.join(whole("b"), "b").join(whole("a"), "a").filter(100 * both >= percent * (n - both)).select("a", "b")
+
+
+def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components in each bucket that sizes and sketches do not rule out. Rows come sorted by bucket.
+
+    A pair may share hundreds of buckets. Each node knows the smallest signatures of its buckets; where two have one of
+    those in common, the pair is told in the bucket of the smallest such signature only.
+    """
+    held: list[tuple] = []
+    bucket = None
+
+    def pairs() -> pa.RecordBatch:
+        node, root, size, side, same = (np.array(c) for c in zip(*(r[:5] for r in held), strict=True))
+        sketches = [np.frombuffer(r[5], np.uint64) for r in held]
+        smallest = np.array([[*r[6], *[-k] * (TOLD - len(r[6]))] for k, r in enumerate(held, 1)], np.int64)
+        known = np.array([[True] * len(r[6]) + [False] * (TOLD - len(r[6])) for r in held])
+        words = min(map(len, sketches))
+        bits = np.stack([folded(x, words) for x in sketches])
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        step = max(1, 4_000_000 // (len(held) * words))
+        for at in range(0, len(held), step):
+            rows = slice(at, min(len(held), at + step))
+            small = np.minimum(size[rows, None], size[None]) * 100 >= percent * np.maximum(size[rows, None], size[None])
+            ask = small & (root[rows, None] != root[None]) & (node[rows, None] < node[None]) & (same[rows, None] | (side[rows, None] != side[None]))
+            i, j = np.nonzero(ask)
+            for cut in range(0, len(i), 500_000):
+                x, y = i[cut : cut + 500_000] + at, j[cut : cut + 500_000]
+                apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+                kept = may_be_similar(apart, size[x] + size[y], percent)
+                x, y = x[kept], y[kept]
+                both = (smallest[x][:, :, None] == smallest[y][:, None, :]) & known[x][:, :, None] & known[y][:, None, :]
+                first = np.where(both.any(2), smallest[x], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max)
+                here = ~both.any((1, 2)) | (first == bucket[0])
+                found.append((node[x[here]], node[y[here]]))
+        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
+        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
+        return _batch(SKETCHED, a, b)
+
+    for batch in batches:
+        for signature, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (signature, low, high) != bucket:
+                if len(held) > 1:
+                    yield pairs()
+                held, bucket = [], (signature, low, high)
+            held.append((*row[:4], low == high, *row[4:]))
+    if len(held) > 1:
+        yield pairs()
+
+
+def _left_in_buckets(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in buckets of three members or more, as far as sizes and sketches allow.
+
+    Buckets with the same members count once. A bucket is cut into blocks of about BLOCK members, and each two blocks
+    meet in one place, so that no task holds more than two.
+    """
+    rooted = _rooted(members, roots, "node", "root")
+    buckets = rooted.groupBy("signature").agg(
+        F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.bit_xor(F.xxhash64("node")).alias("print"), F.min("node").alias("least")
+    )
+    mixed = buckets.filter("n > 2 and low <> high").groupBy("n", "print", "least").agg(F.min("signature").alias("signature"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    found = written(rooted.join(mixed.select("signature", "n"), "signature"), "mixed")
+    told = found.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("signature")), 1, TOLD).alias("told"))
+    rows = (
+        found.withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("signature", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "root", "own")
+        .join(told.join(sets.select("node", "size", "sketch"), "node"), "node")
+        .select("signature", "i", "j", "node", "root", "size", "own", "sketch", "told")
     )
+    dealt = rows.repartition("signature", "i", "j").sortWithinPartitions("signature", "i", "j")
+    return dealt.mapInArrow(lambda b: _compare(b, percent), SKETCHED).distinct()
 
 
 def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
@@ -227,7 +336,7 @@ def join_similar(
     source = documents.select(quoted(doc_id).cast("long").alias("doc_id"), quoted(text).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
     docs = written(source.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _nodes(b, size), DOCS), "nodes")
     total = docs.agg(F.sum("n_shingles")).first()[0] or 0
-    parts = max(8, -(-total // (2 * PER_TASK)))
+    parts = max(8, -(-total // PER_TASK))
     bundles = source.select("text").mapInArrow(lambda b: _bundles(b, size, percent, parts), BUNDLES).repartition(parts, "part")
     shared = written(bundles.mapInArrow(_shared, SHARED).distinct(), "shared")
     members = shared.select("signature", "node").unionByName(shared.select("signature", F.col("first").alias("node"))).distinct()
@@ -238,23 +347,11 @@ def join_similar(
         source.select("text", "text_hash").mapInArrow(lambda b: _sets(b, marked, size), SETS).join(active, "node", "left_semi").dropDuplicates(["node"]),
         "sets",
     )
-    # The first round compares each node with the smallest of the first ones of its buckets, the second with all of them.
-    pairs = shared.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("a"))
-    roots = components(_linked(pairs, sets, percent))
-    apart = _apart(shared.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct(), roots)
-    roots = _grown(roots, written(_linked(apart, sets, percent), "links"))
-    members, firsts, left = members.join(shared.select("signature", F.col("first").alias("node")).distinct(), ["signature", "node"], "left_anti"), 1, 1
-    while left:
-        members = written(_mixed(members, roots), "members")
-        left = members.limit(1).count()
-        if not left:
-            break
-        ranked = members.withColumn("rank", F.row_number().over(Window.partitionBy("signature").orderBy("node")))
-        front = ranked.filter(F.col("rank") <= firsts).select("signature", F.col("node").alias("a"), F.col("rank").alias("ra"))
-        pairs = ranked.join(front, "signature").filter("rank > ra").select("a", F.col("node").alias("b")).distinct()
-        roots = _grown(roots, written(_linked(_apart(pairs, roots), sets, percent), "links"))
-        members = ranked.filter(F.col("rank") > firsts).select("signature", "node")
-        firsts *= 2
+    # Each node is compared with the first ones of its buckets, then what is left in buckets of several components.
+    pairs = shared.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    roots = components(written(_linked(pairs, sets, percent), "links"))
+    rest = written(_left_in_buckets(members, roots, sets, percent), "pairs")
+    roots = _grown(roots, written(_verified(rest, sets, percent), "links"))
     named = docs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, "root", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
@@ -265,18 +362,6 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
     return df.join(at, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """The pairs whose nodes are in different components so far."""
-    return _rooted(_rooted(pairs, roots, "a", "ra"), roots, "b", "rb").filter("ra <> rb").select("a", "b")
-
-
-def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of buckets that have members of two components."""
-    rooted = _rooted(members, roots, "node", "root")
-    mixed = rooted.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("signature")
-    return members.join(mixed, "signature", "left_semi")
-
-
 def keep_one(documents: DataFrame, joined: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: the one with the smallest id. A row without an id, or repeated, is kept as it is
     only where it has the id of its component."""
