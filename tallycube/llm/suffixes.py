@@ -28,9 +28,9 @@ LENGTH = 50
 GRAM = 20
 FILTER_BITS = 26  # 8 MB: marks the hashes that occur in two documents
 MOST_STRINGS = 200  # strings in one segment
-SHARD = 8_000_000  # bytes
+SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
-PER_TASK = 24_000_000  # bytes of text for each task that segments are dealt to
+PER_TASK = 6_000_000  # bytes of text for each task that segments are dealt to
 
 HASHES = "part long, hashes binary"
 SEGMENTS = "part long, docs binary, keys binary, starts binary, ends binary, text binary"
@@ -76,7 +76,8 @@ def segments_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(head)
     last = np.append(first[1:], len(at)) - 1
     start = at[first] - bounds[of[first]]
-    return value[first], of[first], start, start + (last - first)
+    # Smallest hashes are small numbers; mixed again they are spread evenly over tasks and over the filter.
+    return mix(value[first]), of[first], start, start + (last - first)
 
 
 def _dealt(values: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -154,7 +155,7 @@ def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int) -> Iterator
                     smallest[raw] = doc
             sent = [k for k, (raw, o) in enumerate(zip(raws, of, strict=True)) if smallest[raw] == ids[at + o]]
             gone = _joined([(ids[at + of[k]], keys[at + of[k]], first[k], last[k] + LENGTH) for k in range(len(of)) if smallest[raws[k]] < ids[at + of[k]]])
-            rows = [_bundle(0, gone, b"")] if gone else []
+            rows = [_bundle(gone[0][1] % parts, gone, b"")] if gone else []
             if sent:
                 at_sent = np.array(sent)
                 for p, some in _dealt(value[at_sent], parts):
@@ -176,27 +177,29 @@ def _joined(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int
     return out
 
 
-def suffix_array(data: np.ndarray, upto: int) -> np.ndarray:
-    """Suffixes of `data` in order of their first `upto` bytes at least.
+def suffix_array(data: np.ndarray) -> np.ndarray:
+    """Suffixes of `data` in order.
 
-    Ranks by eight bytes come first. Then each round sorts the suffixes that share a rank by the rank of what follows,
-    which doubles the sorted length; suffixes alone in their rank are left alone.
+    Ranks by seven bytes come first. Then each round sorts the suffixes that share a rank by the rank of what follows,
+    which doubles the sorted length; suffixes alone in their rank are left alone. The order has to be complete: Kasai's
+    scan relies on it.
     """
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << np.uint64(8)) | padded[k : n + k]
+    # The end of the data is less than any byte.
+    padded = np.concatenate([data.astype(np.int64) + 1, np.zeros(7, np.int64)])
+    key = np.zeros(n, np.int64)
+    for k in range(7):
+        key = key * 257 + padded[k : n + k]
     order = np.argsort(key, kind="stable")
     head = np.ones(n, bool)
     head[1:] = key[order[1:]] != key[order[:-1]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1
     rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
-    sorted_ = 8
-    while sorted_ < upto:
+    sorted_ = 7
+    while sorted_ < n:
         alone = head & np.append(head[1:], True)
         open_ = np.flatnonzero(~alone)
         if not len(open_):
@@ -253,39 +256,39 @@ class Shard:
         self.data = np.frombuffer(b"".join(t for t, _ in segments), np.uint8)
         lengths = np.array([len(t) for t, _ in segments], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(lengths)])
-        self.owner = np.repeat(np.arange(len(segments)), lengths)
-        order = suffix_array(self.data, LENGTH)
+        order = suffix_array(self.data)
+        owner = np.searchsorted(self.bounds, order, side="right") - 1
         shared = common_prefixes(self.data, order, self.bounds[:-1], self.bounds[1:], LENGTH)[order]
-        whole = self.bounds[1:][self.owner[order]] - order >= LENGTH
+        whole = self.bounds[1:][owner] - order >= LENGTH
         at = np.flatnonzero(whole)
         # Between two whole strings, the shortest common prefix on the way counts.
         least = np.minimum.reduceat(shared, np.concatenate([[0], at[:-1] + 1])) if len(at) else shared
-        self.place = order[at]
+        self.place = order[at].astype(np.int32)
         head = least < LENGTH
         if len(head):
             head[0] = True
-        self.group = np.cumsum(head) - 1
+        self.group = (np.cumsum(head) - 1).astype(np.int32)
         self.heads = self.place[head]
-        docs = self.rows[:, 0][self.owner[self.place]]
+        docs = self.rows[:, 0][owner[at]]
         self.smallest = np.minimum.reduceat(docs, np.flatnonzero(head)) if len(head) else docs
         self.docs = docs
 
     def strings(self) -> np.ndarray:
         """The distinct strings in order; a last byte keeps numpy from dropping trailing zeros."""
-        table = self.data[self.heads[:, None] + np.arange(LENGTH)]
+        table = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)[self.heads]
         return np.concatenate([table, np.ones((len(table), 1), np.uint8)], 1).copy().view(f"S{LENGTH + 1}").ravel()
 
     def gone(self) -> np.ndarray:
         """Ranges (doc, key, start, end) of the bytes that go."""
         covered = self.place[self.docs > self.smallest[self.group]]
         n = len(self.data)
-        change = np.bincount(covered, minlength=n + 1) - np.bincount(covered + LENGTH, minlength=n + 1)
+        change = (np.bincount(covered, minlength=n + 1) - np.bincount(covered + LENGTH, minlength=n + 1)).astype(np.int32)
         inside = np.cumsum(change)[:n] > 0
         edge = np.zeros(n + 1, bool)
         edge[self.bounds] = True
         begin = np.flatnonzero(inside & (edge[:n] | ~np.concatenate([[False], inside[:-1]])))
         end = np.flatnonzero(inside & (edge[1:] | ~np.append(inside[1:], False))) + 1
-        own = self.owner[begin]
+        own = np.searchsorted(self.bounds, begin, side="right") - 1
         shift = self.rows[own, 2] - self.bounds[own]
         return np.stack([self.rows[own, 0], self.rows[own, 1], begin + shift, end + shift], 1)
 
@@ -312,14 +315,14 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges that go, from the segments of a task. Equal segments are kept once, with the smallest id."""
     kept: dict[bytes, list[tuple[int, int, int, int]]] = {}
     for batch in batches:
-        gone = []
         for row in zip(*(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
-            told = np.stack([np.frombuffer(c, np.int64) for c in row[:4]], 1).tolist()
+            told = np.stack([np.frombuffer(c, np.int64) for c in row[:4]], 1)
             if not row[4]:
-                gone += told
+                yield _removed_batch(told)
                 continue
+            gone = []
             at = 0
-            for range_ in map(tuple, told):
+            for range_ in map(tuple, told.tolist()):
                 text = row[4][at : at + range_[3] - range_[2]]
                 at += len(text)
                 old = kept.get(text)
@@ -330,8 +333,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     old.append(range_)
                 else:
                     gone.append(range_)
-        if gone:
-            yield _removed_batch(np.array(gone, np.int64))
+            if gone:
+                yield _removed_batch(np.array(gone, np.int64))
     flat = [(text, r) for text, ranges in kept.items() for r in ranges]
     kept = {}
     shards, first, size = [], 0, 0
