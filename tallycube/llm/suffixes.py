@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,7 +130,8 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _bundle(part: int, rows: list[tuple[int, int, int, int]], text: bytes) -> tuple:
     a = np.array(rows, np.int64).reshape(-1, 4)
-    return part, *(np.ascontiguousarray(a[:, k]).tobytes() for k in range(4)), text
+    packed = zstandard.ZstdCompressor().compress
+    return part, *(packed(np.ascontiguousarray(a[:, k]).tobytes()) for k in range(4)), packed(text)
 
 
 def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -314,8 +316,10 @@ def _removed_batch(rows: np.ndarray) -> pa.RecordBatch:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges that go, from the segments of a task. Equal segments are kept once, with the smallest id."""
     kept: dict[bytes, list[tuple[int, int, int, int]]] = {}
+    unpacked = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        for row in zip(*(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
+        for packed in zip(*(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
+            row = [unpacked(p) for p in packed]
             told = np.stack([np.frombuffer(c, np.int64) for c in row[:4]], 1)
             if not row[4]:
                 yield _removed_batch(told)
