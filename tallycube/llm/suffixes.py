@@ -263,8 +263,8 @@ class Shard:
         shared = common_prefixes(self.data, order, self.bounds[:-1], self.bounds[1:], LENGTH)[order]
         whole = self.bounds[1:][owner] - order >= LENGTH
         at = np.flatnonzero(whole)
-        # Between two whole strings, the shortest common prefix on the way counts.
-        least = np.minimum.reduceat(shared, np.concatenate([[0], at[:-1] + 1])) if len(at) else shared
+        # Between two whole strings, the shortest common prefix on the way counts. What follows the last of them does not.
+        least = np.minimum.reduceat(shared[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1])) if len(at) else at
         self.place = order[at].astype(np.int32)
         head = least < LENGTH
         if len(head):

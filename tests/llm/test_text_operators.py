@@ -355,6 +355,16 @@ def test_shards_are_merged():
     assert [s.gone().tolist() for s in shards] == [[[5, 0, 20, 120]], []]
 
 
+def test_last_whole_string_of_a_shard(table):
+    # The shared string is the greatest of those of 50 bytes, and shorter suffixes come after it.
+    same = "zuakaneqctemapaselcoerakaneqctemapaselcoerakaneqct"
+    rows = [(1, f"p{same}a zz"), (2, f"r{same}b zz")]
+    got = suffixes.remove_repeats(table(rows))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()) == brute.removed(rows)
+    segments = [(t.encode(), (d, 0, 0, len(t))) for d, t in rows]
+    assert suffixes.Shard(segments).gone().tolist() == [[2, 0, 1, 51]]
+
+
 def test_suffix_dedup_odd_rows(table):
     long = texts.prose(1, 100)
     rows = [(None, long), (2, long), (2, long), (3, long), (None, None)]
