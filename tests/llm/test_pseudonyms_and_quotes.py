@@ -57,6 +57,23 @@ def test_invalid_values_stay(table):
     assert replaced(table, INVALID) == (INVALID, [[] for _ in INVALID])
 
 
+def test_cards_and_ibans_beside_other_numbers(table):
+    card, iban = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+    values = [card, f"{card} 123", f"{card} 12/26", f"no 12 {card}", "no 12 4111111111111111", f"{card} 5500 0000 0000 0004"]
+    values += [f"{card} 2024-01-01", f"{card} 123-45-6789", f"{card} 212-555-0187", f"212-555-0187 {card}", f"AB12 {card}", f"{card} 7 apples", f"{card} 12ab"]
+    values += [iban, f"{iban} {card}", f"BE68 5390 0754 7034 {card}", f"BE68 5390 0754 7034 USD", f"{iban} 123-45-6789", "NO93 8601 1117 947", "DE88 3704 0044 0532 0130 00"]
+    new, kinds = replaced(table, values)
+    assert kinds[:6] == [["card"]] * 5 + [["card", "card"]]
+    assert kinds[6:13] == [["card", "date"], ["card", "ssn"], ["card", "phone"], ["phone", "card"], ["card"], ["card"], ["card"]]
+    assert kinds[13:] == [["iban"], ["iban", "card"], ["iban", "card"], ["iban"], ["iban", "ssn"], ["iban"], []]
+    moved = new[0]
+    assert luhn(moved) and new[1] == f"{moved} 123" and new[2] == f"{moved} 12/26" and new[3] == f"no 12 {moved}" and new[-1] == values[-1]
+    assert new[10] == f"AB12 {moved}" and new[11] == f"{moved} 7 apples" and new[14] == f"{new[13]} {moved}" and new[17].startswith(f"{new[13]} ")
+    plain = new[13].replace(" ", "")
+    assert new[13] != iban and re.sub(r"\d", "9", new[13]) == re.sub(r"\d", "9", iban)
+    assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
 def test_equal_values_stay_linked_and_different_ones_apart(table):
     days = [(datetime.date(1900, 1, 1) + datetime.timedelta(n)).isoformat() for n in range(0, 73049, 61)]
     octets = [f"10.0.{n // 256}.{n % 256}" for n in range(600)]
