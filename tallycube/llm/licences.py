@@ -1,9 +1,12 @@
 """Licence scan: parts of a text compared with licence templates by Dice's coefficient over word bigrams.
 
-Parts are the lines, the blocks between blank lines, and the whole text. A part and a template are normalised to words of
+Parts are the lines, the blocks between blank lines, the whole text, and runs of lines (so of blocks, too). A part and a template are normalised to words of
 a to z and 0 to 9. Dice's coefficient 2|A and B| / (|A| + |B|) is bounded by the sizes of the two sets, so a part is compared
 only with templates of about its size, and only if it has enough bigrams that occur in any template. Everything is a
 Spark SQL expression, within the row.
+
+Runs are formed only for templates of which the text as a whole has enough bigrams. A run starts and ends with a line that
+has a bigram of the template: without other lines at its ends the coefficient is no smaller.
 """
 
 from __future__ import annotations
@@ -112,10 +115,68 @@ def _parts(text: Column) -> Column:
     return F.array_distinct(F.concat(lines, blocks, F.array(text)))
 
 
+SPAN = 4  # bigrams in a run, repeated ones too, for each bigram of the template; 1.5 distinct ones is the bound of Dice
+
+
+def _runs(runs: Column, percent: int) -> list:
+    """Steps from the text's lines, as words, to its matches in runs of two or more lines. Each works on the one struct of
+    an array, so that nothing is computed again for each element."""
+
+    def placed(x: Column) -> Column:
+        owner = F.flatten(F.transform(x["lines"], lambda w, i: F.array_repeat(i, F.size(w))))
+        return F.struct(x["near"].alias("near"), F.flatten(x["lines"]).alias("words"), owner.alias("owner"))
+
+    def bounded(x: Column) -> Column:
+        n = F.size(x["words"])
+        at = F.sequence(F.lit(0), n - 1)
+        owner = lambda k: F.get(x["owner"], k)
+        pairs = F.zip_with(F.slice(x["words"], F.lit(1), n - 1), F.slice(x["words"], F.lit(2), n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+        first = F.filter(at, lambda k: (k == 0) | (owner(k) != owner(k - 1)))
+        last = F.filter(at, lambda k: (k == n - 1) | (owner(k) != owner(k + 1)))
+        return F.struct(x["near"].alias("near"), pairs.alias("pairs"), x["owner"].alias("owner"), first.alias("first"), last.alias("last"))
+
+    def hits(x: Column) -> Column:
+        def of(t: Column) -> Column:
+            at = F.filter(F.transform(x["pairs"], lambda b, k: F.when(F.array_contains(t["bigrams"], b), k)), lambda k: k.isNotNull())
+            return F.struct(t.alias("t"), x["pairs"].alias("pairs"), x["owner"].alias("owner"), x["first"].alias("first"), x["last"].alias("last"), at.alias("at"))
+
+        return F.transform(x["near"], of)
+
+    def ends(x: Column) -> Column:
+        starts = F.array_distinct(F.transform(x["at"], lambda k: F.get(x["owner"], k)))
+        stops = F.array_distinct(F.transform(x["at"], lambda k: F.get(x["owner"], k + 1)))
+        return F.struct(
+            x["t"].alias("t"),
+            x["pairs"].alias("pairs"),
+            F.transform(starts, lambda i: F.struct(i.alias("line"), F.get(x["first"], i).alias("at"))).alias("starts"),
+            F.transform(stops, lambda j: F.struct(j.alias("line"), F.get(x["last"], j).alias("at"))).alias("stops"),
+        )
+
+    def compared(x: Column) -> Column:
+        t = x["t"]
+
+        def from_(a: Column) -> Column:
+            near = F.filter(x["stops"], lambda z: (z["line"] > a["line"]) & (z["at"] - a["at"] <= SPAN * t["size"]))
+            return F.transform(near, lambda z: F.array_distinct(F.slice(x["pairs"], a["at"] + 1, z["at"] - a["at"])))
+
+        counted = F.transform(F.flatten(F.transform(x["starts"], from_)), lambda b: F.struct(F.size(b).alias("size"), F.size(F.array_intersect(b, t["bigrams"])).alias("both")))
+        dice = lambda p: F.struct((2.0 * p["both"] / (t["size"] + p["size"])).cast("double").alias("dice"), t["name"].alias("name"), (200 * p["both"] >= percent * (t["size"] + p["size"])).alias("match"))
+        return F.filter(F.transform(counted, dice), lambda m: m["match"])
+
+    return [
+        lambda: F.transform(runs, placed),
+        lambda: F.transform(runs, bounded),
+        lambda: F.flatten(F.transform(runs, hits)),
+        lambda: F.transform(runs, ends),
+        lambda: F.flatten(F.transform(runs, compared)),
+    ]
+
+
 def scan(documents: DataFrame, text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, percent: int = PERCENT) -> DataFrame:
     """Documents with `licences` (names matched by any part, sorted), `best_licence` and `best_dice` (the largest
     coefficient of all parts; a tie goes to the name first in order).
 
+    Runs of lines with over SPAN times the bigrams of a template, repeated ones counted, are not compared with it.
     A null or empty text matches nothing: no names, null for the best. Repeated rows are scanned each; columns named like
     the output are replaced; an empty table gives no rows. Templates with fewer than two words are left out.
     """
@@ -148,14 +209,30 @@ def scan(documents: DataFrame, text: str = "text", templates: list[tuple[str, st
 
         return F.filter(F.transform(F.filter(literal, alike), compared), lambda m: m["match"])
 
+    def near(whole: Column) -> Column:
+        """Templates of which a part of the text can have enough: both >= percent / 200 * (size + both)."""
+        enough = lambda t, n: (200 - percent) * n >= percent * t["size"]
+        return F.filter(literal, lambda t: enough(t, F.size(whole["known"])) & enough(t, F.size(F.array_intersect(whole["known"], t["bigrams"]))))
+
+    lines = F.filter(F.transform(F.split(raw, "\n", -1), words), lambda w: w[0] != "")
     steps = [
         lambda: F.transform("_parts", words),
         lambda: F.transform("_parts", bigrams),
         lambda: F.transform("_parts", shared),
+    ]
+    df = source.withColumn("_parts", _parts(raw))
+    for step in steps:
+        df = df.withColumn("_parts", step())
+    # The whole text is the last of the parts.
+    df = df.withColumn("_runs", near(F.element_at("_parts", -1)))
+    df = df.withColumn("_runs", F.when((F.size("_runs") > 0) & F.contains(raw, F.lit("\n")), F.array(F.struct(F.col("_runs").alias("near"), lines.alias("lines")))))
+    for step in _runs(F.col("_runs"), percent):
+        df = df.withColumn("_runs", F.when(F.size("_runs") > 0, step()))
+    steps = [
         lambda: F.filter("_parts", lambda p: 200 * F.size(p["known"]) >= percent * (p["size"] + least)),
         lambda: F.flatten(F.transform("_parts", matches)),
+        lambda: F.when(F.size("_runs") > 0, F.concat("_parts", "_runs")).otherwise(F.col("_parts")),
     ]
-    df = source.withColumn("_parts", _parts(raw))
     for step in steps:
         df = df.withColumn("_parts", step())
     best = F.array_max(F.transform("_parts", lambda m: m["dice"]))

@@ -244,6 +244,21 @@ def test_licences_in_lines_blocks_and_texts(table):
     assert licences.scan(table([])).count() == 0
 
 
+def test_licences_of_several_blocks_in_a_long_text(table):
+    def blocks(text, *starts):
+        for start in starts:
+            text = text.replace(f" {start}", f"\n\n{start}")
+        return text
+
+    known = {name: t for name, t in licences.TEMPLATES}
+    mit = blocks(known["MIT"], "The above copyright", "THE SOFTWARE IS")
+    gpl = blocks(known["GPL-3.0-or-later"], "This program is distributed")
+    around = [texts.prose(k, 2000) for k in range(2)]
+    rows = [(k, f"{around[0]}\n\n{t}\n\n{around[1]}") for k, t in enumerate([mit, gpl, mit.replace(", ", ",\n"), mit[: len(mit) // 3], "Licensed under\nthe MIT License"])]
+    got = {r.doc_id: (list(r.licences), r.best_licence) for r in licences.scan(table(rows)).collect()}
+    assert got == {0: (["MIT"], "MIT"), 1: (["GPL-3.0-or-later", "LGPL-3.0-or-later"], "GPL-3.0-or-later"), 2: (["MIT"], "MIT"), 3: ([], None), 4: (["MIT"], "MIT")}
+
+
 # 8 near copies
 
 
