@@ -4,7 +4,9 @@ A byte of a document goes when a string of LENGTH bytes over it also starts in a
 
 Strings are first dealt to tasks by content: the smallest hash among the grams inside a string is the same wherever the
 string occurs, so equal strings meet in one task. Neighbouring strings mostly have the same smallest hash, and travel as
-one segment of text. Segments whose smallest hash occurs in one document only are left out beforehand.
+one segment of text. Segments whose smallest hash occurs in one document only are left out beforehand. Where a hash has
+HOT segments or more (a frequent gram in ever different surroundings), its strings travel one by one instead and are dealt
+by a hash of the whole string, to tasks of their own, so that no task gets all of them.
 
 A task joins its segments to shards of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and
 Sadakane; common prefixes come from Kasai's scan, run over all segments side by side; runs of suffixes with a common
@@ -14,6 +16,7 @@ binary search.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +25,7 @@ import zstandard
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm.common import bit_filter, passes, quoted, slices, texts_of
+from tallycube.llm.common import bit_filter, passes, quoted, slices, texts_of, written
 from tallycube.llm.shingles import BYTE_VALUE, mix, powers
 
 LENGTH = 50
@@ -32,8 +35,11 @@ MOST_STRINGS = 200  # strings in one segment
 SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
 PER_TASK = 6_000_000  # bytes of text for each task that segments are dealt to
+HOT = 20_000  # segments of one hash from which its strings are dealt one by one
+STRING_COST = 1_500  # bytes of the strings of a segment, about: 31 of 50 bytes
 
-HASHES = "part long, hashes binary"
+HASHES = "part long, hashes binary, often binary"
+FREQUENT = "hash long, load long"
 SEGMENTS = "part long, docs binary, keys binary, starts binary, ends binary, text binary"
 REMOVED = "doc_id long, text_hash long, start int, end int"
 OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
@@ -82,17 +88,32 @@ def segments_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
 
 
 def _dealt(values: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    part = (((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    return _grouped((((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64))
+
+
+def _grouped(part: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(part, kind="stable")
-    cuts = np.searchsorted(part[order], np.arange(parts + 1))
-    for p in np.flatnonzero(np.diff(cuts)).tolist():
-        yield p, order[cuts[p] : cuts[p + 1]]
+    cuts = np.append(np.flatnonzero(np.diff(part[order], prepend=-1)), len(part)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        yield int(part[order[a]]), order[a:b]
+
+
+def _often(texts: list[bytes], value: np.ndarray, of: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Rows (hash, number of further segments) of the hashes, in order, that have over two distinct segments here."""
+    head = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    counts = np.diff(np.append(head, len(value)))
+    rows = []
+    for a, n in zip(head[counts > 2].tolist(), counts[counts > 2].tolist(), strict=True):
+        distinct = {texts[o][x : y + LENGTH] for o, x, y in zip(of[a : a + n].tolist(), first[a : a + n].tolist(), last[a : a + n].tolist(), strict=True)}
+        if len(distinct) > 2:
+            rows.append((value[a], len(distinct) - 2))
+    return np.array(rows, np.uint64).reshape(-1, 2)
 
 
 def _hashes(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, texts in slices(batch.column(0), SLICE):
-            value, of, _, _ = segments_of(texts)
+            value, of, first, last = segments_of(texts)
             order = np.lexsort((of, value))
             value, of = value[order], of[order]
             new = np.ones(len(value), bool)
@@ -103,29 +124,54 @@ def _hashes(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Record
             second = np.flatnonzero(other)
             second = second[np.unique(value[second], return_index=True)[1]]
             told = value[np.concatenate([np.flatnonzero(new), second])]
-            rows = [(p, told[some].tobytes()) for p, some in _dealt(told, parts)]
+            more = _often(texts, value, of, first[order], last[order])
+            rows = [(p, told[some].tobytes(), b"") for p, some in _dealt(told, parts)]
+            rows += [(p, b"", np.ascontiguousarray(more[some]).tobytes()) for p, some in _dealt(more[:, 0], parts)]
             if rows:
-                p, raw = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(raw, pa.binary())], ["part", "hashes"])
+                p, raw, often = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(raw, pa.binary()), pa.array(often, pa.binary())], ["part", "hashes", "often"])
+
 
+def _frequent(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.RecordBatch]:
+    """Hashes that occur twice, each once with load 0, and those of `hot` segments or more once again with their number."""
+    kept, times, load = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    some: list[np.ndarray] = []
+    often: list[np.ndarray] = []
+    size = 0
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes that occur twice. Each is kept once, and those known to be frequent are told once per round."""
-    kept, some, size = np.zeros(0, np.uint64), [], 0
+    def told(hashes: np.ndarray, number: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(number)], ["hash", "load"])
 
     def compact() -> pa.RecordBatch:
-        nonlocal kept
-        kept, times = np.unique(np.concatenate([kept, *some]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(kept[times > 1].view(np.int64))], ["hash"])
+        nonlocal kept, times, load
+        one = np.concatenate([np.zeros(0, np.uint64), *some])
+        more = np.concatenate([np.zeros((0, 2), np.uint64), *often])
+        values = np.concatenate([kept, one, more[:, 0]])
+        order = np.argsort(values, kind="stable")
+        values = values[order]
+        head = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else np.zeros(0, np.int64)
+
+        def summed(old: np.ndarray, ones: np.ndarray, extra: np.ndarray) -> np.ndarray:
+            return np.add.reduceat(np.concatenate([old, ones, extra])[order], head) if len(head) else old
+
+        ones, none = np.ones(len(one), np.int64), np.zeros(len(more), np.int64)
+        known = summed((times > 1).astype(np.int64), 0 * ones, none) > 0
+        times, load = summed(times, ones, none), summed(load, ones, more[:, 1].astype(np.int64))
+        kept = values[head]
+        new = kept[(times > 1) & ~known]
+        return told(new, np.zeros(len(new), np.int64))
 
     for batch in batches:
-        for raw in texts_of(batch.column(1)):
+        for raw, extra in zip(texts_of(batch.column(1)), texts_of(batch.column(2)), strict=True):
             some.append(np.frombuffer(raw, np.uint64))
-            size += len(some[-1])
+            often.append(np.frombuffer(extra, np.uint64).reshape(-1, 2))
+            size += len(some[-1]) + len(often[-1])
         if size > 4_000_000:
             yield compact()
-            some, size = [], 0
+            some, often, size = [], [], 0
     yield compact()
+    many = (load >= hot) & (times > 1)
+    yield told(kept[many], load[many])
 
 
 def _bundle(part: int, rows: list[tuple[int, int, int, int]], text: bytes) -> tuple:
@@ -140,15 +186,24 @@ def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "docs", "keys", "starts", "ends", "text"])
 
 
-def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int) -> Iterator[pa.RecordBatch]:
-    """Segments for the tasks to compare. Of equal segments of a slice one with the smallest id travels; of the others
+def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int, hot_parts: int) -> Iterator[pa.RecordBatch]:
+    """Segments for the tasks to compare, of hot hashes each string as one, for tasks of their own. Of equal segments of a slice one with the smallest id travels; of the others
     it is known here that they go: they travel without text."""
+    marked, hashes = shared.value
     for batch in batches:
         ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for at, texts in slices(batch.column(1), SLICE):
             value, of, first, last = segments_of(texts)
-            may = np.flatnonzero(passes(shared.value, value))
-            value, of, first, last = value[may], of[may].tolist(), first[may].tolist(), last[may].tolist()
+            may = np.flatnonzero(passes(marked, value))
+            value, of, first, last = value[may], of[may], first[may], last[may]
+            hot = np.isin(value, hashes)
+            if hot.any():
+                times = np.where(hot, last - first + 1, 1)
+                row = np.repeat(np.arange(len(value)), times)
+                value, of, hot = value[row], of[row], hot[row]
+                first = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+                last = np.where(hot, first, last[row])
+            of, first, last = of.tolist(), first.tolist(), last.tolist()
             smallest: dict[bytes, int] = {}
             raws = [texts[o][a : b + LENGTH] for o, a, b in zip(of, first, last, strict=True)]
             for raw, o in zip(raws, of, strict=True):
@@ -160,7 +215,10 @@ def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int) -> Iterator
             rows = [_bundle(gone[0][1] % parts, gone, b"")] if gone else []
             if sent:
                 at_sent = np.array(sent)
-                for p, some in _dealt(value[at_sent], parts):
+                part = (((value[at_sent] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+                for k in np.flatnonzero(hot[at_sent]).tolist():
+                    part[k] = parts + zlib.crc32(raws[sent[k]]) % hot_parts
+                for p, some in _grouped(part):
                     own = at_sent[some].tolist()
                     told = [(ids[at + of[k]], keys[at + of[k]], first[k], last[k] + LENGTH) for k in own]
                     rows.append(_bundle(p, told, b"".join(raws[k] for k in own)))
@@ -375,7 +433,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (runs of removed bytes), kept (the other bytes, in order).
 
     A null text is empty. Rows without an id have no place in the order: nothing is removed from them or because of
@@ -389,8 +447,13 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     total = known.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(4, -(-total // PER_TASK))
     hashes = known.select("text").mapInArrow(lambda b: _hashes(b, parts), HASHES).repartition(parts, "part")
-    shared = spark.sparkContext.broadcast(bit_filter(hashes.mapInArrow(_frequent, "hash long"), FILTER_BITS))
-    segments = known.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _segments(b, shared, parts), SEGMENTS).repartition(parts, "part")
+    frequent = written(hashes.mapInArrow(lambda b: _frequent(b, hot), FREQUENT), "hashes")
+    loads = frequent.filter("load > 0").toArrow()
+    hot_hashes, load = loads.column(0).to_numpy().view(np.uint64), int(loads.column(1).to_numpy().sum())
+    hot_parts = max(1, -(-load * STRING_COST // PER_TASK))
+    shared = spark.sparkContext.broadcast((bit_filter(frequent.select("hash"), FILTER_BITS), hot_hashes))
+    segments = known.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _segments(b, shared, parts, hot_parts), SEGMENTS)
+    segments = segments.repartition(parts + (hot_parts if load else 0), "part")
     removed = segments.mapInArrow(_compare, REMOVED)
     ranges = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     return source.join(ranges, ["doc_id", "text_hash"], "left").select("doc_id", "text", "ranges").mapInArrow(_cut, OUTPUT)

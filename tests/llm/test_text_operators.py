@@ -5,6 +5,7 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 import texts
 
@@ -380,6 +381,27 @@ def test_last_whole_string_of_a_shard(table):
     assert suffixes.Shard(segments).gone().tolist() == [[2, 0, 1, 51]]
 
 
+def test_strings_of_a_hot_hash_are_spread(table):
+    # A phrase in ever different surroundings, and some of these twice.
+    phrase = "https://www.example.org/"
+    rows = [(k, f"{texts.prose(k % 150, 9)[:40]}{phrase}{texts.prose(1000 + k % 150, 9)[:40]}") for k in range(170)] + [(500, None), (501, "x" * 400), (502, "x" * 300)]
+    want = brute.removed(rows)
+    for hot in (2, 20, 20_000):
+        got = suffixes.remove_repeats(table(rows).repartition(3), hot=hot)
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()) == want
+    found = suffixes._hashes(iter([pa.RecordBatch.from_arrays([pa.array([t for _, t in rows])], ["text"])]), 1)
+    loads = [b.to_pydict() for b in suffixes._frequent(found, 20)][-1]
+    assert loads["hash"] and min(loads["load"]) >= 20
+    at = np.array(loads["hash"]).view(np.uint64)
+
+    class Shared:
+        value = np.full(1 << 20, ~np.uint64(0)), at
+
+    docs = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows]), pa.array([t for _, t in rows]), pa.array([d for d, _ in rows])], ["doc_id", "text", "key"])
+    dealt = [p for b in suffixes._segments(iter([docs]), Shared, 1, 8) for p in b.column(0).to_pylist()]
+    assert set(range(1, 9)) <= set(dealt)
+
+
 def test_suffix_dedup_odd_rows(table):
     long = texts.prose(1, 100)
     rows = [(None, long), (2, long), (2, long), (3, long), (None, None)]
