@@ -11,13 +11,17 @@ from tallycube.llm.common import quoted, read_table, written
 from tallycube.llm.queries import PSEUDONYM_KEY, word_vocabulary
 
 
-def _columns_of(docs: DataFrame, df: DataFrame) -> DataFrame:
-    return df.select(*[quoted(c) for c in docs.columns])
+def _with_own_columns(docs: DataFrame, outputs: list[str], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What the operator gives, with the columns of `docs` only. Those named like an output have another name meanwhile."""
+    taken = {n.lower() for n in outputs}
+    names = [f"_own_{k}" if c.lower() in taken else c for k, c in enumerate(docs.columns)]
+    out = operator(docs.select(*[quoted(c).alias(n) for c, n in zip(docs.columns, names, strict=True)]))
+    return out.select(*[quoted(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return _columns_of(docs, quality.judge(docs).filter("kept"))
+    return _with_own_columns(docs, quality.OUTPUT, lambda d: quality.judge(d).filter("kept"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +37,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with validated numbers, dates and addresses under pseudonyms."""
-    return _columns_of(docs, pii.pseudonymise(docs, PSEUDONYM_KEY))
+    return _with_own_columns(docs, pii.OUTPUT, lambda d: pii.pseudonymise(d, PSEUDONYM_KEY))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

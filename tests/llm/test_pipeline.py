@@ -72,6 +72,15 @@ def test_pipeline_keeps_clean_documents_of_other_columns(llm):
     assert pii.pseudonymise(docs, PSEUDONYM_KEY).columns == [*docs.columns, "pii_kinds"]
 
 
+def test_columns_named_like_an_output_keep_their_values(llm):
+    row = (1, texts.prose(3, 100), "en", "a", 1, "kept?", -5, "none")
+    docs = llm.createDataFrame([row], SCHEMA + ", kept string, N_words int, pii_kinds string")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("quality_rules", "pii"):
+        out = stages[name](llm, docs, "")
+        assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [row]
+
+
 def test_all_ten_are_registered():
     names = set(contract.queries())
     assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} and set(QUERIES) <= names and "pipeline" in names
