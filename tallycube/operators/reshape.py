@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallycube.functions import clean_number, clean_year
 from tallycube.schema import FLAG_MISSING, POPULATION, VALUE_TYPE, Dims
-from tallycube.session import shared_folder
 
 
 def melt_years(df: DataFrame, ids: Sequence[str], years: Sequence[str], dims: Dims = POPULATION) -> DataFrame:
@@ -88,34 +87,63 @@ def unlabelled(df: DataFrame, column: str) -> DataFrame:
 
 
 def with_row_id(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """Number the rows 1..n in the given order, without one task seeing them all.
+    """Number the rows 1..n in the given order, nulls first, without one task seeing them all.
 
-    The rows are sorted across ranges, and a running count of the range sizes (one row per range)
-    shifts the local numbers. The sorted rows are checkpointed: range bounds come from a sample, and
-    the counts must belong to the very ranges that are numbered, also after an executor is lost.
+    Copies that agree in all of `order` get consecutive numbers, in an order of their own. No job runs here.
     """
-    shared_folder(df.sparkSession)
-    # The tie-break lets copies of one row spread over several ranges.
-    tie = df.withColumn("_tie", F.monotonically_increasing_id())
-    ranges = tie.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
-    # monotonically_increasing_id holds the partition above 33 bits of position inside it.
-    position = F.monotonically_increasing_id()
-    numbered = ranges.withColumn("_at", position).checkpoint()
-    part = F.shiftright("_at", 33)
-    sizes = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    return running_total(df, order, name).withColumn(name, F.col(name) + 1)
+
+
+def running_total(df: DataFrame, order: Sequence[str], name: str, weight: str | None = None) -> DataFrame:
+    """Add the sum of `weight` (one for each row, unless named) over the rows that come earlier in the order.
+
+    Rows are dealt to ranges between fixed bounds: keys of the rows with the smallest hashes, so that the bounds depend
+    on the data alone and come out the same when a lost part is computed again. A running sum over the ranges (as many as
+    spark.sql.shuffle.partitions, at most) shifts the sums inside each. Rows that agree in the whole order share a range.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*[F.col(f"`{c}`") for c in order])
+    bounds = _range_bounds(df.select(key.alias("k")), ranges)
+    # Binary search: how many bounds lie below the key. Beyond the last bound the comparison is null.
+    # The bounds are one row, joined to all others; as a scalar subquery they would be planned anew for each step.
+    dealt = df.join(F.broadcast(bounds)).withColumn("_range", F.lit(0))
+    for step in (1 << k for k in reversed(range(ranges.bit_length()))):
+        below = F.get("_bounds", F.col("_range") + (step - 1)) < key
+        dealt = dealt.withColumn("_range", F.col("_range") + F.when(below, step).otherwise(0))
+    dealt = dealt.drop("_bounds").repartition("_range")
+    one = F.lit(1).cast("long") if weight is None else F.col(weight)
+    sizes = dealt.groupBy("_range").agg(F.sum(one).alias("_n"))
     # One row per range, so a single task for this running sum is small at any data size.
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    local = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_range").orderBy(*[F.col(f"`{c}`") for c in order]).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        numbered.withColumn("_part", part)
+        dealt.withColumn("_within", F.coalesce(F.sum(one).over(within), F.lit(0)))
         # A range has one row of 12 bytes here, and there are spark.sql.shuffle.partitions of them at most.
-        .join(F.broadcast(before), "_part")
-        .withColumn(name, F.col("_before") + local + 1)
-        .drop("_part", "_at", "_before")
+        .join(F.broadcast(before), "_range")
+        .withColumn(name, F.col("_before") + F.col("_within"))
+        .drop("_range", "_within", "_before")
     )
 
 
+SAMPLED = 64  # one key in so many may become a bound
+KEYS_PER_RANGE = 16
+
+
+def _range_bounds(keys: DataFrame, ranges: int) -> DataFrame:
+    """One row with the sorted bounds of `ranges` ranges of about equal size, as `_bounds`: an array of the structs `k`.
+
+    The candidates are a sample by hash: of each of a fixed number of hash classes the key with the smallest hash.
+    """
+    hashed = keys.withColumn("h", F.xxhash64("k")).filter(F.pmod("h", F.lit(SAMPLED)) == 0)
+    classes = F.pmod(F.shiftright("h", 6), F.lit(KEYS_PER_RANGE * ranges))
+    sample = hashed.groupBy(classes.alias("c")).agg(F.min_by("k", "h").alias("k"))
+    sorted_ = F.array_sort(F.collect_list("k"))
+    step = F.greatest(F.lit(1), F.ceil(F.size("s") / F.lit(ranges)).cast("int"))
+    picked = F.filter("s", lambda _, i: (i % step == step - 1) & (i < F.size("s") - 1))
+    return sample.agg(sorted_.alias("s")).select(picked.alias("_bounds"))
+
+
 def to_edge(df: DataFrame) -> DataFrame:
     """Exact decimals as doubles, for consumers outside the library."""
     return df.select(
