@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, licences, near, packing, pii, quality, quotes, secrets, suffixes, toxicity
+from tallycube.llm import alignment, decontaminate, licences, near, packing, pii, quality, quotes, ranked, secrets, sharding, suffixes, toxicity
 from tallycube.llm.common import read_table
 from tallycube.llm.sql import SQL
 
@@ -87,6 +87,21 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.place(read_table(spark, folder, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.search(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(read_table(spark, folder, "documents"), *paths)
+
+
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
     "op2_quotation_linking": op2_quotation_linking,
@@ -98,4 +113,7 @@ QUERIES: dict[str, Query] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_sharding": op11_sharding,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_alignment": op13_alignment,
 }

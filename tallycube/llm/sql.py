@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallycube.llm import licences, near, quality
+from tallycube.llm import licences, near, quality, ranked, sharding
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 VISIBLE = r"[^\x20\x09-\x0D]+"
@@ -129,10 +129,67 @@ SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
 FROM docs d LEFT JOIN kept k ON d.r = k.r
 """
 
+_HASHES = ", ".join(f"sha256(coalesce(CAST(doc_id AS VARCHAR), '') || '/{k}') AS h{k}" for k in range(5))
+
+
+def _winner(shards: int) -> str:
+    """The shard with the smallest waiting time; shards of weight 1."""
+    draw = lambda j: f"(CAST('0x' || substr(h{j // 4}, {1 + 13 * (j % 4)}, 13) AS BIGINT) + 0.5::DOUBLE) / {16**13}::DOUBLE"
+    times = ", ".join(f"-ln({draw(j)})" for j in range(shards))
+    return f"CAST(list_position([{times}], list_aggregate([{times}], 'min')) - 1 AS INTEGER)"
+
+
+def _crc_table() -> str:
+    """The table of the reflected polynomial of CRC-32, by its rule."""
+    step = lambda c: c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+    table = list(range(256))
+    for _ in range(8):
+        table = list(map(step, table))
+    return f"[{', '.join(map(str, table))}]::UINTEGER[]"
+
+
+SHARDING = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n, {_HASHES} FROM documents),
+placed AS (
+    SELECT doc_id, CAST(n + 1 AS BIGINT) AS size,
+        list_transform(range(0, n), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS UINTEGER)) AS bytes,
+        {_winner(sharding.SHARDS)} AS shard, {_winner(sharding.SHARDS + 1)} AS grown_shard
+    FROM d
+),
+summed AS (
+    SELECT doc_id, size, shard, grown_shard, CAST(xor(4294967295::UINTEGER, list_reduce(
+        list_prepend(4294967295::UINTEGER, bytes), lambda c, v: xor(c >> 8, ({_crc_table()})[1 + (xor(c, v) & 255)])
+    )) AS BIGINT) AS text_crc32
+    FROM placed
+)
+SELECT doc_id, size, text_crc32, '{sharding.LAW}' AS law, shard, grown_shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot
+FROM summed
+"""
+
+RANKED = f"""
+WITH {DOCS.replace(", lang", "")},
+d AS (SELECT r, doc_id, regexp_extract_all({_lower("t")}, '{WORD}') AS w FROM docs),
+stats AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({_lower("coalesce(text, '')")}, '{WORD}') AS w FROM benchmark),
+terms AS (SELECT q, t, count(*) AS times FROM (SELECT q, unnest(w) AS t FROM i) GROUP BY q, t),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM terms) GROUP BY r, t),
+weights AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * any_value(n) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight FROM tf, stats GROUP BY t),
+impacts AS (
+    SELECT r, t, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w) * n) // l)) AS impact
+    FROM tf JOIN d USING (r), stats
+),
+scores AS (SELECT q, r, CAST(sum(times * weight * impact) AS BIGINT) AS score FROM terms JOIN impacts USING (t) JOIN weights USING (t) GROUP BY q, r),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scores JOIN d USING (r) WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN i USING (q) WHERE rank <= {ranked.BEST}
+"""
+
 SQL = {
     "op6_decontamination": DECONTAMINATION,
     "op7_licences": licences.sql(),
     "op8_jaccard_join": JACCARD,
     "op9_quality_rules": QUALITY,
     "op10_suffix_dedup": SUFFIXES,
+    "op11_sharding": SHARDING,
+    "op12_ranked_search": RANKED,
 }

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 
 UP = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
@@ -95,3 +97,89 @@ def quality_counts(text):
             dup += line in lines
             lines.append(line)
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), dup, len(inside)
+
+
+def sharded(docs, weights, added=1.0):
+    """[(doc_id, size, crc, shard, slot, grown)]; the numbers are drawn anew from the key's hashes."""
+    rows = []
+    for d, t in docs:
+        raw, key = (t or "").encode(), "" if d is None else str(d)
+        draws = [(int(sha(f"{key}/{j // 4}")[13 * (j % 4) :][:13], 16) + 0.5) / 16**13 for j in range(len(weights) + 1)]
+        times = [-math.log(u) / w if w else math.inf for u, w in zip(draws, [*weights, added], strict=True)]
+        rows.append((d, len(raw) + 1, zlib.crc32(raw), times[:-1].index(min(times[:-1])), times.index(min(times))))
+    rows.sort(key=lambda r: (r[3], r[0] is not None, r[0] or 0, r[1], r[2]))
+    slots: dict[int, int] = {}
+    out = []
+    for d, size, crc, shard, grown in rows:
+        slots[shard] = slots.get(shard, -1) + 1
+        out.append((d, size, crc, shard, slots[shard], grown))
+    return out
+
+
+def ranked(docs, items, best=20):
+    """[(item_id, rank, doc_id, score)]."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", t or "")
+    texts = [(d, [w.translate(UP) for w in words(t)]) for d, t in docs]
+    n, total = sum(bool(w) for _, w in texts), sum(len(w) for _, w in texts)
+    df: dict[str, int] = {}
+    for _, w in texts:
+        for term in set(w):
+            df[term] = df.get(term, 0) + 1
+    out = []
+    for item, text in items:
+        found = []
+        for d, w in texts:
+            if not w:
+                continue
+            m = 100 - 25 + (25 * len(w) * n) // total
+            score = 0
+            for term in words(text):
+                term = term.translate(UP)
+                tf = w.count(term)
+                weight = math.floor(1000 * math.log((2 * n + 2) / (2 * df.get(term, 0) + 1)))
+                score += weight * ((1_000_000_000 * tf) // (1000 * tf + 12 * m))
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(item, k, f[3], -f[0]) for k, f in enumerate(sorted(found)[:best], 1)]
+    return out
+
+
+def aligned(docs, a, b):
+    """Rows (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, sha) and {(a, b): (documents, links)}; `a` and `b` give
+    the (id, bytes) of each token of a whole text."""
+    texts, pairs = [], {}
+    for d, t in docs:
+        groups = []
+        if t:
+            ta, tb, want = a(t), b(t), (" " + t).encode()
+            if b"".join(x for _, x in ta) == want == b"".join(x for _, x in tb):
+                ends = []
+                for tokens in (ta, tb):
+                    at = 0
+                    ends.append([at := at + len(x) for _, x in tokens])
+                cuts = sorted(set(ends[0]) & set(ends[1]))
+                sides = []
+                for tokens, es in zip((ta, tb), ends, strict=True):
+                    side, k = [[] for _ in cuts], 0
+                    for (i, _), e in zip(tokens, es, strict=True):
+                        k += e > cuts[k]
+                        side[k].append(i)
+                    sides.append(side)
+                groups = list(map(list, zip(*sides, strict=True)))
+        links = [(x, y) for ga, gb in groups for x in ga for y in gb]
+        for p in links:
+            docs_, n = pairs.get(p, (0, 0))
+            pairs[p] = docs_, n + 1
+        for p in set(links):
+            pairs[p] = pairs[p][0] + 1, pairs[p][1]
+        texts.append((d, groups, links))
+    most: dict[int, int] = {}
+    for (x, _), (n, _) in pairs.items():
+        most[x] = max(n, most.get(x, 0))
+    rows = []
+    for d, groups, links in texts:
+        told = ";".join("|".join(",".join(map(str, g)) for g in pair) for pair in groups)
+        counts = [pairs[p][0] for p in links]
+        n_best = sum(pairs[p][0] == most[p[0]] for p in links)
+        rows.append((d, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links), n_best, sum(counts), sha(told) if groups else ""))
+    return rows, pairs
