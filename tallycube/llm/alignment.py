@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,11 +28,15 @@ from tallycube.llm.common import quoted, slices, texts_of, written
 from tallycube.llm.shingles import BYTE_VALUE, mix, powers
 
 SLICE = 2_000_000  # bytes of text in a chunk; rows are bounded by the batches of the session
-ROOM = 64_000_000  # bytes of segments and their cuts that a worker remembers
+ROOM = 250_000  # segments whose cuts a worker remembers, about 80 MB
+LARGE = 64  # links of a group from which repeated ids are counted first
 PARTS = 16  # parts of the pairs; a document gets one sum back from each
 BYTES_PER_TASK = 1_000_000_000  # of text whose postings meet a part of the pairs in one task
 PAIRS_HELD = 2_000_000  # pairs whose counts a task keeps before it passes them on
 
+VISIBLE = frozenset(range(0x21, 0x7F))
+PIECE_SPACE = "▁".encode()  # stands for a space in the piece model
+
 CHUNKS = (
     "chunk long, local int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "part int, size int, pairs binary, counts binary, lists binary, bits binary, planes binary"
@@ -79,17 +82,47 @@ def segments_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return start, end, owner, value
 
 
-class Cut(NamedTuple):
-    """A segment in both tokenizers; `valid` if the tokens of both spell it."""
+class Cuts:
+    """Segments in both tokenizers, in a row: per segment the counts (1 if the tokens do not spell it, tokens of both,
+    groups, links), the groups in text form, and the linked pairs of ids (a * 2^32 + b) with how often."""
+
+    def __init__(self) -> None:
+        self.counts = np.zeros((1024, 5), np.int64)
+        self.told: list[bytes] = []
+        self.start = np.zeros(1025, np.int64)
+        self.pairs = np.zeros(4096, np.uint64)
+        self.times = np.zeros(4096, np.int64)
+
+    def add(self, counts: np.ndarray, told: list[bytes], lengths: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
+        n, at = len(self.told), self.start[len(self.told)]
+        self.counts = _grown(self.counts, n + len(told))
+        self.start = _grown(self.start, n + len(told) + 1)
+        self.pairs, self.times = _grown(self.pairs, at + len(pairs)), _grown(self.times, at + len(pairs))
+        self.counts[n : n + len(told)] = counts
+        self.start[n + 1 : n + 1 + len(told)] = at + np.cumsum(lengths)
+        self.pairs[at : at + len(pairs)], self.times[at : at + len(pairs)] = pairs, times
+        self.told += told
+
+    def linked(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number of pairs of each of `some` segments, pairs, times)."""
+        start, n = self.start[some], self.start[some + 1] - self.start[some]
+        at = _ranges(start, n)
+        return n, self.pairs[at], self.times[at]
+
+    def only(self, some: np.ndarray) -> Cuts:
+        kept = Cuts()
+        kept.add(self.counts[some], [self.told[k] for k in some.tolist()], *self.linked(some))
+        return kept
 
-    valid: bool
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    told: bytes
-    pairs: np.ndarray  # a * 2^32 + b, distinct
-    times: np.ndarray
+
+def _grown(a: np.ndarray, n: int) -> np.ndarray:
+    return a if len(a) >= n else np.concatenate([a, np.zeros((max(n, 2 * len(a)) - len(a), *a.shape[1:]), a.dtype)])
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one behind the other."""
+    ends = np.cumsum(n)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - n), n)
 
 
 class Codecs:
@@ -105,48 +138,100 @@ class Codecs:
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = byte_level(self.a)
         self.bytes_b = [piece_bytes(self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
-        self.known: dict[bytes, Cut] = {}
-        self.size = 0
-
-    def cuts(self, segments: list[bytes]) -> list[Cut]:
+        self.lengths_a, self.lengths_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        # An id in text form with what may follow it: nothing, the next id, the other side, the next group.
+        self.forms = [b"%d%s" % (k, mark) for k in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in (b"", b",", b"|", b";")]
+        self.known: dict[bytes, int] = {}
+        self.cuts = Cuts()
+
+    def places(self, segments: list[bytes]) -> np.ndarray:
+        """Where the cuts of distinct segments are in `cuts`. At most ROOM are remembered, and those asked for last."""
         missing = [s for s in segments if s not in self.known]
-        found: dict[bytes, Cut] = {}
-        if missing:
-            texts = [s.decode() for s in missing]
-            encoded_a = self.a.encode_batch_fast(texts, add_special_tokens=False)
-            encoded_b = self.b.encode([t[1:] for t in texts], num_threads=1)  # it adds the space itself
-            for s, a, b in zip(missing, encoded_a, encoded_b, strict=True):
-                found[s] = self.align(s, a.ids, b)
-        out = [self.known[s] if s in self.known else found[s] for s in segments]
-        self.size += sum(400 + 3 * len(s) + 16 * len(c.pairs) for s, c in found.items())
-        if self.size > ROOM:
-            self.known, self.size = {}, 0
-        else:
-            self.known |= found
-        return out
-
-    def align(self, segment: bytes, a: list[int], b: list[int]) -> Cut:
-        spelt_a, spelt_b = [self.bytes_a[k] for k in a], [self.bytes_b[k] for k in b]
-        valid = b"".join(spelt_a) == segment == b"".join(spelt_b)
-        if not valid:
-            return Cut(False, 0, 0, 0, 0, b"", np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        ends_a, ends_b = np.cumsum(list(map(len, spelt_a))), np.cumsum(list(map(len, spelt_b)))
-        both = np.intersect1d(ends_a, ends_b)
-        cuts_a, cuts_b = (np.searchsorted(e, both, side="right").tolist() for e in (ends_a, ends_b))
-        links, told, at_a, at_b = 0, [], 0, 0
-        pairs: Counter[int] = Counter()
-        for to_a, to_b in zip(cuts_a, cuts_b, strict=True):
-            group_a, group_b = a[at_a:to_a], b[at_b:to_b]
-            links += len(group_a) * len(group_b)
-            told.append(",".join(map(str, group_a)) + "|" + ",".join(map(str, group_b)))
-            # Ids that repeat in a group are multiplied, not spelt out.
-            times_b = Counter(group_b).items()
-            for x, nx in Counter(group_a).items():
-                for y, ny in times_b:
-                    pairs[x << 32 | y] += nx * ny
-            at_a, at_b = to_a, to_b
-        keys = np.fromiter(pairs.keys(), np.uint64, len(pairs))
-        return Cut(True, len(a), len(b), len(both), links, ";".join(told).encode(), keys, np.fromiter(pairs.values(), np.int64, len(pairs)))
+        plain = [s for s in missing if s[-1] in VISIBLE and PIECE_SPACE not in s]
+        for some, cut in ((plain, self._cut_joined), ([s for s in missing if s[-1] not in VISIBLE or PIECE_SPACE in s], self._cut)):
+            if some:
+                first = len(self.cuts.told)
+                self.known |= dict(zip(some, range(first, first + len(some)), strict=True))
+                self.cuts.add(*cut(some))
+        at = np.fromiter(map(self.known.__getitem__, segments), np.int64, len(segments))
+        if len(self.known) > ROOM or len(self.cuts.pairs) > 20 * ROOM:
+            self.cuts, at = self.cuts.only(at), np.arange(len(at))
+            self.known = dict(zip(segments, range(len(segments)), strict=True)) if len(segments) <= ROOM else {}
+        return at
+
+    def _cut_joined(self, segments: list[bytes]) -> tuple:
+        """Segments that end in a visible character: one behind the other they are a text that is cut between them."""
+        joined = b"".join(segments)
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        found = self.a.encode(joined.decode(), add_special_tokens=False).ids, self.b.encode(joined[1:].decode())
+        ids, n = [], []
+        for some, width, as_bytes in zip(found, (self.lengths_a, self.lengths_b), (self.bytes_a, self.bytes_b), strict=True):
+            ids.append(np.array(some, np.int64))
+            ends = np.cumsum(width[ids[-1]])
+            upto = np.searchsorted(ends, np.cumsum(lengths), side="right")
+            if not np.array_equal(ends[upto - 1], np.cumsum(lengths)) or b"".join([as_bytes[k] for k in some]) != joined:
+                return self._cut(segments)
+            n.append(np.diff(upto, prepend=0))
+        return self._align(ids, n, np.ones(len(segments), bool), lengths)
+
+    def _cut(self, segments: list[bytes]) -> tuple:
+        texts = [s.decode() for s in segments]
+        found = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], self.b.encode([t[1:] for t in texts], num_threads=1)  # b adds the space itself
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        n = [np.fromiter(map(len, x), np.int64, len(segments)) for x in found]
+        ids = [np.fromiter((k for x in y for k in x), np.int64, int(m.sum())) for y, m in zip(found, n, strict=True)]
+        spelt = np.ones(len(segments), bool)
+        for tokens, m, width, as_bytes in zip(ids, n, (self.lengths_a, self.lengths_b), (self.bytes_a, self.bytes_b), strict=True):
+            owner = np.repeat(np.arange(len(segments)), m)
+            spelt &= np.bincount(owner, width[tokens], minlength=len(segments)) == lengths
+            some = spelt[owner]
+            data = np.frombuffer(b"".join([as_bytes[k] for k in tokens[some].tolist()]), np.uint8)
+            want = np.frombuffer(b"".join([s for s, ok in zip(segments, spelt.tolist(), strict=True) if ok]), np.uint8)
+            wrong = np.repeat(np.flatnonzero(spelt), lengths[spelt])[data != want]
+            spelt[wrong] = False
+        for k in range(2):
+            some = np.repeat(spelt, n[k])
+            ids[k], n[k] = ids[k][some], np.where(spelt, n[k], 0)
+        return self._align(ids, n, spelt, np.where(spelt, lengths, 0))
+
+    def _align(self, ids: list[np.ndarray], n: list[np.ndarray], spelt: np.ndarray, lengths: np.ndarray) -> tuple:
+        """All segments at once, as their ends are ends of tokens of both."""
+        ends = [np.cumsum(width[x]) for x, width in zip(ids, (self.lengths_a, self.lengths_b), strict=True)]
+        both = np.intersect1d(*ends, assume_unique=True)
+        group = [np.searchsorted(both, e) for e in ends]
+        size = [np.bincount(g, minlength=len(both)) for g in group]
+        segment = np.searchsorted(np.cumsum(lengths), both)
+        of_segment = lambda x: np.bincount(segment, x, minlength=len(spelt)).astype(np.int64)
+        links = size[0] * size[1]
+        counts = np.stack([~spelt, n[0], n[1], of_segment(np.ones(len(both))), of_segment(links)], 1)
+        # Text form: the ids of a group, first those of one side, then those of the other.
+        of = np.concatenate(group)
+        order = np.lexsort((np.repeat([0, 1], [len(g) for g in group]), of))
+        last = np.concatenate([np.append(g[1:] != g[:-1], True)[: len(g)] for g in group])
+        side = np.repeat([0, 1], [len(g) for g in group])
+        mark = np.where(~last, 1, np.where(side == 0, 2, 3))
+        closing = np.append(segment[1:] != segment[:-1], True)[: len(segment)]
+        mark[(side == 1) & last & closing[of]] = 0
+        forms = [self.forms[k] for k in (np.concatenate(ids) * 4 + mark)[order].tolist()]
+        cuts = np.concatenate([[0], np.cumsum(n[0] + n[1])]).tolist()
+        told = [b"".join(forms[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        # Pairs: of each group, all ids of one side with all of the other; ids that repeat in large groups are counted.
+        start = [np.cumsum(x) - x for x in size]
+        plain = np.flatnonzero(links <= LARGE)
+        across = np.repeat(size[1][plain], size[0][plain])
+        left = np.repeat(_ranges(start[0][plain], size[0][plain]), across)
+        right = _ranges(np.repeat(start[1][plain], size[0][plain]), across)
+        pairs = [ids[0][left].astype(np.uint64) << np.uint64(32) | ids[1][right].astype(np.uint64)]
+        times = [np.ones(len(left), np.int64)]
+        owner = [np.repeat(segment[plain], links[plain])]
+        for g in np.flatnonzero(links > LARGE).tolist():
+            (x, nx), (y, ny) = (np.unique(ids[k][start[k][g] : start[k][g] + size[k][g]], return_counts=True) for k in range(2))
+            pairs.append((x.astype(np.uint64)[:, None] << np.uint64(32) | y.astype(np.uint64)[None]).ravel())
+            times.append((nx[:, None] * ny[None]).ravel())
+            owner.append(np.full(len(pairs[-1]), segment[g]))
+        by = np.concatenate(owner)
+        order = np.argsort(by, kind="stable")
+        return counts, told, np.bincount(by, minlength=len(spelt)), np.concatenate(pairs)[order], np.concatenate(times)[order]
 
 
 def byte_level(tokenizer) -> list[bytes]:
@@ -228,42 +313,41 @@ def _encode(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iter
             start, end, owner, value = segments_of(spaced)
             _, first, place = np.unique(value, return_index=True, return_inverse=True)
             data = b"".join(spaced)
-            cuts = both.cuts([data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
-            numbers = np.array([(not c.valid, *c[1:5]) for c in cuts], np.int64).reshape(-1, 5)
+            at_cut = both.places([data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)])
+            numbers = both.cuts.counts[at_cut]
             sums = np.zeros((len(texts), 5), np.int64)
             for k in range(5):
                 sums[:, k] = np.bincount(owner, numbers[place, k], minlength=len(texts)).astype(np.int64)
             good = (sums[:, 0] == 0) & (np.fromiter(map(len, texts), np.int64, len(texts)) > 0)
             sums[~good] = 0
             bounds = np.searchsorted(owner, np.arange(len(texts) + 1)).tolist()
-            told, places = [c.told for c in cuts], place.tolist()
+            told, places = [both.cuts.told[k] for k in at_cut.tolist()], place.tolist()
             shas = [
                 hashlib.sha256(b";".join([told[x] for x in places[a:b]])).hexdigest() if ok else ""
                 for a, b, ok in zip(bounds[:-1], bounds[1:], good.tolist(), strict=True)
             ]
             blank = (None,) * 7
             yield _batch(CHUNKS, [(chunk, k, ids[at + k], *row[1:], sha, *blank) for k, (row, sha) in enumerate(zip(sums.tolist(), shas, strict=True))])
-            yield _batch(CHUNKS, [(chunk, *[None] * 7, *row) for row in _postings(cuts, place, owner, good)])
+            yield _batch(CHUNKS, [(chunk, *[None] * 7, *row) for row in _postings(both.cuts.linked(at_cut), place, owner, good)])
 
 
-def _postings(cuts: list[Cut], place: np.ndarray, owner: np.ndarray, good: np.ndarray) -> Iterator[tuple]:
-    """(part, size, pairs, counts, lists, bits, planes) for the parts of the pairs that occur."""
+def _postings(linked: tuple[np.ndarray, ...], place: np.ndarray, owner: np.ndarray, good: np.ndarray) -> Iterator[tuple]:
+    """(part, size, pairs, counts, lists, bits, planes) for the parts of the pairs that occur. `linked` has the pairs of
+    the distinct segments, `place` which of these each segment is."""
     size = len(good)
     kept = good[owner]
     seen, often = np.unique(place[kept] * size + owner[kept], return_counts=True)
     if not len(seen):
         return
     segment, doc = np.divmod(seen, size)
-    lengths = np.fromiter((len(c.pairs) for c in cuts), np.int64, len(cuts))
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    flat, times = np.concatenate([c.pairs for c in cuts]), np.concatenate([c.times for c in cuts])
+    lengths, flat, times = linked
+    offsets = np.cumsum(lengths) - lengths
     names, number = np.unique(flat, return_inverse=True)
     order = np.argsort(part_of(names), kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     n = lengths[segment]
-    ends = np.cumsum(n)
-    at = np.arange(int(ends[-1])) - np.repeat(ends - n - offsets[segment], n)
+    at = _ranges(offsets[segment], n)
     key = rank[number[at]] * size + np.repeat(doc, n)
     by = np.argsort(key, kind="stable")
     key, times = key[by], (times[at] * np.repeat(often, n))[by]
