@@ -8,7 +8,7 @@ one segment of text. Segments whose smallest hash occurs in one document only ar
 HOT segments or more (a frequent gram in ever different surroundings), its strings travel one by one instead and are dealt
 by a hash of the whole string, to tasks of their own, so that no task gets all of them.
 
-A task joins its segments to shards of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and
+A task takes its segments group by group and joins those of a group to shards of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and
 Sadakane; common prefixes come from Kasai's scan, run over all segments side by side; runs of suffixes with a common
 prefix of LENGTH bytes are equal strings. Where a task has several shards, equal strings of two shards are found by
 binary search.
@@ -34,7 +34,8 @@ FILTER_BITS = 26  # 8 MB: marks the hashes that occur in two documents
 MOST_STRINGS = 200  # strings in one segment
 SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
-PER_TASK = 6_000_000  # bytes of text for each task that segments are dealt to
+PER_TASK = 12_000_000  # bytes of text for each task that segments are dealt to
+GROUP = 1_000_000  # bytes of text for each group of segments that a task compares at once; they are about four times that
 HOT = 20_000  # segments of one hash from which its strings are dealt one by one
 STRING_COST = 1_500  # bytes of the strings of a segment, about: 31 of 50 bytes
 
@@ -372,11 +373,16 @@ def _removed_batch(rows: np.ndarray) -> pa.RecordBatch:
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges that go, from the segments of a task. Equal segments are kept once, with the smallest id."""
+    """Ranges that go, from the segments of a task, which come group by group. Equal segments are kept once, with the
+    smallest id."""
     kept: dict[bytes, list[tuple[int, int, int, int]]] = {}
     unpacked = zstandard.ZstdDecompressor().decompress
+    group = None
     for batch in batches:
-        for packed in zip(*(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
+        for part, *packed in zip(batch.column(0).to_pylist(), *(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
+            if part != group:
+                yield from _compared(kept)
+                kept, group = {}, part
             row = [unpacked(p) for p in packed]
             told = np.stack([np.frombuffer(c, np.int64) for c in row[:4]], 1)
             if not row[4]:
@@ -397,8 +403,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     gone.append(range_)
             if gone:
                 yield _removed_batch(np.array(gone, np.int64))
+    yield from _compared(kept)
+
+
+def _compared(kept: dict[bytes, list[tuple[int, int, int, int]]]) -> Iterator[pa.RecordBatch]:
     flat = [(text, r) for text, ranges in kept.items() for r in ranges]
-    kept = {}
     shards, first, size = [], 0, 0
     for k, (text, _) in enumerate(flat):
         size += len(text)
@@ -450,10 +459,10 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     frequent = written(hashes.mapInArrow(lambda b: _frequent(b, hot), FREQUENT), "hashes")
     loads = frequent.filter("load > 0").toArrow()
     hot_hashes, load = loads.column(0).to_numpy().view(np.uint64), int(loads.column(1).to_numpy().sum())
-    hot_parts = max(1, -(-load * STRING_COST // PER_TASK))
+    groups, hot_groups = max(4, -(-total // GROUP)), max(1, -(-load * STRING_COST // (4 * GROUP)))
+    tasks = parts + (max(1, -(-load * STRING_COST // (4 * PER_TASK))) if load else 0)
     shared = spark.sparkContext.broadcast((bit_filter(frequent.select("hash"), FILTER_BITS), hot_hashes))
-    segments = known.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _segments(b, shared, parts, hot_parts), SEGMENTS)
-    segments = segments.repartition(parts + (hot_parts if load else 0), "part")
-    removed = segments.mapInArrow(_compare, REMOVED)
+    segments = known.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _segments(b, shared, groups, hot_groups), SEGMENTS)
+    removed = segments.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_compare, REMOVED)
     ranges = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     return source.join(ranges, ["doc_id", "text_hash"], "left").select("doc_id", "text", "ranges").mapInArrow(_cut, OUTPUT)
