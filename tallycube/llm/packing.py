@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import quoted, texts_of, written
+from tallycube.llm.common import quoted, slices, written
 from tallycube.llm.tokens import codec
 
 LENGTH = 2048
@@ -85,10 +85,11 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool
     packer = Packer(TaskContext.get().partitionId() << PER_PARTITION, *shape)
     words = codec(path)
     for batch in batches:
-        docs, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
+        docs = batch.column(0).to_pylist()
+        encoded = (raw for _, texts in slices(batch.column(1), 1_000_000) for raw in words.encode(texts))
         rows: list[tuple] = []
         ids = []
-        for doc, raw in zip(docs, words.encode(texts), strict=True):
+        for doc, raw in zip(docs, encoded, strict=True):
             raw += END
             total = len(raw) // 4
             for start, length, window, offset in packer.place(total):

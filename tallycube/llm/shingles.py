@@ -47,11 +47,12 @@ powers = _powers.upto
 
 
 class Words:
-    """The words of some texts: `start` and `end` (bytes in `data`), `owner` (place of the text), `hash`, and `first`, the
+    """The words of some texts, A-Z lower-cased unless `fold` is off: `start` and `end` (bytes in `data`), `owner` (place of the text), `hash`, and `first`, the
     number of the first word of each text (one more entry than texts)."""
 
-    def __init__(self, texts: list[bytes], inside: np.ndarray):
-        self.data = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
+    def __init__(self, texts: list[bytes], inside: np.ndarray, fold: bool = True):
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        self.data = LOWER[raw] if fold else raw
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         bounds = np.concatenate([[0], np.cumsum(lengths)])
         word = np.concatenate([[False], inside[self.data]])

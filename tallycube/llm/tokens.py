@@ -6,8 +6,11 @@ import os
 
 import numpy as np
 
+from tallycube.llm.common import grown, ranges
+from tallycube.llm.shingles import VISIBLE, Words
+
 MARK = "\0"  # a word of its own between words that are encoded in one go
-ROOM = 800_000
+ROOM = 400_000
 GO = 400
 
 
@@ -16,7 +19,8 @@ class WordCodec:
 
     No token of the vocabulary spans white space, so the ids of a text are those of its words in turn. Words are
     split at ASCII white space only; a word with other white space inside is still encoded right, as the vocabulary
-    splits it. At most ROOM words are remembered, then memory starts anew.
+    splits it. ASCII letters are lower-cased beforehand, as the vocabulary does, unless a special token may be meant. When
+    ROOM words are remembered, those met in one slice of text only are forgotten.
     """
 
     def __init__(self, path: str):
@@ -24,39 +28,76 @@ class WordCodec:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        # Which word it is; the ids of all words in a row, and where those of each begin.
+        self.known: dict[bytes, int] = {}
+        self.start, self.ids = np.zeros(1, np.int64), np.zeros(1, "<u4")
+        self.met = np.zeros(1, np.int64)  # in how many slices of text
         ids = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         if len(ids) != 1:
             raise ValueError("the vocabulary has no single id for the separator")
         self.mark = ids[0]
+        self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closing[[k for token, k in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        words = set().union(*split)
-        missing = words - self.known.keys()
+        w = Words(texts, VISIBLE, fold=not any(b"<|" in t for t in texts))
+        _, first, place = np.unique(w.hash, return_index=True, return_inverse=True)
+        data = w.data.tobytes()
+        words = [data[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
+        missing = [x for x in words if x not in self.known]
         if len(self.known) + len(missing) > ROOM:
-            self.known, missing = {}, words
-        self._learn(list(missing))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            self._forget()
+            missing = [x for x in words if x not in self.known]
+        self._learn(missing)
+        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        self.met = grown(self.met, len(self.known))
+        self.met[at] += 1
+        at = at[place]
+        start, n = self.start[at], self.start[at + 1] - self.start[at]
+        ids = self.ids[ranges(start, n)].tobytes()
+        cuts = (4 * np.concatenate([[0], np.cumsum(n)])[w.first]).tolist()
+        return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def _forget(self) -> None:
+        met = self.met[: len(self.known)]
+        least = 2
+        while (met >= least).sum() > ROOM // 2:
+            least *= 2
+        kept = np.flatnonzero(met >= least)
+        words, start = list(self.known), self.start
+        n = start[kept + 1] - start[kept]
+        ids = self.ids[ranges(start[kept], n)]
+        self.known, self.start, self.met = {}, np.zeros(1, np.int64), met[kept].copy()
+        self._add([words[k] for k in kept.tolist()], ids, n)
 
     def _learn(self, words: list[bytes]) -> None:
-        plain = [w for w in words if b"\0" not in w and b"<|" not in w]
+        # A word of ASCII letters has one last token, which the vocabulary marks as an end.
+        letters = [w for w in words if w.isalpha()]
+        for at in range(0, len(letters), 16 * GO):
+            some = [letters[i : i + GO] for i in range(at, min(at + 16 * GO, len(letters)), GO)]
+            found = self.tokenizer.encode_batch_fast([b" ".join(go).decode() for go in some], add_special_tokens=False)
+            for go, encoding in zip(some, found, strict=True):
+                ids = np.array(encoding.ids, "<u4")
+                self._add(go, ids, np.diff(np.flatnonzero(self.closing[ids]) + 1, prepend=0))
+        plain = [w for w in words if not w.isalpha() and b"\0" not in w and b"<|" not in w]
         goes = [plain[i : i + GO] for i in range(0, len(plain), GO)]
         for at in range(0, len(goes), 16):
             some = goes[at : at + 16]
             found = self.tokenizer.encode_batch_fast([f" {MARK} ".join(b"\n".join(g).decode().split("\n")) for g in some], add_special_tokens=False)
             for go, encoding in zip(some, found, strict=True):
                 ids = np.array(encoding.ids, "<u4")
-                raw = ids.tobytes()
-                ends = [*(np.flatnonzero(ids == self.mark) * 4).tolist(), len(raw)]
-                start = 0
-                for word, end in zip(go, ends, strict=True):
-                    self.known[word] = raw[start:end]
-                    start = end + 4
+                own = ids != self.mark
+                self._add(go, ids[own], np.diff(np.cumsum(own)[np.append(np.flatnonzero(~own), len(ids) - 1)], prepend=0))
         odd = [w for w in words if b"\0" in w or b"<|" in w]
         for word, encoding in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
+            self._add([word], np.array(encoding.ids, "<u4"), np.array([len(encoding.ids)]))
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, at = len(self.known), int(self.start[len(self.known)])
+        self.start, self.ids = grown(self.start, n + len(words) + 1), grown(self.ids, at + len(ids))
+        self.start[n + 1 : n + 1 + len(words)] = at + np.cumsum(lengths)
+        self.ids[at : at + len(ids)] = ids
+        self.known |= zip(words, range(n, n + len(words)), strict=True)
 
 
 _codecs: dict[str, WordCodec] = {}
