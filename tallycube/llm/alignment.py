@@ -24,7 +24,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tallycube.llm.common import quoted, slices, texts_of, written
+from tallycube.llm.common import grown, quoted, ranges, slices, texts_of, written
 from tallycube.llm.shingles import BYTE_VALUE, mix, powers
 
 SLICE = 2_000_000  # bytes of text in a chunk; rows are bounded by the batches of the session
@@ -95,9 +95,9 @@ class Cuts:
 
     def add(self, counts: np.ndarray, told: list[bytes], lengths: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> None:
         n, at = len(self.told), self.start[len(self.told)]
-        self.counts = _grown(self.counts, n + len(told))
-        self.start = _grown(self.start, n + len(told) + 1)
-        self.pairs, self.times = _grown(self.pairs, at + len(pairs)), _grown(self.times, at + len(pairs))
+        self.counts = grown(self.counts, n + len(told))
+        self.start = grown(self.start, n + len(told) + 1)
+        self.pairs, self.times = grown(self.pairs, at + len(pairs)), grown(self.times, at + len(pairs))
         self.counts[n : n + len(told)] = counts
         self.start[n + 1 : n + 1 + len(told)] = at + np.cumsum(lengths)
         self.pairs[at : at + len(pairs)], self.times[at : at + len(pairs)] = pairs, times
@@ -106,7 +106,7 @@ class Cuts:
     def linked(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number of pairs of each of `some` segments, pairs, times)."""
         start, n = self.start[some], self.start[some + 1] - self.start[some]
-        at = _ranges(start, n)
+        at = ranges(start, n)
         return n, self.pairs[at], self.times[at]
 
     def only(self, some: np.ndarray) -> Cuts:
@@ -115,16 +115,6 @@ class Cuts:
         return kept
 
 
-def _grown(a: np.ndarray, n: int) -> np.ndarray:
-    return a if len(a) >= n else np.concatenate([a, np.zeros((max(n, 2 * len(a)) - len(a), *a.shape[1:]), a.dtype)])
-
-
-def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """start, start + 1, ... of each range, one behind the other."""
-    ends = np.cumsum(n)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - n), n)
-
-
 class Codecs:
     """Both tokenizers, and the cuts of the segments seen so far."""
 
@@ -219,8 +209,8 @@ class Codecs:
         start = [np.cumsum(x) - x for x in size]
         plain = np.flatnonzero(links <= LARGE)
         across = np.repeat(size[1][plain], size[0][plain])
-        left = np.repeat(_ranges(start[0][plain], size[0][plain]), across)
-        right = _ranges(np.repeat(start[1][plain], size[0][plain]), across)
+        left = np.repeat(ranges(start[0][plain], size[0][plain]), across)
+        right = ranges(np.repeat(start[1][plain], size[0][plain]), across)
         pairs = [ids[0][left].astype(np.uint64) << np.uint64(32) | ids[1][right].astype(np.uint64)]
         times = [np.ones(len(left), np.int64)]
         owner = [np.repeat(segment[plain], links[plain])]
@@ -347,7 +337,7 @@ def _postings(linked: tuple[np.ndarray, ...], place: np.ndarray, owner: np.ndarr
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
     n = lengths[segment]
-    at = _ranges(offsets[segment], n)
+    at = ranges(offsets[segment], n)
     key = rank[number[at]] * size + np.repeat(doc, n)
     by = np.argsort(key, kind="stable")
     key, times = key[by], (times[at] * np.repeat(often, n))[by]

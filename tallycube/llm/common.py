@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tallycube.session import scratch_path
 
 # Rows and bytes handed to Python at once, so that a batch of long texts stays small.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -52,12 +52,31 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def shielded(documents: DataFrame, outputs: Sequence[str], named: Sequence[str], operator: Callable[..., DataFrame]) -> DataFrame:
+    """What `operator` gives for the documents, whatever their other columns are called.
+
+    The operator sees the columns as c0, c1, ..., and after the table the names of the columns `named`; so no column of
+    the caller's can meet one of its own. It keeps those columns and adds `outputs`. Columns of the caller's with the name
+    of an output, in either case, are left out, unless they are among those named.
+    """
+    columns = documents.columns
+    plain = documents.select(*[quoted(c).alias(f"c{k}") for k, c in enumerate(columns)])
+
+    def place(name: str) -> int:
+        return columns.index(name) if name in columns else [c.lower() for c in columns].index(name.lower())
+
+    at = [place(n) for n in named]
+    taken = {o.lower() for o in outputs}
+    kept = [(k, c) for k, c in enumerate(columns) if k in at and c not in outputs or c.lower() not in taken]
+    return operator(plain, *[f"c{k}" for k in at]).select(*[F.col(f"c{k}").alias(c) for k, c in kept], *outputs)
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null is empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]
 
 
-def slices(column: pa.Array, limit: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
+def slices(column: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """Texts in runs of about `limit` bytes with the place of the first, so that arrays over bytes stay small."""
     texts = texts_of(column)
     first = size = 0
@@ -92,3 +111,14 @@ def passes(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = int(len(filter_)).bit_length() - 1 + 6
     bucket = hashes >> np.uint64(64 - bits)
     return (filter_[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63))) & np.uint64(1) == 1
+
+
+def grown(a: np.ndarray, n: int) -> np.ndarray:
+    """An array with room for n entries, twice as long if it has to grow."""
+    return a if len(a) >= n else np.concatenate([a, np.zeros((max(n, 2 * len(a)) - len(a), *a.shape[1:]), a.dtype)])
+
+
+def ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one behind the other."""
+    ends = np.cumsum(n)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start - (ends - n), n)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import bit_filter, passes, quoted, slices, written
+from tallycube.llm.common import bit_filter, passes, quoted, shielded, slices, written
 from tallycube.llm.shingles import LETTERS, Words
 
 WINDOW = 10
@@ -171,6 +171,9 @@ def contamination(
 
 def clean_documents(documents: DataFrame, verdicts: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without the contaminated ones."""
-    bad = verdicts.filter("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = quoted(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(quoted(text).cast("string")) == F.col("_hash"))
-    return documents.join(bad, same, "left_anti")
+    bad = verdicts.filter("contaminated").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct()
+
+    def clean(plain: DataFrame, id_: str, text_: str) -> DataFrame:
+        return plain.join(bad, F.col(id_).cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.col(text_).cast("string")) == F.col("hash")), "left_anti")
+
+    return shielded(documents, [], [doc_id, text], clean)

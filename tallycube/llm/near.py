@@ -22,7 +22,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm.common import bit_filter, passes, quoted, slices, texts_of, written
+from tallycube.llm.common import bit_filter, passes, quoted, shielded, slices, texts_of, written
 from tallycube.llm.components import components
 from tallycube.llm.shingles import VISIBLE, Words, mix
 
@@ -32,7 +32,7 @@ BAND = 1.4  # ratio of the sizes of a band
 FEW_PARTS = 16
 MANY_EMPTY = 0.05
 FILTER_BITS = 24  # 2 MB: marks documents whose sets are read again
-PER_TASK = 1_500_000  # signatures dealt to a task
+PER_TASK = 1_000_000  # signatures dealt to a task
 
 DOCS = "doc_id long, text_hash long, n_shingles long, node long"
 BUNDLES = "part long, nodes binary, signatures binary"
@@ -325,11 +325,11 @@ def _grown(roots: DataFrame, links: DataFrame) -> DataFrame:
 def join_similar(
     documents: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = SIMILARITY
 ) -> DataFrame:
-    """One row per document: doc_id, text_hash (of the text), n_shingles, component_id.
+    """One row per document: doc_id, text_hash (of the text), n_shingles, component_id, class.
 
     Two documents are linked when their sets of word shingles have a Jaccard similarity of at least `percent`, and
     `component_id` is the smallest doc_id that links lead to. A text without words, empty or null, is linked with nothing
-    and has its own id; a null id is never the smallest of others, and stays null where it is alone. Repeated rows have equal
+    and has its own id; `class` names its component (null without words). A null id is never the smallest of others, and stays null where it is alone. Repeated rows have equal
     sets and are one component. Other columns are left out; an empty table gives no rows.
     """
     spark: SparkSession = documents.sparkSession
@@ -354,7 +354,9 @@ def join_similar(
     roots = _grown(roots, written(_verified(rest, sets, percent), "links"))
     named = docs.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("smallest"))
-    return named.join(smallest, "root", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"))
+    return named.join(smallest, "root", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("smallest", "doc_id").alias("component_id"), F.col("root").alias("class")
+    )
 
 
 def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFrame:
@@ -363,8 +365,17 @@ def _rooted(df: DataFrame, roots: DataFrame, column: str, name: str) -> DataFram
 
 
 def keep_one(documents: DataFrame, joined: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component: the one with the smallest id. A row without an id, or repeated, is kept as it is
-    only where it has the id of its component."""
-    rest = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = quoted(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(quoted(text).cast("string")) == F.col("_hash"))
-    return documents.join(rest, same, "left_anti")
+    """One document of each component: the one with the smallest id, null ids last. Of a row that is repeated one stays,
+    also without an id. Texts without words are in no component, and all stay."""
+    rows = joined.filter("class is not null").groupBy("class", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = rows.groupBy("class").agg(F.min(rank).alias("best"))
+    ranked = rows.join(best, "class").select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"), (rank == F.col("best")).alias("first"), "n")
+    gone = written(ranked.filter("not first or n > 1"), "gone")
+
+    def one(plain: DataFrame, id_: str, text_: str) -> DataFrame:
+        same = F.col(id_).cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(F.col(text_).cast("string")) == F.col("hash"))
+        repeated = plain.join(gone.filter("first"), same, "left_semi").dropDuplicates([id_, text_])
+        return plain.join(gone, same, "left_anti").unionByName(repeated)
+
+    return shielded(documents, [], [doc_id, text], one)

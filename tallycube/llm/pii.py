@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tallycube.llm.common import quoted, without
+from tallycube.llm.common import quoted, shielded
 
 ROUNDS = 8
 FIRST_YEAR, YEARS = 1900, 200  # dates of other years are not taken for dates of persons
@@ -307,7 +307,10 @@ def pseudonymise(documents: DataFrame, key: str, text: str = "text") -> DataFram
     an empty table gives no rows. Candidates that are not valid (no check digit, no such date) are left alone. Of the
     groups in a row of numbers those that pass the check of cards are replaced, which one in ten does by chance.
     """
-    source = without(documents, OUTPUT)
+    return shielded(documents, OUTPUT, [text], lambda plain, name: _pseudonymise(plain, key, name))
+
+
+def _pseudonymise(source: DataFrame, key: str, text: str) -> DataFrame:
     t = quoted(text).cast("string")
     some = t.rlike("[0-9@]")
     found = source.withColumn("_found", F.when(some, F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))))

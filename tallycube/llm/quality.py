@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import quoted, without
+from tallycube.llm.common import quoted, shielded, written
 
 # Frequent words of the languages whose words are compared.
 COMMON_WORDS = {
@@ -71,7 +71,8 @@ def repeated_words(ids: np.ndarray, kinds: int) -> int:
     n = len(ids)
     if n < 4:
         return 0
-    windows = (ids[:-2] * kinds + ids[1:-1]) * kinds + ids[2:]
+    pairs = np.unique(ids[:-1] * kinds + ids[1:], return_inverse=True)[1] if kinds > 1_000_000 else ids[:-1] * kinds + ids[1:]
+    windows = pairs[:-1] * kinds + ids[2:]
     _, place, counts = np.unique(windows, return_inverse=True, return_counts=True)
     often = counts[place] > 1
     inside = np.zeros(n, bool)
@@ -162,12 +163,16 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     COMMON_WORDS only. Repeated rows get the same verdict each. Input columns with the name of an output column are
     replaced; an empty table gives no rows.
     """
-    refs = references(documents, text, lang)
-    kept = without(documents, OUTPUT)
+    return shielded(documents, OUTPUT, [text, lang], _judge)
+
+
+def _judge(documents: DataFrame, text: str, lang: str) -> DataFrame:
+    # A row for each language, written, so that its size is known: no text travels to meet it, unless it is large.
+    refs = written(references(documents, text, lang), "references")
     m = F.col("_m")
     judged = (
-        kept.withColumn("_m", measure(quoted(text)))
-        .withColumn("_lang", quoted(lang).cast("string"))
+        documents.withColumn("_m", measure(F.col(text)))
+        .withColumn("_lang", F.col(lang).cast("string"))
         .join(refs.withColumnRenamed("_lang", "_of"), F.col("_lang").eqNullSafe(F.col("_of")), "left")
     )
     chars = F.aggregate(m["classes"], F.lit(0).cast("long"), lambda s, x: s + x)
@@ -175,7 +180,7 @@ def judge(documents: DataFrame, text: str = "text", lang: str = "lang") -> DataF
     class_distance = F.when(chars >= MIN_CHARS, distance(m["classes"], F.col("_ref_classes")))
     word_distance = F.when((m["n_words"] >= MIN_WORDS_COMPARED) & known, distance(m["words"], F.col("_ref_words")))
     with_distances = judged.select(
-        *[quoted(c) for c in kept.columns],
+        *documents.columns,
         *[m[c].alias(c) for c in COUNTS],
         base_failed(m).alias("base_failed"),
         class_distance.alias("class_distance"),

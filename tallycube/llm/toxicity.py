@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from tallycube.llm.common import quoted, without, written
+from tallycube.llm.common import quoted, shielded, written
 
 # Words of insult and contempt, and of the second person, in the languages of the corpus.
 LEXICON = (
@@ -121,13 +121,16 @@ class ToxicityModel:
         A null text is scored as an empty one; repeated rows get the same score; columns named `score` or `predicted`
         are replaced; an empty table gives no rows.
         """
-        source = without(documents, OUTPUT)
-        if self.trees is None:
-            score, scored = F.lit(float(self.base)), source
-        else:
-            scored = self.calibration.transform(_raw(self.trees, with_features(source, self.words, text)))
-            score = F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0))
-        return scored.select(*[quoted(c) for c in source.columns], score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+
+        def scored(plain: DataFrame, text_: str) -> DataFrame:
+            if self.trees is None:
+                score, done = F.lit(float(self.base)), plain
+            else:
+                done = self.calibration.transform(_raw(self.trees, with_features(plain, self.words, text_)))
+                score = F.least(F.greatest(F.col("_score"), F.lit(0.0)), F.lit(1.0))
+            return done.select(*plain.columns, score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+
+        return shielded(documents, OUTPUT, [text], scored)
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> ToxicityModel:

@@ -6,7 +6,7 @@ import texts
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from tallycube.llm import pii, quality
+from tallycube.llm import decontaminate, near, pii, quality, toxicity
 from tallycube.llm.queries import PSEUDONYM_KEY, QUERIES, SQL
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -81,7 +81,31 @@ def test_columns_named_like_an_output_keep_their_values(llm):
         assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [row]
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} and set(QUERIES) <= names and "pipeline" in names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} and set(QUERIES) <= names and "pipeline" in names
     assert set(SQL) <= set(QUERIES)
+
+
+INNER = "_id _hash _m _lang _of _found _score _raw _vector _features prediction probability rawPrediction id hash c0 n best first".split()
+
+
+def test_columns_named_as_inside_an_operator_keep_their_values(llm):
+    row = (1, texts.prose(3, 300), "en", "a", 1, *INNER)
+    docs = llm.createDataFrame([row], SCHEMA + "".join(f", {c} string" for c in INNER))
+    spelt = lambda df: [tuple(r) for r in df.select(*docs.columns).collect()]
+    assert spelt(quality.judge(docs)) == [row] and spelt(pii.pseudonymise(docs, PSEUDONYM_KEY)) == [row]
+    assert spelt(near.keep_one(docs, near.join_similar(docs, size=5, percent=80))) == [row]
+    benchmark = llm.createDataFrame([(1, "nothing of the kind")], "item_id long, text string")
+    assert spelt(decontaminate.clean_documents(docs, decontaminate.contamination(docs, benchmark))) == [row]
+    labelled = llm.createDataFrame([(k, texts.prose(k, 40) + (" idiot" if k % 2 else "")) for k in range(60)], "doc_id long, text string")
+    model = toxicity.fit(labelled, llm.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int"))
+    assert model.trees is not None and spelt(model.score(docs)) == [row]
+
+
+def test_exactly_one_row_of_a_component_stays(llm):
+    a, b = texts.prose(1, 80), texts.prose(2, 80)
+    rows = [(None, a), (None, a), (5, b), (5, b), (None, b), (7, texts.edited(b, 1, 1)), (8, ""), (None, None), (9, texts.prose(4, 80))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    kept = near.keep_one(docs, near.join_similar(docs, size=5, percent=80)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(None, a), (5, b), (8, ""), (None, None), rows[-1]]))
