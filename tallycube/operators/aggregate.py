@@ -4,25 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallycube.operators.groups import (
-    attach_factor,
-    clean_members,
     disseminated,
     drop_existing_aggregates,
     exclude_elements,
     expand_elements,
+    factor_of,
     item_factors,
     or_one,
     product,
     usable_ratios,
 )
-from tallycube.operators.joins import keep_listed, keep_listed_if_any
-from tallycube.operators.select import valid_area_years
-from tallycube.schema import ADHOC_CODE, METHOD_AGGREGATE, POPULATION, VALUE_TYPE, WORLD_GROUP, Dims
+from tallycube.operators.joins import keep_listed
+from tallycube.operators.select import disjoint_spans, valid_area_years, within
+from tallycube.schema import ADHOC_CODE, FACTOR_TYPE, METHOD_AGGREGATE, POPULATION, VALUE_TYPE, WORLD_GROUP, Dims
+from tallycube.session import stored
 from tallycube.sources.tables import literal_table
 
 
@@ -86,14 +87,19 @@ def aggregate(
     else:
         requested = literal_table(cube.sparkSession, [(e,) for e in elements], "code string")
         rows = keep_listed(rows, expand_elements(requested, rules.calculated), dims.element)
-    rows = clean_rows(rows, rules, dims)
-    rows = _restrict(rows, plan, rules, dims)
+    # One join on each axis tells all that the rules say of a code.
+    rows = _ruled(rows, dims.area, area_axis(rules, plan), "_area", plan, rules.area_rules is not None, rules.validity is not None, dims)
+    if dims.item:
+        rows = _ruled(rows, dims.item, item_axis(rules, plan), "_item", plan, rules.item_rules is not None, False, dims)
+        if rules.item_members is not None:
+            rows = rows.filter(F.col(dims.item).isNull() | (F.col(dims.item) != ADHOC_CODE))
     ratios = usable_ratios(rules.calculated) if rules.calculated is not None else None
     if plan.area_groups:
-        rows = rows.dropna("any")
+        rows = rows.dropna("any", subset=dims.columns)
+    told = [c for c in ("_area", "_item") if c in rows.columns]
     if ratios is not None:
-        rows = rows.unionByName(ratio_parts(rows, ratios, dims), allowMissingColumns=True)
-    grouped = _with_groups(rows, plan, rules, dims)
+        rows = rows.unionByName(ratio_parts(rows, ratios, dims, told), allowMissingColumns=True)
+    grouped = _with_groups(rows, plan, dims)
     keys = {
         "area": {"group": "group_code", "own": dims.area, None: None}[plan.area_key],
         "item": {"group": "item_group_code", "own": dims.item, None: None}[plan.item_key],
@@ -124,13 +130,84 @@ def clean_rows(rows: DataFrame, rules: Rules, dims: Dims) -> DataFrame:
     return drop_existing_aggregates(rows, pairs, rules.item_members, dims)
 
 
-def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims) -> DataFrame:
+TAGGED = {"code": "string", "kind": "string", "ref": "string", "factor": FACTOR_TYPE, "start_year": "int", "end_year": "int"}
+
+
+def _tagged(df: DataFrame, code: str, kind: str, **columns: Column) -> DataFrame:
+    """Rows of one kind of rule, in the columns of all kinds."""
+    given = columns | {"kind": F.lit(kind), "code": F.col(code)}
+    return df.select(*[given.get(f, F.lit(None)).cast(t).alias(f) for f, t in TAGGED.items()]).filter("code is not null")
+
+
+def _axis(parts: list[DataFrame], name: str) -> DataFrame | None:
+    """One row for each code that a rule names: is_group, any, full (dissemination), spans (disjoint valid years), groups
+    with their factor. Written and read back, so that its size is known and a hot code of the fact side can be split."""
+    if not parts:
+        return None
+    of = lambda kind: F.col("kind") == kind
+    years = F.struct("start_year", "end_year")
+    rules = reduce(DataFrame.unionByName, parts).groupBy("code").agg(
+        *[F.max(of(k)).alias(n) for k, n in (("group", "is_group"), ("any", "any"), ("full", "full"))],
+        F.collect_list(F.when(of("span"), years)).alias("spans"),
+        F.collect_set(F.when(of("member"), F.struct(F.col("ref").alias("group"), "factor"))).alias("groups"),
+    )
+    return stored(rules.withColumn("spans", disjoint_spans(F.col("spans"))), name)
+
+
+def _lists(table: DataFrame | None, plan: Mode) -> list[DataFrame]:
+    if table is None or not plan.lists:
+        return []
+    return [_tagged(disseminated(table, full_only=kind == "full"), "code", kind) for kind in ("any", "full")]
+
+
+def area_axis(rules: Rules, plan: Mode) -> DataFrame | None:
+    """Rules on areas: memberships, validity, dissemination, codes that are groups."""
+    parts = _lists(rules.area_rules, plan)
+    if rules.validity is not None:
+        parts.append(_tagged(rules.validity, "m49", "span", start_year=F.col("start_year"), end_year=F.col("end_year")))
+    if rules.area_members is not None:
+        pairs = rules.area_members.select("group_code", "member_code").dropna("any")
+        parts.append(_tagged(pairs, "group_code", "group"))
+        members = pairs.filter(F.col("group_code") == WORLD_GROUP) if plan.world_only else pairs
+        if plan.area_groups:
+            parts.append(_tagged(members, "member_code", "member", ref=F.col("group_code")))
+    return _axis(parts, "area-rules")
+
+
+def item_axis(rules: Rules, plan: Mode) -> DataFrame | None:
+    """Rules on items: groups with the largest factor, dissemination, codes that are groups."""
+    parts = _lists(rules.item_rules, plan)
+    if rules.item_members is not None:
+        parts.append(_tagged(rules.item_members, "group_code", "group"))
+        if plan.item_groups:
+            parts.append(_tagged(item_factors(rules.item_members), "member_code", "member", ref=F.col("group_code"), factor=F.col("factor")))
+    return _axis(parts, "item-rules")
+
+
+def _ruled(
+    rows: DataFrame, column: str, axis: DataFrame | None, name: str, plan: Mode, lists: bool, spans: bool, dims: Dims
+) -> DataFrame:
+    """Rows that the rules on one axis let pass, with the groups of their code in `name`."""
+    if axis is None:
+        return rows
+    marks = F.struct("is_group", "any", "full", "spans").alias("_marks")
+    told = axis.select(F.col("code").alias(column), marks, F.col("groups").alias(name))
+    rows = rows.join(told, column, "inner" if spans else "left").filter(~F.coalesce(F.col("_marks.is_group"), F.lit(False)))
+    if spans:
+        rows = rows.filter(F.exists("_marks.spans", lambda x: within(F.col(dims.year).cast("int"), x)))
+    # An empty list restricts nothing.
+    if lists and plan.lists and not axis.filter("any").isEmpty():
+        rows = rows.filter(F.coalesce(F.col(f"_marks.{plan.lists}"), F.lit(False)))
+    return rows.drop("_marks")
+
+
+def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims, told: Sequence[str] = ()) -> DataFrame:
     """Numerator and denominator of each cell (area, item, year) that has both.
 
     They leave as rows of the part elements, tagged with the ratio they belong to, so group factors
-    apply to them like to any other row.
+    apply to them like to any other row. Columns `told` follow from area and item and come along.
     """
-    cell = [c for c in (dims.area, dims.item, dims.year) if c]
+    cell = [*[c for c in (dims.area, dims.item, dims.year) if c], *told]
     codes = {"num": "num_var_code", "den": "den_var_code"}
     roles = ratios.select(
         F.col("result_var_code").alias("_result"),
@@ -245,33 +322,21 @@ def aggregate_ratio(rows: DataFrame, by: Sequence[str], ratios: DataFrame, dims:
     return out.join(results, dims.element, "left_semi").dropna(subset=[dims.value])
 
 
-def _restrict(rows: DataFrame, plan: Mode, rules: Rules, dims: Dims) -> DataFrame:
-    """Keep the areas and items on the dissemination lists; an empty list keeps all."""
-    if not plan.lists:
-        return rows
-    for table, column in ((rules.area_rules, dims.area), (rules.item_rules, dims.item)):
-        if table is not None and column:
-            codes = disseminated(table, full_only=plan.lists == "full")
-            rows = keep_listed_if_any(rows, codes, column, any_of=disseminated(table))
-    return rows
-
-
-def _with_groups(rows: DataFrame, plan: Mode, rules: Rules, dims: Dims) -> DataFrame:
-    """Attach group columns to observations and ratio parts alike."""
+def _with_groups(rows: DataFrame, plan: Mode, dims: Dims) -> DataFrame:
+    """Spell out the groups of observations and ratio parts alike: group_code, item_group_code and `_factor`."""
     if plan.area_groups:
-        members = clean_members(rules.area_members)
-        if plan.world_only:
-            members = members.filter(F.col("group_code") == WORLD_GROUP)
-        rows = rows.join(members.withColumnRenamed("member_code", dims.area), dims.area)
+        rows = rows.withColumn("group_code", F.explode("_area.group"))
     if plan.item_groups:
-        factors = item_factors(rules.item_members)
         if plan.distinct_rows:
             # The group itself does not matter here, so an item needs one row per factor only.
-            factors = factors.select(F.lit(None).cast("string").alias("group_code"), "member_code", or_one("factor").alias("factor")).distinct()
-        how = "inner" if plan.item_key == "group" else "left"
-        rows = attach_factor(rows, factors, dims, how)
+            factors = F.array_distinct(F.transform("_item", lambda x: or_one(x["factor"])))
+            rows = rows.withColumn("factor", F.explode_outer(factors))
+        else:
+            rows = rows.withColumn("_member", F.explode("_item") if plan.item_key == "group" else F.explode_outer("_item"))
+            rows = rows.withColumns({"item_group_code": F.col("_member.group"), "factor": F.col("_member.factor")})
+        rows = rows.withColumn("_factor", factor_of(dims))
     if plan.distinct_rows:
         # Equal products count once, so they are formed before the copies go.
         tags = [c for c in ("_result", "_role") if c in rows.columns]
         rows = rows.withColumn(dims.value, product(dims.value)).select(*dims.columns, *tags).distinct()
-    return rows
+    return rows.drop("_area", "_item", "_member", "factor")

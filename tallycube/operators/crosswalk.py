@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallycube.operators.joins import drop_listed, full_join, keep_listed
+from tallycube.operators.joins import drop_listed, full_join, full_join_unique, keep_listed
 
 
 def crosswalk(source: DataFrame, target: DataFrame, approved: DataFrame | None = None) -> DataFrame:
@@ -52,7 +52,7 @@ def matched_elsewhere(table: DataFrame) -> DataFrame:
 def compare_memberships(left: DataFrame, right: DataFrame) -> DataFrame:
     """Membership pairs (group_code, member_code) of two lists, with the side(s) they occur on."""
     by = ["group_code", "member_code"]
-    pairs = full_join(
+    pairs = full_join_unique(
         left.select(*by).distinct().withColumn("_l", F.lit(True)),
         right.select(*by).distinct().withColumn("_r", F.lit(True)),
         by,

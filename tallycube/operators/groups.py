@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +44,23 @@ def later_copies(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg((F.count(F.lit(1)) - 1).alias("copies")).filter("copies > 0")
 
 
+def mark_later(df: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """All rows, with `later`: false for one row of each key, the first in `order` and then by the other columns.
+
+    Equal rows are counted, the first of each key is a partial minimum joined back, and the counts are spelt out again;
+    a window would bring all rows of a key to one task. Null keys are keys like others.
+    """
+    rest = [c for c in df.columns if c not in key and c not in order]
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    # The key columns stand in the order too, so that there is one even if the key is all.
+    rank = F.struct(*order, *rest, *[c for c in key if c not in order])
+    first = counted.groupBy(*[F.col(c).alias(f"_key_{c}") for c in key]).agg(F.min(rank).alias("_least"))
+    same = reduce(lambda a, b: a & b, [counted[c].eqNullSafe(first[f"_key_{c}"]) for c in key])
+    copies = counted.join(first, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+    later = ~((rank == F.col("_least")) & (F.col("_copy") == 1))
+    return copies.select(*[counted[c] for c in df.columns], later.alias("later"))
+
+
 def item_factors(groups: DataFrame) -> DataFrame:
     """Largest factor of each (group_code, member_code)."""
     return groups.groupBy("group_code", "member_code").agg(F.max(held_factor("factor")).alias("factor"))
@@ -55,7 +73,7 @@ def held_factor(factor: str) -> Column:
     return F.when(F.col(factor).isNotNull(), F.when(held == given, held).otherwise(lost))
 
 
-def or_one(factor: str) -> Column:
+def or_one(factor: str | Column) -> Column:
     """A missing factor is 1."""
     return F.coalesce(factor, F.lit(1).cast(FACTOR_TYPE))
 
@@ -69,9 +87,13 @@ def attach_factor(df: DataFrame, factors: DataFrame, dims: Dims, how: str = "lef
     members = factors.select(
         F.col("member_code").alias(dims.item), F.col("group_code").alias("item_group_code"), "factor"
     )
+    return df.join(members, dims.item, how).withColumn("_factor", factor_of(dims)).drop("factor")
+
+
+def factor_of(dims: Dims, factor: str = "factor") -> Column:
+    """The multiplier of a row: 1 for some elements and for a missing factor."""
     unfactored = F.col(dims.element).isin(*UNFACTORED_ELEMENTS)
-    factor = F.when(unfactored, F.lit(1).cast(FACTOR_TYPE)).otherwise(or_one("factor"))
-    return df.join(members, dims.item, how).withColumn("_factor", factor).drop("factor")
+    return F.when(unfactored, F.lit(1).cast(FACTOR_TYPE)).otherwise(or_one(factor))
 
 
 def product(value: str) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycube.functions import release_text
+from tallycube.operators.joins import apart
 from tallycube.operators.reshape import with_row_id
 from tallycube.schema import (
     FEMALE,
@@ -34,7 +35,7 @@ def source_texts(
 
     Residual areas come first, then projections (years after the release), then the publication.
     """
-    marks = residual_codes.select(F.col("code").alias(dims.area)).distinct().withColumn("_residual", F.lit(True))
+    marks = apart(residual_codes.select(F.col("code").alias(dims.area)).distinct(), dims.area).withColumn("_residual", F.lit(True))
     text = (
         F.when(F.col("_residual"), TEXT_RESIDUAL)
         .when(F.col(dims.year) > prospects_year, f"{PROSPECTS}{prospects_year}{TEXT_PROJECTION}")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycube.functions import percent_change, relative_change
-from tallycube.operators.joins import full_join
+from tallycube.operators.joins import full_join_unique
 from tallycube.schema import FEMALE, MALE, POPULATION, TOTAL, VALUE_TYPE, Dims
 
 # Status codes of the reconciliation.
@@ -20,7 +20,10 @@ STATUS_UNKNOWN = "?"
 
 
 def reconcile(first: DataFrame, second: DataFrame, on: Sequence[str], value: str = "Value") -> DataFrame:
-    """Status per key of two publications and, where they differ, the rounded difference."""
+    """Status per key of two publications and, where they differ, the rounded difference.
+
+    Each has one row per key, as a cube does; a key that occurs twice is an error.
+    """
     a, b = F.col("value_first"), F.col("value_second")
     status = (
         F.when(a == b, STATUS_EQUAL)
@@ -30,7 +33,7 @@ def reconcile(first: DataFrame, second: DataFrame, on: Sequence[str], value: str
         .otherwise(STATUS_UNKNOWN)
     )
     return (
-        full_join(
+        full_join_unique(
             first.select(*on, F.col(value).alias("value_first")),
             second.select(*on, F.col(value).alias("value_second")),
             on,
@@ -84,7 +87,7 @@ def original_check(
     stored: DataFrame, original: DataFrame, on: Sequence[str], value: str = "Value"
 ) -> DataFrame:
     """Stored values against the rounded original; null where a side is missing."""
-    rows = full_join(
+    rows = full_join_unique(
         stored.select(*on, F.col(value).alias("value_stored")),
         original.select(*on, F.round(value, 3).alias("value_original")),
         on,
@@ -147,3 +150,22 @@ def totals_by_validity(df: DataFrame, validity: DataFrame, aliases: Sequence[str
 
 def control_total(df: DataFrame, value: str = "Value") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
+
+
+def paired_differences(compared: DataFrame, pairs: DataFrame, on: str, year: str = POPULATION.year, value: str = "difference") -> DataFrame:
+    """Differences of two areas next to each other, by year.
+
+    `compared` has one row per area (column `on`) and year; `pairs` has left, right, and optionally from_year and to_year,
+    null for no bound. A year is told if both areas have a row in it. Each pair is one group of rows: its two areas are
+    looked up at once and the values picked by side, so `compared` is read once.
+    """
+    bounds = [F.col(c) if c in pairs.columns else F.lit(None).cast("int") for c in ("from_year", "to_year")]
+    sides = pairs.select("left", "right", bounds[0].alias("_from"), bounds[1].alias("_to")).distinct()
+    wanted = sides.select("*", F.explode(F.array_distinct(F.array("left", "right"))).alias(on))
+    inside = (F.col("_from").isNull() | (F.col(year) >= F.col("_from"))) & (F.col("_to").isNull() | (F.col(year) <= F.col("_to")))
+    rows = compared.select(on, year, value).join(wanted, on).filter(inside)
+    picked = rows.groupBy("left", "right", "_from", "_to", year).agg(
+        *[F.max(F.when(F.col(on) == F.col(s), F.col(value))).alias(f"{value}_{s}") for s in ("left", "right")],
+        *[F.max(F.col(on) == F.col(s)).alias(f"_{s}") for s in ("left", "right")],
+    )
+    return picked.filter("_left and _right").select("left", "right", year, f"{value}_left", f"{value}_right").distinct()

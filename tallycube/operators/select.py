@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycube.operators.joins import drop_listed, keep_listed
+from tallycube.operators.joins import apart, drop_listed, keep_listed
 from tallycube.schema import POPULATION, Dims
 
 Keys = DataFrame | Sequence | None
@@ -72,18 +72,46 @@ def session_keys(
     )
 
 
+def disjoint_spans(spans: Column) -> Column:
+    """Intervals (start_year, end_year; null for no bound) of one area in order, with those that overlap or touch as one."""
+    first, last = F.lit(-(1 << 31)).cast("int"), F.lit((1 << 31) - 1).cast("int")
+    closed = F.transform(spans, lambda x: F.struct(F.coalesce(x["start_year"], first).alias("s"), F.coalesce(x["end_year"], last).alias("e")))
+    sorted_ = F.array_sort(F.filter(closed, lambda x: x["s"] <= x["e"]))
+    head, none = F.struct(first.alias("s"), first.alias("e")), F.lit(False)
+
+    def step(state: Column, x: Column) -> Column:
+        # The interval that still grows, and those before it.
+        touches = state["open"] & (x["s"] <= F.when(state["now"]["e"] == last, last).otherwise(state["now"]["e"] + 1))
+        grown = F.struct(state["now"]["s"].alias("s"), F.greatest(state["now"]["e"], x["e"]).alias("e"))
+        done = F.when(state["open"] & ~touches, F.concat(state["done"], F.array(state["now"]))).otherwise(state["done"])
+        return F.struct(F.when(touches, grown).otherwise(x).alias("now"), F.lit(True).alias("open"), done.alias("done"))
+
+    start = F.struct(head.alias("now"), none.alias("open"), F.slice(F.array(head), 1, 0).alias("done"))
+    merged = F.aggregate(sorted_, start, step, lambda s: F.when(s["open"], F.concat(s["done"], F.array(s["now"]))).otherwise(s["done"]))
+    bound = lambda c, open_: F.when(c != open_, c)
+    return F.transform(merged, lambda x: F.struct(bound(x["s"], first).alias("start_year"), bound(x["e"], last).alias("end_year")))
+
+
+def disjoint_validity(validity: DataFrame) -> DataFrame:
+    """(m49, start_year, end_year) with the intervals of an area made disjoint; an area has few of them."""
+    years = [F.col(c).cast("int").alias(c) for c in ("start_year", "end_year")]
+    spans = validity.filter("m49 is not null").groupBy("m49").agg(F.collect_list(F.struct(*years)).alias("spans"))
+    return spans.select("m49", F.explode(disjoint_spans(F.col("spans"))).alias("x")).select("m49", "x.*")
+
+
+def within(year: Column, span: Column) -> Column:
+    """Whether a year lies in an interval (start_year, end_year), null bounds being open."""
+    return (span["start_year"].isNull() | (year >= span["start_year"])) & (span["end_year"].isNull() | (year <= span["end_year"]))
+
+
 def valid_area_years(df: DataFrame, validity: DataFrame, dims: Dims = POPULATION) -> DataFrame:
     """Rows inside at least one validity interval (m49, start_year, end_year) of their area.
 
-    A null bound is open; an area without an interval is dropped.
+    A null bound is open; an area without an interval is dropped. As the intervals of an area are disjoint, a row meets
+    one of them at most, and an inner join will do.
     """
-    year = df[dims.year].cast("int")
-    inside = (
-        (df[dims.area] == validity["m49"])
-        & (validity["start_year"].isNull() | (year >= validity["start_year"]))
-        & (validity["end_year"].isNull() | (year <= validity["end_year"]))
-    )
-    return df.join(validity, inside, "left_semi")
+    spans = apart(disjoint_validity(validity), "m49").select(F.col("m49").alias(dims.area), F.struct("start_year", "end_year").alias("_span"))
+    return df.join(spans, dims.area).filter(within(F.col(dims.year).cast("int"), F.col("_span"))).select(*df.columns)
 
 
 def known_codes(df: DataFrame, codes: DataFrame, dims: Dims = POPULATION) -> DataFrame:

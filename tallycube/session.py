@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. A join on an area code may be followed by a
 # grouping on the same code; without the force option Spark would then leave a hot area in one task.
@@ -67,3 +67,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         files.mkdirs(path)
         files.deleteOnExit(path)
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table to the shared folder and read it back. Its size is known from then on, and it is never computed again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
