@@ -13,12 +13,24 @@ from tallycube.functions import strict_sum
 from tallycube.operators import aggregate as agg
 from tallycube.operators import coverage, crosswalk, groups, metadata, reconcile, reshape, residual, select, splice
 from tallycube.operators.joins import group_total
-from tallycube.plans.ingest import ingest, long_sections
-from tallycube.plans.grouping import aggregate_session
-from tallycube.plans.sync import sync
-from tallycube.schema import ELEMENTS, MALE, URBAN
+from tallycube.plans.grouping import aggregate_session, rules_of
+from tallycube.plans.ingest import ingest, ingest_folder, long_sections
+from tallycube.plans.sync import SOURCE, sync, sync_slice
+from tallycube.schema import ELEMENTS, MALE, URBAN, Dims
 from tallycube.session import scratch_path
-from tallycube.sources import append_rules, literal_table, read_cube, read_table, read_wide, write_cube, write_report
+from tallycube.sources import (
+    append_rules,
+    literal_table,
+    read_cube,
+    read_release,
+    read_table,
+    read_typed,
+    read_wide,
+    write_cube,
+    write_release,
+    write_report,
+    write_version,
+)
 
 Query = Callable[[Standins], DataFrame]
 KEYS = [D.area, D.element, D.year]
@@ -74,6 +86,31 @@ def sink_roundtrip(s: Standins) -> DataFrame:
     return rows
 
 
+@query
+def src_typed_csv(s: Standins) -> DataFrame:
+    """Columns picked by name and typed, from a file with others and in another order; cells that do not fit are null."""
+    path = scratch_path(s.spark, "typed")
+    key = F.col("k")
+    write_report(s.customers.select("name", F.when(key % 10 == 3, "n/a").otherwise(key.cast("string")).alias("Key"), F.col("area").alias("Code"), "nk"), path)
+    return read_typed(s.spark, path, {"Code": "string", "Key": "double"})
+
+
+@query
+def release_roundtrip(s: Standins) -> DataFrame:
+    """Cube and metadata written together, one year of both replaced; a version that was never published stays unseen."""
+    base = scratch_path(s.spark, "release")
+    texts = lambda rows, text: rows.select(*KEYS, F.lit(text).alias("Metadata_Value"))
+    write_release(s.leaf, texts(s.leaf, "first"), base)
+    year = s.leaf.filter(F.col(D.year) == COMMON_YEAR)
+    doubled = year.withColumn(D.value, (F.col(D.value) * 2).cast("decimal(28,6)"))
+    write_release(doubled, texts(year.filter(F.col(D.element) == "511"), "second"), base)
+    write_version(doubled, texts(year, "torn"), base)
+    cube, metadata = read_release(s.spark, base)
+    totals = cube.groupBy(D.year).agg(F.count(F.lit(1)).alias("n"), F.sum(D.value).alias("total"))
+    told = metadata.groupBy(D.year, F.col("Metadata_Value").alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    return totals.withColumn("part", F.lit("cube")).unionByName(told, allowMissingColumns=True)
+
+
 @query
 def cube_slice(s: Standins) -> DataFrame:
     countries = select.codes_of(s.area_codes, types=["country"])
@@ -93,6 +130,24 @@ def ingest_unpivot(s: Standins) -> DataFrame:
     return ingest(s.sections, s.area_codes, COMMON_YEAR, first_year=int(YEARS[0])).cube
 
 
+@query
+def ingest_from_folder(s: Standins) -> DataFrame:
+    """The same cube from ten tables with unlike headers, in one scan."""
+    base = scratch_path(s.spark, "folder")
+    names = {"total": "both sexes", "male": "male", "female": "female", "urban": "urban", "rural": "rural"}
+    odd = F.substring("Country code", 2, 20).cast("bigint") % 2 == 1
+    for role, sections in s.sections.items():
+        for section, wide in sections.items():
+            if "medium" in sections:
+                write_report(wide, f"{base}/{names[role]}_{section}")
+                continue
+            # A part of the table begins with a byte order mark, the other has further columns, and the years the other way round but for the last one.
+            years = [*reversed(YEARS[:-1]), YEARS[-1]]
+            write_report(wide.filter(~odd).withColumnRenamed("Country code", "\ufeffCountry code"), f"{base}/{names[role]}_{section}_1")
+            write_report(wide.filter(odd).select(F.lit("x").alias("Index"), "Country code", F.lit("a,b").alias("Notes"), *years), f"{base}/{names[role]}_{section}_2")
+    return ingest_folder(s.spark, base, s.area_codes, COMMON_YEAR, first_year=int(YEARS[0])).cube
+
+
 @query
 def ingest_metadata(s: Standins) -> DataFrame:
     return ingest(s.sections, s.area_codes, COMMON_YEAR, "WPP2019", "WUP2018", first_year=int(YEARS[0])).metadata()
@@ -182,6 +237,18 @@ def src_below_preamble(s: Standins) -> DataFrame:
     return read_wide(s.spark, path, start_row=3)
 
 
+@query
+def src_quoted_preamble(s: Standins) -> DataFrame:
+    """Below a preamble, records with quoted line breaks, commas and quotes."""
+    path = scratch_path(s.spark, "quoted")
+    name = F.concat(F.lit('"'), F.replace("name", F.lit("#"), F.lit('\n""')), F.lit(', x"'))
+    lines = s.customers.select(F.floor(F.col("k") / 1000).alias("part"), F.concat_ws(",", name, "area").alias("line"))
+    body = F.array_join(F.array_sort(F.collect_list("line")), "\n")  # a thousand customers at most
+    tables = lines.groupBy("part").agg(F.concat(F.lit('An odd " note\nname,Country code\n'), body).alias("value"))
+    tables.write.partitionBy("part").text(path)
+    return read_wide(s.spark, path, start_row=2)
+
+
 def _labelled(s: Standins) -> DataFrame:
     names = [("511", "Total"), ("512", "Male"), ("513", "Female"), ("561", "Urban")]
     elements = literal_table(s.spark, names, "code string, description string")
@@ -219,6 +286,12 @@ def valid_area_years(s: Standins) -> DataFrame:
     return select.valid_area_years(s.leaf, s.validity)
 
 
+@query
+def validity_disjoint(s: Standins) -> DataFrame:
+    spans = select.disjoint_validity(s.validity)
+    return spans.withColumns({c: F.col(c).cast("string") for c in ("start_year", "end_year")})
+
+
 @query
 def sum_strict(s: Standins) -> DataFrame:
     """Parent totals written back to each member row."""
@@ -329,6 +402,21 @@ def operational_cube(s: Standins) -> DataFrame:
     return _sync(s).cube
 
 
+@query
+def operational_slice(s: Standins) -> DataFrame:
+    """The operational cube from a stored source with areas and years that its code lists do not name."""
+    others = s.source.withColumn(D.area, F.concat(F.lit("Q"), D.area))
+    none = s.source.filter(F.col(D.year) == int(YEARS[0])).withColumn(D.year, F.lit(0))
+    base = scratch_path(s.spark, "source")
+    write_cube(s.source.unionByName(others).unionByName(none).withColumnRenamed(D.area, SOURCE.area), f"{base}/cube")
+    append_rules(s.source.select(F.col(D.area).alias("code")).distinct(), f"{base}/areas")
+    stored, areas = read_cube(s.spark, f"{base}/cube"), read_table(s.spark, f"{base}/areas")
+    years = stored.select(F.col(D.year).cast("string").alias("code")).distinct()
+    return sync_slice(
+        stored, areas, years, _crosswalk(s), s.hierarchy, s.conversion, 1999, 1997, s.flag_weights, aliases={"C7": ["C1248x"]}
+    ).cube
+
+
 @query
 def metadata_build(s: Standins) -> DataFrame:
     return _sync(s).metadata()
@@ -399,6 +487,36 @@ def agg_session_area(s: Standins) -> DataFrame:
     )
 
 
+@query
+def agg_stored_rules(s: Standins) -> DataFrame:
+    """Area groups with rule tables as they are stored, by domain, and with dimensions found by their names."""
+    base = scratch_path(s.spark, "rules")
+    domain = F.lit("Production").alias("master_domain")
+
+    def kinds(of, **tables: DataFrame) -> DataFrame:
+        """Rows of areas and items, and those of another domain, which must not be read."""
+        own = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [of(t).withColumn("var_type", F.lit(k)) for k, t in tables.items()])
+        return own.select("*", domain).unionByName(own.withColumns({"master_domain": F.lit("Trade"), "var_code_sws": F.lit("x")}))
+
+    grouped = kinds(lambda t: t.withColumnsRenamed({"group_code": "var_group_code_sws", "member_code": "var_code_sws"}), area=s.area_groups, item=s.item_groups)
+    listed = kinds(lambda t: t.withColumnsRenamed({"code": "var_code_sws", "flag": "domain_var_diss_flag_agg_int"}), area=s.area_rules, item=s.item_rules)
+    tables = {
+        "aggregate_groups": grouped,
+        "aggregate_type": listed,
+        "area_years": s.validity,
+        "calculated_elements": s.calculated.withColumn("remark", F.lit("not read")),
+        "flag_weight_table": s.flag_weights.withColumnsRenamed({"flag": "flag_observation_status", "weight": "flag_observation_weights"}),
+        "elements_to_not_aggregate": s.excluded,
+    }
+    for name, table in tables.items():
+        append_rules(table, f"{base}/{name}")
+    dims = Dims.discover(s.items.columns)
+    rules = rules_of(lambda name: read_table(s.spark, f"{base}/{name}"), "agriculture", "production", has_item=dims.item is not None)
+    return aggregate_session(
+        s.items, "area", rules, s.area_codes, s.session_areas, ["5622"], range(1996, 2000), items=["SMALL", "PROMO"], dims=dims
+    )
+
+
 @query
 def agg_ratio_element(s: Standins) -> DataFrame:
     ratios = groups.usable_ratios(s.calculated)
@@ -426,6 +544,12 @@ def duplicate_members(s: Standins) -> DataFrame:
     return groups.later_copies(s.area_groups, ["group_code", "member_code"])
 
 
+@query
+def duplicate_member_rows(s: Standins) -> DataFrame:
+    """All membership rows, the later copies of a pair marked."""
+    return groups.mark_later(s.area_groups, ["group_code", "member_code"])
+
+
 @query
 def first_by_key(s: Standins) -> DataFrame:
     """The earliest observation of each area and element."""
@@ -536,3 +660,16 @@ def world_total_no_double(s: Standins) -> DataFrame:
     with_alias = reshape.alias_area(s.leaf, {"C7": ["C1248x"]})
     year = with_alias.filter((F.col(D.year) == 2000) & (F.col(D.element) == "511"))
     return reconcile.control_total(select.without_areas(year, ["C1248x"]))
+
+
+@query
+def recon_paired_areas(s: Standins) -> DataFrame:
+    """Differences of each two areas next to each other, some within given years."""
+    totals = [df.filter(F.col(D.element) == "511") for df in (s.leaf, s.second)]
+    pairs = s.customers.filter("k % 2 = 0").select(
+        F.col("area").alias("left"),
+        F.expr("concat('C', k + 1)").alias("right"),
+        F.expr("if(k % 4 = 0, 1996, null)").alias("from_year"),
+        F.expr("if(k % 6 = 0, 1999, null)").alias("to_year"),
+    )
+    return reconcile.paired_differences(reconcile.compare(*totals, [D.area, D.year]), pairs, D.area)

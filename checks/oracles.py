@@ -247,6 +247,22 @@ oracle(
            GROUP BY GROUPING SETS ((kind), ()))""",
 )
 ORACLES["src_below_preamble"] = """SELECT 'C' || c_custkey "Country code", CAST(c_nationkey AS VARCHAR) nation FROM customer"""
+ORACLES["src_quoted_preamble"] = """SELECT replace(c_name, '#', chr(10) || '"') || ', x' AS name, 'C' || c_custkey "Country code" FROM customer"""
+ORACLES["src_typed_csv"] = """SELECT 'C' || c_custkey "Code", CASE WHEN c_custkey % 10 <> 3 THEN CAST(c_custkey AS DOUBLE) END "Key" FROM customer"""
+ORACLES["ingest_from_folder"] = ORACLES["ingest_unpivot"]
+oracle(
+    "release_roundtrip",
+    """SELECT yr "timePointYears", 'cube' part, count(*) n, CAST(sum(CASE WHEN yr = 1998 THEN 2 * v ELSE v END) AS DOUBLE) total FROM leaf GROUP BY yr
+       UNION ALL SELECT yr, CASE WHEN yr = 1998 THEN 'second' ELSE 'first' END, count(*), NULL FROM leaf WHERE yr <> 1998 OR e = '511' GROUP BY yr""",
+)
+oracle(
+    "validity_disjoint",
+    """SELECT m49, CASE WHEN min(f) > -99999 THEN CAST(min(f) AS VARCHAR) END start_year, CASE WHEN max(l) < 99999 THEN CAST(max(l) AS VARCHAR) END end_year FROM (
+           SELECT *, sum(CASE WHEN f <= before + 1 THEN 0 ELSE 1 END) OVER (PARTITION BY m49 ORDER BY f, l) run FROM (
+               SELECT *, max(l) OVER (PARTITION BY m49 ORDER BY f, l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) before FROM (
+                   SELECT m49, coalesce(s, -99999) f, coalesce(t, 99999) l FROM validity)))
+       GROUP BY m49, run""",
+)
 LABELLED = f"""SELECT {CUBE}, d.description "geographicAreaM49_description", n.description "measuredElement_description"
     FROM leaf LEFT JOIN area_codes d ON a = d.code
     LEFT JOIN (VALUES ('511', 'Total'), ('512', 'Male'), ('513', 'Female'), ('561', 'Urban')) n(code, description)
@@ -340,6 +356,7 @@ oracle(
 
 oracle("residual_areas", f"SELECT {CUBE} FROM residuals")
 oracle("operational_cube", f"SELECT {CUBE} FROM operational")
+ORACLES["operational_slice"] = ORACLES["operational_cube"]
 oracle(
     "metadata_build",
     f"""SELECT a "geographicAreaM49", e "measuredElement", yr "timePointYears", {METADATA}
@@ -473,6 +490,7 @@ _aggregate_oracle(
         "item",
     ),
 )
+ORACLES["agg_stored_rules"] = ORACLES["agg_session_area"]
 POPULATION_GROUP = """SELECT {area} "geographicAreaM49", e "measuredElement", yr "timePointYears",
        CAST(sum(v) AS DOUBLE) "Value",
        arg_min(s, CASE s WHEN 'E' THEN 0 WHEN '' THEN 1 ELSE 2 END) "flagObservationStatus", 'x' "flagMethod"
@@ -509,6 +527,10 @@ oracle(
     "duplicate_members",
     """SELECT g group_code, m member_code, count(*) - 1 copies FROM area_groups GROUP BY g, m HAVING count(*) > 1""",
 )
+oracle(
+    "duplicate_member_rows",
+    "SELECT g group_code, m member_code, row_number() OVER (PARTITION BY g, m) > 1 later FROM area_groups",
+)
 oracle(
     "first_by_key",
     f"SELECT {CUBE} FROM leaf QUALIFY row_number() OVER (PARTITION BY a, e ORDER BY yr) = 1",
@@ -589,6 +611,14 @@ oracle(
        FROM (SELECT l.a, l.yr, l.v, f.v w FROM leaf l JOIN second f ON f.a = l.a AND f.e = l.e AND f.yr = l.yr
              WHERE l.e = '511')""",
 )
+oracle(
+    "recon_paired_areas",
+    """WITH x AS (SELECT l.k, l.a, l.yr, CAST(l.v - f.v AS DOUBLE) d FROM leaf l JOIN second f ON f.a = l.a AND f.e = l.e AND f.yr = l.yr WHERE l.e = '511')
+       SELECT p.a "left", q.a "right", p.yr "timePointYears", p.d difference_left, q.d difference_right FROM x p JOIN x q ON q.k = p.k + 1 AND q.yr = p.yr
+       WHERE p.k % 2 = 0 AND (p.k % 4 <> 0 OR p.yr >= 1996) AND (p.k % 6 <> 0 OR p.yr <= 1999)""",
+)
+head, tail = ORACLES["recon_paired_areas"].split(" WITH x AS ", 1)
+ORACLES["recon_paired_areas"] = f"{head}, x AS {tail}"
 oracle(
     "recon_threshold",
     """SELECT label, yr "timePointYears", CAST(p AS DOUBLE) value_first, CAST(c AS DOUBLE) value_second,

@@ -9,8 +9,9 @@ from tallycube.schema import RESIDUAL_SUFFIX, VALUE_TYPE
 
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-# Digits other than zero after the sixth decimal, or an exponent that takes the last digit there.
-MORE_DECIMALS = r"^[+-]?\d*\.\d{6}\d*[1-9]|[eE]-"
+# Digits other than zero after the sixth decimal, of a number without an exponent.
+MORE_DECIMALS = r"^[+-]?\d*\.\d{6}\d*[1-9]\d*$"
+NONZERO = r"^[^eE]*[1-9]"
 
 
 def clean_number(text: str | Column) -> Column:
@@ -21,7 +22,10 @@ def clean_number(text: str | Column) -> Column:
     """
     packed = F.regexp_replace(F.col(text) if isinstance(text, str) else text, " ", "")
     held = packed.try_cast(VALUE_TYPE)
-    whole = held.isNotNull() & ~packed.rlike(MORE_DECIMALS)
+    # With an exponent, the value itself tells: eighteen decimals of it, and that it is not too small for those.
+    exact = packed.try_cast("decimal(38,18)")
+    kept = F.coalesce(exact == held, F.lit(True)) & ~((held == 0) & packed.rlike(NONZERO))
+    whole = held.isNotNull() & kept & ~packed.rlike(MORE_DECIMALS)
     lost = F.raise_error(F.concat(F.lit("number does not fit the value type: "), packed)).cast(VALUE_TYPE)
     return F.when(packed.rlike(NUMBER), F.when(whole, held).otherwise(lost))
 

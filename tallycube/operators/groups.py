@@ -67,10 +67,13 @@ def item_factors(groups: DataFrame) -> DataFrame:
 
 
 def held_factor(factor: str) -> Column:
-    """A factor in its type; one with more digits than the type holds is an error."""
-    given, held = F.col(factor).cast("decimal(38,18)"), F.col(factor).try_cast(FACTOR_TYPE)
+    """A factor in its type; one with more digits than the type holds is an error.
+
+    A double is taken with the digits it is written with: one third is 0.3333333333333333.
+    """
+    given, held = F.col(factor).cast("double"), F.col(factor).try_cast(FACTOR_TYPE)
     lost = F.raise_error(F.concat(F.lit("factor does not fit its type: "), F.col(factor).cast("string"))).cast(FACTOR_TYPE)
-    return F.when(F.col(factor).isNotNull(), F.when(held == given, held).otherwise(lost))
+    return F.when(F.col(factor).isNotNull(), F.when(held.cast("double") == given, held).otherwise(lost))
 
 
 def or_one(factor: str | Column) -> Column:

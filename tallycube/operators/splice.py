@@ -26,11 +26,14 @@ def overlap_check(
         df.filter(F.col(dims.year) == common_year).select(*keys, F.lit(estimate).alias("_estimate"))
         for df, estimate in ((estimates, True), (projections, False))
     ]
+    return one_sided_rows(sides[0].unionByName(sides[1]), keys)
+
+
+def one_sided_rows(rows: DataFrame, keys: list[str], estimate: str = "_estimate") -> DataFrame:
+    """Distinct keys that occur with one value of the boolean `estimate` only, with that side."""
     return (
-        sides[0]
-        .unionByName(sides[1])
-        .groupBy(*keys)
-        .agg(F.max("_estimate").alias("_any"), F.min("_estimate").alias("_all"))
+        rows.groupBy(*keys)
+        .agg(F.max(estimate).alias("_any"), F.min(estimate).alias("_all"))
         .filter(F.col("_any") == F.col("_all"))
         .select(*keys, F.when(F.col("_any"), "estimates").otherwise("projections").alias("side"))
     )

@@ -9,12 +9,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallycube.functions import clean_number
 from tallycube.operators.metadata import build_metadata, release_texts
 from tallycube.operators.reshape import fill_missing, melt_years
 from tallycube.operators.select import known_codes, unknown_codes
-from tallycube.operators.splice import overlap_check, splice
+from tallycube.operators.splice import one_sided_rows, overlap_check, splice
 from tallycube.schema import ELEMENT_OF_ROLE, FIRST_YEAR, FLAG_IMPORTED, METHOD_IMPORTED, POPULATION, Dims
-from tallycube.sources.wide import discover_columns, files_by_role, read_wide
+from tallycube.sources.wide import discover_columns, files_by_role, read_folder, read_wide
 
 # {role: {"estimates": wide table, "medium": wide table or absent}}
 Sections = Mapping[str, Mapping[str, DataFrame]]
@@ -78,6 +79,31 @@ def ingest(
     both = [ELEMENT_OF_ROLE[r] for r, found in sections.items() if {"estimates", "medium"} <= set(found)]
     compared = estimates.filter(F.col(dims.element).isin(both) if both else F.lit(False))
     overlaps = overlap_check(compared, compared if medium is None else medium.filter(F.col(dims.element).isin(both)), common_year, dims)
+    return _release(rows, overlaps, codes, prospects, urbanization, dims)
+
+
+def ingest_folder(
+    spark: SparkSession,
+    folder: str,
+    codes: DataFrame,
+    common_year: int,
+    prospects: str = "WPP",
+    urbanization: str = "WUP",
+    first_year: int = FIRST_YEAR,
+    dims: Dims = POPULATION,
+) -> Ingest:
+    """The same from all tables below a folder, each output in one scan of the files."""
+    texts = read_folder(spark, folder, common_year, first_year, dims)
+    long = texts.withColumn(dims.value, clean_number(dims.value))
+    estimate, common = F.col("section") == "estimates", F.col(dims.year) == common_year
+    # Only elements that have both sections can disagree; this table has a row for each element.
+    roles = long.filter(common).groupBy(dims.element).agg(F.count_distinct("section").alias("n")).filter("n = 2").select(dims.element)
+    compared = long.filter(common).withColumn("_estimate", estimate).join(roles, dims.element, "left_semi")
+    rows = long.filter(estimate | ~common).drop("section")
+    return _release(rows, one_sided_rows(compared, [*dims.keys, dims.value]), codes, prospects, urbanization, dims)
+
+
+def _release(rows: DataFrame, overlaps: DataFrame, codes: DataFrame, prospects: str, urbanization: str, dims: Dims) -> Ingest:
     flagged = rows.withColumns({dims.status: F.lit(FLAG_IMPORTED), dims.method: F.lit(METHOD_IMPORTED)})
     known = known_codes(flagged, codes, dims)
     return Ingest(

@@ -37,8 +37,8 @@ FIRST_YEAR = 1950
 # Exact type for observations, so sums do not depend on the order of the rows; wide enough for the
 # total of a very large table in one cell.
 VALUE_TYPE = T.DecimalType(28, 6)
-# Factors keep nine decimals; a factor that does not fit is an error, see operators/groups.py.
-FACTOR_TYPE = T.DecimalType(14, 9)
+# Factors keep eighteen decimals, more than a double tells; one that does not fit is an error, see operators/groups.py.
+FACTOR_TYPE = T.DecimalType(23, 18)
 
 
 @dataclass(frozen=True)

@@ -61,7 +61,15 @@ def test_factors_keep_their_digits(spark):
     factors = groups.item_factors(table(spark, FACTORS, ("I", "i", 0.33333333), ("I", "j", 0.00004)))
     assert rows(groups.apply_factor(df, factors, DIMS), ITEM, VALUE) == [("i", 999999.99), ("j", 120.0)]
     with pytest.raises(SparkRuntimeException):
-        groups.item_factors(table(spark, FACTORS, ("I", "i", 1e-12))).collect()
+        groups.item_factors(table(spark, FACTORS, ("I", "i", 1e-19))).collect()
+    with pytest.raises(SparkRuntimeException):
+        groups.item_factors(table(spark, FACTORS, ("I", "i", 123456.0))).collect()
+
+
+def test_a_third_as_a_double_is_a_factor(spark):
+    df = item_cube(spark, ("a", "N", "i", 1950, 3_000_000), ("a", "N", "i", 1951, 0.5))
+    factors = groups.item_factors(table(spark, FACTORS, ("I", "i", 1 / 3)))
+    assert rows(groups.apply_factor(df, factors, DIMS), VALUE) == [(0.1666666667,), (999999.9999999999,)]
 
 
 def test_a_flag_listed_as_null_and_empty_counts_once(spark):
@@ -255,3 +263,13 @@ def test_rule_tables_of_a_domain(spark):
     assert group_domain("suafbs", "other") == "Food Balance"
     with pytest.raises(ValueError):
         group_domain("unknown", "x")
+
+
+def test_later_rows_are_marked(spark):
+    df = table(spark, "g string, m string, v int", ("a", "x", 2), ("a", "x", 1), ("a", "x", 1), ("a", None, 5), ("a", None, 5), ("b", "x", 1))
+    got = rows(groups.mark_later(df, ["g", "m"], ["v"]))
+    assert got == sorted(
+        [("a", "x", 1, False), ("a", "x", 1, True), ("a", "x", 2, True), ("a", None, 5, False), ("a", None, 5, True), ("b", "x", 1, False)],
+        key=lambda r: tuple((v is None, str(v)) for v in r),
+    )
+    assert rows(groups.mark_later(df, ["g", "m", "v"]), "later").count((True,)) == 2

@@ -65,3 +65,12 @@ def test_dimensions_are_found_by_pattern():
         None,
     )
     assert dim_name(["a"], "item", required=False) is None
+
+
+def test_numbers_with_exponents_keep_their_decimals(spark):
+    texts = ["1e-3", "1.5e-2", "-2.5E-5", "12e2", "1e-6", "0e-30", "0.0000010"]
+    got = table(spark, "t string", *[(t,) for t in texts]).select(X.clean_number("t")).collect()
+    assert [float(r[0]) for r in got] == [0.001, 0.015, -0.000025, 1200.0, 0.000001, 0.0, 0.000001]
+    for lost in ("1e-7", "1.5e-6", "3e-19", "1e30", "0.0000001"):
+        with pytest.raises(SparkRuntimeException):
+            table(spark, "t string", (lost,)).select(X.clean_number("t")).collect()

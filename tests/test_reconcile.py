@@ -78,3 +78,10 @@ def test_totals_by_validity(spark):
     spans = table(spark, "m49 string, start_year int, end_year int", ("a", None, 1990), ("b", None, 1990), ("b", 1991, None))
     got = rows(reconcile.totals_by_validity(df, spans, ["c2"]))
     assert got == [("all", 3, 7.0), ("ended", 1, 1.0), ("open", 2, 6.0)]
+
+
+def test_differences_of_two_areas_stand_side_by_side(spark):
+    compared = table(spark, "name string, timePointYears int, difference double", ("Asia", 1990, 1.0), ("Asia", 1991, 2.0), ("Europe", 1990, 3.0), ("Europe", 1992, 4.0), ("Africa", 1991, None))
+    pairs = table(spark, "left string, right string, to_year int", ("Europe", "Asia", None), ("Asia", "Africa", 1991), ("Asia", "Africa", 1990), ("Asia", "Asia", 1990))
+    got = rows(reconcile.paired_differences(compared, pairs, "name"))
+    assert got == [("Asia", "Africa", 1991, 2.0, None), ("Asia", "Asia", 1990, 1.0, 1.0), ("Europe", "Asia", 1990, 3.0, 1.0)]

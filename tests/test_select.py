@@ -225,3 +225,11 @@ def test_countries_of_a_year(spark):
     assert rows(coverage.country_year_coverage(df, codes(spark), 1950)) == [("4", 1.0, "Four"), ("5", None, "Five"), ("7", 2.0, None)]
     spans = table(spark, "m49 string, start_year int, end_year int", ("5", 1960, None))
     assert rows(coverage.missing_countries(df, codes(spark), spans, 1950)) == [("5", "Five", 1960, None)]
+
+
+def test_spans_of_an_area_are_made_disjoint(spark):
+    spans = [("a", 1990, 1995), ("a", 1992, 1993), ("a", 1996, 1997), ("a", 1999, None), ("a", None, 1980), ("b", None, None), ("b", 1990, 1991),
+             ("c", 2000, 1990), ("d", 1990, 1990), ("d", 1990, 1990), (None, 1, 2), ("e", 2147483647, None), ("e", 5, 6)]
+    got = select.disjoint_validity(table(spark, "m49 string, start_year int, end_year int", *spans))
+    assert rows(got) == sorted([("a", None, 1980), ("a", 1990, 1997), ("a", 1999, None), ("b", None, None), ("d", 1990, 1990), ("e", 2147483647, None), ("e", 5, 6)],
+                               key=lambda r: tuple((v is None, str(v)) for v in r))
