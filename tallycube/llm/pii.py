@@ -6,7 +6,12 @@ themselves: a value has the same pseudonym wherever it occurs, two values never
 the value was (check digits are computed anew, dates exist). Everything is a Spark SQL expression.
 
 Cards and IBANs with blanks stand beside other groups of digits or letters. A match of theirs is a whole run of groups;
-every part of it that starts and ends at a border of groups is tested, and what is not valid in it stays.
+every part of it that starts and ends at a border of groups is tested, and what is not valid in it stays. A card has an
+issuer's prefix and that issuer's length, is printed in one run or in the groups of cards, and passes its check digit: a row
+of numbers is no card because some of them happen to pass the check.
+
+Blanks and dashes of cards and IBANs, and the layout of dates, do not belong to the value: it is permuted without them and
+laid out again, so it has one pseudonym in all layouts.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tallycube.llm.common import quoted, shielded
+from tallycube.sources.tables import literal_table
 
 ROUNDS = 8
 FIRST_YEAR, YEARS = 1900, 200  # dates of other years are not taken for dates of persons
@@ -38,8 +44,21 @@ PATTERNS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[-. ]\d{4}|\d{3}[-.]\d{3}[-.]\d{4})(?!\w)",
 }
 CANDIDATE = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# Groups as they are printed on cards; a part of this form is preferred to others.
+# Groups as they are printed on cards.
 CARD_FORM = r"^(?:\d+|\d{4}([ -])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}([ -])\d{6}\2\d{4,5}|\d{4}([ -])\d{4}\3\d{5})$"
+# Prefixes of card issuers, each with the lengths of their numbers.
+ISSUERS = [
+    r"4\d{12}(?:\d{3}){0,2}",
+    r"5[1-5]\d{14}",
+    r"(?:222[1-9]|22[3-9]\d|2[3-6]\d{2}|27[01]\d|2720)\d{12}",
+    r"3[47]\d{13}",
+    r"(?:30[0-5]\d|36\d{2}|3[89]\d{2})\d{10,12}",
+    r"35(?:2[89]|[3-8]\d)\d{12,15}",
+    r"(?:6011|64[4-9]\d|65\d{2}|62\d{2})\d{12,15}",
+]
+ISSUED = "^(?:" + "|".join(ISSUERS) + ")$"
+MOST_FOURS = 12  # groups of four digits in a row, those of three cards
+FOURS_BEFORE, FOURS_AFTER = r"(?:(?<!\d)\d{4}[ -])*$", r"^(?:[ -]\d{4}(?!\d))*"
 COUNTRY_CODE = r"^\+\d{1,3}(?=[ .(-])|^\+\d"
 
 
@@ -82,7 +101,17 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), step)
 
 
-def permuted(x: Column, key: str) -> Column:
+def unspaced(m: Column) -> Column:
+    return F.regexp_replace(m, "[ -]", "")
+
+
+def laid_out(text: Column, m: Column) -> Column:
+    """The characters of `text` with the blanks and dashes of `m` between them."""
+    before = lambda i: F.length(unspaced(F.substring(m, F.lit(1), i)))
+    return F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.isin(" ", "-"), c).otherwise(F.substring(text, before(i) + 1, F.lit(1)))), "")
+
+
+def permuted(x: Column, key: Column) -> Column:
     """New values of the symbols in `form`. Odd rounds shift the first half by a hash of the second half, even rounds the
     other way round, each symbol within its range: every round can be undone."""
     form = x["form"]
@@ -94,7 +123,7 @@ def permuted(x: Column, key: str) -> Column:
         other = F.array_join(F.when(first, F.slice(state, half + 1, n - half)).otherwise(F.slice(state, F.lit(1), half)), ",")
 
         def shifted(v: Column, i: Column) -> Column:
-            h = F.sha2(F.concat_ws("|", F.lit(key), x["format"], r, i, other), 256)
+            h = F.sha2(F.concat_ws("|", key, x["format"], r, i, other), 256)
             by = F.conv(F.substring(h, 1, 12), 16, 10).cast("long")
             size = F.get(form, i)["size"]
             return F.when(((i < half) == first) & (size > 1), F.pmod(v + by, size).cast("int")).otherwise(v)
@@ -106,7 +135,8 @@ def permuted(x: Column, key: str) -> Column:
 
 
 def date_parts(m: Column) -> Column:
-    """struct(y, m, d, day_first, pad): parts of a date; slashes are month first where that gives a month."""
+    """struct(y, m, d, day_first, iso, told): parts of a date; slashes are month first where that gives a month, so that
+    only a day over 12 tells that it is first."""
     p = F.transform(F.split(m, "[-./]"), number)
     a, b, c = p[0], p[1], p[2]
     iso = m.rlike(r"^\d{4}-")
@@ -114,7 +144,7 @@ def date_parts(m: Column) -> Column:
     year = F.when(iso, a).otherwise(c)
     month = F.when(iso, b).when(day_first, b).otherwise(a)
     day = F.when(iso, c).when(day_first, a).otherwise(b)
-    return F.struct(year.alias("y"), month.alias("m"), day.alias("d"), (~iso & day_first).alias("day_first"), iso.alias("iso"))
+    return F.struct(year.alias("y"), month.alias("m"), day.alias("d"), (~iso & day_first).alias("day_first"), iso.alias("iso"), (m.contains("/") & (a > 12)).alias("told"))
 
 
 def month_days(p: Column) -> Column:
@@ -130,7 +160,7 @@ def iban_rest(m: Column) -> Column:
 
 def parts_of(x: Column) -> Column:
     """Structs (gap, m, kind) of a match: for a card or an IBAN, each valid part of it with what stands before, and the
-    rest; of parts that overlap, the IBAN, the form of a card or the longer one is taken. Other matches are one struct."""
+    rest; of parts that overlap, the IBAN or the longer one is taken. Other matches are one struct."""
     kind, m = x["kind"], x["m"]
     n, chars = F.size(x["chars"]), x["chars"]
     blank = lambda k: F.get(chars, k).isin(" ", "-")
@@ -141,11 +171,17 @@ def parts_of(x: Column) -> Column:
         return F.when(s + 12 <= n, F.transform(ends, lambda e: F.struct(s.alias("s"), e.alias("e"), F.substring(m, s, e - s + 1).alias("m"))))
 
     def named(p: Column) -> Column:
-        n_chars = F.length(F.regexp_replace(p["m"], "[ -]", ""))
-        card = p["m"].rlike("^[0-9 -]+$") & n_chars.between(13, 19)
+        plain = unspaced(p["m"])
+        n_chars = F.length(plain)
+        # Groups of four before and after: cards may stand one behind the other, but a long row of such groups is no card.
+        begin = F.greatest(F.lit(1), p["s"] - 5 * MOST_FOURS - 5)
+        fours = F.length(F.regexp_extract(F.substring(m, begin, p["s"] - begin), FOURS_BEFORE, 0)) / 5
+        more = F.length(F.regexp_extract(F.substring(m, p["e"] + 1, F.lit(5 * MOST_FOURS + 5)), FOURS_AFTER, 0)) / 5
+        alone = fours + 4 + more <= MOST_FOURS
+        card = plain.rlike(ISSUED) & p["m"].rlike(CARD_FORM) & (alone | ~p["m"].rlike(r"^\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}"))
         iban = (p["s"] == 1) & p["m"].rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]+$") & n_chars.between(15, 34)
         found = F.when(card, F.when(luhn_sum(digits_of(p["m"])) % 10 == 0, "card")).when(iban, F.when(iban_rest(p["m"]) == 1, "iban"))
-        rank = F.when(found == "iban", 0).when(p["m"].rlike(CARD_FORM), 1).otherwise(2)
+        rank = F.when(found == "iban", 0).otherwise(1)
         return F.struct(rank.alias("rank"), (-n_chars).alias("size"), p["s"].alias("s"), p["e"].alias("e"), p["m"].alias("m"), found.alias("kind"))
 
     whole = F.flatten(F.filter(F.transform(starts, ending), lambda e: e.isNotNull()))
@@ -185,7 +221,7 @@ def date_form(p: Column) -> tuple[Column, Column]:
     """Symbols of a date and their ranges. Days to 28 go with any month and year; a later day is kept, and its month moves
     among those that have it. Where only a day over 12 tells the day from the month, the day stays over 12."""
     year = p["y"] - FIRST_YEAR
-    low = F.when(p["day_first"] & (p["d"] > 12), 13).otherwise(1)
+    low = F.when(p["told"], 13).otherwise(1)
     leap_day = (p["m"] == 2) & (p["d"] == 29)
     late = lambda months: F.array(year, F.array_position(months, p["m"]).cast("int") - 1)
     values = (
@@ -205,7 +241,7 @@ def date_form(p: Column) -> tuple[Column, Column]:
 
 def date_text(m: Column, p: Column, v: Column) -> Column:
     leap_day = (p["m"] == 2) & (p["d"] == 29)
-    low = F.when(p["day_first"] & (p["d"] > 12), 13).otherwise(1)
+    low = F.when(p["told"], 13).otherwise(1)
     year = F.when(leap_day, 1904 + 4 * v[0]).otherwise(FIRST_YEAR + v[0])
     month = (
         F.when(leap_day, 2)
@@ -305,12 +341,16 @@ def pseudonymise(documents: DataFrame, key: str, text: str = "text") -> DataFram
     Lengths stay, but for a day or month of one digit that becomes two. A null text stays null and has no kinds, an
     empty one stays empty; other columns and repeated rows pass as they are; a column named `pii_kinds` is replaced;
     an empty table gives no rows. Candidates that are not valid (no check digit, no such date) are left alone. Of the
-    groups in a row of numbers those that pass the check of cards are replaced, which one in ten does by chance.
+    groups in a row of numbers, four of four digits may be a card by chance if the row has few more: about three in two
+    hundred. The key comes as a table of one row, and so stands in no plan.
     """
-    return shielded(documents, OUTPUT, [text], lambda plain, name: _pseudonymise(plain, key, name))
+    secret = literal_table(documents.sparkSession, [(key,)], "secret string")
+    return shielded(documents, OUTPUT, [text], lambda plain, name: _pseudonymise(plain, secret, name))
 
 
-def _pseudonymise(source: DataFrame, key: str, text: str) -> DataFrame:
+def _pseudonymise(documents: DataFrame, secret: DataFrame, text: str) -> DataFrame:
+    columns_ = documents.columns
+    source, key = documents.join(F.broadcast(secret)), F.col("secret")
     t = quoted(text).cast("string")
     some = t.rlike("[0-9@]")
     found = source.withColumn("_found", F.when(some, F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0))))
@@ -329,18 +369,20 @@ def _pseudonymise(source: DataFrame, key: str, text: str) -> DataFrame:
         step(["m", "kind"], chars=lambda x: F.when(x["kind"].isin("card", "iban"), F.split(x["m"], ""))),
         F.transform("_found", parts_of),
         F.flatten(F.zip_with(F.slice(gaps, F.lit(1), F.size("_found")), "_found", with_gap)),
-        step(["gap", "m", "kind"], date=isdate),
-        step(["gap", "m", "date"], kind=lambda x: F.when(valid(x), x["kind"])),
-        step(["gap", "m", "kind", "date"], form=form_of),
-        step(["gap", "m", "kind", "date", "form"], format=format_of),
-        step(["gap", "m", "kind", "date", "form"], v=lambda x: permuted(x, key)),
-        step(["gap", "m", "kind"], text=rendered),
-        step(["gap", "kind"], text=lambda x: F.coalesce(checked(x), x["m"])),
+        step(["gap", "kind"], shown=lambda x: x["m"], m=lambda x: F.when(x["kind"].isin("card", "iban"), unspaced(x["m"])).otherwise(x["m"])),
+        step(["gap", "shown", "m", "kind"], date=isdate),
+        step(["gap", "shown", "m", "date"], kind=lambda x: F.when(valid(x), x["kind"])),
+        step(["gap", "shown", "m", "kind", "date"], form=form_of),
+        step(["gap", "shown", "m", "kind", "date", "form"], format=format_of),
+        step(["gap", "shown", "m", "kind", "date", "form"], v=lambda x: permuted(x, key)),
+        step(["gap", "shown", "m", "kind"], text=rendered),
+        step(["gap", "shown", "kind"], text=checked),
+        step(["gap", "kind"], text=lambda x: F.coalesce(F.when(x["kind"].isin("card", "iban"), laid_out(x["text"], x["shown"])).otherwise(x["text"]), x["shown"])),
     ]
     done = found
     for s in steps:
         done = done.withColumn("_found", F.when(F.size("_found") > 0, s))
     new = F.concat(F.array_join(F.transform("_found", lambda x: F.concat(x["gap"], x["text"])), ""), F.element_at(gaps, -1))
     kinds = F.filter(F.transform("_found", lambda x: x["kind"]), lambda k: k.isNotNull())
-    columns = [F.when(F.col("_found").isNotNull(), new).otherwise(t).alias(text) if c == text else quoted(c) for c in source.columns]
+    columns = [F.when(F.col("_found").isNotNull(), new).otherwise(t).alias(text) if c == text else quoted(c) for c in columns_]
     return done.select(*columns, F.coalesce(kinds, F.array().cast("array<string>")).alias("pii_kinds"))
