@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
@@ -89,6 +90,16 @@ def slices(column: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, list
         yield first, texts[first:]
 
 
+def fresh(batches: Iterator) -> Iterator:
+    """The batches of a task; before the first, memory that earlier tasks of the worker have used and left goes back to the
+    system, as workers live on from stage to stage beside an executor that has its own needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+    yield from batches
+
+
 def bit_filter(hashes: DataFrame, bits: int) -> np.ndarray:
     """A filter of fixed size for the 64-bit numbers of a one-column table: one bit for each value of their leading
     `bits` bits, set where a number has it. At most 2^bits bits come to the driver, whatever the size of the table."""

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import bit_filter, passes, quoted, shielded, slices, written
+from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, written
 from tallycube.llm.shingles import LETTERS, Words
 
 WINDOW = 10
@@ -35,7 +35,7 @@ ARROW_CANDIDATES = pa.list_(
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in fresh(batches):
         ids = batch.column(0).to_pylist()
         for at, texts in slices(batch.column(1)):
             w = Words(texts, LETTERS)
@@ -60,7 +60,7 @@ def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Itera
     def told() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], ["shingle", "times"])
 
-    for batch in batches:
+    for batch in fresh(batches):
         for _, texts in slices(batch.column(0)):
             w = Words(texts, LETTERS)
             for n in sizes:
@@ -77,7 +77,7 @@ def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Itera
 def _probe(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
     reach = WINDOW - 1
-    for batch in batches:
+    for batch in fresh(batches):
         ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for at, texts in slices(batch.column(1)):
             w = Words(texts, LETTERS)

@@ -22,7 +22,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm.common import bit_filter, passes, quoted, shielded, slices, texts_of, written
+from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, texts_of, written
 from tallycube.llm.components import components
 from tallycube.llm.shingles import VISIBLE, Words, mix
 
@@ -137,7 +137,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in fresh(batches):
         ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
         for at, texts in slices(batch.column(1)):
             sets = sets_of(texts, size)
@@ -148,7 +148,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
 
 def _bundles(batches: Iterator[pa.RecordBatch], size: int, percent: int, parts: int) -> Iterator[pa.RecordBatch]:
     bands = Bands(percent)
-    for batch in batches:
+    for batch in fresh(batches):
         for _, texts in slices(batch.column(0)):
             nodes, found = [], []
             for s in sets_of(texts, size):
@@ -193,7 +193,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = signature[head], node[head]
         return _batch(SHARED, signature[other], first[other], node[other])
 
-    for batch in batches:
+    for batch in fresh(batches):
         for nodes, signatures_ in zip(texts_of(batch.column(1)), texts_of(batch.column(2)), strict=True):
             some.append((np.frombuffer(signatures_, np.int64), np.frombuffer(nodes, np.int64)))
             size += len(some[-1][0])
@@ -204,7 +204,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in fresh(batches):
         hashes = np.array(batch.column(1).to_pylist(), np.int64).view(np.uint64)
         chosen = np.flatnonzero(passes(shared.value, hashes))
         for _, texts in slices(batch.column(0).take(pa.array(chosen))):
@@ -214,7 +214,7 @@ def _sets(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.R
 
 def _by_sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) that their sketches do not rule out."""
-    for batch in batches:
+    for batch in fresh(batches):
         a, b, na, nb = (batch.column(k).to_numpy() for k in range(4))
         sa, sb = ([np.frombuffer(x, np.uint64) for x in texts_of(batch.column(k))] for k in (4, 5))
         words = [min(len(x), len(y)) for x, y in zip(sa, sb, strict=True)]
@@ -274,7 +274,7 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
         return _batch(SKETCHED, a, b)
 
-    for batch in batches:
+    for batch in fresh(batches):
         for signature, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (signature, low, high) != bucket:
                 if len(held) > 1:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import quoted, shielded, written
+from tallycube.llm.common import fresh, quoted, shielded, written
 
 # Frequent words of the languages whose words are compared.
 COMMON_WORDS = {
@@ -107,7 +107,7 @@ def measure_text(text: str | None) -> tuple:
 
 
 def _measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
+    for texts in fresh(batches):
         yield pd.DataFrame([measure_text(t) for t in texts], columns=MEASURES.names)
 
 

@@ -10,7 +10,7 @@ from tallycube.llm.common import grown, ranges
 from tallycube.llm.shingles import VISIBLE, Words
 
 MARK = "\0"  # a word of its own between words that are encoded in one go
-ROOM = 400_000
+ROOM = 300_000
 GO = 400
 
 
