@@ -25,7 +25,7 @@ import zstandard
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm.common import bit_filter, passes, quoted, slices, texts_of, written
+from tallycube.llm.common import bit_filter, passes, quoted, ranges, slices, texts_of, written
 from tallycube.llm.shingles import BYTE_VALUE, mix, powers
 
 LENGTH = 50
@@ -34,9 +34,11 @@ FILTER_BITS = 26  # 8 MB: marks the hashes that occur in two documents
 MOST_STRINGS = 200  # strings in one segment
 SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
+CHUNK = 200_000  # bytes hashed at once, which stay in a core's cache
 PER_TASK = 12_000_000  # bytes of text for each task that segments are dealt to
 GROUP = 1_000_000  # bytes of text for each group of segments that a task compares at once; they are about four times that
 HOT = 20_000  # segments of one hash from which its strings are dealt one by one
+WAITING = 200_000  # rows of a group that wait until those of larger ids are told
 STRING_COST = 1_500  # bytes of the strings of a segment, about: 31 of 50 bytes
 
 HASHES = "part long, hashes binary, often binary"
@@ -64,28 +66,40 @@ def smallest_hashes(data: np.ndarray, length: int, gram: int) -> np.ndarray:
 
 def segments_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     """Runs of strings with the same smallest hash: (hash, text, first start, last start) as arrays."""
-    data = np.frombuffer(b"".join(texts), np.uint8)
+    found = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
+    first = size = 0
+    for k, text in enumerate(texts):
+        size += len(text)
+        if size >= CHUNK or k == len(texts) - 1:
+            value, of, start, end = _segments_in(texts[first : k + 1])
+            found.append((value, of + first, start, end))
+            first, size = k + 1, 0
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _segments_in(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     bounds = np.concatenate([[0], np.cumsum(lengths)])
-    least = smallest_hashes(data, LENGTH, GRAM)
-    owner = np.repeat(np.arange(len(texts)), lengths)[: len(least)]
-    valid = np.arange(len(least)) + LENGTH <= bounds[1:][owner]
-    at = np.flatnonzero(valid)
-    if not len(at):
-        empty = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint64), empty, empty, empty
-    value, of = least[at], owner[at]
-    head = np.ones(len(at), bool)
-    head[1:] = (value[1:] != value[:-1]) | (of[1:] != of[:-1])
+    least = smallest_hashes(np.frombuffer(b"".join(texts), np.uint8), LENGTH, GRAM)
+    # A run begins where the smallest hash changes, where a text begins, and where the last whole string of a text is past.
+    begins = np.ones(len(least) + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=begins[1:-1])
+    begins[bounds[bounds < len(least)]] = True
+    past = np.maximum(bounds[1:] - LENGTH + 1, bounds[:-1])
+    begins[past[past < len(least)]] = True
+    begin = np.flatnonzero(begins)
+    begin, end = begin[:-1], begin[1:]
+    of = np.searchsorted(bounds, begin, side="right") - 1
+    whole = begin + LENGTH <= bounds[1:][of]
+    begin, end, of = begin[whole], end[whole], of[whole]
     # Long runs (a repeated character) are cut, so that segments stay short.
-    first = np.flatnonzero(head)
-    place = np.arange(len(at)) - first[np.cumsum(head) - 1]
-    head |= place % MOST_STRINGS == 0
-    first = np.flatnonzero(head)
-    last = np.append(first[1:], len(at)) - 1
-    start = at[first] - bounds[of[first]]
+    times = -(-(end - begin) // MOST_STRINGS)
+    if (times > 1).any():
+        nth = ranges(np.zeros(len(times), np.int64), times)
+        begin, end, of = np.repeat(begin, times) + nth * MOST_STRINGS, np.repeat(end, times), np.repeat(of, times)
+        end = np.minimum(end, begin + MOST_STRINGS)
     # Smallest hashes are small numbers; mixed again they are spread evenly over tasks and over the filter.
-    return mix(value[first]), of[first], start, start + (last - first)
+    return mix(least[begin]), of, begin - bounds[of], end - 1 - bounds[of]
 
 
 def _dealt(values: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -175,8 +189,8 @@ def _frequent(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Record
     yield told(kept[many], load[many])
 
 
-def _bundle(part: int, rows: list[tuple[int, int, int, int]], text: bytes) -> tuple:
-    a = np.array(rows, np.int64).reshape(-1, 4)
+def _bundle(part: int, a: np.ndarray, text: bytes) -> tuple:
+    """One row of SEGMENTS from rows (doc, key, start, end) and their texts, one behind the other."""
     packed = zstandard.ZstdCompressor().compress
     return part, *(packed(np.ascontiguousarray(a[:, k]).tobytes()) for k in range(4)), packed(text)
 
@@ -192,7 +206,7 @@ def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int, hot_parts:
     it is known here that they go: they travel without text."""
     marked, hashes = shared.value
     for batch in batches:
-        ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        ids, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
         for at, texts in slices(batch.column(1), SLICE):
             value, of, first, last = segments_of(texts)
             may = np.flatnonzero(passes(marked, value))
@@ -204,38 +218,40 @@ def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int, hot_parts:
                 value, of, hot = value[row], of[row], hot[row]
                 first = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
                 last = np.where(hot, first, last[row])
-            of, first, last = of.tolist(), first.tolist(), last.tolist()
-            smallest: dict[bytes, int] = {}
-            raws = [texts[o][a : b + LENGTH] for o, a, b in zip(of, first, last, strict=True)]
-            for raw, o in zip(raws, of, strict=True):
-                doc = ids[at + o]
-                if doc < smallest.get(raw, doc + 1):
-                    smallest[raw] = doc
-            sent = [k for k, (raw, o) in enumerate(zip(raws, of, strict=True)) if smallest[raw] == ids[at + o]]
-            gone = _joined([(ids[at + of[k]], keys[at + of[k]], first[k], last[k] + LENGTH) for k in range(len(of)) if smallest[raws[k]] < ids[at + of[k]]])
-            rows = [_bundle(gone[0][1] % parts, gone, b"")] if gone else []
-            if sent:
-                at_sent = np.array(sent)
-                part = (((value[at_sent] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-                for k in np.flatnonzero(hot[at_sent]).tolist():
+            told = np.stack([ids[at + of], keys[at + of], first, last + LENGTH], 1)
+            raws = [texts[o][a:b] for o, a, b in zip(of.tolist(), first.tolist(), told[:, 3].tolist(), strict=True)]
+            kind, distinct = _numbered(raws, {})
+            least = np.full(distinct, np.iinfo(np.int64).max)
+            np.minimum.at(least, kind, told[:, 0])
+            stays = least[kind] == told[:, 0]
+            gone = _joined(told[~stays])
+            rows = [_bundle(int(gone[0, 1]) % parts, gone, b"")] if len(gone) else []
+            sent = np.flatnonzero(stays)
+            if len(sent):
+                part = (((value[sent] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+                for k in np.flatnonzero(hot[sent]).tolist():
                     part[k] = parts + zlib.crc32(raws[sent[k]]) % hot_parts
                 for p, some in _grouped(part):
-                    own = at_sent[some].tolist()
-                    told = [(ids[at + of[k]], keys[at + of[k]], first[k], last[k] + LENGTH) for k in own]
-                    rows.append(_bundle(p, told, b"".join(raws[k] for k in own)))
+                    own = sent[some]
+                    rows.append(_bundle(p, told[own], b"".join([raws[k] for k in own.tolist()])))
             if rows:
                 yield _segment_batch(rows)
 
 
-def _joined(ranges: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """Ranges of the same text, in order, with those that overlap or touch as one."""
-    out: list[tuple[int, int, int, int]] = []
-    for doc, key, start, end in ranges:
-        if out and out[-1][:2] == (doc, key) and out[-1][2] <= start <= out[-1][3]:
-            out[-1] = (doc, key, out[-1][2], max(end, out[-1][3]))
-        else:
-            out.append((doc, key, start, end))
-    return out
+def _numbered(raws: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, int]:
+    """A number for each string, the same for equal ones, and how many numbers are given by now."""
+    out = np.fromiter((numbers.setdefault(raw, len(numbers)) for raw in raws), np.int64, len(raws))
+    return out, len(numbers)
+
+
+def _joined(rows: np.ndarray) -> np.ndarray:
+    """Rows (doc, key, start, end), text by text and in order of their starts, with those that overlap or touch as one."""
+    if not len(rows):
+        return rows
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1) | (rows[1:, 2] < rows[:-1, 2]) | (rows[1:, 2] > rows[:-1, 3])
+    head = np.flatnonzero(new)
+    return np.column_stack([rows[head, :3], np.maximum.reduceat(rows[:, 3], head)])
 
 
 def suffix_array(data: np.ndarray) -> np.ndarray:
@@ -279,58 +295,63 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int) -> np.ndarray:
-    """For each suffix, by its place in `data`, the length (up to `most`) it shares with the suffix before it in `order`.
+    """For each suffix in `order`, by its place in `data`, the length (up to `most`) it shares with the one before it there.
 
-    Kasai's scan: the suffix one byte further shares at least one byte less. It runs along all segments at once.
+    `order` has the suffixes that begin between `starts` and `ends`; the order of all suffixes may leave out others.
+    Kasai's scan: the suffix one byte further shares at least one byte less with the one before it, if that moves by one
+    byte to a suffix that is in the order too; otherwise the count begins anew. The scan runs along all segments at once
+    and compares eight bytes at a time.
     """
-    n = len(data)
-    before = np.full(n, -1, np.int64)
+    n, counts = len(data), ends - starts
+    before = np.full(n, -1, np.int32)
     before[order[1:]] = order[:-1]
-    shared = np.zeros(n, np.int64)
-    current = np.zeros(len(starts), np.int64)
-    lanes = np.argsort(starts - ends, kind="stable")  # longest first
-    starts, lengths = starts[lanes], (ends - starts)[lanes]
-    padded = np.concatenate([data, np.zeros(1, np.uint8)])
-    for step in range(int(lengths[0]) if len(lengths) else 0):
-        running = int(np.searchsorted(-lengths, -step, side="left"))
-        here = starts[:running] + step
+    listed = np.zeros(n + 1, bool)
+    listed[order] = True
+    shared = np.zeros(n, np.int32)
+    lanes = np.argsort(-counts, kind="stable")  # longest first
+    starts, counts = starts[lanes].astype(np.int32), counts[lanes]
+    current = np.zeros(len(starts), np.int32)
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8 + most, np.uint8)]), 8)
+    words = lambda at: eight[at].view("<u8").ravel()
+    for step in range(int(counts[0]) if len(counts) else 0):
+        running = int(np.searchsorted(-counts, -step, side="left"))
+        here = starts[:running] + np.int32(step)
         there = before[here]
         length = current[:running]
         length[there < 0] = 0
-        growing = np.flatnonzero((there >= 0) & (length < most))
+        room = np.minimum(most, n - np.maximum(here, there))
+        growing = np.flatnonzero((there >= 0) & (length < room))
         while len(growing):
-            a, b = here[growing] + length[growing], there[growing] + length[growing]
-            same = (a < n) & (b < n) & (padded[np.minimum(a, n)] == padded[np.minimum(b, n)])
-            growing = growing[same]
-            length[growing] += 1
-            growing = growing[length[growing] < most]
+            done = length[growing]
+            differ = words(here[growing] + done) ^ words(there[growing] + done)
+            same = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)) >> 3  # equal leading bytes
+            done = np.minimum(done + same, room[growing])
+            length[growing] = done
+            growing = growing[(same == 8) & (done < room[growing])]
         shared[here] = length
-        current[:running] = np.maximum(length - 1, 0)
+        current[:running] = np.where(listed[there + 1], np.maximum(length - 1, 0), 0)
     return shared
 
 
 class Shard:
     """Segments of one task, their strings in order, and the smallest document of each distinct string."""
 
-    def __init__(self, segments: list[tuple[bytes, tuple[int, int, int, int]]]):
+    def __init__(self, segments: list[tuple[bytes, list[int]]]):
         self.rows = np.array([r for _, r in segments], np.int64).reshape(-1, 4)
-        self.data = np.frombuffer(b"".join(t for t, _ in segments), np.uint8)
+        self.data = np.frombuffer(b"".join([t for t, _ in segments]), np.uint8)
         lengths = np.array([len(t) for t, _ in segments], np.int64)
         self.bounds = np.concatenate([[0], np.cumsum(lengths)])
+        owner = np.repeat(np.arange(len(segments), dtype=np.int32), lengths)
+        whole = self.bounds[1:][owner] - np.arange(len(owner)) >= LENGTH
         order = suffix_array(self.data)
-        owner = np.searchsorted(self.bounds, order, side="right") - 1
-        shared = common_prefixes(self.data, order, self.bounds[:-1], self.bounds[1:], LENGTH)[order]
-        whole = self.bounds[1:][owner] - order >= LENGTH
-        at = np.flatnonzero(whole)
-        # Between two whole strings, the shortest common prefix on the way counts. What follows the last of them does not.
-        least = np.minimum.reduceat(shared[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1])) if len(at) else at
-        self.place = order[at].astype(np.int32)
-        head = least < LENGTH
+        self.place = order[whole[order]].astype(np.int32)  # the suffixes that begin with a whole string
+        shared = common_prefixes(self.data, self.place, self.bounds[:-1], self.bounds[:-1] + np.maximum(lengths - LENGTH + 1, 0), LENGTH)
+        head = shared[self.place] < LENGTH
         if len(head):
             head[0] = True
         self.group = (np.cumsum(head) - 1).astype(np.int32)
         self.heads = self.place[head]
-        docs = self.rows[:, 0][owner[at]]
+        docs = self.rows[:, 0][owner[self.place]]
         self.smallest = np.minimum.reduceat(docs, np.flatnonzero(head)) if len(head) else docs
         self.docs = docs
 
@@ -375,44 +396,61 @@ def _removed_batch(rows: np.ndarray) -> pa.RecordBatch:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranges that go, from the segments of a task, which come group by group. Equal segments are kept once, with the
     smallest id."""
-    kept: dict[bytes, list[tuple[int, int, int, int]]] = {}
     unpacked = zstandard.ZstdDecompressor().decompress
+    kept = Kept()
     group = None
     for batch in batches:
         for part, *packed in zip(batch.column(0).to_pylist(), *(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
             if part != group:
                 yield from _compared(kept)
-                kept, group = {}, part
-            row = [unpacked(p) for p in packed]
-            told = np.stack([np.frombuffer(c, np.int64) for c in row[:4]], 1)
-            if not row[4]:
+                kept, group = Kept(), part
+            *row, text = [unpacked(p) for p in packed]
+            told = np.stack([np.frombuffer(c, np.int64) for c in row], 1)
+            if not text:
                 yield _removed_batch(told)
                 continue
-            gone = []
-            at = 0
-            for range_ in map(tuple, told.tolist()):
-                text = row[4][at : at + range_[3] - range_[2]]
-                at += len(text)
-                old = kept.get(text)
-                if old is None or range_[0] < old[0][0]:
-                    gone += old or []
-                    kept[text] = [range_]
-                elif range_[0] == old[0][0]:
-                    old.append(range_)
-                else:
-                    gone.append(range_)
-            if gone:
-                yield _removed_batch(np.array(gone, np.int64))
+            kept.add(told, text)
+            if kept.waiting > WAITING:
+                yield _removed_batch(kept.settled())
     yield from _compared(kept)
 
 
-def _compared(kept: dict[bytes, list[tuple[int, int, int, int]]]) -> Iterator[pa.RecordBatch]:
-    flat = [(text, r) for text, ranges in kept.items() for r in ranges]
+class Kept:
+    """The distinct segments of a group, and of each the rows (doc, key, start, end) with its smallest id."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.rows, self.kind = np.zeros((0, 4), np.int64), np.zeros(0, np.int64)
+        self.more: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, told: np.ndarray, text: bytes) -> None:
+        ends = np.cumsum(told[:, 3] - told[:, 2])
+        cuts = [0, *ends.tolist()]
+        kind, _ = _numbered([text[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)], self.numbers)
+        self.more.append((told, kind))
+        self.waiting += len(kind)
+
+    def settled(self) -> np.ndarray:
+        """Rows of larger ids, which go; the others stay here."""
+        rows = np.concatenate([self.rows, *(r for r, _ in self.more)])
+        kind = np.concatenate([self.kind, *(k for _, k in self.more)])
+        least = np.full(len(self.numbers), np.iinfo(np.int64).max)
+        np.minimum.at(least, kind, rows[:, 0])
+        stays = rows[:, 0] == least[kind]
+        self.rows, self.kind, self.more, self.waiting = rows[stays], kind[stays], [], 0
+        return rows[~stays]
+
+
+def _compared(kept: Kept) -> Iterator[pa.RecordBatch]:
+    yield _removed_batch(kept.settled())
+    distinct = list(kept.numbers)
+    segments = [(distinct[k], row) for k, row in zip(kept.kind.tolist(), kept.rows.tolist(), strict=True)]
     shards, first, size = [], 0, 0
-    for k, (text, _) in enumerate(flat):
+    for k, (text, _) in enumerate(segments):
         size += len(text)
-        if size >= SHARD or k == len(flat) - 1:
-            shards.append(Shard(flat[first : k + 1]))
+        if size >= SHARD or k == len(segments) - 1:
+            shards.append(Shard(segments[first : k + 1]))
             first, size = k + 1, 0
     merge_shards(shards)
     for shard in shards:
