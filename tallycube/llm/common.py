@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import os
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
@@ -90,9 +90,22 @@ def slices(column: pa.Array, limit: int = 1_000_000) -> Iterator[tuple[int, list
         yield first, texts[first:]
 
 
-def fresh(batches: Iterator) -> Iterator:
-    """The batches of a task; before the first, memory that earlier tasks of the worker have used and left goes back to the
-    system, as workers live on from stage to stage beside an executor that has its own needs."""
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]) -> object:
+    """What a worker process keeps from task to task, such as words with their ids; tasks of another kind let go of it."""
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
+def fresh(batches: Iterator, keep: Hashable = None) -> Iterator:
+    """The batches of a task; before the first, what is held under other keys than `keep` and the memory that earlier
+    tasks of the worker have used and left go back to the system, as workers live on from stage to stage beside an
+    executor that has its own needs."""
+    for key in [k for k in _held if k != keep]:
+        del _held[key]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

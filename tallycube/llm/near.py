@@ -40,6 +40,8 @@ SHARED = "signature long, first long, node long"
 SETS = "node long, size long, sketch binary, shingles array<long>"
 SKETCHED = "a long, b long"
 TOLD = 8  # signatures by which a pair that shares many is told once
+CHUNK = 200_000  # bytes whose words are hashed at once
+PAIRS = 200_000  # pairs of members whose sketches are compared at once
 BLOCK = 2000  # members of a bucket that a task compares with each other, or with as many others
 
 
@@ -66,6 +68,17 @@ class Bands:
 
 def sets_of(texts: list[bytes], size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text; fewer words than `size` make one shingle, no words none."""
+    out: list[np.ndarray] = []
+    first = length = 0
+    for k, text in enumerate(texts):
+        length += len(text)
+        if length >= CHUNK or k == len(texts) - 1:
+            out += _sets_in(texts[first : k + 1], size)
+            first, length = k + 1, 0
+    return out
+
+
+def _sets_in(texts: list[bytes], size: int) -> list[np.ndarray]:
     w = Words(texts, VISIBLE)
     hashes, places = w.runs(size)
     bounds = np.searchsorted(places, w.first)
@@ -247,42 +260,38 @@ def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     held: list[tuple] = []
     bucket = None
 
-    def pairs() -> pa.RecordBatch:
+    def pairs() -> Iterator[pa.RecordBatch]:
         node, root, size, side, same = (np.array(c) for c in zip(*(r[:5] for r in held), strict=True))
         sketches = [np.frombuffer(r[5], np.uint64) for r in held]
         smallest = np.array([[*r[6], *[-k] * (TOLD - len(r[6]))] for k, r in enumerate(held, 1)], np.int64)
         known = np.array([[True] * len(r[6]) + [False] * (TOLD - len(r[6])) for r in held])
         words = min(map(len, sketches))
         bits = np.stack([folded(x, words) for x in sketches])
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        step = max(1, 4_000_000 // (len(held) * words))
+        step = max(1, 2_000_000 // (len(held) * words))
         for at in range(0, len(held), step):
             rows = slice(at, min(len(held), at + step))
             small = np.minimum(size[rows, None], size[None]) * 100 >= percent * np.maximum(size[rows, None], size[None])
             ask = small & (root[rows, None] != root[None]) & (node[rows, None] < node[None]) & (same[rows, None] | (side[rows, None] != side[None]))
             i, j = np.nonzero(ask)
-            for cut in range(0, len(i), 500_000):
-                x, y = i[cut : cut + 500_000] + at, j[cut : cut + 500_000]
+            for cut in range(0, len(i), PAIRS):
+                x, y = i[cut : cut + PAIRS] + at, j[cut : cut + PAIRS]
                 apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
                 kept = may_be_similar(apart, size[x] + size[y], percent)
                 x, y = x[kept], y[kept]
                 both = (smallest[x][:, :, None] == smallest[y][:, None, :]) & known[x][:, :, None] & known[y][:, None, :]
                 first = np.where(both.any(2), smallest[x], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max)
                 here = ~both.any((1, 2)) | (first == bucket[0])
-                found.append((node[x[here]], node[y[here]]))
-        a = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
-        b = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.int64)
-        return _batch(SKETCHED, a, b)
+                yield _batch(SKETCHED, node[x[here]], node[y[here]])
 
     for batch in fresh(batches):
         for signature, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (signature, low, high) != bucket:
                 if len(held) > 1:
-                    yield pairs()
+                    yield from pairs()
                 held, bucket = [], (signature, low, high)
             held.append((*row[:4], low == high, *row[4:]))
     if len(held) > 1:
-        yield pairs()
+        yield from pairs()
 
 
 def _left_in_buckets(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

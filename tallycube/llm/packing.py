@@ -84,7 +84,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool
     # Rows are yielded as they come; windows that stay open to the end are told by a last row without a document.
     packer = Packer(TaskContext.get().partitionId() << PER_PARTITION, *shape)
     words = codec(path)
-    for batch in fresh(batches):
+    for batch in fresh(batches, keep=path):
         docs = batch.column(0).to_pylist()
         encoded = (raw for _, texts in slices(batch.column(1), 1_000_000) for raw in words.encode(texts))
         rows: list[tuple] = []

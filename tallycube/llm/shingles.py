@@ -28,8 +28,11 @@ BYTE_VALUE = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
 BYTE_VALUE[0] |= np.uint64(1)
 
 
+KEPT = 2_000_000
+
+
 class Powers:
-    """Powers of BASE and of its inverse, as far as they have been needed."""
+    """Powers of BASE and of its inverse, kept as far as they have been needed, up to KEPT; more, for a long text, are made anew."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, np.uint64)
@@ -37,8 +40,10 @@ class Powers:
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-            self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, BASE)]))
-            self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, inverse)]))
+            up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)])) for x in (BASE, inverse))
+            if n > KEPT:
+                return up, down
+            self.up, self.down = up, down
         return self.up, self.down
 
 

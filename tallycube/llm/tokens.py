@@ -6,7 +6,7 @@ import os
 
 import numpy as np
 
-from tallycube.llm.common import grown, ranges
+from tallycube.llm.common import grown, held, ranges
 from tallycube.llm.shingles import VISIBLE, Words
 
 MARK = "\0"  # a word of its own between words that are encoded in one go
@@ -100,11 +100,6 @@ class WordCodec:
         self.known |= zip(words, range(n, n + len(words)), strict=True)
 
 
-_codecs: dict[str, WordCodec] = {}
-
-
 def codec(path: str) -> WordCodec:
-    """One codec for each vocabulary and worker process."""
-    if path not in _codecs:
-        _codecs[path] = WordCodec(path)
-    return _codecs[path]
+    """One codec for each vocabulary and worker process, held under the path."""
+    return held(path, lambda: WordCodec(path))
