@@ -9,8 +9,8 @@ HOT segments or more (a frequent gram in ever different surroundings), its strin
 by a hash of the whole string, to tasks of their own, so that no task gets all of them.
 
 A task takes its segments group by group and joins those of a group to shards of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and
-Sadakane; common prefixes come from Kasai's scan, run over all segments side by side; runs of suffixes with a common
-prefix of LENGTH bytes are equal strings. Where a task has several shards, equal strings of two shards are found by
+Sadakane; common prefixes of the suffixes that begin with a whole string come from Kasai's scan, run over all segments
+side by side; runs of suffixes with a common prefix of LENGTH bytes are equal strings. Where a task has several shards, equal strings of two shards are found by
 binary search.
 """
 

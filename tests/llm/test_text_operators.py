@@ -10,7 +10,7 @@ import pytest
 import texts
 
 from pyspark.sql import functions as F
-from tallycube.llm import decontaminate, licences, near, packing, quality, secrets, suffixes, toxicity
+from tallycube.llm import common, decontaminate, licences, near, packing, quality, secrets, shingles, suffixes, toxicity
 from tallycube.llm.queries import word_vocabulary
 from tallycube.llm.shingles import VISIBLE, Words
 from tallycube.llm.tokens import WordCodec
@@ -409,3 +409,38 @@ def test_suffix_dedup_odd_rows(table):
     n = len(long.encode())
     assert got == sorted([("None", n, 0), ("2", n, 0), ("2", n, 0), ("3", n, n), ("None", 0, 0)])
     assert suffixes.remove_repeats(table([])).count() == 0
+
+
+# memory of workers
+
+
+def test_workers_let_go_of_what_other_stages_held():
+    made = []
+    keep = lambda key: common.held(key, lambda: made.append(key) or object())
+    first = keep("a")
+    assert list(common.fresh(iter([1, 2]), keep="a")) == [1, 2] and keep("a") is first
+    assert list(common.fresh(iter([]))) == [] and keep("a") is not first
+    assert made == ["a", "a"]
+
+
+def test_texts_in_chunks_are_cut_as_one_by_one():
+    rows = [t.encode() for t in (texts.prose(3, 40), "", texts.prose(5, 60000), "x" * 500, texts.prose(3, 40), "a b", texts.prose(7, 60000))]
+    assert [s.tolist() for s in near.sets_of(rows, 4)] == [near.sets_of([t], 4)[0].tolist() for t in rows]
+    assert near.sets_of([], 4) == []
+    value, of, first, last = suffixes.segments_of(rows)
+    alone = [suffixes.segments_of([t]) for t in rows]
+    assert of.tolist() == [k for k, found in enumerate(alone) for _ in found[0]]
+    for k, whole in ((0, value), (2, first), (3, last)):
+        assert whole.tolist() == [x for found in alone for x in found[k].tolist()]
+    # Each start of a string lies in exactly one segment.
+    for k, t in enumerate(rows):
+        starts = [x for o, a, b in zip(of.tolist(), first.tolist(), last.tolist(), strict=True) if o == k for x in range(a, b + 1)]
+        assert starts == list(range(len(t) - suffixes.LENGTH + 1))
+
+
+def test_long_texts_leave_no_powers_behind():
+    powers = shingles.Powers()
+    up, down = powers.upto(shingles.KEPT + 5)
+    assert len(powers.up) == 1 and (up[-1:] * down[-1:]).tolist() == [1]
+    powers.upto(1000)
+    assert len(powers.up) == 1001
