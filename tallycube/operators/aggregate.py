@@ -87,18 +87,18 @@ def aggregate(
     else:
         requested = literal_table(cube.sparkSession, [(e,) for e in elements], "code string")
         rows = keep_listed(rows, expand_elements(requested, rules.calculated), dims.element)
-    # One join on each axis tells all that the rules say of a code.
+    if plan.area_groups:
+        rows = rows.dropna("any", subset=dims.columns)
+    ratios = usable_ratios(rules.calculated) if rules.calculated is not None else None
+    if ratios is not None:
+        rows = rows.unionByName(ratio_parts(rows, ratios, dims), allowMissingColumns=True)
+    # One join on each axis tells all that the rules say of a code. Rules judge area, item and year only, which ratio parts
+    # share with their cell; so the parts are formed from narrow rows, and both meet the rules together.
     rows = _ruled(rows, dims.area, area_axis(rules, plan), "_area", plan, rules.area_rules is not None, rules.validity is not None, dims)
     if dims.item:
         rows = _ruled(rows, dims.item, item_axis(rules, plan), "_item", plan, rules.item_rules is not None, False, dims)
         if rules.item_members is not None:
             rows = rows.filter(F.col(dims.item).isNull() | (F.col(dims.item) != ADHOC_CODE))
-    ratios = usable_ratios(rules.calculated) if rules.calculated is not None else None
-    if plan.area_groups:
-        rows = rows.dropna("any", subset=dims.columns)
-    told = [c for c in ("_area", "_item") if c in rows.columns]
-    if ratios is not None:
-        rows = rows.unionByName(ratio_parts(rows, ratios, dims, told), allowMissingColumns=True)
     grouped = _with_groups(rows, plan, dims)
     keys = {
         "area": {"group": "group_code", "own": dims.area, None: None}[plan.area_key],
@@ -141,7 +141,7 @@ def _tagged(df: DataFrame, code: str, kind: str, **columns: Column) -> DataFrame
 
 def _axis(parts: list[DataFrame], name: str) -> DataFrame | None:
     """One row for each code that a rule names: is_group, any, full (dissemination), spans (disjoint valid years), groups
-    with their factor. Written and read back, so that its size is known and a hot code of the fact side can be split."""
+    with their factor, and the distinct factors. Written and read back, so that its size is known and a hot code of the fact side can be split."""
     if not parts:
         return None
     of = lambda kind: F.col("kind") == kind
@@ -151,7 +151,9 @@ def _axis(parts: list[DataFrame], name: str) -> DataFrame | None:
         F.collect_list(F.when(of("span"), years)).alias("spans"),
         F.collect_set(F.when(of("member"), F.struct(F.col("ref").alias("group"), "factor"))).alias("groups"),
     )
-    return stored(rules.withColumn("spans", disjoint_spans(F.col("spans"))), name)
+    # Lambdas run here, once for each code: they have no generated code, and observations are many.
+    factors = F.array_distinct(F.transform("groups", lambda x: or_one(x["factor"])))
+    return stored(rules.withColumns({"spans": disjoint_spans(F.col("spans")), "factors": factors}), name)
 
 
 def _lists(table: DataFrame | None, plan: Mode) -> list[DataFrame]:
@@ -187,51 +189,44 @@ def item_axis(rules: Rules, plan: Mode) -> DataFrame | None:
 def _ruled(
     rows: DataFrame, column: str, axis: DataFrame | None, name: str, plan: Mode, lists: bool, spans: bool, dims: Dims
 ) -> DataFrame:
-    """Rows that the rules on one axis let pass, with the groups of their code in `name`."""
+    """Rows that the rules on one axis let pass, with the groups of their code in `name` (or their factors, if no more is asked)."""
     if axis is None:
         return rows
     marks = F.struct("is_group", "any", "full", "spans").alias("_marks")
-    told = axis.select(F.col("code").alias(column), marks, F.col("groups").alias(name))
+    told = axis.select(F.col("code").alias(column), marks, F.col("factors" if name == "_item" and plan.distinct_rows else "groups").alias(name))
     rows = rows.join(told, column, "inner" if spans else "left").filter(~F.coalesce(F.col("_marks.is_group"), F.lit(False)))
     if spans:
-        rows = rows.filter(F.exists("_marks.spans", lambda x: within(F.col(dims.year).cast("int"), x)))
+        # A row lies in one of an area's disjoint intervals at most.
+        spelt = rows.withColumn("_span", F.explode("_marks.spans"))
+        rows = spelt.filter(within(F.col(dims.year).cast("int"), F.col("_span"))).drop("_span")
     # An empty list restricts nothing.
     if lists and plan.lists and not axis.filter("any").isEmpty():
         rows = rows.filter(F.coalesce(F.col(f"_marks.{plan.lists}"), F.lit(False)))
     return rows.drop("_marks")
 
 
-def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims, told: Sequence[str] = ()) -> DataFrame:
+def ratio_parts(rows: DataFrame, ratios: DataFrame, dims: Dims) -> DataFrame:
     """Numerator and denominator of each cell (area, item, year) that has both.
 
     They leave as rows of the part elements, tagged with the ratio they belong to, so group factors
-    apply to them like to any other row. Columns `told` follow from area and item and come along.
+    apply to them like to any other row.
     """
-    cell = [*[c for c in (dims.area, dims.item, dims.year) if c], *told]
+    cell = [c for c in (dims.area, dims.item, dims.year) if c]
     codes = {"num": "num_var_code", "den": "den_var_code"}
     roles = ratios.select(
         F.col("result_var_code").alias("_result"),
-        *codes.values(),
-        F.explode(F.array(*[F.struct(F.col(c).alias("code"), F.lit(r).alias("role")) for r, c in codes.items()])).alias(
-            "_part"
-        ),
-    ).select("*", F.col("_part.code").alias(dims.element), F.col("_part.role").alias("_role"))
+        F.explode(F.array(*[F.struct(F.col(c).alias(dims.element), F.lit(r).alias("_role")) for r, c in codes.items()])).alias("_part"),
+    ).select("_result", "_part.*")
     cells = (
         rows.select(*cell, dims.element, dims.value)
         .join(roles, dims.element)
-        .groupBy(*cell, "_result", *codes.values())
+        .groupBy(*cell, "_result")
         .agg(*[F.sum(F.when(F.col("_role") == r, F.col(dims.value))).alias(f"_{r}") for r in codes])
     )
-    parts = F.array(
-        *[
-            F.struct(
-                F.col(c).alias(dims.element), F.col(f"_{r}").cast(VALUE_TYPE).alias(dims.value), F.lit(r).alias("_role")
-            )
-            for r, c in codes.items()
-        ]
-    )
     both = cells.filter(F.col("_num").isNotNull() & F.col("_den").isNotNull())
-    return both.select(*cell, "_result", F.explode(parts).alias("_part")).select(*cell, "_result", "_part.*")
+    # A ratio has one definition, so its codes need not travel with the cells.
+    amount = F.when(F.col("_role") == "num", F.col("_num")).otherwise(F.col("_den")).cast(VALUE_TYPE)
+    return both.join(roles, "_result").select(*cell, "_result", dims.element, amount.alias(dims.value), "_role")
 
 
 def group_rows(
@@ -316,10 +311,10 @@ def aggregate_flags(
 
 def aggregate_ratio(rows: DataFrame, by: Sequence[str], ratios: DataFrame, dims: Dims) -> DataFrame:
     """Only the ratio elements, per `by` (some of area, item and year)."""
-    both = rows.unionByName(ratio_parts(rows, ratios, dims), allowMissingColumns=True)
-    out = group_rows(both, by, replace(dims, status=None, method=None, flag=None), ratios)
-    results = ratios.select(F.col("result_var_code").alias(dims.element))
-    return out.join(results, dims.element, "left_semi").dropna(subset=[dims.value])
+    # Of the observations only those of a ratio element tell anything.
+    own = keep_listed(rows, ratios, dims.element, "result_var_code")
+    both = own.unionByName(ratio_parts(rows, ratios, dims), allowMissingColumns=True)
+    return group_rows(both, by, replace(dims, status=None, method=None, flag=None), ratios).dropna(subset=[dims.value])
 
 
 def _with_groups(rows: DataFrame, plan: Mode, dims: Dims) -> DataFrame:
@@ -329,8 +324,7 @@ def _with_groups(rows: DataFrame, plan: Mode, dims: Dims) -> DataFrame:
     if plan.item_groups:
         if plan.distinct_rows:
             # The group itself does not matter here, so an item needs one row per factor only.
-            factors = F.array_distinct(F.transform("_item", lambda x: or_one(x["factor"])))
-            rows = rows.withColumn("factor", F.explode_outer(factors))
+            rows = rows.withColumn("factor", F.explode_outer("_item"))
         else:
             rows = rows.withColumn("_member", F.explode("_item") if plan.item_key == "group" else F.explode_outer("_item"))
             rows = rows.withColumns({"item_group_code": F.col("_member.group"), "factor": F.col("_member.factor")})
