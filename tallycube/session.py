@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. A join on an area code may be followed by a
 # grouping on the same code; without the force option Spark would then leave a hot area in one task.
+# Rows fan out behind a shuffle (elements, groups) and shuffled rows are compressed, so a task gets an eighth of Spark's
+# usual 64 MB: what it holds is bounded by that and does not grow with the tables, as long as there are partitions enough.
+# Where one side of a shuffled join has small partitions, they are hashed, and the other side is neither sorted nor spilled.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
