@@ -18,6 +18,7 @@ from tallycube.plans.ingest import ingest, ingest_folder, long_sections
 from tallycube.plans.sync import SOURCE, sync, sync_slice
 from tallycube.schema import ELEMENTS, MALE, URBAN, Dims
 from tallycube.session import scratch_path
+from tallycube.session import stored as settled
 from tallycube.sources import (
     append_rules,
     literal_table,
@@ -58,6 +59,7 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
 @query
 def src_wide_csv(s: Standins) -> DataFrame:
     """A wide table of each element, written as CSV and read again."""
+    s = s.settled()
 
     def read_again(element: str) -> DataFrame:
         path, wide = scratch_path(s.spark, "wide"), s.wide(element, "Estimates")
@@ -133,6 +135,7 @@ def ingest_unpivot(s: Standins) -> DataFrame:
 @query
 def ingest_from_folder(s: Standins) -> DataFrame:
     """The same cube from ten tables with unlike headers, in one scan."""
+    s = s.settled()
     base = scratch_path(s.spark, "folder")
     names = {"total": "both sexes", "male": "male", "female": "female", "urban": "urban", "rural": "rural"}
     odd = F.substring("Country code", 2, 20).cast("bigint") % 2 == 1
@@ -405,11 +408,12 @@ def operational_cube(s: Standins) -> DataFrame:
 @query
 def operational_slice(s: Standins) -> DataFrame:
     """The operational cube from a stored source with areas and years that its code lists do not name."""
-    others = s.source.withColumn(D.area, F.concat(F.lit("Q"), D.area))
-    none = s.source.filter(F.col(D.year) == int(YEARS[0])).withColumn(D.year, F.lit(0))
+    source = settled(s.source, "whole-source")
+    others = source.withColumn(D.area, F.concat(F.lit("Q"), D.area))
+    none = source.filter(F.col(D.year) == int(YEARS[0])).withColumn(D.year, F.lit(0))
     base = scratch_path(s.spark, "source")
-    write_cube(s.source.unionByName(others).unionByName(none).withColumnRenamed(D.area, SOURCE.area), f"{base}/cube")
-    append_rules(s.source.select(F.col(D.area).alias("code")).distinct(), f"{base}/areas")
+    write_cube(source.unionByName(others).unionByName(none).withColumnRenamed(D.area, SOURCE.area), f"{base}/cube")
+    append_rules(source.select(F.col(D.area).alias("code")).distinct(), f"{base}/areas")
     stored, areas = read_cube(s.spark, f"{base}/cube"), read_table(s.spark, f"{base}/areas")
     years = stored.select(F.col(D.year).cast("string").alias("code")).distinct()
     return sync_slice(

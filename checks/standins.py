@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallycube.operators.reshape import to_cube_value
 from tallycube.schema import POPULATION, Dims
-from tallycube.session import configure
+from tallycube.session import configure, stored
 from tallycube.sources import literal_table, read_table
 
 YEARS = [str(y) for y in range(1995, 2002)]
@@ -47,6 +47,12 @@ class Standins:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.folder}/{name}.parquet")
 
+    def settled(self) -> Standins:
+        """The same with the leaf cube written and read back, for queries that write many tables made of it."""
+        other = Standins(self.spark, self.folder)
+        other.__dict__["leaf"] = stored(self.leaf, "leaf")
+        return other
+
     # --- population cube ---
 
     @cached_property
