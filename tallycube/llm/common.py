@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import os
 from collections.abc import Callable, Hashable, Iterable, Iterator, Sequence
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -100,19 +101,38 @@ def held(key: Hashable, make: Callable[[], object]) -> object:
     return _held[key]
 
 
-def fresh(batches: Iterator, keep: Hashable = None) -> Iterator:
-    """The batches of a task; before the first, what is held under other keys than `keep` and the memory that earlier
-    tasks of the worker have used and left go back to the system, as workers live on from stage to stage beside an
-    executor that has its own needs."""
+def release(keep: Hashable = None) -> None:
+    """Let go of what is held under other keys than `keep`, and give memory that was used and left back to the system."""
     for key in [k for k in _held if k != keep]:
         del _held[key]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
+
+
+def fresh(batches: Iterator, keep: Hashable = None) -> Iterator:
+    """The batches of a task; before the first, what is held under other keys than `keep` and the memory that earlier
+    tasks of the worker have used and left go back to the system, as workers live on from stage to stage beside an
+    executor that has its own needs."""
+    release(keep)
     yield from batches
 
 
+def tidy(task: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """A task's function that holds nothing and gives back its memory when it ends: Spark hands tasks to the workers in turn,
+    so each of them, also those that a stage with several functions in a row has started, waits with what its last task left."""
+
+    @wraps(task)
+    def whole(*args, **named):
+        try:
+            yield from task(*args, **named)
+        finally:
+            release()
+
+    return whole
+
+
 def bit_filter(hashes: DataFrame, bits: int) -> np.ndarray:
     """A filter of fixed size for the 64-bit numbers of a one-column table: one bit for each value of their leading
     `bits` bits, set where a number has it. At most 2^bits bits come to the driver, whatever the size of the table."""

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, written
+from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, tidy, written
 from tallycube.llm.shingles import LETTERS, Words
 
 WINDOW = 10
@@ -34,6 +34,7 @@ ARROW_CANDIDATES = pa.list_(
 )
 
 
+@tidy
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in fresh(batches):
         ids = batch.column(0).to_pylist()
@@ -54,6 +55,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["item_id", "window", "words", "shingles"])
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     counts: dict[int, int] = {}
 
@@ -74,6 +76,7 @@ def _count(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Itera
     yield told()
 
 
+@tidy
 def _probe(batches: Iterator[pa.RecordBatch], shared, sizes: list[int]) -> Iterator[pa.RecordBatch]:
     row = TaskContext.get().partitionId() << 33
     reach = WINDOW - 1

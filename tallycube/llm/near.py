@@ -22,7 +22,7 @@ import pyarrow as pa
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, texts_of, written
+from tallycube.llm.common import bit_filter, fresh, passes, quoted, shielded, slices, texts_of, tidy, written
 from tallycube.llm.components import components
 from tallycube.llm.shingles import VISIBLE, Words, mix
 
@@ -149,6 +149,7 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
 
 
+@tidy
 def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in fresh(batches):
         ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
@@ -159,6 +160,7 @@ def _nodes(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             yield _batch(DOCS, ids[at : at + len(texts)], keys[at : at + len(texts)], n, nodes)
 
 
+@tidy
 def _bundles(batches: Iterator[pa.RecordBatch], size: int, percent: int, parts: int) -> Iterator[pa.RecordBatch]:
     bands = Bands(percent)
     for batch in fresh(batches):
@@ -183,6 +185,7 @@ def _bundles(batches: Iterator[pa.RecordBatch], size: int, percent: int, parts:
             )
 
 
+@tidy
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (signature, first, node) for the nodes that share a signature with a smaller one, the first.
 
@@ -216,6 +219,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield compact()
 
 
+@tidy
 def _sets(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.RecordBatch]:
     for batch in fresh(batches):
         hashes = np.array(batch.column(1).to_pylist(), np.int64).view(np.uint64)
@@ -225,6 +229,7 @@ def _sets(batches: Iterator[pa.RecordBatch], shared, size: int) -> Iterator[pa.R
             yield _batch(SETS, [node_of(s) for s in sets], list(map(len, sets)), [sketch(s).tobytes() for s in sets], [s.view(np.int64) for s in sets])
 
 
+@tidy
 def _by_sketch(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) that their sketches do not rule out."""
     for batch in fresh(batches):
@@ -251,6 +256,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(whole("b"), "b").join(whole("a"), "a").filter(100 * both >= percent * (n - both)).select("a", "b")
 
 
+@tidy
 def _compare(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of different components in each bucket that sizes and sketches do not rule out. Rows come sorted by bucket.
 

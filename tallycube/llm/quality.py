@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import fresh, quoted, shielded, written
+from tallycube.llm.common import fresh, quoted, shielded, tidy, written
 
 # Frequent words of the languages whose words are compared.
 COMMON_WORDS = {
@@ -106,14 +106,16 @@ def measure_text(text: str | None) -> tuple:
     return len(words), word_chars, symbols, dup_lines, repeated_words(ids, len(place)), classes.tolist(), common.tolist()
 
 
+@tidy
 def _measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in fresh(batches):
         yield pd.DataFrame([measure_text(t) for t in texts], columns=MEASURES.names)
 
 
 def measure(text: Column) -> Column:
-    """The counts and histograms of a text."""
-    return F.pandas_udf(_measure, MEASURES)(text)
+    """The counts and histograms of a text. Optimizers repeat a deterministic function below a filter on what it gives, and
+    so measure each text twice, in two workers; they leave one alone that is said not to be deterministic."""
+    return F.pandas_udf(_measure, MEASURES).asNondeterministic()(text)
 
 
 def base_failed(m: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from tallycube.llm.common import held
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
@@ -47,8 +49,9 @@ class Powers:
         return self.up, self.down
 
 
-_powers = Powers()
-powers = _powers.upto
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers that this worker holds until its task or its kind of tasks ends."""
+    return held("powers", Powers).upto(n)
 
 
 class Words:

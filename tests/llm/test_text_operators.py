@@ -437,6 +437,56 @@ def test_workers_let_go_of_what_other_stages_held():
     assert made == ["a", "a"]
 
 
+TASKS = {
+    "nodes": lambda b: near._nodes(b, 5),
+    "bundles": lambda b: near._bundles(b, 5, 80, 8),
+    "shared": near._shared,
+    "sets": lambda b: near._sets(b, None, 5),
+    "sketch": lambda b: near._by_sketch(b, 80),
+    "compare": lambda b: near._compare(b, 80),
+    "windows": decontaminate._windows,
+    "count": lambda b: decontaminate._count(b, None, [3]),
+    "measure": quality._measure,
+}
+
+
+@pytest.mark.parametrize("task", TASKS.values(), ids=TASKS)
+def test_a_task_gives_its_memory_back_at_the_end(task, monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "release", lambda keep=None: calls.append(keep))
+
+    def failing():
+        raise ValueError("lost")
+        yield
+
+    with pytest.raises(ValueError, match="lost"):
+        list(task(failing()))
+    assert calls == [None, None]  # before the first batch, and at the end
+
+
+def test_powers_go_when_a_task_ends(monkeypatch):
+    monkeypatch.setattr(common, "_held", {})
+
+    @common.tidy
+    def task(batches):
+        for n in batches:
+            yield len(shingles.powers(n)[0])
+
+    cut_short = task(iter([1000, 2000]))
+    assert next(cut_short) == 1001 and list(common._held) == ["powers"]
+    cut_short.close()
+    assert not common._held
+    assert list(task(iter([10, 2000]))) == [11, 2001] and not common._held
+
+
+def test_each_text_is_measured_once(table):
+    docs = table([(1, texts.prose(1, 80), "en"), (2, "short", "en"), (3, None, None)], "doc_id long, text string, lang string")
+    for df in (quality.judge(docs).filter("kept"), quality.references(docs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython [_measure(") == 1
+    assert [r.doc_id for r in quality.judge(docs).filter("kept").collect()] == [1]
+
+
 def test_texts_in_chunks_are_cut_as_one_by_one():
     rows = [t.encode() for t in (texts.prose(3, 40), "", texts.prose(5, 60000), "x" * 500, texts.prose(3, 40), "a b", texts.prose(7, 60000))]
     assert [s.tolist() for s in near.sets_of(rows, 4)] == [near.sets_of([t], 4)[0].tolist() for t in rows]
