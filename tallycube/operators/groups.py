@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycube.operators.joins import drop_listed, keep_listed
+from tallycube.operators.joins import apart, drop_listed, keep_listed
 from tallycube.schema import ADHOC_CODE, FACTOR_TYPE, POPULATION, VALUE_TYPE, Dims
 
 # Elements whose amounts are never multiplied by a group factor, ratio definitions
@@ -28,8 +28,14 @@ FULL_DISSEMINATION = 99
 
 def clean_members(groups: DataFrame) -> DataFrame:
     """Membership pairs (group_code, member_code) without copies, nulls and nested groups."""
-    pairs = groups.select("group_code", "member_code").distinct().dropna("any")
-    return drop_listed(pairs, pairs.select("group_code"), "member_code", "group_code")
+    pairs = groups.select("group_code", "member_code").dropna("any")
+    return drop_listed(pairs.distinct(), group_codes(pairs), "member_code", "group_code")
+
+
+def group_codes(groups: DataFrame) -> DataFrame:
+    """Each group code once. Memberships repeat a code for each member: a list of those grows with the members, a world group
+    is a hot key of it, and the other side of a join is shuffled to meet it; codes alone are mostly few enough to be broadcast."""
+    return apart(groups.select("group_code").distinct(), "group_code")
 
 
 def first_of_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -112,9 +118,9 @@ def drop_existing_aggregates(
     df: DataFrame, area_groups: DataFrame | None = None, item_groups: DataFrame | None = None, dims: Dims = POPULATION
 ) -> DataFrame:
     """Remove rows whose area or item already is a group, or is the code of an ad hoc total; either table may be absent."""
-    rows = df if area_groups is None else drop_listed(df, area_groups.select("group_code"), dims.area, "group_code")
+    rows = df if area_groups is None else drop_listed(df, group_codes(area_groups), dims.area, "group_code")
     if dims.item and item_groups is not None:
-        rows = drop_listed(rows, item_groups.select("group_code"), dims.item, "group_code")
+        rows = drop_listed(rows, group_codes(item_groups), dims.item, "group_code")
         rows = rows.filter(F.col(dims.item).isNull() | (F.col(dims.item) != ADHOC_CODE))
     return rows
 

@@ -7,6 +7,7 @@ from helpers import rows
 
 from pyspark.sql import functions as F
 from tallycube.operators import aggregate as agg
+from tallycube.operators import groups
 from tallycube.operators.joins import drop_listed, full_join, full_join_unique, group_total, keep_listed, keep_listed_if_any
 from tallycube.operators.metadata import source_texts
 from tallycube.operators.reshape import running_total, with_row_id
@@ -174,3 +175,37 @@ def test_running_totals_sum_weights(spark):
     for k in range(1, 5001):
         assert got[k] == total
         total += k % 7
+
+
+def members(spark, codes):
+    """Many members in a few groups, one of them nested."""
+    pairs = spark.range(0, 200_000, 1, 8).select(
+        F.concat(F.lit("G"), F.col("id") % codes).alias("group_code"), F.col("id").cast("string").alias("member_code")
+    )
+    return pairs.unionByName(spark.createDataFrame([("G0", "G1"), ("G0", None), (None, "7")], "group_code string, member_code string"))
+
+
+@pytest.mark.parametrize("drop", ["aggregates", "nested"])
+def test_memberships_count_as_codes_where_groups_are_dropped(spark, small_limits, drop):
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64k")
+    try:
+        if drop == "nested":
+            df = groups.clean_members(members(spark, 3))
+        else:
+            cube = spark.range(0, 20_000, 1, 8).select(
+                F.when(F.col("id") % 4 == 0, "G2").when(F.col("id") % 4 == 1, F.col("id").cast("string")).otherwise("x").alias(ITEM_DIMS.area),
+                F.when(F.col("id") % 5 == 0, "G1").when(F.col("id") % 5 > 1, "i").alias(ITEM_DIMS.item),
+            )
+            df = groups.drop_existing_aggregates(cube, members(spark, 3), members(spark, 3), ITEM_DIMS)
+        plan = final_plan(df)
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert df.count() == (200_000 if drop == "nested" else 12_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_many_group_codes_split_a_hot_area(spark, small_limits):
+    cube = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 2 == 0, "0").otherwise(F.col("id").cast("string")).alias(ITEM_DIMS.area))
+    df = groups.drop_existing_aggregates(cube, members(spark, 50_000), None, ITEM_DIMS)
+    plan = final_plan(df)
+    assert "skew=true" in plan and df.count() == 200_000
