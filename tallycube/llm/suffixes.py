@@ -8,8 +8,8 @@ one segment of text. Segments whose smallest hash occurs in one document only ar
 HOT segments or more (a frequent gram in ever different surroundings), its strings travel one by one instead and are dealt
 by a hash of the whole string, to tasks of their own, so that no task gets all of them.
 
-A task takes its segments group by group and joins those of a group to shards of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and
-Sadakane; common prefixes of the suffixes that begin with a whole string come from Kasai's scan, run over all segments
+A task takes its segments group by group and joins those of a group that share a long gram with another document to shards
+of bounded size. Each shard is sorted by a suffix array, refined as by Larsson and Sadakane; common prefixes of the suffixes that begin with a whole string come from Kasai's scan, run over all segments
 side by side; runs of suffixes with a common prefix of LENGTH bytes are equal strings. Where a task has several shards, equal strings of two shards are found by
 binary search.
 """
@@ -30,6 +30,7 @@ from tallycube.llm.shingles import BYTE_VALUE, mix, powers
 
 LENGTH = 50
 GRAM = 20
+LONG_GRAM = 40  # of the grams inside a string, those that two documents of a group must share before its suffixes are sorted
 FILTER_BITS = 26  # 8 MB: marks the hashes that occur in two documents
 MOST_STRINGS = 200  # strings in one segment
 SHARD = 1_500_000  # bytes
@@ -64,23 +65,23 @@ def smallest_hashes(data: np.ndarray, length: int, gram: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def segments_of(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def segments_of(texts: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Runs of strings with the same smallest hash: (hash, text, first start, last start) as arrays."""
     found = [(np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)]
     first = size = 0
     for k, text in enumerate(texts):
         size += len(text)
         if size >= CHUNK or k == len(texts) - 1:
-            value, of, start, end = _segments_in(texts[first : k + 1])
+            value, of, start, end = _segments_in(texts[first : k + 1], gram)
             found.append((value, of + first, start, end))
             first, size = k + 1, 0
     return tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
-def _segments_in(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def _segments_in(texts: list[bytes], gram: int) -> tuple[np.ndarray, ...]:
     lengths = np.fromiter(map(len, texts), np.int64, len(texts))
     bounds = np.concatenate([[0], np.cumsum(lengths)])
-    least = smallest_hashes(np.frombuffer(b"".join(texts), np.uint8), LENGTH, GRAM)
+    least = smallest_hashes(np.frombuffer(b"".join(texts), np.uint8), LENGTH, gram)
     # A run begins where the smallest hash changes, where a text begins, and where the last whole string of a text is past.
     begins = np.ones(len(least) + 1, bool)
     np.not_equal(least[1:], least[:-1], out=begins[1:-1])
@@ -442,10 +443,24 @@ class Kept:
         return rows[~stays]
 
 
+def candidates(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """Places of the segments with a string that may also start in a segment of another document: equal strings have the
+    same smallest hash of their long grams."""
+    value, of, _, _ = segments_of(texts, LONG_GRAM)
+    order = np.argsort(value)
+    value, doc = value[order], docs[of[order]]
+    head = np.flatnonzero(np.append(True, value[1:] != value[:-1])) if len(value) else np.zeros(0, np.int64)
+    if not len(head):
+        return head
+    several = np.minimum.reduceat(doc, head) < np.maximum.reduceat(doc, head)
+    return np.unique(of[order[np.repeat(several, np.diff(np.append(head, len(value))))]])
+
+
 def _compared(kept: Kept) -> Iterator[pa.RecordBatch]:
     yield _removed_batch(kept.settled())
     distinct = list(kept.numbers)
-    segments = [(distinct[k], row) for k, row in zip(kept.kind.tolist(), kept.rows.tolist(), strict=True)]
+    may = candidates([distinct[k] for k in kept.kind.tolist()], kept.rows[:, 0])
+    segments = [(distinct[k], row) for k, row in zip(kept.kind[may].tolist(), kept.rows[may].tolist(), strict=True)]
     shards, first, size = [], 0, 0
     for k, (text, _) in enumerate(segments):
         size += len(text)

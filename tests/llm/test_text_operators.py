@@ -416,6 +416,46 @@ def test_strings_of_a_hot_hash_are_spread(table):
     assert set(range(1, 9)) <= set(dealt)
 
 
+def bundles(rows):
+    """Segments of some rows as the tasks that compare get them, all in one group."""
+
+    class Shared:
+        value = np.full(1 << 20, ~np.uint64(0)), np.zeros(0, np.uint64)
+
+    ids, raw = [d for d, _ in rows], [t for _, t in rows]
+    return suffixes._segments(iter([pa.RecordBatch.from_arrays([pa.array(ids), pa.array(raw), pa.array(ids)], ["doc_id", "text", "key"])]), Shared, 1, 1)
+
+
+def test_only_segments_with_shared_long_grams_are_sorted(monkeypatch):
+    # A phrase in ever different surroundings brings segments of all rows together, but only two rows share a string.
+    phrase, passage = "https://www.example.org/", texts.prose(7, 40)[:90]
+    rows = [(k, f"{texts.prose(100 + k, 20)[:60]}{phrase}{texts.prose(300 + k, 20)[:60]}") for k in range(100)]
+    rows += [(200, f"{texts.prose(500, 9)}{passage}"), (201, f"{passage}{texts.prose(501, 9)}")]
+    taken = []
+    shard = suffixes.Shard
+    monkeypatch.setattr(suffixes, "Shard", lambda segments: taken.extend(segments) or shard(segments))
+    gone = {(d, x) for b in suffixes._compare(bundles(rows)) for d, a, z in zip(*(b.column(k).to_pylist() for k in (0, 2, 3)), strict=True) for x in range(a, z)}
+    want = {r[0]: r[2] for r in brute.removed(rows)}
+    assert {d for d, _ in gone} == {201} and len(gone) == want[201] > 0
+    assert {row[0] for _, row in taken} <= {200, 201}
+
+
+def test_candidates_lose_no_shared_string():
+    rng = np.random.default_rng(5)
+    base = [bytes(rng.choice([97, 98], 400).astype(np.uint8)), b"a" * 150, b"abc" * 60, "é".encode() * 70, *[texts.prose(k, 30).encode() for k in range(3)]]
+    cuts = [(base[k], int(x), int(n)) for k, x, n in zip(rng.integers(0, len(base), 300), rng.integers(0, 90, 300), rng.integers(50, 90, 300), strict=True)]
+    segments = [t for t in (b[x : x + n] for b, x, n in cuts) if len(t) >= suffixes.LENGTH]
+    docs = rng.integers(0, 250, len(segments))
+    owners = {}
+    for t, d in zip(segments, docs.tolist(), strict=True):
+        for x in range(len(t) - suffixes.LENGTH + 1):
+            owners.setdefault(t[x : x + suffixes.LENGTH], set()).add(d)
+    shared = {k for k, t in enumerate(segments) for x in range(len(t) - suffixes.LENGTH + 1) if len(owners[t[x : x + suffixes.LENGTH]]) > 1}
+    assert shared and shared <= set(suffixes.candidates(segments, docs).tolist())
+    assert suffixes.candidates([], np.zeros(0, np.int64)).tolist() == []
+    assert suffixes.candidates([base[0], base[0]], np.array([4, 4])).tolist() == []
+
+
 def test_suffix_dedup_odd_rows(table):
     long = texts.prose(1, 100)
     rows = [(None, long), (2, long), (2, long), (3, long), (None, None)]
