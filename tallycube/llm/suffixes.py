@@ -17,7 +17,7 @@ binary search.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,15 @@ SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
 CHUNK = 200_000  # bytes hashed at once, which stay in a core's cache
 PER_TASK = 12_000_000  # bytes of text for each task that segments are dealt to
-GROUP = 1_000_000  # bytes of text for each group of segments that a task compares at once; they are about four times that
+GROUP = 4_000_000  # bytes of text for each group of segments that a task compares at once; they are about four times that
+SENT = 10_000_000  # bytes of segments that a task gathers, so that those for one group travel in few bundles, however many groups there are
 HOT = 20_000  # segments of one hash from which its strings are dealt one by one
 WAITING = 200_000  # rows of a group that wait until those of larger ids are told
 STRING_COST = 1_500  # bytes of the strings of a segment, about: 31 of 50 bytes
 
 HASHES = "part long, hashes binary, often binary"
 FREQUENT = "hash long, load long"
-SEGMENTS = "part long, docs binary, keys binary, starts binary, ends binary, text binary"
+SEGMENTS = "part long, rows binary, text binary"
 REMOVED = "doc_id long, text_hash long, start int, end int"
 OUTPUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
@@ -190,22 +191,22 @@ def _frequent(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Record
     yield told(kept[many], load[many])
 
 
-def _bundle(part: int, a: np.ndarray, text: bytes) -> tuple:
+def _bundle(part: int, a: np.ndarray, text: bytes, packed: Callable[[bytes], bytes]) -> tuple:
     """One row of SEGMENTS from rows (doc, key, start, end) and their texts, one behind the other."""
-    packed = zstandard.ZstdCompressor().compress
-    return part, *(packed(np.ascontiguousarray(a[:, k]).tobytes()) for k in range(4)), packed(text)
+    return part, packed(a[:, :2].T.tobytes() + a[:, 2:].T.astype(np.int32).tobytes()), packed(text)
 
 
-def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
-    kinds = [pa.int64(), *[pa.binary()] * 5]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["part", "docs", "keys", "starts", "ends", "text"])
+def _unbundled(raw: bytes) -> np.ndarray:
+    """The rows (doc, key, start, end) of a bundle."""
+    n = len(raw) // 24
+    ids, places = np.frombuffer(raw, np.int64, 2 * n), np.frombuffer(raw, np.int32, 2 * n, 16 * n)
+    return np.concatenate([ids.reshape(2, n), places.reshape(2, n)]).T
 
 
 def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int, hot_parts: int) -> Iterator[pa.RecordBatch]:
-    """Segments for the tasks to compare, of hot hashes each string as one, for tasks of their own. Of equal segments of a slice one with the smallest id travels; of the others
-    it is known here that they go: they travel without text."""
+    """Segments for the tasks to compare, of hot hashes each string as one, for tasks of their own."""
     marked, hashes = shared.value
+    waiting, size = [], 0
     for batch in batches:
         ids, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
         for at, texts in slices(batch.column(1), SLICE):
@@ -220,23 +221,38 @@ def _segments(batches: Iterator[pa.RecordBatch], shared, parts: int, hot_parts:
                 first = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
                 last = np.where(hot, first, last[row])
             told = np.stack([ids[at + of], keys[at + of], first, last + LENGTH], 1)
-            raws = [texts[o][a:b] for o, a, b in zip(of.tolist(), first.tolist(), told[:, 3].tolist(), strict=True)]
-            kind, distinct = _numbered(raws, {})
-            least = np.full(distinct, np.iinfo(np.int64).max)
-            np.minimum.at(least, kind, told[:, 0])
-            stays = least[kind] == told[:, 0]
-            gone = _joined(told[~stays])
-            rows = [_bundle(int(gone[0, 1]) % parts, gone, b"")] if len(gone) else []
-            sent = np.flatnonzero(stays)
-            if len(sent):
-                part = (((value[sent] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-                for k in np.flatnonzero(hot[sent]).tolist():
-                    part[k] = parts + zlib.crc32(raws[sent[k]]) % hot_parts
-                for p, some in _grouped(part):
-                    own = sent[some]
-                    rows.append(_bundle(p, told[own], b"".join([raws[k] for k in own.tolist()])))
-            if rows:
-                yield _segment_batch(rows)
+            waiting.append((value, hot, told, [texts[o][a:b] for o, a, b in zip(of.tolist(), first.tolist(), told[:, 3].tolist(), strict=True)]))
+            size += int((told[:, 3] - told[:, 2]).sum())
+            if size >= SENT:
+                yield from _sent(waiting, parts, hot_parts)
+                waiting, size = [], 0
+    if waiting:
+        yield from _sent(waiting, parts, hot_parts)
+
+
+def _sent(waiting: list[tuple], parts: int, hot_parts: int) -> Iterator[pa.RecordBatch]:
+    """Some slices' segments in bundles. Of equal segments one with the smallest id travels; of the others it is known here
+    that they go: they travel without text."""
+    value, hot, told = (np.concatenate(c) for c in list(zip(*waiting, strict=True))[:3])
+    raws = [raw for *_, some in waiting for raw in some]
+    packed = zstandard.ZstdCompressor().compress
+    kind, distinct = _numbered(raws, {})
+    least = np.full(distinct, np.iinfo(np.int64).max)
+    np.minimum.at(least, kind, told[:, 0])
+    stays = least[kind] == told[:, 0]
+    gone = _joined(told[~stays])
+    rows = [_bundle(int(gone[0, 1]) % parts, gone, b"", packed)] if len(gone) else []
+    sent = np.flatnonzero(stays)
+    if len(sent):
+        part = (((value[sent] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        for k in np.flatnonzero(hot[sent]).tolist():
+            part[k] = parts + zlib.crc32(raws[sent[k]]) % hot_parts
+        for p, some in _grouped(part):
+            own = sent[some]
+            rows.append(_bundle(p, told[own], b"".join([raws[k] for k in own.tolist()]), packed))
+    if rows:
+        p, places, texts = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(places, pa.binary()), pa.array(texts, pa.binary())], ["part", "rows", "text"])
 
 
 def _numbered(raws: list[bytes], numbers: dict[bytes, int]) -> tuple[np.ndarray, int]:
@@ -401,12 +417,11 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept = Kept()
     group = None
     for batch in batches:
-        for part, *packed in zip(batch.column(0).to_pylist(), *(texts_of(batch.column(k)) for k in range(1, 6)), strict=True):
+        for part, places, packed in zip(batch.column(0).to_pylist(), *(texts_of(batch.column(k)) for k in (1, 2)), strict=True):
             if part != group:
                 yield from _compared(kept)
                 kept, group = Kept(), part
-            *row, text = [unpacked(p) for p in packed]
-            told = np.stack([np.frombuffer(c, np.int64) for c in row], 1)
+            told, text = _unbundled(unpacked(places)), unpacked(packed)
             if not text:
                 yield _removed_batch(told)
                 continue

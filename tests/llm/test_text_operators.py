@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import texts
+import zstandard
 
 from pyspark.sql import functions as F
 from tallycube.llm import common, decontaminate, licences, near, packing, quality, secrets, shingles, suffixes, toxicity
@@ -456,6 +457,28 @@ def test_candidates_lose_no_shared_string():
     assert suffixes.candidates([base[0], base[0]], np.array([4, 4])).tolist() == []
 
 
+def test_segments_of_many_batches_travel_together():
+    class Shared:
+        value = np.full(1 << 20, ~np.uint64(0)), np.zeros(0, np.uint64)
+
+    rows = [(7 * k - 2**62, texts.prose(k, 60)) for k in range(60)]
+    docs = [pa.RecordBatch.from_arrays([pa.array([d]), pa.array([t]), pa.array([2**62 - d // 7])], ["doc_id", "text", "key"]) for d, t in rows]
+    sent = [b for b in suffixes._segments(iter(docs), Shared, 40, 1)]
+    parts = [p for b in sent for p in b.column(0).to_pylist()]
+    assert len(parts) == len(set(parts)) == 40
+    # With their ids, keys and places, they hold each whole string.
+    unpacked = zstandard.ZstdDecompressor().decompress
+    starts = []
+    for places, packed in ((x, y) for b in sent for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
+        text, at = unpacked(packed), 0
+        for doc, key, start, end in suffixes._unbundled(unpacked(places)).tolist():
+            assert key == 2**62 - doc // 7 and text[at : at + end - start] == dict(rows)[doc].encode()[start:end]
+            starts += [(doc, x) for x in range(start, end - suffixes.LENGTH + 1)]
+            at += end - start
+        assert at == len(text)
+    assert sorted(starts) == [(d, x) for d, t in rows for x in range(len(t.encode()) - suffixes.LENGTH + 1)]
+
+
 def test_suffix_dedup_odd_rows(table):
     long = texts.prose(1, 100)
     rows = [(None, long), (2, long), (2, long), (3, long), (None, None)]
