@@ -145,8 +145,8 @@ def bit_filter(hashes: DataFrame, bits: int) -> np.ndarray:
         .agg(F.bit_or(F.call_function("shiftleft", one, F.pmod("bucket", F.lit(64)).cast("int"))).alias("set"))
     )
     packed = np.zeros(1 << (bits - 6), np.int64)
-    table = words.toArrow()
-    packed[table.column(0).to_numpy()] = table.column(1).to_numpy()
+    for batch in words.toArrow().to_batches():
+        packed[batch.column(0).to_numpy()] = batch.column(1).to_numpy()
     return packed.view(np.uint64)
 
 

@@ -32,6 +32,7 @@ LENGTH = 50
 GRAM = 20
 LONG_GRAM = 40  # of the grams inside a string, those that two documents of a group must share before its suffixes are sorted
 FILTER_BITS = 26  # 8 MB: marks the hashes that occur in two documents
+MOST_BITS = 30  # 128 MB, where there are many of them
 MOST_STRINGS = 200  # strings in one segment
 SHARD = 1_500_000  # bytes
 SLICE = 2_000_000
@@ -191,6 +192,11 @@ def _frequent(batches: Iterator[pa.RecordBatch], hot: int) -> Iterator[pa.Record
     yield told(kept[many], load[many])
 
 
+def filter_bits(hashes: int) -> int:
+    """Bits of the filter's size: four or more bits for each hash that it marks, so that at most a quarter of the other hashes pass."""
+    return min(max(FILTER_BITS, (4 * hashes).bit_length()), MOST_BITS)
+
+
 def _bundle(part: int, a: np.ndarray, text: bytes, packed: Callable[[bytes], bytes]) -> tuple:
     """One row of SEGMENTS from rows (doc, key, start, end) and their texts, one behind the other."""
     return part, packed(a[:, :2].T.tobytes() + a[:, 2:].T.astype(np.int32).tobytes()), packed(text)
@@ -529,7 +535,7 @@ def remove_repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "te
     hot_hashes, load = loads.column(0).to_numpy().view(np.uint64), int(loads.column(1).to_numpy().sum())
     groups, hot_groups = max(4, -(-total // GROUP)), max(1, -(-load * STRING_COST // (4 * GROUP)))
     tasks = parts + (max(1, -(-load * STRING_COST // (4 * PER_TASK))) if load else 0)
-    shared = spark.sparkContext.broadcast((bit_filter(frequent.select("hash"), FILTER_BITS), hot_hashes))
+    shared = spark.sparkContext.broadcast((bit_filter(frequent.select("hash"), filter_bits(frequent.count())), hot_hashes))
     segments = known.select("doc_id", "text", "text_hash").mapInArrow(lambda b: _segments(b, shared, groups, hot_groups), SEGMENTS)
     removed = segments.repartition(tasks, "part").sortWithinPartitions("part").mapInArrow(_compare, REMOVED)
     ranges = removed.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))

@@ -457,6 +457,19 @@ def test_candidates_lose_no_shared_string():
     assert suffixes.candidates([base[0], base[0]], np.array([4, 4])).tolist() == []
 
 
+def test_filter_grows_with_the_hashes(table, monkeypatch):
+    assert [suffixes.filter_bits(n) for n in (0, 4_637_034, 20_000_000, 10**9)] == [26, 26, 27, 30]
+    made = []
+    plain = suffixes.bit_filter
+    monkeypatch.setattr(suffixes, "FILTER_BITS", 8)
+    monkeypatch.setattr(suffixes, "bit_filter", lambda hashes, bits: made.append((hashes.count(), bits)) or plain(hashes, bits))
+    rows = DOCS[12:30]
+    got = suffixes.remove_repeats(table(rows).repartition(3))
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()) == brute.removed(rows)
+    [(n, bits)] = made
+    assert 64 < n and 4 * n < 2**bits <= 8 * n
+
+
 def test_segments_of_many_batches_travel_together():
     class Shared:
         value = np.full(1 << 20, ~np.uint64(0)), np.zeros(0, np.uint64)
