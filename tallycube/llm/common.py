@@ -95,7 +95,8 @@ _held: dict[Hashable, object] = {}
 
 
 def held(key: Hashable, make: Callable[[], object]) -> object:
-    """What a worker process keeps from task to task, such as words with their ids; tasks of another kind let go of it."""
+    """What a worker process keeps until a task lets go of it, such as words with their ids: a tidy task when it ends, others
+    when they begin and are of another kind."""
     if key not in _held:
         _held[key] = make()
     return _held[key]

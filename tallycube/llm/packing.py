@@ -18,13 +18,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from tallycube.llm.common import fresh, quoted, slices, written
+from tallycube.llm.common import fresh, quoted, slices, tidy, written
 from tallycube.llm.tokens import codec
 
 LENGTH = 2048
 OPEN_WINDOWS = 16
 MIN_CUT = 24  # a window with less room than this is closed with padding instead of a cut
 MERGED_PARTITIONS = 64
+SLICE = 500_000  # bytes encoded at once
 END = np.array([1], "<u4").tobytes()
 PER_PARTITION = 33  # bits for the windows of a partition
 
@@ -80,13 +81,14 @@ class Packer:
         return pieces
 
 
+@tidy
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, with_ids: bool, shape: tuple[int, int, int]) -> Iterator[pa.RecordBatch]:
     # Rows are yielded as they come; windows that stay open to the end are told by a last row without a document.
     packer = Packer(TaskContext.get().partitionId() << PER_PARTITION, *shape)
     words = codec(path)
     for batch in fresh(batches, keep=path):
         docs = batch.column(0).to_pylist()
-        encoded = (raw for _, texts in slices(batch.column(1), 1_000_000) for raw in words.encode(texts))
+        encoded = (raw for _, texts in slices(batch.column(1), SLICE) for raw in words.encode(texts))
         rows: list[tuple] = []
         ids = []
         for doc, raw in zip(docs, encoded, strict=True):

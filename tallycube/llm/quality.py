@@ -45,9 +45,15 @@ MIN_WORDS_COMPARED = 200
 MAX_WORD_DISTANCE = 0.32
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-OUTPUT = [*COUNTS, "base_failed", "class_distance", "word_distance", "kept"]
+DISTANCES = ["class_distance", "word_distance"]
+OUTPUT = [*COUNTS, "base_failed", *DISTANCES, "kept"]
+HISTOGRAM = T.ArrayType(T.LongType())
 MEASURES = T.StructType(
-    [*(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("classes", T.ArrayType(T.LongType())), T.StructField("words", T.ArrayType(T.LongType()))]
+    [
+        *(T.StructField(c, T.LongType()) for c in COUNTS),
+        *(T.StructField(c, HISTOGRAM) for c in ("classes", "words")),
+        *(T.StructField(c, T.DoubleType()) for c in DISTANCES),
+    ]
 )
 
 
@@ -107,15 +113,19 @@ def measure_text(text: str | None) -> tuple:
 
 
 @tidy
-def _measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in fresh(batches):
-        yield pd.DataFrame([measure_text(t) for t in texts], columns=MEASURES.names)
+def _measure(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for texts, of_classes, of_words in fresh(batches):
+        found = pd.DataFrame([measure_text(t) for t in texts], columns=MEASURES.names[:-2])
+        yield found.assign(class_distance=_distance(found["classes"], of_classes), word_distance=_distance(found["words"], of_words))
 
 
-def measure(text: Column) -> Column:
-    """The counts and histograms of a text. Optimizers repeat a deterministic function below a filter on what it gives, and
-    so measure each text twice, in two workers; they leave one alone that is said not to be deterministic."""
-    return F.pandas_udf(_measure, MEASURES).asNondeterministic()(text)
+def measure(text: Column, of_classes: Column | None = None, of_words: Column | None = None) -> Column:
+    """The counts and histograms of a text, and the distances of these from references, null where there is none. One function
+    does both, as each takes a worker of its own beside the executor. Optimizers repeat a deterministic function below a filter on what
+    it gives, and so measure each text twice, in two workers; they leave one alone that is said not to be deterministic."""
+    none = F.lit(None).cast(HISTOGRAM)
+    references = [none if c is None else c for c in (of_classes, of_words)]
+    return F.pandas_udf(_measure, MEASURES).asNondeterministic()(text, *references)
 
 
 def base_failed(m: Column) -> Column:
@@ -173,14 +183,14 @@ def _judge(documents: DataFrame, text: str, lang: str) -> DataFrame:
     refs = written(references(documents, text, lang), "references")
     m = F.col("_m")
     judged = (
-        documents.withColumn("_m", measure(F.col(text)))
-        .withColumn("_lang", F.col(lang).cast("string"))
+        documents.withColumn("_lang", F.col(lang).cast("string"))
         .join(refs.withColumnRenamed("_lang", "_of"), F.col("_lang").eqNullSafe(F.col("_of")), "left")
+        .withColumn("_m", measure(F.col(text), F.col("_ref_classes"), F.col("_ref_words")))
     )
     chars = F.aggregate(m["classes"], F.lit(0).cast("long"), lambda s, x: s + x)
     known = F.col("_lang").isin(*COMMON_WORDS)
-    class_distance = F.when(chars >= MIN_CHARS, distance(m["classes"], F.col("_ref_classes")))
-    word_distance = F.when((m["n_words"] >= MIN_WORDS_COMPARED) & known, distance(m["words"], F.col("_ref_words")))
+    class_distance = F.when(chars >= MIN_CHARS, m["class_distance"])
+    word_distance = F.when((m["n_words"] >= MIN_WORDS_COMPARED) & known, m["word_distance"])
     with_distances = judged.select(
         *documents.columns,
         *[m[c].alias(c) for c in COUNTS],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 from tallycube.llm.common import held
@@ -56,9 +58,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 class Words:
     """The words of some texts, A-Z lower-cased unless `fold` is off: `start` and `end` (bytes in `data`), `owner` (place of the text), `hash`, and `first`, the
-    number of the first word of each text (one more entry than texts)."""
+    number of the first word of each text (one more entry than texts). `cuts` gives places inside words where another word begins."""
 
-    def __init__(self, texts: list[bytes], inside: np.ndarray, fold: bool = True):
+    def __init__(self, texts: list[bytes], inside: np.ndarray, fold: bool = True, cuts: Callable[[np.ndarray], np.ndarray] | None = None):
         raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         self.data = LOWER[raw] if fold else raw
         lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
@@ -66,6 +68,9 @@ class Words:
         word = np.concatenate([[False], inside[self.data]])
         edges = np.flatnonzero(word[1:] != word[:-1])
         self.start, self.end = edges[0::2], edges[1::2]
+        if cuts:
+            more = cuts(self.data)
+            self.start, self.end = (np.sort(np.concatenate([x, more])) for x in (self.start, self.end))
         self.first = np.searchsorted(self.start, bounds)
         self.owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
         up, down = powers(len(self.data) + 1)

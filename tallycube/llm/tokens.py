@@ -10,16 +10,32 @@ from tallycube.llm.common import grown, held, ranges
 from tallycube.llm.shingles import VISIBLE, Words
 
 MARK = "\0"  # a word of its own between words that are encoded in one go
+LETTER = np.zeros(256, bool)
+LETTER[ord("a") : ord("z") + 1] = LETTER[ord("A") : ord("Z") + 1] = True
+LATIN = np.zeros(256, bool)  # after the byte 0xC3: a letter from U+00C0 to U+00FF
+LATIN[0x80:0xC0] = True
+LATIN[[0x97, 0xB7]] = False
+SIGN = np.zeros(256, bool)
+SIGN[0x21:0x7F] = True
+SIGN[0x30:0x3A] = SIGN[LETTER] = False
 ROOM = 300_000
 GO = 400
 
 
+def signs_after_letters(data: np.ndarray) -> np.ndarray:
+    """Where an ASCII sign follows a letter (ASCII or Latin-1), in texts one behind the other."""
+    sign = np.flatnonzero(SIGN[data[2:]]) + 2
+    before, last = data[sign - 2], data[sign - 1]
+    return sign[LETTER[last] | LATIN[last] & (before == 0xC3)]
+
+
 class WordCodec:
     """Ids of a text as packed little-endian unsigned 32-bit numbers.
 
     No token of the vocabulary spans white space, so the ids of a text are those of its words in turn. Words are
     split at ASCII white space only; a word with other white space inside is still encoded right, as the vocabulary
-    splits it. ASCII letters are lower-cased beforehand, as the vocabulary does, unless a special token may be meant. When
+    splits it. Nor does a token span a letter and a sign behind it, so words end there too, and are fewer. ASCII letters
+    are lower-cased beforehand, as the vocabulary does. Neither is done where a special token may be meant. When
     ROOM words are remembered, those met in one slice of text only are forgotten.
     """
 
@@ -40,7 +56,8 @@ class WordCodec:
         self.closing[[k for token, k in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        w = Words(texts, VISIBLE, fold=not any(b"<|" in t for t in texts))
+        plain = not any(b"<|" in t for t in texts)
+        w = Words(texts, VISIBLE, fold=plain, cuts=signs_after_letters if plain else None)
         _, first, place = np.unique(w.hash, return_index=True, return_inverse=True)
         data = w.data.tobytes()
         words = [data[a:b] for a, b in zip(w.start[first].tolist(), w.end[first].tolist(), strict=True)]
@@ -71,15 +88,26 @@ class WordCodec:
         self._add([words[k] for k in kept.tolist()], ids, n)
 
     def _learn(self, words: list[bytes]) -> None:
-        # A word of ASCII letters has one last token, which the vocabulary marks as an end.
-        letters = [w for w in words if w.isalpha()]
+        # A word of letters has one last token, which the vocabulary marks as an end. Letters that it takes for more than
+        # one word, as it may where it lower-cases or knows them otherwise than Python, are encoded like other words.
+        letters, plain, odd = [], [], []
+        for w in words:
+            if w.isalpha() or not w.isascii() and w.decode().isalpha():
+                letters.append(w)
+            elif b"\0" in w or b"<|" in w:
+                odd.append(w)
+            else:
+                plain.append(w)
         for at in range(0, len(letters), 16 * GO):
             some = [letters[i : i + GO] for i in range(at, min(at + 16 * GO, len(letters)), GO)]
             found = self.tokenizer.encode_batch_fast([b" ".join(go).decode() for go in some], add_special_tokens=False)
             for go, encoding in zip(some, found, strict=True):
                 ids = np.array(encoding.ids, "<u4")
-                self._add(go, ids, np.diff(np.flatnonzero(self.closing[ids]) + 1, prepend=0))
-        plain = [w for w in words if not w.isalpha() and b"\0" not in w and b"<|" not in w]
+                ends = np.flatnonzero(self.closing[ids]) + 1
+                if len(ends) == len(go):
+                    self._add(go, ids, np.diff(ends, prepend=0))
+                else:
+                    plain += go
         goes = [plain[i : i + GO] for i in range(0, len(plain), GO)]
         for at in range(0, len(goes), 16):
             some = goes[at : at + 16]
@@ -88,7 +116,6 @@ class WordCodec:
                 ids = np.array(encoding.ids, "<u4")
                 own = ids != self.mark
                 self._add(go, ids[own], np.diff(np.cumsum(own)[np.append(np.flatnonzero(~own), len(ids) - 1)], prepend=0))
-        odd = [w for w in words if b"\0" in w or b"<|" in w]
         for word, encoding in zip(odd, self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), strict=True):
             self._add([word], np.array(encoding.ids, "<u4"), np.array([len(encoding.ids)]))
 

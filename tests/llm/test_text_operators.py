@@ -60,6 +60,17 @@ def test_word_by_word_ids_are_those_of_whole_texts(tokenizer):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
 
 
+def test_signs_behind_letters_are_words_of_their_own(tokenizer):
+    odd = ["x. He's, she'll; it'S 'sabc' a.b.c ...d e's.", "été, ÊTRE! ×, ÷. à×. Àé÷; “é”. dé́. e≠ é≠", "İ, i̇. ﬁ; ʼn ŉ. ª! Ⅷ, ｡a.", "İi ﬁab", "12.5, a1. _a_ a_b", "don't<|endoftext|>, x.", "a", "."]
+    codec = WordCodec(word_vocabulary())
+    for some in (odd, [odd[-1], *odd[:5]], *([t] for t in odd)):
+        got = codec.encode([t.encode() for t in some])
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+    codec = WordCodec(word_vocabulary())
+    codec.encode(["\nWord word. word, word! été été. été,".encode()])
+    assert set(codec.known) == {b"word", "été".encode(), b".", b",", b"!"}
+
+
 def packed_rows(pieces):
     return [r.asDict() for r in pieces.collect()]
 
@@ -540,6 +551,24 @@ def test_a_task_gives_its_memory_back_at_the_end(task, monkeypatch):
     assert calls == [None, None]  # before the first batch, and at the end
 
 
+def test_a_packing_task_holds_no_words_when_it_ends(monkeypatch):
+    monkeypatch.setattr(common, "_held", {})
+    monkeypatch.setattr(packing.TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 3})()))
+    path = word_vocabulary()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words", None])], ["doc_id", "text"])
+    task = packing._pack_partition(iter([batch]), path, False, (2048, 16, 24))
+    assert next(task).num_rows == 2 and path in common._held
+    assert next(task).num_rows == 1 and not list(task)
+    assert not common._held
+
+
+def test_quality_rules_take_one_worker_for_a_task(table):
+    docs = table([(1, texts.prose(1, 250), "en"), (2, texts.prose(2, 250), "en")], "doc_id long, text string, lang string")
+    judged = quality.judge(docs)
+    assert judged._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert all(0 < r.class_distance < 1 and 0 < r.word_distance < 1 for r in judged.collect())
+
+
 def test_powers_go_when_a_task_ends(monkeypatch):
     monkeypatch.setattr(common, "_held", {})
 
